@@ -13,6 +13,9 @@ all reducers by file name, and the partial aggregation folds rows map-side.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,11 +70,22 @@ def combine(rekeyed: DataFrame, accounts: list[str]) -> DataFrame:
 def with_empty_folders(combined: DataFrame, long_map: DataFrame, accounts: list[str]) -> DataFrame:
     """Add a null row for every key-account folder that has no object in any account.
 
-    The seen-folder list reuses the combine's shuffle output; the anti join is on
-    folder-sized inputs only, so the object rows are never shuffled by folder.
+    The seen-folder list is computed from the combine's shuffle output: the count
+    below references every account column, so the optimizer cannot prune the
+    combine aggregate away (as it does for a bare ``select(folder).distinct()``)
+    and the combine's exchange is reused instead of scanning the listing again.
+    The anti join is on folder-sized inputs only; object rows are never shuffled by folder.
     """
-    seen = combined.select(F.col("key_bucket").alias("bucket"), F.col("key_prefix").alias("prefix")).distinct()
-    empty = join_small(key_folders(long_map), seen, ["bucket", "prefix"], "left_anti")
+    any_object = reduce(operator.or_, [quoted(a).isNotNull() for a in accounts])
+    seen = (
+        combined.groupBy(F.col("key_bucket").alias("bucket"), F.col("key_prefix").alias("prefix"))
+        .agg(F.count(F.when(any_object, F.lit(1))).alias("n_objects"))
+        .where(F.col("n_objects") > 0)
+        .select("bucket", "prefix")
+    )
+    folders = key_folders(long_map)
+    # `seen` holds key folders only (re-keying is an inner join on the map), so the folder list bounds its size.
+    empty = join_small(folders, seen, ["bucket", "prefix"], "left_anti", null_safe=True, bound=folders)
     nulls = [F.lit(None).cast(OBJECT_STRUCT).alias(a) for a in accounts]
     filler = empty.select(
         F.col("bucket").alias("key_bucket"), F.col("prefix").alias("key_prefix"), F.lit(None).cast("string").alias("name"), *nulls

@@ -12,7 +12,9 @@ re-run after an executor loss puts every row into the same bucket again.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,17 +69,34 @@ def join_small(
     salt_by: Sequence[str | Column] | None = None,
     row_bytes: int = DEFAULT_ROW_BYTES,
     broadcast: bool | None = None,
+    null_safe: bool = False,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join a large side to a side expected to be small.
 
     ``how`` is one of ``inner``, ``left``, ``left_semi``, ``left_anti`` (the big side is
     always the preserved/streamed side). ``broadcast`` forces the decision (tests);
-    by default it is taken from the counted size of ``small``.
+    by default it is taken from the counted size of ``small``, or of ``bound``: a
+    cheap DataFrame whose row count is proven to be at least ``small``'s (e.g. the
+    map's folder list for "folders seen in the listing"), so that sizing the small
+    side never runs the expensive plan that produces it.
+
+    ``null_safe`` (semi/anti joins only) compares keys with ``<=>``. Besides
+    matching nulls, it stops the optimizer from inferring ``IS NOT NULL`` filters
+    from the join and pushing them into ``small``'s subtree, which keeps that
+    subtree identical to the same DataFrame used elsewhere in the plan, so its
+    shuffle can be reused.
     """
     on = list(on)
-    use_broadcast = fits_broadcast(small, row_bytes) if broadcast is None else broadcast
+    use_broadcast = fits_broadcast(bound if bound is not None else small, row_bytes) if broadcast is None else broadcast
+    right = F.broadcast(small) if use_broadcast else small
+    if null_safe:
+        if how not in ("left_semi", "left_anti"):
+            raise ValueError("null_safe joins are for left_semi / left_anti")
+        cond = reduce(operator.and_, [big[c].eqNullSafe(right[c]) for c in on])
+        return big.join(right, cond, how)
     if use_broadcast:
-        return big.join(F.broadcast(small), on, how)
+        return big.join(right, on, how)
     if not salt_by:
         # No column to spread a hot key: rely on AQE's skew-join split of the sort-merge join.
         return big.join(small, on, how)

@@ -59,10 +59,14 @@ def mapped_folders(long_map: DataFrame, accounts: list[str] | None = None) -> Da
 
 
 def placeholders(folders: DataFrame, records: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Folders of ``folders`` that have no row in ``records``, as null-attribute rows."""
+    """Folders of ``folders`` that have no row in ``records``, as null-attribute rows.
+
+    ``records`` must hold rows of ``folders`` only (as after a semi join), so the
+    folder list bounds the seen-folder list and is what gets size-checked.
+    """
     key = key or FOLDER_KEY
     seen = records.select(*key).distinct()
-    empty = join_small(folders.select(*key), seen, key, "left_anti")
+    empty = join_small(folders.select(*key), seen, key, "left_anti", bound=folders)
     return empty.select(
         *key,
         F.lit(None).cast("string").alias("name"),
@@ -98,7 +102,7 @@ def subfolders(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None =
         *FOLDER_KEY, F.concat(F.col("prefix"), F.substring_index(rest, "/", 1), F.lit("/")).alias("subfolder")
     ).distinct()
     counts = found.groupBy(*FOLDER_KEY).agg(F.count(F.lit(1)).alias("n_subfolders"))
-    return join_small(found, counts, FOLDER_KEY, "inner")
+    return join_small(found, counts, FOLDER_KEY, "inner", bound=folders)
 
 
 def assert_no_subfolders(report: DataFrame, max_listed: int = 1000) -> None:
