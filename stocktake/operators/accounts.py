@@ -17,8 +17,8 @@ def pending_accounts(long_map: DataFrame, listing: DataFrame) -> DataFrame:
     """Accounts of the map with no row in the listing table, with ``is_next`` on the first in map order."""
     accounts = map_accounts(long_map)
     # Accounts of the listing that the map knows (bounded by the map's account list).
-    present = join_small(listing.select("account"), accounts.select("account"), ["account"], "left_semi").distinct()
-    pending = join_small(accounts, present, ["account"], "left_anti", bound=accounts)
+    present = join_small(listing.select("account"), accounts.select("account"), ["account"], "left_semi", bound=long_map).distinct()
+    pending = join_small(accounts, present, ["account"], "left_anti", bound=long_map)
     first_ord = pending.agg(F.min("account_ord")).scalar()  # scalar subquery, evaluated once
     return pending.select("account", "account_ord", F.coalesce(F.col("account_ord") == first_ord, F.lit(False)).alias("is_next"))
 

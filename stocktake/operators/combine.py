@@ -42,14 +42,14 @@ def rekey(listing: DataFrame, long_map: DataFrame) -> DataFrame:
 
     Rows of folders outside the map are dropped here; :func:`unmapped_objects` reports them.
     """
-    joined = join_small(listing, map_for_rekey(long_map), FOLDER_KEY, "inner", salt_by=["name"])
+    joined = join_small(listing, map_for_rekey(long_map), FOLDER_KEY, "inner", salt_by=["name"], bound=long_map)
     return joined.select("account", "key_bucket", "key_prefix", "name", *ATTRS)
 
 
 def unmapped_objects(listing: DataFrame, long_map: DataFrame) -> DataFrame:
     """Listing rows whose ``(account, bucket, prefix)`` is not in the map."""
     m = map_for_rekey(long_map).select(*FOLDER_KEY)
-    return join_small(listing, m, FOLDER_KEY, "left_anti", salt_by=["name"])
+    return join_small(listing, m, FOLDER_KEY, "left_anti", salt_by=["name"], bound=long_map)
 
 
 def has_attributes() -> Column:
@@ -84,8 +84,8 @@ def with_empty_folders(combined: DataFrame, long_map: DataFrame, accounts: list[
         .select("bucket", "prefix")
     )
     folders = key_folders(long_map)
-    # `seen` holds key folders only (re-keying is an inner join on the map), so the folder list bounds its size.
-    empty = join_small(folders, seen, ["bucket", "prefix"], "left_anti", null_safe=True, bound=folders)
+    # `seen` holds key folders only (re-keying is an inner join on the map), so the map bounds its size.
+    empty = join_small(folders, seen, ["bucket", "prefix"], "left_anti", null_safe=True, bound=long_map)
     nulls = [F.lit(None).cast(OBJECT_STRUCT).alias(a) for a in accounts]
     filler = empty.select(
         F.col("bucket").alias("key_bucket"), F.col("prefix").alias("key_prefix"), F.lit(None).cast("string").alias("name"), *nulls

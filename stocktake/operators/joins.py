@@ -13,6 +13,7 @@ re-run after an executor loss puts every row into the same bucket again.
 from __future__ import annotations
 
 import operator
+import weakref
 from collections.abc import Sequence
 from functools import reduce
 
@@ -48,12 +49,23 @@ def broadcast_row_budget(df: DataFrame, row_bytes: int = DEFAULT_ROW_BYTES) -> i
     return max(threshold // row_bytes, 0)
 
 
+# Size checks already run, per DataFrame object (a DataFrame's plan and file listing are fixed).
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
 def fits_broadcast(small: DataFrame, row_bytes: int = DEFAULT_ROW_BYTES) -> bool:
-    """True when the side has at most the broadcast budget of rows (counted, never collected)."""
+    """True when the side has at most the broadcast budget of rows (counted, never collected).
+
+    The count runs once per DataFrame object and budget; callers pass the same
+    bounding frame (e.g. the long URI map) for every side derived from it.
+    """
     budget = broadcast_row_budget(small, row_bytes)
     if budget <= 0:
         return False
-    return small.limit(budget + 1).count() <= budget
+    seen = _CHECKED.setdefault(small, {})
+    if budget not in seen:
+        seen[budget] = small.limit(budget + 1).count() <= budget
+    return seen[budget]
 
 
 def salt_buckets(df: DataFrame) -> int:

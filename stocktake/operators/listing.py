@@ -58,15 +58,16 @@ def mapped_folders(long_map: DataFrame, accounts: list[str] | None = None) -> Da
     return m.select(*FOLDER_KEY).distinct()
 
 
-def placeholders(folders: DataFrame, records: DataFrame, key: list[str] | None = None) -> DataFrame:
+def placeholders(folders: DataFrame, records: DataFrame, key: list[str] | None = None, bound: DataFrame | None = None) -> DataFrame:
     """Folders of ``folders`` that have no row in ``records``, as null-attribute rows.
 
     ``records`` must hold rows of ``folders`` only (as after a semi join), so the
-    folder list bounds the seen-folder list and is what gets size-checked.
+    folder list (or the map it comes from, ``bound``) bounds the seen-folder list
+    and is what gets size-checked.
     """
     key = key or FOLDER_KEY
     seen = records.select(*key).distinct()
-    empty = join_small(folders.select(*key), seen, key, "left_anti", bound=folders)
+    empty = join_small(folders.select(*key), seen, key, "left_anti", bound=bound if bound is not None else folders)
     return empty.select(
         *key,
         F.lit(None).cast("string").alias("name"),
@@ -80,8 +81,8 @@ def extract_listing(raw: DataFrame, long_map: DataFrame, accounts: list[str] | N
     """Raw entries of one or more accounts -> their listings, empty folders kept as placeholders."""
     folders = mapped_folders(long_map, accounts)
     records = to_records(files_only(raw))
-    files = join_small(records, folders, FOLDER_KEY, "left_semi", salt_by=["name"])
-    return files.select(*LISTING_COLUMNS).unionByName(placeholders(folders, files))
+    files = join_small(records, folders, FOLDER_KEY, "left_semi", salt_by=["name"], bound=long_map)
+    return files.select(*LISTING_COLUMNS).unionByName(placeholders(folders, files, bound=long_map))
 
 
 def subfolders(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None = None) -> DataFrame:
@@ -96,13 +97,13 @@ def subfolders(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None =
     ancestors = parents.select("account", "bucket", "parent", F.explode(ancestor_folders("parent")).alias("prefix")).where(
         F.col("prefix") != F.col("parent")
     )
-    inside = join_small(ancestors, folders, FOLDER_KEY, "inner")
+    inside = join_small(ancestors, folders, FOLDER_KEY, "inner", bound=long_map)
     rest = F.expr("substring(parent, length(prefix) + 1)")
     found = inside.select(
         *FOLDER_KEY, F.concat(F.col("prefix"), F.substring_index(rest, "/", 1), F.lit("/")).alias("subfolder")
     ).distinct()
     counts = found.groupBy(*FOLDER_KEY).agg(F.count(F.lit(1)).alias("n_subfolders"))
-    return join_small(found, counts, FOLDER_KEY, "inner", bound=folders)
+    return join_small(found, counts, FOLDER_KEY, "inner", bound=long_map)
 
 
 def assert_no_subfolders(report: DataFrame, max_listed: int = 1000) -> None:

@@ -129,9 +129,15 @@ def duplicated_uris(long: DataFrame) -> DataFrame:
 
 def assert_valid_map(wide: DataFrame) -> DataFrame:
     """Raise :class:`MapFileError` on the first problem; return the long map otherwise."""
+    long = unpivot_map(clean_map(wide))
+    check_long_map(wide, long)
+    return long
+
+
+def check_long_map(wide: DataFrame, long: DataFrame) -> None:
+    """The checks of :func:`assert_valid_map` on an already unpivoted map."""
     if empty_account_names(wide):
         raise MapFileError(MSG_EMPTY_ACCOUNT)
-    long = unpivot_map(clean_map(wide))
     if null_uris(long).limit(1).count() > 0:
         raise MapFileError(MSG_EMPTY_URI)
     if invalid_uris(long).limit(1).count() > 0:
@@ -139,4 +145,3 @@ def assert_valid_map(wide: DataFrame) -> DataFrame:
     first_dup = duplicated_uris(long).orderBy("account_ord").select("account").limit(1).collect()
     if first_dup:
         raise MapFileError(MSG_DUPLICATED_URI.format(account=first_dup[0]["account"]))
-    return long
