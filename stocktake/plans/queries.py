@@ -34,8 +34,9 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.table(spark, sf_dir, "documents")
 
 
-def _long_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.unpivot_map(M.clean_map(D.wide_map_from_documents(_docs(spark, sf_dir))))
+def _long_map(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    docs = docs if docs is not None else _docs(spark, sf_dir)
+    return M.unpivot_map(M.clean_map(D.wide_map_from_documents(docs)))
 
 
 def _dirty_long_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,8 +102,8 @@ def q_map_invalid_uris(spark, sf_dir):
 # ----------------------------------------------------------------- listings
 
 
-def _raw(spark, sf_dir):
-    return D.raw_entries_from_documents(_docs(spark, sf_dir))
+def _raw(spark, sf_dir, docs=None):
+    return D.raw_entries_from_documents(docs if docs is not None else _docs(spark, sf_dir))
 
 
 def q_listing_files_only(spark, sf_dir):
@@ -110,13 +111,15 @@ def q_listing_files_only(spark, sf_dir):
 
 
 def q_listing_subfolders(spark, sf_dir):
-    return L.subfolders(_raw(spark, sf_dir), _long_map(spark, sf_dir)).select(
+    docs = _docs(spark, sf_dir)
+    return L.subfolders(_raw(spark, sf_dir, docs), _long_map(spark, sf_dir, docs)).select(
         "account", "bucket", "prefix", "subfolder", "n_subfolders"
     )
 
 
 def q_listing_with_placeholders(spark, sf_dir):
-    listing = L.extract_listing(_raw(spark, sf_dir), _long_map(spark, sf_dir))
+    docs = _docs(spark, sf_dir)
+    listing = L.extract_listing(_raw(spark, sf_dir, docs), _long_map(spark, sf_dir, docs))
     return listing.select("account", "bucket", "prefix", "name", "size", "hash")
 
 
@@ -128,24 +131,27 @@ def q_listing_duplicate_keys(spark, sf_dir):
 
 
 def q_rekey(spark, sf_dir):
-    listing = D.listing_with_strays(_docs(spark, sf_dir))
-    return C.rekey(listing, _long_map(spark, sf_dir)).select("account", "key_bucket", "key_prefix", "name", "size", "hash")
+    docs = _docs(spark, sf_dir)
+    listing = D.listing_with_strays(docs)
+    return C.rekey(listing, _long_map(spark, sf_dir, docs)).select("account", "key_bucket", "key_prefix", "name", "size", "hash")
 
 
 def q_unmapped_objects(spark, sf_dir):
-    listing = D.listing_with_strays(_docs(spark, sf_dir))
-    return C.unmapped_objects(listing, _long_map(spark, sf_dir)).select("account", "bucket", "prefix", "name")
+    docs = _docs(spark, sf_dir)
+    listing = D.listing_with_strays(docs)
+    return C.unmapped_objects(listing, _long_map(spark, sf_dir, docs)).select("account", "bucket", "prefix", "name")
 
 
 def q_combine_full_outer(spark, sf_dir):
-    listing = D.listing_from_documents(_docs(spark, sf_dir))
-    combined = C.combine(C.rekey(listing, _long_map(spark, sf_dir)), ACCOUNTS)
+    docs = _docs(spark, sf_dir)
+    listing = D.listing_from_documents(docs)
+    combined = C.combine(C.rekey(listing, _long_map(spark, sf_dir, docs)), ACCOUNTS)
     return C.flatten(combined, ACCOUNTS)
 
 
 def all_accounts_flat(spark, sf_dir) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    return C.all_accounts(D.listing_from_documents(docs), _long_map(spark, sf_dir), ACCOUNTS)
+    return C.all_accounts(D.listing_from_documents(docs), _long_map(spark, sf_dir, docs), ACCOUNTS)
 
 
 def q_all_accounts(spark, sf_dir):
@@ -181,8 +187,9 @@ def q_rules_unknown_accounts(spark, sf_dir):
 
 def q_pending_accounts(spark, sf_dir):
     # Listing table at the moment `dev` has not been extracted yet.
-    listing = D.listing_from_documents(_docs(spark, sf_dir)).where(F.col("account") != "dev")
-    return A.pending_accounts(_long_map(spark, sf_dir), listing)
+    docs = _docs(spark, sf_dir)
+    listing = D.listing_from_documents(docs).where(F.col("account") != "dev")
+    return A.pending_accounts(_long_map(spark, sf_dir, docs), listing)
 
 
 def q_round_trip_csv(spark, sf_dir):
