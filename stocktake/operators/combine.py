@@ -86,11 +86,15 @@ def with_empty_folders(combined: DataFrame, long_map: DataFrame, accounts: list[
     folders = key_folders(long_map)
     # `seen` holds key folders only (re-keying is an inner join on the map), so the map bounds its size.
     empty = join_small(folders, seen, ["bucket", "prefix"], "left_anti", null_safe=True, bound=long_map)
+    return combined.unionByName(placeholder_rows(empty, accounts))
+
+
+def placeholder_rows(folders: DataFrame, accounts: list[str]) -> DataFrame:
+    """``bucket, prefix`` folders -> struct-form rows with a null name and null accounts."""
     nulls = [F.lit(None).cast(OBJECT_STRUCT).alias(a) for a in accounts]
-    filler = empty.select(
+    return folders.select(
         F.col("bucket").alias("key_bucket"), F.col("prefix").alias("key_prefix"), F.lit(None).cast("string").alias("name"), *nulls
     )
-    return combined.unionByName(filler)
 
 
 def flatten(struct_form: DataFrame, accounts: list[str], key_account: str | None = None) -> DataFrame:

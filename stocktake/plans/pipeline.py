@@ -14,12 +14,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stocktake.operators import combine as C
 from stocktake.operators import listing as L
 from stocktake.operators import rules as R
 from stocktake.operators import uri_map as M
+from stocktake.operators.joins import join_small
+from stocktake.schemas import all_accounts_schema, key_bucket_column, key_prefix_column
 from stocktake.sinks import tables as S
+from stocktake.sources.readers import read_all_accounts_csv, read_listing_table
 
 
 @dataclass
@@ -84,17 +88,49 @@ def full_diff(
     unmapped = C.unmapped_objects(listing, long_map)
     if strict and unmapped.limit(1).count() > 0:
         raise ValueError("Some values could not be replaced: listing rows in folders outside the map")
-    if out_root is not None:
-        run_id = run_id or S.new_run_id()
-        path = S.write_listing(listing, out_root, run_id, fmt)
-        if fmt == "parquet":
-            from stocktake.sources.readers import read_listing_table
-
-            listing = read_listing_table(listing.sparkSession, path, run_id)
-    flat = combine_accounts(listing, long_map, accounts)
-    if out_root is not None:
-        S.write_all_accounts(flat, out_root, run_id, fmt)
+    if out_root is None:
+        flat = combine_accounts(listing, long_map, accounts)
+        return DiffResult(long_map, listing, flat, analysis(flat, config, accounts), unmapped, report)
+
+    run_id = run_id or S.new_run_id()
+    path = S.write_listing(listing, out_root, run_id, fmt)
+    if fmt == "parquet":
+        listing = read_listing_table(listing.sparkSession, path, run_id)
+    flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id, fmt)
     result = analysis(flat, config, accounts)
-    if out_root is not None and config.run_analysis:
-        S.write_analysis(result, out_root, run_id, fmt)
+    if config.run_analysis:
+        S.write_run(result, S.table_path(out_root, S.ANALYSIS_DIR), run_id, fmt)
     return DiffResult(long_map, listing, flat, result, unmapped, report)
+
+
+def write_all_accounts_run(
+    listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, fmt: str = "parquet"
+) -> DataFrame:
+    """P-2 into a table: object rows first, then the empty folders found from the written rows.
+
+    Reading back two folder columns of the written run is cheaper than a second
+    pass over the combine, and the returned frame reads the written table, so
+    later stages never recompute the combine (a lineage cut that survives
+    executor loss).
+    """
+    spark = listing.sparkSession
+    table = S.table_path(out_root, S.ALL_ACCOUNTS_DIR)
+    objects = C.combine(C.rekey(listing, long_map), accounts)
+    S.write_run(C.flatten(objects, accounts), table, run_id, fmt, mode="overwrite")
+    written = _read_run(spark, table, run_id, accounts, fmt)
+    key = accounts[0]
+    seen = written.select(
+        F.col(key_bucket_column(key)).alias("key_bucket"), F.col(key_prefix_column(key)).alias("key_prefix")
+    ).distinct()
+    folders = M.key_folders(long_map)
+    empty = join_small(folders, seen.withColumnsRenamed({"key_bucket": "bucket", "key_prefix": "prefix"}), ["bucket", "prefix"], "left_anti", bound=long_map)
+    filler = C.placeholder_rows(empty, accounts)
+    S.write_run(C.flatten(filler, accounts), table, run_id, fmt, mode="append")
+    return _read_run(spark, table, run_id, accounts, fmt)
+
+
+def _read_run(spark, table: str, run_id: str, accounts: list[str], fmt: str) -> DataFrame:
+    path = S.run_path(table, run_id)
+    if fmt == "csv":
+        return read_all_accounts_csv(spark, path, accounts)
+    return spark.read.schema(all_accounts_schema(accounts)).parquet(path)

@@ -65,6 +65,28 @@ def write_analysis(flat: DataFrame, root: str, run_id: str, fmt: str = "parquet"
     return path
 
 
+def write_run(df: DataFrame, table_path: str, run_id: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
+    """Write straight into one run's folder of a table partitioned by ``run_id``.
+
+    ``overwrite`` replaces the whole run folder (also when ``df`` is empty), so a
+    retried job never leaves rows of an earlier attempt; ``append`` adds files.
+    """
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unknown format {fmt!r}")
+    path = run_path(table_path, run_id)
+    out = _booleans_as_text(df) if fmt == "csv" else df
+    writer = out.write.mode(mode)
+    if fmt == "csv":
+        writer.option("header", True).option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path)
+    else:
+        writer.parquet(path)
+    return path
+
+
+def table_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{table}"
+
+
 def run_path(table_path: str, run_id: str) -> str:
     """Folder of one run inside a table written above."""
     return f"{table_path.rstrip('/')}/run_id={run_id}"

@@ -45,12 +45,10 @@ def complete_runs(batch: DataFrame, listing_path: str, long_map: DataFrame) -> l
 
 def process_run(spark: SparkSession, listing_path: str, long_map: DataFrame, accounts: list[str], config: R.RuleConfig, out_root: str, run_id: str) -> None:
     listing = read_listing_table(spark, listing_path, run_id)
-    flat = P.combine_accounts(listing, long_map, accounts)
-    S.write_all_accounts(flat, out_root, run_id)
+    # Returns a frame over the written run: the analysis never recomputes the combine.
+    flat = P.write_all_accounts_run(listing, long_map, accounts, out_root, run_id)
     if config.run_analysis:
-        all_path = f"{out_root.rstrip('/')}/{S.ALL_ACCOUNTS_DIR}"
-        flat_back = spark.read.parquet(S.run_path(all_path, run_id))  # lineage cut at the written table
-        S.write_analysis(P.analysis(flat_back, config, accounts), out_root, run_id)
+        S.write_run(P.analysis(flat, config, accounts), S.table_path(out_root, S.ANALYSIS_DIR), run_id)
 
 
 def watch_listings(
