@@ -30,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as a one-partition plan of literals (no Python data shipped to an RDD)."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    structs = [
+        F.struct(*[F.lit(v).cast(t.strip()).alias(n.strip()) for (n, t), v in zip(fields, row)]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def _doc_date() -> Column:
     return F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("doc_id") * F.lit(60))
 
@@ -90,8 +99,8 @@ def wide_map_from_documents(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("s3://docs/"), "source", F.lit("/"), "lang").alias("release"),
         F.concat(F.lit("s3://docs_dev/"), "lang", F.lit("/dev_"), "source", F.lit("/")).alias("dev"),
     )
-    empty = spark.createDataFrame(
-        [("s3://docs/non-existent", "s3://docs/non-existent", "s3://docs_dev/non-existent")], "pro string, release string, dev string"
+    empty = literal_rows(
+        spark, [("s3://docs/non-existent", "s3://docs/non-existent", "s3://docs_dev/non-existent")], "pro string, release string, dev string"
     )
     return mapped.unionByName(empty)
 
@@ -106,7 +115,7 @@ DIRTY_MAP_ROWS = [
 
 def dirty_wide_map(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
-    extra = spark.createDataFrame(DIRTY_MAP_ROWS, "pro string, release string, dev string")
+    extra = literal_rows(spark, DIRTY_MAP_ROWS, "pro string, release string, dev string")
     return wide_map_from_documents(docs).unionByName(extra)
 
 
@@ -136,7 +145,7 @@ def raw_entries_from_documents(docs: DataFrame) -> DataFrame:
         "size",
         F.concat(F.lit('"'), "hash", F.lit('"')).alias("etag"),
     )
-    extra = spark.createDataFrame(EXTRA_ENTRIES, "account string, bucket string, key string, size long, md5 string").select(
+    extra = literal_rows(spark, EXTRA_ENTRIES, "account string, bucket string, key string, size long, md5 string").select(
         "account",
         "bucket",
         "key",
@@ -156,8 +165,8 @@ STRAY_ROWS = [
 
 def listing_with_strays(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
-    stray = spark.createDataFrame(
-        STRAY_ROWS, "account string, bucket string, prefix string, name string, size long, hash string"
+    stray = literal_rows(
+        spark, STRAY_ROWS, "account string, bucket string, prefix string, name string, size long, hash string"
     ).select("account", "bucket", "prefix", "name", F.timestamp_seconds(F.lit(EPOCH_2024)).alias("date"), "size", "hash")
     return listing_from_documents(docs).unionByName(stray)
 
