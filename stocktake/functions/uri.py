@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,8 +21,13 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_PLAIN_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+
+
 def quoted(name: str) -> Column:
-    """Column reference safe for names with dots, dashes or spaces."""
+    """Column reference safe for names with dots, dashes or spaces (plain names stay unquoted)."""
+    if _PLAIN_NAME.match(name):
+        return F.col(name)
     return F.col("`" + name.replace("`", "``") + "`")
 
 
