@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.functions.uri import quoted
-from stocktake.operators.joins import join_small
-from stocktake.operators.uri_map import key_folders
+from stocktake.operators.joins import fits_broadcast, join_small
+from stocktake.operators.uri_map import ORD, key_folders
 from stocktake.schemas import ATTRS, FILE_NAME_COLUMN, OBJECT_STRUCT, attr_column, key_bucket_column, key_prefix_column
 
 ROW_KEY = ["key_bucket", "key_prefix", "name"]
@@ -52,6 +52,38 @@ def unmapped_objects(listing: DataFrame, long_map: DataFrame) -> DataFrame:
     return join_small(listing, m, FOLDER_KEY, "left_anti", salt_by=["name"], bound=long_map)
 
 
+def rekey_counts(listing: DataFrame, long_map: DataFrame) -> DataFrame:
+    """Per account: listing rows, rows the re-key produces, rows outside the map (one pass).
+
+    The re-key preserves the row count when ``n_rekeyed + n_unmapped == n_rows``;
+    a folder mapped to two key folders (a duplicated map entry) makes ``n_rekeyed`` larger.
+    """
+    keys = map_for_rekey(long_map).groupBy(*FOLDER_KEY).agg(F.count(F.lit(1)).alias("n_keys"))
+    joined = join_small(listing.select(*FOLDER_KEY, "name"), keys, FOLDER_KEY, "left", salt_by=["name"], bound=long_map)
+    return joined.groupBy("account").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum("n_keys"), F.lit(0)).cast("long").alias("n_rekeyed"),
+        F.count(F.when(F.col("n_keys").isNull(), F.lit(1))).alias("n_unmapped"),
+    )
+
+
+def order_like_map(flat: DataFrame, long_map: DataFrame, accounts: list[str]) -> DataFrame:
+    """Optional output order: map row order of the key folder, then file name (empty folders first).
+
+    A total, deterministic order (a range-partitioned sort); use it for small
+    outputs or when the text files must list rows as the map does.
+    """
+    key = accounts[0]
+    ords = long_map.where(F.col("account") == F.lit(key)).groupBy(
+        F.col("key_bucket").alias("__b"), F.col("key_prefix").alias("__p")
+    ).agg(F.min(ORD).alias("__ord"))
+    kb, kp = quoted(key_bucket_column(key)), quoted(key_prefix_column(key))
+    joined = flat.join(F.broadcast(ords) if fits_broadcast(long_map) else ords, (kb == F.col("__b")) & (kp == F.col("__p")), "left")
+    return joined.orderBy(F.col("__ord").asc_nulls_last(), kb, kp, quoted(FILE_NAME_COLUMN).asc_nulls_first()).drop(
+        "__b", "__p", "__ord"
+    )
+
+
 def has_attributes() -> Column:
     return F.col("date").isNotNull() | F.col("size").isNotNull() | F.col("hash").isNotNull()
 

@@ -260,6 +260,20 @@ select l.account, l.bucket, l.prefix, l.name from listing_strays l
 where not exists (select 1 from map_long m where m.bucket is not null and m.key_bucket is not null
                   and m.account = l.account and m.bucket = l.bucket and m.prefix = l.prefix)"""
     )
+    q["rekey_counts"] = (
+        strays
+        + """
+, keys AS (
+  select account, bucket, prefix, count(*) n_keys
+  from (select distinct account, bucket, prefix, key_bucket, key_prefix from map_long
+        where bucket is not null and key_bucket is not null) d
+  group by account, bucket, prefix
+)
+select l.account, count(*) n_rows, coalesce(sum(k.n_keys), 0) n_rekeyed,
+       count(*) filter (where k.n_keys is null) n_unmapped
+from listing_strays l left join keys k on l.account = k.account and l.bucket = k.bucket and l.prefix = k.prefix
+group by l.account"""
+    )
     q["combine_full_outer"] = (
         _with(LISTING, MAP_WIDE, MAP_RAW_LONG, MAP_LONG)
         + ","

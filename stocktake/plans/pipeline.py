@@ -26,6 +26,10 @@ from stocktake.sinks import tables as S
 from stocktake.sources.readers import read_all_accounts_csv, read_listing_table
 
 
+# Fixed value: error text when listing rows fall outside the map.
+MSG_UNMAPPED = "Some values could not be replaced"
+
+
 @dataclass
 class DiffResult:
     long_map: DataFrame
@@ -78,24 +82,31 @@ def full_diff(
 ) -> DiffResult:
     """P-4. Give either raw entries (P-1 runs) or a ready listing table."""
     accounts = M.accounts_of(wide_map)
-    R.assert_config_matches(config, accounts) if config.run_analysis else None
+    if config.run_analysis:
+        R.assert_config_matches(config, accounts)
     long_map = prepare_map(wide_map, strict)
     report = None
+    # A listing extracted here holds mapped folders only; a given one may hold strays.
+    check_unmapped = strict and listing is not None
     if listing is None:
         if raw is None:
             raise ValueError("give raw entries or a listing")
         listing, report = extract_accounts(raw, long_map, accounts, on_subfolders)
-    unmapped = C.unmapped_objects(listing, long_map)
-    if strict and unmapped.limit(1).count() > 0:
-        raise ValueError("Some values could not be replaced: listing rows in folders outside the map")
     if out_root is None:
+        unmapped = C.unmapped_objects(listing, long_map)
+        if check_unmapped and unmapped.limit(1).count() > 0:
+            raise ValueError(MSG_UNMAPPED)
         flat = combine_accounts(listing, long_map, accounts)
         return DiffResult(long_map, listing, flat, analysis(flat, config, accounts), unmapped, report)
 
     run_id = run_id or S.new_run_id()
     path = S.write_listing(listing, out_root, run_id, fmt)
     if fmt == "parquet":
+        # Later stages read the written listing: a lineage cut, and checks read only the columns they need.
         listing = read_listing_table(listing.sparkSession, path, run_id)
+    unmapped = C.unmapped_objects(listing, long_map)
+    if check_unmapped and unmapped.limit(1).count() > 0:
+        raise ValueError(MSG_UNMAPPED)
     flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id, fmt)
     result = analysis(flat, config, accounts)
     if config.run_analysis:

@@ -142,6 +142,11 @@ def q_unmapped_objects(spark, sf_dir):
     return C.unmapped_objects(listing, _long_map(spark, sf_dir, docs)).select("account", "bucket", "prefix", "name")
 
 
+def q_rekey_counts(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return C.rekey_counts(D.listing_with_strays(docs), _long_map(spark, sf_dir, docs))
+
+
 def q_combine_full_outer(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     listing = D.listing_from_documents(docs)
@@ -237,6 +242,7 @@ QUERIES: dict[str, Query] = {
     "listing_duplicate_keys": q_listing_duplicate_keys,
     "rekey": q_rekey,
     "unmapped_objects": q_unmapped_objects,
+    "rekey_counts": q_rekey_counts,
     "combine_full_outer": q_combine_full_outer,
     "all_accounts": q_all_accounts,
     "rule_hash_match": q_rule_hash_match,

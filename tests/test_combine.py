@@ -128,3 +128,31 @@ def test_binaryfile_scan_prunes_content_without_hash(spark, tmp_root):
     assert sorted(r["key"] for r in df.collect())[0] == "dogs/big_size/dogs-20240914.csv"
     hashed = scan_objects(spark, f"{tmp_root}/pro", "pro").where(F.col("key").endswith("cars-20241014.csv")).first()
     assert hashed["etag"] == "f15993242621717c5eb2a329b672bc1d" and hashed["bucket"] == "cars"
+
+
+def test_rekey_counts_preserved_and_unmapped(spark):
+    long = _long(spark, [("s3://b/f", "s3://c/g")], ["pro", "dev"])
+    listing = spark.createDataFrame(
+        [("pro", "b", "f/", "a", None, 1, "h"), ("dev", "c", "g/", "a", None, 1, "h"), ("dev", "c", "x/", "s", None, 1, "h")],
+        LISTING,
+    )
+    rows = {r["account"]: (r["n_rows"], r["n_rekeyed"], r["n_unmapped"]) for r in C.rekey_counts(listing, long).collect()}
+    assert rows == {"pro": (1, 1, 0), "dev": (2, 1, 1)}
+
+
+def test_order_like_map(spark):
+    res = P.full_diff(X.wide_map(spark), R.RuleConfig(origin="pro"), raw=X.raw_entries(spark))
+    long = M.unpivot_map(M.clean_map(X.wide_map(spark)))
+    names = [r["file_name_in_all_accounts"] for r in C.order_like_map(res.all_accounts, long, X.ACCOUNTS).collect()]
+    assert names == [
+        "cars-20241014.csv", "dogs-20240914.csv", "dogs-20241015.csv", "dogs-20241019.csv",
+        "dogs-20241020-test.csv", "dogs-20241021.csv", "horses-20210219.csv", None,
+    ]
+
+
+def test_strict_unmapped_listing_raises(spark):
+    listing = spark.createDataFrame([("pro", "cars", "elsewhere/", "a", None, 1, "h")], LISTING)
+    with pytest.raises(ValueError, match="Some values could not be replaced"):
+        P.full_diff(X.wide_map(spark), R.RuleConfig(origin="pro"), listing=listing)
+    res = P.full_diff(X.wide_map(spark), R.RuleConfig(origin="pro"), listing=listing, strict=False)
+    assert res.unmapped.count() == 1
