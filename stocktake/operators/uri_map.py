@@ -82,11 +82,13 @@ def unpivot_map(wide: DataFrame, accounts: list[str] | None = None) -> DataFrame
     )
 
 
-def account_pair(long: DataFrame, origin: str, target: str) -> DataFrame:
-    """Folders of two accounts side by side, one row per map row."""
-    o = long.filter(F.col("account") == origin).select(ORD, F.col("uri").alias(origin))
-    t = long.filter(F.col("account") == target).select(ORD, F.col("uri").alias(target))
-    return o.join(t, ORD, "inner")
+def account_pair(wide: DataFrame, origin: str, target: str) -> DataFrame:
+    """URIs of two accounts side by side, one row per map row (a projection of the wide map).
+
+    Taken from the wide form in one pass: the row ordinal is not stable across
+    two scans of a shuffled input, so it is never used as a join key.
+    """
+    return wide.select(quoted(origin).alias(origin), quoted(target).alias(target))
 
 
 def key_folders(long: DataFrame) -> DataFrame:

@@ -109,3 +109,11 @@ def test_account_names_with_dots_and_dashes(spark):
     wide = spark.createDataFrame([("s3://a/x", "s3://b/y")], "`pro.eu` string, `dev-1` string")
     long = M.unpivot_map(M.clean_map(wide))
     assert sorted(r["account"] for r in long.collect()) == ["dev-1", "pro.eu"]
+
+
+def test_account_pair(spark):
+    from tests.fixtures import MAP_ROWS
+
+    wide = spark.createDataFrame(MAP_ROWS, "pro string, release string, dev string")
+    rows = M.account_pair(wide, "pro", "dev").collect()
+    assert [tuple(r) for r in rows] == [(p, d) for p, _, d in MAP_ROWS]
