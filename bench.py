@@ -22,6 +22,7 @@ from stocktake.session import build_session  # noqa: E402
 
 HEADLINE = [
     "analysis_full",
+    "orders_analysis",
     "all_accounts",
     "combine_full_outer",
     "rekey",

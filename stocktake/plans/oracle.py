@@ -108,6 +108,39 @@ listing_strays AS (
 )"""
 
 
+ORDERS_LISTING = """
+o AS (
+  select cast(o_orderkey as varchar)||'.json' name, o_orderdate::timestamp date, o_custkey size,
+         o_orderpriority||'/'||cast(year(o_orderdate) as varchar)||'/' prod_prefix,
+         cast(year(o_orderdate) as varchar)||'/'||o_orderpriority||'/' dev_prefix,
+         concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) content,
+         o_orderstatus st, o_orderpriority pr, year(o_orderdate) yr
+  from orders
+),
+listing AS (
+  select 'pro' account, 'sales' bucket, prod_prefix prefix, name, date, size, md5(content) hash from o
+  union all
+  select 'release', 'sales', prod_prefix, name, date,
+         case when st = 'O' and pr = '1-URGENT' then size + 1 else size end,
+         md5(case when st = 'O' and pr = '1-URGENT' then content||'#r' else content end)
+  from o where st <> 'P'
+  union all
+  select 'dev', 'sales_dev', dev_prefix, name, date, size,
+         md5(case when st = 'O' and pr = '5-LOW' then content||'#d' else content end)
+  from o where not (st = 'F' and yr < 1997)
+)"""
+
+ORDERS_MAP_WIDE = """
+map_wide AS (
+  select distinct 's3://sales/'||o_orderpriority||'/'||cast(year(o_orderdate) as varchar) pro,
+         's3://sales/'||o_orderpriority||'/'||cast(year(o_orderdate) as varchar) release,
+         's3://sales_dev/'||cast(year(o_orderdate) as varchar)||'/'||o_orderpriority dev
+  from orders
+  union all
+  select 's3://sales/returns', 's3://sales/returns', 's3://sales_dev/returns'
+)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -299,6 +332,16 @@ from all_accounts"""
         + f"""
 select *, {_hash_rule('release', 'pro')}, {_hash_rule('release', 'dev')},
        {_exist_rule('release', 'pro')}, {_exist_rule('release', 'dev')}
+from all_accounts"""
+    )
+    q["orders_analysis"] = (
+        _with(ORDERS_LISTING, ORDERS_MAP_WIDE, MAP_RAW_LONG, MAP_LONG)
+        + ","
+        + _combined()
+        + ","
+        + ALL_ACCOUNTS_CTE
+        + f"""
+select *, {_hash_rule('pro', 'release')}, {_hash_rule('pro', 'dev')}, {_exist_rule('pro', 'release')}
 from all_accounts"""
     )
     q["rules_unknown_accounts"] = (

@@ -183,6 +183,16 @@ def q_analysis_other_origin(spark, sf_dir):
     return R.analyse(all_accounts_flat(spark, sf_dir), OTHER_ORIGIN_RULES, ACCOUNTS)
 
 
+def q_orders_analysis(spark, sf_dir):
+    """Full analysis on the row-heavy ``orders`` inventory (thousands of objects per folder)."""
+    from stocktake.plans import orders as O
+
+    orders = D.table(spark, sf_dir, "orders")
+    long_map = M.unpivot_map(M.clean_map(O.wide_map_from_orders(orders)))
+    flat = C.all_accounts(O.listing_from_orders(orders), long_map, ACCOUNTS)
+    return R.analyse(flat, FLAGSHIP_RULES, ACCOUNTS)
+
+
 def q_rules_unknown_accounts(spark, sf_dir):
     origin, hash_in, exist_in = BAD_RULES
     config = spark.createDataFrame([(True, origin, exist_in, hash_in)], RULE_CONFIG)
@@ -249,6 +259,7 @@ QUERIES: dict[str, Query] = {
     "rule_can_exist": q_rule_can_exist,
     "analysis_full": q_analysis_full,
     "analysis_other_origin": q_analysis_other_origin,
+    "orders_analysis": q_orders_analysis,
     "rules_unknown_accounts": q_rules_unknown_accounts,
     "pending_accounts": q_pending_accounts,
     "round_trip_csv": q_round_trip_csv,
