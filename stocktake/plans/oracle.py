@@ -373,4 +373,5 @@ pending AS (
 select account, account_ord, account_ord = (select min(account_ord) from pending) is_next from pending"""
     )
     q["round_trip_csv"] = q["all_accounts"]
+    q["listing_csv_round_trip"] = q["listing_with_placeholders"]
     return q

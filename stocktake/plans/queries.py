@@ -123,6 +123,20 @@ def q_listing_with_placeholders(spark, sf_dir):
     return listing.select("account", "bucket", "prefix", "name", "size", "hash")
 
 
+def q_listing_csv_round_trip(spark, sf_dir):
+    """Per-account listings written as CSV tables and read back (sizes through decimal, hashes as text)."""
+    from stocktake.session import scratch_root
+    from stocktake.sinks import tables as S
+    from stocktake.sources.readers import read_listing_csv_table
+
+    docs = _docs(spark, sf_dir)
+    listing = L.extract_listing(_raw(spark, sf_dir, docs), _long_map(spark, sf_dir, docs))
+    run_id = S.new_run_id()
+    path = S.write_listing(listing, scratch_root(spark), run_id, fmt="csv")
+    back = read_listing_csv_table(spark, path, run_id)
+    return back.select("account", "bucket", "prefix", "name", "size", "hash")
+
+
 def q_listing_duplicate_keys(spark, sf_dir):
     return L.duplicate_keys(D.listing_from_lineitem(D.table(spark, sf_dir, "lineitem")))
 
@@ -249,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "listing_files_only": q_listing_files_only,
     "listing_subfolders": q_listing_subfolders,
     "listing_with_placeholders": q_listing_with_placeholders,
+    "listing_csv_round_trip": q_listing_csv_round_trip,
     "listing_duplicate_keys": q_listing_duplicate_keys,
     "rekey": q_rekey,
     "unmapped_objects": q_unmapped_objects,

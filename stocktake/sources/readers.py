@@ -77,6 +77,23 @@ def read_listing_csv(spark: SparkSession, path: str, account: str) -> DataFrame:
     )
 
 
+def read_listing_csv_table(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """A listing table written as CSV (folders ``run_id=<id>/account=<a>``), typed like :func:`read_listing_csv`."""
+    df = spark.read.option("basePath", path).csv(path, header=True, schema=LISTING_CSV_TEXT, enforceSchema=True)
+    df = df.withColumn("account", F.col("account").cast("string")).withColumn("run_id", F.col("run_id").cast("string"))
+    if run_id is not None:
+        df = df.where(F.col("run_id") == F.lit(run_id))
+    return df.select(
+        "account",
+        "bucket",
+        "prefix",
+        "name",
+        parse_date("date").alias("date"),
+        parse_size("size").alias("size"),
+        F.col("hash").cast("string").alias("hash"),
+    )
+
+
 def read_listing_table(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Listing table written by :func:`stocktake.sinks.tables.write_listing` (partitioned by run and account)."""
     df = spark.read.parquet(path)
