@@ -77,12 +77,17 @@ def placeholders(folders: DataFrame, records: DataFrame, key: list[str] | None =
     )
 
 
-def extract_listing(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None = None) -> DataFrame:
-    """Raw entries of one or more accounts -> their listings, empty folders kept as placeholders."""
+def extract_files(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None = None) -> DataFrame:
+    """Raw entries -> listing rows of the files directly inside mapped folders (no placeholders)."""
     folders = mapped_folders(long_map, accounts)
     records = to_records(files_only(raw))
-    files = join_small(records, folders, FOLDER_KEY, "left_semi", salt_by=["name"], bound=long_map)
-    return files.select(*LISTING_COLUMNS).unionByName(placeholders(folders, files, bound=long_map))
+    return join_small(records, folders, FOLDER_KEY, "left_semi", salt_by=["name"], bound=long_map).select(*LISTING_COLUMNS)
+
+
+def extract_listing(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None = None) -> DataFrame:
+    """Raw entries of one or more accounts -> their listings, empty folders kept as placeholders."""
+    files = extract_files(raw, long_map, accounts)
+    return files.unionByName(placeholders(mapped_folders(long_map, accounts), files, bound=long_map))
 
 
 def subfolders(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ from stocktake.operators import uri_map as M
 from stocktake.operators.joins import join_small
 from stocktake.schemas import all_accounts_schema, key_bucket_column, key_prefix_column
 from stocktake.sinks import tables as S
-from stocktake.sources.readers import read_all_accounts_csv, read_listing_table
+from stocktake.sources.readers import read_all_accounts_csv, read_listing_csv_table, read_listing_table
 
 
 # Fixed value: error text when listing rows fall outside the map.
@@ -80,19 +80,27 @@ def full_diff(
     run_id: str | None = None,
     fmt: str = "parquet",
 ) -> DiffResult:
-    """P-4. Give either raw entries (P-1 runs) or a ready listing table."""
+    """P-4. Give either raw entries (P-1 runs) or a ready listing.
+
+    Without ``out_root`` everything stays one lazy plan. With it, each stage is
+    written under ``out_root`` for the run and the next stage reads the written
+    table (lineage cut); empty folders are then found from written rows.
+    """
+    if listing is None and raw is None:
+        raise ValueError("give raw entries or a listing")
     accounts = M.accounts_of(wide_map)
     if config.run_analysis:
         R.assert_config_matches(config, accounts)
     long_map = prepare_map(wide_map, strict)
-    report = None
     # A listing extracted here holds mapped folders only; a given one may hold strays.
     check_unmapped = strict and listing is not None
-    if listing is None:
-        if raw is None:
-            raise ValueError("give raw entries or a listing")
-        listing, report = extract_accounts(raw, long_map, accounts, on_subfolders)
+    report = L.subfolders(raw, long_map, accounts) if raw is not None else None
+    if report is not None and on_subfolders == "fail":
+        L.assert_no_subfolders(report)
+
     if out_root is None:
+        if listing is None:
+            listing = L.extract_listing(raw, long_map, accounts)
         unmapped = C.unmapped_objects(listing, long_map)
         if check_unmapped and unmapped.limit(1).count() > 0:
             raise ValueError(MSG_UNMAPPED)
@@ -100,10 +108,11 @@ def full_diff(
         return DiffResult(long_map, listing, flat, analysis(flat, config, accounts), unmapped, report)
 
     run_id = run_id or S.new_run_id()
-    path = S.write_listing(listing, out_root, run_id, fmt)
-    if fmt == "parquet":
-        # Later stages read the written listing: a lineage cut, and checks read only the columns they need.
-        listing = read_listing_table(listing.sparkSession, path, run_id)
+    if listing is None:
+        listing = write_listing_run(raw, long_map, accounts, out_root, run_id, fmt)
+    else:
+        path = S.write_listing(listing, out_root, run_id, fmt)
+        listing = _read_listing_run(listing.sparkSession, path, run_id, fmt)
     unmapped = C.unmapped_objects(listing, long_map)
     if check_unmapped and unmapped.limit(1).count() > 0:
         raise ValueError(MSG_UNMAPPED)
@@ -114,6 +123,28 @@ def full_diff(
     return DiffResult(long_map, listing, flat, result, unmapped, report)
 
 
+def _read_listing_run(spark, path: str, run_id: str, fmt: str) -> DataFrame:
+    if fmt == "csv":
+        return read_listing_csv_table(spark, path, run_id)
+    return read_listing_table(spark, path, run_id)
+
+
+def write_listing_run(
+    raw: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, fmt: str = "parquet"
+) -> DataFrame:
+    """P-1 into the listing table: file rows first, then placeholders found from the written rows.
+
+    The raw inventory is scanned once; the empty-folder check reads three columns
+    of the written listing. Returns a frame over the written run (lineage cut).
+    """
+    spark = raw.sparkSession
+    path = S.write_listing(L.extract_files(raw, long_map, accounts), out_root, run_id, fmt)
+    written = _read_listing_run(spark, path, run_id, fmt).where(F.col("account").isin(list(accounts)))
+    filler = L.placeholders(L.mapped_folders(long_map, accounts), written, bound=long_map)
+    S.write_listing(filler, out_root, run_id, fmt, mode="append")
+    return _read_listing_run(spark, path, run_id, fmt)
+
+
 def write_all_accounts_run(
     listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, fmt: str = "parquet"
 ) -> DataFrame:

@@ -36,20 +36,21 @@ def _booleans_as_text(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str) -> None:
+def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str, mode: str = "overwrite") -> None:
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format {fmt!r}")
     out = _booleans_as_text(df) if fmt == "csv" else df
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     if fmt == "csv":
         writer.option("header", True).option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path)
     else:
         writer.parquet(path)
 
 
-def write_listing(listing: DataFrame, root: str, run_id: str, fmt: str = "parquet") -> str:
+def write_listing(listing: DataFrame, root: str, run_id: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
+    """Listing rows into ``<root>/accounts/run_id=<id>/account=<a>``; overwrite replaces only the accounts written."""
     path = f"{root.rstrip('/')}/{LISTINGS_DIR}"
-    _write(listing.withColumn("run_id", F.lit(run_id)), path, ["run_id", "account"], fmt)
+    _write(listing.withColumn("run_id", F.lit(run_id)), path, ["run_id", "account"], fmt, mode)
     return path
 
 

@@ -99,3 +99,15 @@ def test_csv_sink_text_format(spark, tmp_root):
     assert header and header[0].endswith("is_hash_the_same_in_release,is_hash_the_same_in_dev,can_exist_in_release")
     car = [ln for ln in lines if "cars-20241014.csv" in ln][0]
     assert "2024-10-14 08:49:01+00:00" in car and car.endswith("True,True,")
+
+
+def test_full_diff_written_csv(spark, tmp_root):
+    from stocktake.sources.readers import read_listing_csv_table
+
+    res = P.full_diff(X.wide_map(spark), RULES, raw=X.raw_entries(spark), out_root=tmp_root, run_id="r9", fmt="csv")
+    assert _rule_rows(res.analysis) == sorted(X.EXPECTED_RULES, key=repr)
+    listing = read_listing_csv_table(spark, f"{tmp_root}/accounts", "r9")
+    assert listing.where(F.col("name").isNull()).count() == 5
+    assert listing.where(F.col("name").isNotNull()).count() == len(X.OBJECTS)
+    lines = [r["value"] for r in spark.read.text(f"{tmp_root}/analysis/run_id=r9").collect()]
+    assert any(ln.endswith("False,,False") for ln in lines)  # dogs-20241020-test.csv
