@@ -17,7 +17,8 @@ import sys
 
 from stocktake.operators import uri_map as M
 from stocktake.plans import pipeline as P
-from stocktake.session import build_session
+from stocktake.schemas import RAW_ENTRY
+from stocktake.session import build_session, cluster_session
 from stocktake.sinks import tables as S
 from stocktake.sources import readers as RD
 from stocktake.sources.objects import scan_objects
@@ -38,12 +39,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
-    spark = build_session(master=args.master) if args.master else build_session()
+    # Under spark-submit the launcher's master is kept; --master is for local runs.
+    spark = build_session(master=args.master) if args.master else cluster_session()
     wide = RD.read_uri_map(spark, args.map)
     config = RD.read_rule_config(spark, args.config)
     raw = listing = None
     if args.inventory:
-        raw = spark.read.parquet(args.inventory)
+        raw = spark.read.parquet(args.inventory).select(*RAW_ENTRY.fieldNames())
     elif args.listing:
         listing = RD.read_listing_table(spark, args.listing)
     else:

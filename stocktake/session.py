@@ -41,6 +41,25 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     return spark
 
 
+def cluster_session(app: str = "stocktake") -> SparkSession:
+    """Session for spark-submit: master, executors and memory come from the launcher.
+
+    Only query semantics are set here (UTC session time, AQE with skew splits,
+    per-partition overwrite); the checkpoint folder is read from the cluster's
+    ``spark.checkpoint.dir``.
+    """
+    spark = (
+        SparkSession.builder.appName(app)
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .getOrCreate()
+    )
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if none is configured."""
     sc = spark.sparkContext

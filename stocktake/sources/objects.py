@@ -16,9 +16,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HASH_KIND_MD5 = "md5"
-
-
 def _path_body(root: str) -> str:
     """Root without scheme, as it appears after the scheme in ``binaryFile``'s ``path``."""
     body = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", root)

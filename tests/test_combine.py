@@ -156,3 +156,10 @@ def test_strict_unmapped_listing_raises(spark):
         P.full_diff(X.wide_map(spark), R.RuleConfig(origin="pro"), listing=listing)
     res = P.full_diff(X.wide_map(spark), R.RuleConfig(origin="pro"), listing=listing, strict=False)
     assert res.unmapped.count() == 1
+
+
+def test_flatten_and_struct_form_round_trip(spark):
+    res = P.full_diff(X.wide_map(spark), R.RuleConfig(origin="pro"), raw=X.raw_entries(spark))
+    again = C.flatten(C.to_struct_form(res.all_accounts, X.ACCOUNTS), X.ACCOUNTS)
+    assert again.columns == res.all_accounts.columns
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, res.all_accounts.collect()))

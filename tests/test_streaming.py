@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stocktake.operators import rules as R
 from stocktake.plans import pipeline as P
 from stocktake.sinks import tables as S
-from stocktake.streaming.arrivals import watch_listings
+from stocktake.streaming.arrivals import runs_written, watch_listings
 from tests import fixtures as X
 
 RULES = R.RuleConfig(origin="pro", is_hash_the_same_in=["release", "dev"], can_the_file_exist_in=["release"])
@@ -33,6 +33,7 @@ def test_run_completes_when_last_account_lands(spark, tmp_root):
     ).parquet(table)
     q = watch_listings(spark, table, wide, RULES, out, ckpt)
     q.awaitTermination()
+    assert [r["run_id"] for r in runs_written(spark, out).collect()] == ["r1"]
     ana = spark.read.parquet(f"{out}/analysis").where("run_id = 'r1'")
     assert ana.count() == 8
     got = sorted(
