@@ -56,7 +56,6 @@ def cluster_session(app: str = "stocktake") -> SparkSession:
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .getOrCreate()
     )
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -67,6 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        # A machine-local folder is not visible to other executors: never fall back to one on a cluster.
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     path = configured or tempfile.mkdtemp(prefix="stocktake-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
