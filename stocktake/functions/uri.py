@@ -80,6 +80,23 @@ def clean_cell(c: Column | str) -> Column:
     return F.nullif(F.btrim(_col(c).cast("string"), F.lit(CELL_WHITESPACE)), F.lit(""))
 
 
+# Hash kinds. A plain MD5 is 32 lowercase hex digits; a multipart-upload ETag
+# is an MD5 of part MD5s followed by `-<number of parts>`.
+MD5_PATTERN = r"^[0-9a-f]{32}$"
+MULTIPART_ETAG_PATTERN = r"^[0-9a-f]{32}-[0-9]+$"
+
+
+def hash_kind(h: Column | str) -> Column:
+    """`md5`, `multipart` or `other` (null for a null hash): hashes of different kinds never match."""
+    c = _col(h)
+    return (
+        F.when(c.isNull(), F.lit(None).cast("string"))
+        .when(c.rlike(MD5_PATTERN), F.lit("md5"))
+        .when(c.rlike(MULTIPART_ETAG_PATTERN), F.lit("multipart"))
+        .otherwise(F.lit("other"))
+    )
+
+
 def is_folder_marker(key: Column | str, size: Column | str) -> Column:
     """A zero-byte entry whose key ends in a slash is the folder itself, not a file."""
     return _col(key).endswith("/") & (_col(size) == F.lit(0))

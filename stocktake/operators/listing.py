@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.functions.uri import ancestor_folders, base_name, is_folder_marker, parent_folder, strip_quotes
+from stocktake.functions.uri import ancestor_folders, base_name, hash_kind, is_folder_marker, parent_folder, strip_quotes
 from stocktake.operators.joins import join_small
 
 FOLDER_KEY = ["account", "bucket", "prefix"]
@@ -143,6 +143,15 @@ def duplicate_keys(listing: DataFrame) -> DataFrame:
     )
 
 
+def hash_kinds(listing: DataFrame) -> DataFrame:
+    """Objects per account and hash kind: a diff between accounts of different kinds flags every file."""
+    return (
+        listing.where(F.col("name").isNotNull())
+        .groupBy("account", hash_kind("hash").alias("hash_kind"))
+        .agg(F.count(F.lit(1)).alias("n_objects"))
+    )
+
+
 def prefixes_end_in_slash(listing: DataFrame) -> DataFrame:
     """One row: whether every non-null prefix ends in `/`."""
     return listing.agg(F.coalesce(F.bool_and(F.col("prefix").endswith("/")), F.lit(True)).alias("all_end_in_slash"))

@@ -270,6 +270,20 @@ select * from files
 union all
 select f.account, f.bucket, f.prefix, null, null, null from folders f
 where not exists (select 1 from files x where x.account = f.account and x.bucket = f.bucket and x.prefix = f.prefix)"""
+    )
+    q["listing_hash_kinds"] = (
+        raw
+        + """
+, folders AS (select distinct account, bucket, prefix from map_long where bucket is not null)
+select r.account,
+       case when r.hash is null then null
+            when regexp_matches(r.hash, '^[0-9a-f]{32}$') then 'md5'
+            when regexp_matches(r.hash, '^[0-9a-f]{32}-[0-9]+$') then 'multipart'
+            else 'other' end hash_kind,
+       count(*) n_objects
+from records r
+where exists (select 1 from folders f where f.account = r.account and f.bucket = r.bucket and f.prefix = r.prefix)
+group by all"""
     )
     q["listing_duplicate_keys"] = """
 select 'lineitem' account, 'tpch' bucket, 'orders/'||cast(l_orderkey as varchar)||'/' prefix,

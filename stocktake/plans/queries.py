@@ -123,6 +123,11 @@ def q_listing_with_placeholders(spark, sf_dir):
     return listing.select("account", "bucket", "prefix", "name", "size", "hash")
 
 
+def q_listing_hash_kinds(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return L.hash_kinds(L.extract_listing(_raw(spark, sf_dir, docs), _long_map(spark, sf_dir, docs)))
+
+
 def q_listing_csv_round_trip(spark, sf_dir):
     """Per-account listings written as CSV tables and read back (sizes through decimal, hashes as text)."""
     from stocktake.session import scratch_root
@@ -264,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "listing_subfolders": q_listing_subfolders,
     "listing_with_placeholders": q_listing_with_placeholders,
     "listing_csv_round_trip": q_listing_csv_round_trip,
+    "listing_hash_kinds": q_listing_hash_kinds,
     "listing_duplicate_keys": q_listing_duplicate_keys,
     "rekey": q_rekey,
     "unmapped_objects": q_unmapped_objects,

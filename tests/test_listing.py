@@ -81,3 +81,12 @@ def test_listing_csv_sizes_written_as_float(spark, tmp_root):
 def test_prefixes_end_in_slash(spark):
     df = spark.createDataFrame([("p/",), ("q",)], "prefix string")
     assert L.prefixes_end_in_slash(df).first()[0] is False
+
+
+def test_hash_kinds(spark):
+    df = spark.createDataFrame(
+        [("a", "f15993242621717c5eb2a329b672bc1d"), ("a", "f15993242621717c5eb2a329b672bc1d-3"), ("b", "xyz"), ("b", None)],
+        "account string, hash string",
+    ).withColumn("name", F.lit("n"))
+    rows = sorted(((r["account"], r["hash_kind"], r["n_objects"]) for r in L.hash_kinds(df).collect()), key=repr)
+    assert rows == sorted([("a", "md5", 1), ("a", "multipart", 1), ("b", None, 1), ("b", "other", 1)], key=repr)
