@@ -13,8 +13,8 @@ sample: every document row is read and every text is hashed whole).
   ``doc_id % 13 = 0`` changed (text + ``#d``)
 * date: 2024-01-01 00:00 UTC + ``doc_id`` minutes
 
-The three accounts come from one scan of ``documents`` (an ``inline`` of three
-candidate rows per document, then a filter), not from three scans.
+The three accounts come from one scan of ``documents`` (an ``explode`` of three
+account indexes per document, then a filter), not from three scans.
 """
 
 from __future__ import annotations
@@ -44,47 +44,38 @@ def _doc_date() -> Column:
 
 
 def listing_from_documents(docs: DataFrame) -> DataFrame:
-    """``account, bucket, prefix, name, date, size, hash`` for the three derived accounts."""
+    """``account, bucket, prefix, name, date, size, hash`` for the three derived accounts.
+
+    One row per document and account index (``explode``), every column a ``CASE``
+    on the index: a consumer that needs no hash (folder lists, counts) gets
+    ``text`` pruned from the scan, and ``md5(text)`` is computed once per document.
+    """
+    k = F.col("k")
+    rel_changed = (k == 1) & (F.col("doc_id") % 5 == 0)
+    dev_changed = (k == 2) & (F.col("doc_id") % 13 == 0)
     base = docs.select(
-        "doc_id",
-        "n_chars",
-        F.concat("source", F.lit("/"), "lang", F.lit("/")).alias("prod_prefix"),
-        F.concat("lang", F.lit("/dev_"), "source", F.lit("/")).alias("dev_prefix"),
+        "doc_id", "n_chars", "source", "lang", "text", F.md5("text").alias("h"),
+        F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"),
+    )
+    keep = (
+        F.when(k == 0, F.col("doc_id") % 11 != 0)
+        .when(k == 1, F.col("doc_id") % 7 != 0)
+        .otherwise(F.col("doc_id") % 3 != 0)
+    )
+    return base.where(keep).select(
+        F.element_at(F.array(*[F.lit(a) for a in ACCOUNTS]), k + 1).alias("account"),
+        F.when(k == 2, F.lit("docs_dev")).otherwise(F.lit("docs")).alias("bucket"),
+        F.when(k == 2, F.concat("lang", F.lit("/dev_"), "source", F.lit("/")))
+        .otherwise(F.concat("source", F.lit("/"), "lang", F.lit("/")))
+        .alias("prefix"),
         F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"),
         _doc_date().alias("date"),
-        F.md5("text").alias("h"),
-        (F.col("doc_id") % 5 == 0).alias("rel_changed"),
-        (F.col("doc_id") % 13 == 0).alias("dev_changed"),
-        "text",
-    )
-    rows = F.array(
-        F.struct(
-            F.lit("pro").alias("account"),
-            (F.col("doc_id") % 11 != 0).alias("keep"),
-            F.lit("docs").alias("bucket"),
-            F.col("prod_prefix").alias("prefix"),
-            F.col("n_chars").alias("size"),
-            F.col("h").alias("hash"),
-        ),
-        F.struct(
-            F.lit("release").alias("account"),
-            (F.col("doc_id") % 7 != 0).alias("keep"),
-            F.lit("docs").alias("bucket"),
-            F.col("prod_prefix").alias("prefix"),
-            F.when(F.col("rel_changed"), F.col("n_chars") + 2).otherwise(F.col("n_chars")).alias("size"),
-            F.when(F.col("rel_changed"), F.md5(F.concat("text", F.lit("#r")))).otherwise(F.col("h")).alias("hash"),
-        ),
-        F.struct(
-            F.lit("dev").alias("account"),
-            (F.col("doc_id") % 3 != 0).alias("keep"),
-            F.lit("docs_dev").alias("bucket"),
-            F.col("dev_prefix").alias("prefix"),
-            F.col("n_chars").alias("size"),
-            F.when(F.col("dev_changed"), F.md5(F.concat("text", F.lit("#d")))).otherwise(F.col("h")).alias("hash"),
-        ),
+        F.when(rel_changed, F.col("n_chars") + 2).otherwise(F.col("n_chars")).cast("long").alias("size"),
+        F.when(rel_changed, F.md5(F.concat("text", F.lit("#r"))))
+        .when(dev_changed, F.md5(F.concat("text", F.lit("#d"))))
+        .otherwise(F.col("h"))
+        .alias("hash"),
     )
-    out = base.select("name", "date", F.inline(rows)).where("keep")
-    return out.select("account", "bucket", "prefix", "name", "date", F.col("size").cast("long").alias("size"), "hash")
 
 
 def wide_map_from_documents(docs: DataFrame) -> DataFrame:

@@ -24,49 +24,37 @@ from stocktake.plans.documents import literal_rows
 
 
 def listing_from_orders(orders: DataFrame) -> DataFrame:
+    """One row per order and account index; see :func:`stocktake.plans.documents.listing_from_documents`."""
+    k = F.col("k")
     year = F.year("o_orderdate").cast("string")
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     content = F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     base = orders.select(
-        F.concat(F.col("o_orderkey").cast("string"), F.lit(".json")).alias("name"),
-        F.col("o_orderdate").cast("timestamp").alias("date"),
-        F.col("o_custkey").cast("long").alias("custkey"),
-        F.concat("o_orderpriority", F.lit("/"), year, F.lit("/")).alias("prod_prefix"),
-        F.concat(year, F.lit("/"), "o_orderpriority", F.lit("/")).alias("dev_prefix"),
-        content.alias("content"),
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
         F.md5(content).alias("h"),
-        ((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT")).alias("rel_changed"),
-        ((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW")).alias("dev_changed"),
-        (F.col("o_orderstatus") != "P").alias("in_release"),
-        (~((F.col("o_orderstatus") == "F") & (F.year("o_orderdate") < 1997))).alias("in_dev"),
+        F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"),
+    )
+    rel_changed = (k == 1) & (status == "O") & (priority == "1-URGENT")
+    dev_changed = (k == 2) & (status == "O") & (priority == "5-LOW")
+    keep = (
+        F.when(k == 0, F.lit(True))
+        .when(k == 1, status != "P")
+        .otherwise(~((status == "F") & (F.year("o_orderdate") < 1997)))
     )
-    rows = F.array(
-        F.struct(
-            F.lit("pro").alias("account"),
-            F.lit(True).alias("keep"),
-            F.lit("sales").alias("bucket"),
-            F.col("prod_prefix").alias("prefix"),
-            F.col("custkey").alias("size"),
-            F.col("h").alias("hash"),
-        ),
-        F.struct(
-            F.lit("release").alias("account"),
-            F.col("in_release").alias("keep"),
-            F.lit("sales").alias("bucket"),
-            F.col("prod_prefix").alias("prefix"),
-            F.when(F.col("rel_changed"), F.col("custkey") + 1).otherwise(F.col("custkey")).alias("size"),
-            F.when(F.col("rel_changed"), F.md5(F.concat("content", F.lit("#r")))).otherwise(F.col("h")).alias("hash"),
-        ),
-        F.struct(
-            F.lit("dev").alias("account"),
-            F.col("in_dev").alias("keep"),
-            F.lit("sales_dev").alias("bucket"),
-            F.col("dev_prefix").alias("prefix"),
-            F.col("custkey").alias("size"),
-            F.when(F.col("dev_changed"), F.md5(F.concat("content", F.lit("#d")))).otherwise(F.col("h")).alias("hash"),
-        ),
+    return base.where(keep).select(
+        F.element_at(F.array(F.lit("pro"), F.lit("release"), F.lit("dev")), k + 1).alias("account"),
+        F.when(k == 2, F.lit("sales_dev")).otherwise(F.lit("sales")).alias("bucket"),
+        F.when(k == 2, F.concat(year, F.lit("/"), priority, F.lit("/")))
+        .otherwise(F.concat(priority, F.lit("/"), year, F.lit("/")))
+        .alias("prefix"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".json")).alias("name"),
+        F.col("o_orderdate").cast("timestamp").alias("date"),
+        F.when(rel_changed, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).cast("long").alias("size"),
+        F.when(rel_changed, F.md5(F.concat(content, F.lit("#r"))))
+        .when(dev_changed, F.md5(F.concat(content, F.lit("#d"))))
+        .otherwise(F.col("h"))
+        .alias("hash"),
     )
-    out = base.select("name", "date", F.inline(rows)).where("keep")
-    return out.select("account", "bucket", "prefix", "name", "date", "size", "hash")
 
 
 def wide_map_from_orders(orders: DataFrame) -> DataFrame:
