@@ -26,8 +26,22 @@ ACCOUNTS = ["pro", "release", "dev"]
 EPOCH_2024 = 1704067200  # 2024-01-01T00:00:00Z
 
 
+# Columns of the driver tables that the derived inventories use (types as stored). Reading
+# with a declared schema skips the schema-inference job and states the column pruning.
+TABLE_COLUMNS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "pages": "page_id bigint, url string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in TABLE_COLUMNS:
+        return spark.read.schema(TABLE_COLUMNS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
