@@ -4,9 +4,9 @@
         --inventory <parquet of raw entries: account,bucket,key,last_modified,size,etag> \\
         --out <shared folder> [--format csv] [--run-id 20250101120000]
 
-Instead of ``--inventory``: ``--listing <listing table written by an earlier run>``
-or ``--scan <root>`` (one folder per account under the root, scanned with binaryFile
-and hashed with md5). Outputs go to ``<out>/accounts``, ``<out>/all_accounts`` and
+Instead of ``--inventory``: ``--listing <listing table written by an earlier run>``,
+``--account-csvs <folder with one <account>.csv per account>`` or ``--scan <root>``
+(one folder per account under the root, scanned with binaryFile and hashed with md5). Outputs go to ``<out>/accounts``, ``<out>/all_accounts`` and
 ``<out>/analysis``, partitioned by run id.
 """
 
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--inventory")
     src.add_argument("--listing")
     src.add_argument("--scan")
+    src.add_argument("--account-csvs", help="folder with one <account>.csv listing per account")
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--run-id")
@@ -48,6 +49,8 @@ def main(argv: list[str] | None = None) -> int:
         raw = spark.read.parquet(args.inventory).select(*RAW_ENTRY.fieldNames())
     elif args.listing:
         listing = RD.read_listing_table(spark, args.listing)
+    elif args.account_csvs:
+        listing = RD.read_account_csvs(spark, args.account_csvs, M.accounts_of(wide))
     else:
         parts = [scan_objects(spark, f"{args.scan.rstrip('/')}/{a}", a) for a in M.accounts_of(wide)]
         raw = parts[0]

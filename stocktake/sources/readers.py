@@ -77,6 +77,25 @@ def read_listing_csv(spark: SparkSession, path: str, account: str) -> DataFrame:
     )
 
 
+def read_account_csvs(spark: SparkSession, folder: str, accounts: list[str]) -> DataFrame:
+    """``<folder>/<account>.csv`` for every account (one listing file per account) -> long listing.
+
+    One read over all files; the account comes from the file name.
+    """
+    paths = [f"{folder.rstrip('/')}/{a}.csv" for a in accounts]
+    df = spark.read.csv(paths, header=True, schema=LISTING_CSV_TEXT, enforceSchema=True)
+    account = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
+    return df.select(
+        account.alias("account"),
+        "bucket",
+        "prefix",
+        "name",
+        parse_date("date").alias("date"),
+        parse_size("size").alias("size"),
+        F.col("hash").cast("string").alias("hash"),
+    )
+
+
 def read_listing_csv_table(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """A listing table written as CSV (folders ``run_id=<id>/account=<a>``), typed like :func:`read_listing_csv`."""
     df = spark.read.option("basePath", path).csv(path, header=True, schema=LISTING_CSV_TEXT, enforceSchema=True)

@@ -111,3 +111,21 @@ def test_full_diff_written_csv(spark, tmp_root):
     assert listing.where(F.col("name").isNotNull()).count() == len(X.OBJECTS)
     lines = [r["value"] for r in spark.read.text(f"{tmp_root}/analysis/run_id=r9").collect()]
     assert any(ln.endswith("False,,False") for ln in lines)  # dogs-20241020-test.csv
+
+
+def test_full_diff_from_account_csv_files(spark, tmp_root):
+    """Per-account CSV listings (sizes written as `49.0`, placeholder rows with empty cells)."""
+    from stocktake.sources.readers import read_account_csvs
+
+    for a in X.ACCOUNTS:
+        with open(f"{tmp_root}/{a}.csv", "w") as f:
+            f.write("bucket,prefix,name,date,size,hash\n")
+            for acc, bucket, key, cid in X.OBJECTS:
+                if acc == a:
+                    prefix, name = key.rsplit("/", 1)
+                    f.write(f"{bucket},{prefix}/,{name},2024-10-14 08:49:01+00:00,{len(X.CONTENT[cid])}.0,{X.md5(X.CONTENT[cid])}\n")
+            f.write("pets,non-existent-prefix/,,,,\n" if a != "dev" else "pets_dev,non-existent-prefix/,,,,\n")
+    listing = read_account_csvs(spark, tmp_root, X.ACCOUNTS)
+    assert listing.where(F.col("size").isNull() & F.col("name").isNotNull()).count() == 0
+    res = P.full_diff(X.wide_map(spark), RULES, listing=listing)
+    assert _rule_rows(res.analysis) == sorted(X.EXPECTED_RULES, key=repr)
