@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--run-id")
     ap.add_argument("--on-subfolders", default="report", choices=["report", "fail"])
+    ap.add_argument("--ordered", action="store_true", help="write the analysis in map order (a global sort)")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
@@ -58,7 +59,15 @@ def main(argv: list[str] | None = None) -> int:
             raw = raw.unionByName(p)
     run_id = args.run_id or S.new_run_id()
     P.full_diff(
-        wide, config, raw=raw, listing=listing, on_subfolders=args.on_subfolders, out_root=args.out, run_id=run_id, fmt=args.format
+        wide,
+        config,
+        raw=raw,
+        listing=listing,
+        on_subfolders=args.on_subfolders,
+        out_root=args.out,
+        run_id=run_id,
+        fmt=args.format,
+        ordered=args.ordered,
     )
     print(f"run {run_id} written to {args.out}")
     spark.stop()

@@ -79,9 +79,13 @@ def full_diff(
     out_root: str | None = None,
     run_id: str | None = None,
     fmt: str = "parquet",
+    ordered: bool = False,
 ) -> DiffResult:
     """P-4. Give either raw entries (P-1 runs) or a ready listing.
 
+    ``ordered`` writes the analysis in map order, then file name (a range-partitioned
+    sort; meant for outputs read by people).
+
     Without ``out_root`` everything stays one lazy plan. With it, each stage is
     written under ``out_root`` for the run and the next stage reads the written
     table (lineage cut); empty folders are then found from written rows.
@@ -119,7 +123,8 @@ def full_diff(
     flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id, fmt)
     result = analysis(flat, config, accounts)
     if config.run_analysis:
-        S.write_run(result, S.table_path(out_root, S.ANALYSIS_DIR), run_id, fmt)
+        out = C.order_like_map(result, long_map, accounts) if ordered else result
+        S.write_run(out, S.table_path(out_root, S.ANALYSIS_DIR), run_id, fmt)
     return DiffResult(long_map, listing, flat, result, unmapped, report)
 
 

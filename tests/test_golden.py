@@ -129,3 +129,17 @@ def test_full_diff_from_account_csv_files(spark, tmp_root):
     assert listing.where(F.col("size").isNull() & F.col("name").isNotNull()).count() == 0
     res = P.full_diff(X.wide_map(spark), RULES, listing=listing)
     assert _rule_rows(res.analysis) == sorted(X.EXPECTED_RULES, key=repr)
+
+
+def test_ordered_csv_output_follows_map(spark, tmp_root):
+    P.full_diff(X.wide_map(spark), RULES, raw=X.raw_entries(spark), out_root=tmp_root, run_id="o1", fmt="csv", ordered=True)
+    import glob
+
+    names = []
+    for f in sorted(glob.glob(f"{tmp_root}/analysis/run_id=o1/part-*.csv")):
+        with open(f) as fh:
+            names += [ln.split(",")[2] for ln in fh.read().splitlines()[1:]]
+    assert names == [
+        "cars-20241014.csv", "dogs-20240914.csv", "dogs-20241015.csv", "dogs-20241019.csv",
+        "dogs-20241020-test.csv", "dogs-20241021.csv", "horses-20210219.csv", "",
+    ]
