@@ -59,9 +59,23 @@ def cluster_session(app: str = "stocktake") -> SparkSession:
     return spark
 
 
+def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # not readable as a session conf in some deployments
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        # Spark Connect: no driver-side context; the folder must come from the server's conf.
+        configured = _conf_checkpoint_dir(spark)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -76,6 +90,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_root(spark: SparkSession) -> str:
     """A fresh folder under the cluster's shared checkpoint location for job-written tables."""
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    try:
+        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # Spark Connect
+        base = _conf_checkpoint_dir(spark)
+    base = base or ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{SCRATCH_SUBDIR}/{uuid.uuid4().hex}"
