@@ -7,7 +7,7 @@ folder-sized side passes its size check):
                                                                      `-> max(struct) per account
     key folders --(left anti, broadcast seen folders)--> placeholder rows (empty folders)
 
-The combine groups on ``(bucket, prefix, name)``, so a hot folder is spread over
+The combine groups on ``(name, bucket, prefix)``, so a hot folder is spread over
 all reducers by file name, and the partial aggregation folds rows map-side.
 """
 
