@@ -82,6 +82,21 @@ def unpivot_map(wide: DataFrame, accounts: list[str] | None = None) -> DataFrame
     )
 
 
+def materialize(long_map: DataFrame) -> DataFrame:
+    """Compute the folder-sized long map once, into the shared checkpoint folder.
+
+    Every later use (the broadcast size check, the re-key broadcast, the folder
+    lists, the checks) reads the stored rows instead of re-deriving the map, all
+    uses see the same row ordinals, and a lost executor never forces a
+    recomputation. Unlike ``cache()``, a checkpointed frame keeps AQE's reuse of
+    the combine's shuffle intact.
+    """
+    from stocktake.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(long_map.sparkSession)
+    return long_map.checkpoint(eager=True)
+
+
 def account_pair(wide: DataFrame, origin: str, target: str) -> DataFrame:
     """URIs of two accounts side by side, one row per map row (a projection of the wide map).
 

@@ -41,10 +41,8 @@ class DiffResult:
 
 
 def prepare_map(wide_map: DataFrame, strict: bool = True) -> DataFrame:
-    """Clean and unpivot the map; in strict mode raise on the first map error."""
-    # Not cached: a cached map makes AQE stop reusing the combine's shuffle, which
-    # costs a second pass over the objects; re-deriving the folder-sized map is cheap.
-    long = M.unpivot_map(M.clean_map(wide_map))
+    """Clean, unpivot and materialize the map; in strict mode raise on the first map error."""
+    long = M.materialize(M.unpivot_map(M.clean_map(wide_map)))
     if strict:
         M.check_long_map(wide_map, long)
     return long

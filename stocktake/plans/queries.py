@@ -36,11 +36,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _long_map(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     docs = docs if docs is not None else _docs(spark, sf_dir)
-    return M.unpivot_map(M.clean_map(D.wide_map_from_documents(docs)))
+    return M.materialize(M.unpivot_map(M.clean_map(D.wide_map_from_documents(docs))))
 
 
 def _dirty_long_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.unpivot_map(M.clean_map(D.dirty_wide_map(_docs(spark, sf_dir))))
+    return M.materialize(M.unpivot_map(M.clean_map(D.dirty_wide_map(_docs(spark, sf_dir)))))
 
 
 def _key_columns() -> list[str]:
@@ -207,7 +207,7 @@ def q_orders_analysis(spark, sf_dir):
     from stocktake.plans import orders as O
 
     orders = D.table(spark, sf_dir, "orders")
-    long_map = M.unpivot_map(M.clean_map(O.wide_map_from_orders(orders)))
+    long_map = M.materialize(M.unpivot_map(M.clean_map(O.wide_map_from_orders(orders))))
     flat = C.all_accounts(O.listing_from_orders(orders), long_map, ACCOUNTS)
     return R.analyse(flat, FLAGSHIP_RULES, ACCOUNTS)
 
