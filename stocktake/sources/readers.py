@@ -20,7 +20,8 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     first = spark.read.text(path).limit(1).collect()
     if not first:
         return []
-    return [c.strip() for c in next(csv.reader(io.StringIO(first[0]["value"])))]
+    line = first[0]["value"].lstrip("\ufeff")  # a byte-order mark is not part of the first name
+    return [c.strip() for c in next(csv.reader(io.StringIO(line)))]
 
 
 def read_uri_map(spark: SparkSession, path: str) -> DataFrame:

@@ -117,3 +117,12 @@ def test_account_pair(spark):
     wide = spark.createDataFrame(MAP_ROWS, "pro string, release string, dev string")
     rows = M.account_pair(wide, "pro", "dev").collect()
     assert [tuple(r) for r in rows] == [(p, d) for p, _, d in MAP_ROWS]
+
+
+def test_header_with_byte_order_mark(spark, tmp_root):
+    path = f"{tmp_root}/bom.csv"
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write("pro,dev\ns3://a/b,s3://c/d\n")
+    wide = read_uri_map(spark, path)
+    assert M.accounts_of(wide) == ["pro", "dev"]
+    assert [tuple(r)[1:] for r in wide.collect()] == [("s3://a/b", "s3://c/d")]
