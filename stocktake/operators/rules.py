@@ -131,7 +131,7 @@ def unknown_accounts_report(config_df: DataFrame, accounts_df: DataFrame) -> Dat
         )
         return g.select(
             F.lit(check).alias("check"),
-            F.size("accounts").alias("n_accounts"),
+            F.size("accounts").cast("long").alias("n_accounts"),
             F.array_join("accounts", ", ").alias("accounts"),
             F.when(F.size("accounts") == 1, one).otherwise(many).alias("message"),
         )

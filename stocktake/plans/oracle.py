@@ -316,7 +316,7 @@ where not exists (select 1 from map_long m where m.bucket is not null and m.key_
         where bucket is not null and key_bucket is not null) d
   group by account, bucket, prefix
 )
-select l.account, count(*) n_rows, coalesce(sum(k.n_keys), 0) n_rekeyed,
+select l.account, count(*) n_rows, cast(coalesce(sum(k.n_keys), 0) as bigint) n_rekeyed,
        count(*) filter (where k.n_keys is null) n_unmapped
 from listing_strays l left join keys k on l.account = k.account and l.bucket = k.bucket and l.prefix = k.prefix
 group by l.account"""

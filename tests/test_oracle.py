@@ -8,6 +8,7 @@ import __spark_entry__ as E
 from scripts.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "double": "DOUBLE"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
@@ -29,6 +30,10 @@ def test_query_matches_oracle(spark, duck, name):
     if sql is None:
         assert len(rows) > 0
         return
+    rel = duck.sql(sql)
+    # Column types agree too (Spark simple type name -> DuckDB type name).
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = duck.execute(sql)
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
