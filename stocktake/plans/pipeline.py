@@ -5,8 +5,10 @@
 * P-3 ``analysis``: all-accounts table -> rule columns
 * P-4 ``full_diff``: map checks, then P-1 .. P-3, optionally written per run id
 
-Each stage is lazy; nothing is collected. Written tables (listing, all accounts)
-are also the lineage cut points when stages run as separate jobs.
+Nothing is collected to the driver. The folder-sized map is materialized once
+(``checkpoint``); without an output root the rest is one lazy plan. With one,
+each stage is written for the run and the next stage reads the written table, so
+the tables are the lineage cut points (also when stages run as separate jobs).
 """
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ from stocktake.schemas import all_accounts_schema, key_bucket_column, key_prefix
 from stocktake.sinks import tables as S
 from stocktake.sources.readers import read_all_accounts_csv, read_listing_csv_table, read_listing_table
 
-
 # Fixed value: error text when listing rows fall outside the map.
 MSG_UNMAPPED = "Some values could not be replaced"
 
