@@ -25,4 +25,16 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(root) AS
 FROM reached r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": OP1}
+OP6 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY ALL
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+  CASE WHEN last IS NULL OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
+"""
+
+ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op6_warc": OP6}

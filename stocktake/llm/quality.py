@@ -169,43 +169,54 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0.0, 1.0))
 
 
+class Judge:
+    """Verdicts of the base rules and the references over one Arrow array of texts."""
+
+    def __init__(self, refs: dict[str, tuple[np.ndarray, dict[str, float]]], max_char: float, max_word: float) -> None:
+        self.max_char, self.max_word = max_char, max_word
+        self.words = sorted({w for _, shares in refs.values() for w in shares})
+        place = {w: i for i, w in enumerate(self.words)}
+        self.chars = [classes for classes, _ in refs.values()]
+        # Of each language: where its common words are in the histogram, and their shares.
+        self.common = [(np.array([place[w] for w in shares], np.int64), np.array(list(shares.values()))) for _, shares in refs.values()]
+
+    def __call__(self, text: pa.Array) -> dict[str, np.ndarray]:
+        base, n = base_of(text), len(text)
+        n_words, classes = base["n_words"], base.pop("classes")
+        char_d, word_d = np.zeros(n), np.zeros(n)
+        if self.chars:
+            codes, offsets, dictionary = words(text, lower=True)
+            size = len(self.words) + 1
+            at = pc.fill_null(pc.index_in(dictionary, pa.array(self.words, pa.string())), size - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+            hist = np.bincount(rows_at(offsets) * size + at[codes], minlength=n * size).reshape(n, -1) / np.maximum(n_words[:, None], 1)
+            shares = classes / np.maximum(classes.sum(axis=1, keepdims=True), 1)
+            char_d = np.min([js_distance(shares, q) for q in self.chars], axis=0)
+            with_rest = lambda x: np.column_stack([x, np.maximum(1 - x.sum(axis=1), 0)])  # noqa: E731  all other words count as one
+            word_d = np.min([js_distance(with_rest(hist[:, own]), with_rest(q[None])[0]) for own, q in self.common], axis=0)
+        odd = ((classes.sum(axis=1) >= MIN_CHARS) & (char_d > self.max_char)) | ((n_words >= MIN_WORDS) & (word_d > self.max_word))
+        return base | {"kept": ~base["base_failed"] & ~odd, "char_distance": char_d, "word_distance": word_d}
+
+
 def quality_rules(docs: DataFrame, refs: dict | None = None, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """One row per document: base counts, ``base_failed``, distances to the nearest reference, ``kept``."""
-    refs = references(docs) if refs is None else refs
-    vocabulary = sorted({w for _, shares in refs.values() for w in shares})
-    place = {w: i for i, w in enumerate(vocabulary)}
-    char_refs = [c for c, _ in refs.values()]
-    word_refs = []
-    for _, shares in refs.values():
-        q = np.zeros(len(vocabulary) + 1)
-        for w, share in shares.items():
-            q[place[w]] = share
-        q[-1] = max(0.0, 1.0 - q.sum())
-        word_refs.append((q, np.array([place[w] for w in shares], np.int64)))
-
-    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(vocabulary, pa.string())
+    """One row per document: base counts, ``base_failed``, ``kept``, and the distances to the nearest reference."""
+    judge = Judge(references(docs) if refs is None else refs, max_char, max_word)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            text = batch.column(1)
-            base = base_of(text)
-            n, n_words, classes = len(text), base["n_words"], base.pop("classes")
-            char_d, word_d = np.zeros(n), np.zeros(n)
-            if char_refs:
-                codes, offsets, dictionary = words(text, lower=True)
-                at = pc.fill_null(pc.index_in(dictionary, known), len(vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
-                hist = np.bincount(rows_at(offsets) * (len(vocabulary) + 1) + at[codes], minlength=n * (len(vocabulary) + 1)).reshape(n, -1)
-                p_char = classes / np.maximum(classes.sum(axis=1, keepdims=True), 1)
-                p_word = hist / np.maximum(n_words[:, None], 1)
-                char_d = np.min([js_distance(p_char, q) for q in char_refs], axis=0)
-                distances = []
-                for q, own in word_refs:  # a language's own common words, the rest as one
-                    p_own = p_word[:, own]
-                    q_own = q[own]
-                    distances.append(js_distance(np.column_stack([p_own, 1 - p_own.sum(axis=1)]).clip(0), np.append(q_own, max(0.0, 1 - q_own.sum()))))
-                word_d = np.min(distances, axis=0)
-            odd = ((classes.sum(axis=1) >= MIN_CHARS) & (char_d > max_char)) | ((n_words >= MIN_WORDS) & (word_d > max_word))
-            columns = {"doc_id": batch.column(0)} | base | {"kept": ~base["base_failed"] & ~odd, "char_distance": char_d, "word_distance": word_d}
+            columns = {"doc_id": batch.column(0)} | judge(batch.column(1))
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()], list(columns))
 
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double"
-    return text_rows(docs).mapInArrow(judge, schema)
+    return text_rows(docs).mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+    """The documents that the rules keep; all columns as they were."""
+    judge = Judge(references(docs), max_char, max_word)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            text = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
+            yield batch.filter(pa.array(judge(text)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,3 +105,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+#: Longer words are hashed one by one.
+LONG_WORD = 64
+
+
+def hashes(strings: pa.Array) -> np.ndarray:
+    """A 64-bit hash (uint64) of each string, byte by byte for all of them at once."""
+    data, offsets = bytes_of(strings)
+    size = np.diff(offsets)
+    out = mixed(size.astype(np.uint64))
+    live = np.flatnonzero(size <= LONG_WORD)
+    for k in range(int(size[live].max()) if len(live) else 0):
+        live = live[size[live] > k]
+        x = (out[live] ^ data[offsets[live] + k]) * np.uint64(0x9E3779B97F4A7C15)
+        out[live] = x ^ (x >> np.uint64(29))
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(data[offsets[i] : offsets[i + 1]].tobytes())
+    return mixed(out)
