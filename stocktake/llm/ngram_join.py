@@ -6,8 +6,9 @@ of their prefixes (the first ``n - ceil(t * n) + 1`` elements in one global orde
 of many documents last, else by hash), so every link meets in a tile: the sets that hold one
 prefix element, cut by size into bands of at most ``TILE`` sets. Bands whose sizes can't
 reach the threshold aren't paired. Inside a tile every set has a parity bitmap as
-wide as its size class; the bits in which two bitmaps differ bound the overlap from above,
-and only pairs that this bound leaves are intersected exactly, as sorted arrays.
+wide as its size class; the bits in which two bitmaps differ bound the overlap from above, as does
+what follows the tile's element in both orders, and only pairs that these bounds leave are
+intersected exactly, as sorted arrays.
 
 Large groups of near copies would make pairs by the square, so the join runs twice.
 The first run tiles the sets by a few minimum hashes, and links only along a
@@ -33,14 +34,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.llm.components import components
-from stocktake.llm.text import mixed, rows_at, scratch, slices, stored, text_rows, words
+from stocktake.llm.text import SLICE_BYTES, hashes, mixed, rows_at, scratch, slices, stored, text_rows, words
 
 #: Sets of a tile's band.
 TILE = 512
 #: Minimum hashes of the first run.
 MINIMA = 6
 #: An n-gram of more than this share of the documents of some slice may be put last in the global order.
-COMMON_SHARE = 0.002
+COMMON_SHARE = 0.0002
 #: Bound of the list of common n-grams that every task holds (8 bytes each). It orders elements, it drops none.
 MOST_COMMON = 1 << 20
 #: Sets looked for in one pass over the texts (8 bytes each in every task); more take more passes.
@@ -52,7 +53,7 @@ SEEDS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * STEP) | np.uint64(1)
 def shingle_sets(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-gram hashes (uint64) of every row, and row offsets."""
     codes, offsets, known = words(text, lower=True)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, known.to_pylist()), np.uint64, len(known))[codes]
+    h = hashes(known)[codes]
     n = np.diff(offsets)
     row = rows_at(offsets)
     if len(h) >= size:
@@ -84,18 +85,19 @@ def set_key(grams: np.ndarray) -> int:
     return (xxhash.xxh3_64_intdigest(grams.tobytes()) >> 1) | 1 if len(grams) else 0
 
 
-def prefix_length(n: int, t: Fraction) -> int:
-    return n - -(-t.numerator * n // t.denominator) + 1
-
+def bitmap_bits(n: int) -> int:
+    return 1 << max(6, (n // 2).bit_length())
 
-def bitmap(grams: np.ndarray, bits: int) -> np.ndarray:
-    """Parity of the elements that fall on each of ``bits`` bits (a power of two from 64), as uint64 words."""
-    odd = np.bincount((grams % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
+def bitmaps(grams: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Parity bitmaps of all sets, one after another, and their offsets in bytes.
 
-def bitmap_bits(n: int) -> int:
-    return 1 << max(6, (n // 2).bit_length())
+    An element falls on bit ``gram % bits`` (a power of two from 64) of its set's bitmap.
+    """
+    bits = np.array([bitmap_bits(int(n)) for n in np.diff(offsets)], np.int64)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    place = first[rows_at(offsets)] + (grams & (np.repeat(bits, np.diff(offsets)) - 1).astype(np.uint64)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=int(first[-1])) & 1).astype(np.uint8)).tobytes(), first // 8
 
 
 def folded(words_: np.ndarray, bits: int) -> np.ndarray:
@@ -110,56 +112,76 @@ def common_ngrams(docs: DataFrame, size: int) -> np.ndarray:
     """N-grams of so many documents that they go last in the global order (sorted; at most ``MOST_COMMON``)."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 * SLICE_BYTES):
             grams, _ = shingle_sets(batch.column(1), size)
             values, counts = np.unique(grams, return_counts=True)
             often = counts > max(2, COMMON_SHARE * batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["g", "n"])
 
     found = text_rows(docs).mapInArrow(scan, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r.g for r in found.orderBy(F.desc("n"), "g").limit(MOST_COMMON).collect()], np.int64).view(np.uint64))
+    return np.sort(found.orderBy(F.desc("n"), "g").limit(MOST_COMMON).toPandas()["g"].to_numpy(np.int64).view(np.uint64))
+
+
+def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def set_keys(grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    return np.array([set_key(grams[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
 
 
 def features(docs: DataFrame, size: int, t: Fraction, common: np.ndarray) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, node`` (its set's name), ``prefix`` and ``minima`` (n-grams), ``bits`` (its bitmap)."""
+    """Per row: ``doc_id, n_shingles, node`` (its set's name), ``prefix`` (n-grams), ``minima`` (hashes), ``bits`` (its bitmap)."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             grams, offsets = shingle_sets(batch.column(1), size)
-            rare = ~np.isin(grams, common)
-            out: list[list] = [[], [], [], []]
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                own, n = grams[a:b], int(b - a)
-                if not n:
-                    prefix = minima = own
-                else:
-                    p = prefix_length(n, t)
-                    prefix = np.concatenate([own[rare[a:b]][:p], own[~rare[a:b]]])[:p]
-                    minima = np.array([own[np.argmin(mixed(own * s))] for s in SEEDS], np.uint64)
-                for column, value in zip(out, (set_key(own), prefix.view(np.int64), minima.view(np.int64), bitmap(own, bitmap_bits(n)).tobytes()), strict=True):
-                    column.append(value)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(offsets)), pa.array(out[0], pa.int64()), pa.array(out[1], longs), pa.array(out[2], longs), pa.array(out[3], pa.binary())],
-                ["doc_id", "n_shingles", "node", "prefix", "minima", "bits"],
-            )
+            n, row = np.diff(offsets), rows_at(offsets)
+            # The global order within each set: common n-grams after the others, else by hash (as they stand).
+            ordered = grams[np.argsort(2 * row + is_in(grams, shared.value), kind="stable")]
+            length = n - -(-t.numerator * n // t.denominator) + (n > 0)
+            prefix = ordered[np.arange(len(grams)) - offsets[row] < length[row]]
+            filled = np.flatnonzero(n)
+            minima = np.zeros((len(n), MINIMA), np.uint64)
+            for k, seed in enumerate(SEEDS if len(filled) else ()):
+                minima[filled, k] = np.minimum.reduceat(mixed(grams * seed), offsets[filled])
+            bits, ends = bitmaps(grams, offsets)
+            columns = {
+                "doc_id": batch.column(0),
+                "n_shingles": pa.array(n),
+                "node": pa.array(set_keys(grams, offsets)),
+                "prefix": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(prefix.view(np.int64))),
+                "minima": pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * MINIMA, pa.int32()), pa.array(minima.ravel().view(np.int64))),
+                "bits": pa.array([bits[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return text_rows(docs).mapInArrow(scan, "doc_id long, n_shingles long, node long, prefix array<long>, minima array<long>, bits binary")
 
 
-def tile_pairs(band: np.ndarray, node: np.ndarray, n: np.ndarray, comp: np.ndarray, raw: list[np.ndarray], t: Fraction, tree: bool) -> list[tuple[int, int]]:
-    """A tile's pairs of nodes that sizes and bitmaps can't rule out, across its two bands (or within the one).
+def tile_pairs(
+    band: np.ndarray, node: np.ndarray, n: np.ndarray, place: np.ndarray, comp: np.ndarray, raw: list[np.ndarray], t: Fraction, tree: bool
+) -> list[tuple[int, int]]:
+    """A tile's pairs of nodes that sizes, places and bitmaps can't rule out, across its two bands (or within the one).
 
-    The members come in order of size. With ``tree``, a pair is left out where earlier pairs of
-    the tile join its ends already. Pairs with the same component are left out always.
+    The members come in order of size. ``place`` is where the tile's element stands in a set's order: of
+    the tiles that a linked pair shares, the first has no common element before it, so what
+    follows it bounds the overlap, and the pair is found there. With ``tree``, a pair is left out where
+    earlier pairs of the tile join its ends already. Pairs with the same component are left out always.
     """
     num, den = t.numerator, t.denominator
     two = band.min() != band.max()
-    label, found = comp.copy(), []
+    label, found, after = comp.copy(), [], n - place
     for i in range(len(node) - 1):
         last = int(np.searchsorted(n, n[i] * den // num, side="right"))  # sizes that can reach the threshold
         at = np.arange(i + 1, last)
-        at = at[(label[at] != label[i]) & ((band[at] != band[i]) if two else True)]
+        total = n[at] + n[i]
+        most = np.minimum(after[at], after[i])
+        at = at[(label[at] != label[i]) & (most * (num + den) >= num * total) & ((band[at] != band[i]) if two else True)]
         if not len(at):
             continue
         width = len(raw[i])
@@ -176,11 +198,14 @@ def tile_pairs(band: np.ndarray, node: np.ndarray, n: np.ndarray, comp: np.ndarr
     return [(min(p), max(p)) for p in found]
 
 
+TILE_COLUMNS = ["key", "low", "high", "band", "node", "n", "place", "comp", "bits"]
+
+
 def tiles_scan(t: Fraction, tree: bool):
     """Task function over rows sorted by tile and size: a tile's rows follow one another, across Arrow batches as well."""
 
     def pairs_of(rows: pa.Table) -> pa.RecordBatch:
-        cut = [rows.column(c).to_numpy() for c in ("key", "low", "high", "band", "node", "n", "comp")]
+        cut = [rows.column(c).to_numpy() for c in TILE_COLUMNS[:-1]]
         bits = rows.column("bits").to_pylist()
         changes = np.flatnonzero((cut[0][1:] != cut[0][:-1]) | (cut[1][1:] != cut[1][:-1]) | (cut[2][1:] != cut[2][:-1])) + 1
         out: set[tuple[int, int]] = set()
@@ -208,27 +233,31 @@ def tiles_scan(t: Fraction, tree: bool):
 
 
 def tiled(members: DataFrame, t: Fraction, tree: bool) -> DataFrame:
-    """Candidate pairs of ``members (key, node, n, comp, bits)``: keys cut into bands by size, bands paired into tiles."""
+    """Candidate pairs of ``members (key, size, node, n, place, comp, bits)``; ``size``: how many sets hold the key.
+
+    A key of up to ``TILE`` sets is one tile. The sets of a larger one are cut into bands by size, and
+    bands are paired into tiles where their sizes can reach the threshold.
+    """
+    number = lambda c: F.lit(c).cast("int")
+    small = members.filter(F.col("size") <= TILE).withColumns({c: number(0) for c in ("low", "high", "band")})
     ordered = Window.partitionBy("key").orderBy("n", "node")
-    banded = members.withColumn("band", F.floor((F.row_number().over(ordered) - 1) / F.lit(TILE)).cast("int"))
+    rank = F.row_number().over(ordered) - 1
+    banded = members.filter(F.col("size") > TILE).withColumn("band", F.floor(rank / F.lit(TILE)).cast("int")).withColumn("first", rank % TILE == 0)
     if tree:  # a band's first set also ends the band before, which joins the bands of a key
-        first = F.floor((F.row_number().over(ordered) - 1) % F.lit(TILE)) == 0
-        cut = banded.withColumn("tiles", F.when(first & (F.col("band") > 0), F.array(F.col("band"), F.col("band") - 1)).otherwise(F.array("band")))
-        dealt = cut.select("key", F.explode("tiles").alias("low"), "node", "n", "comp", "bits").withColumn("high", F.col("low")).withColumn("band", F.col("low"))
+        tiles = F.when(F.col("first") & (F.col("band") > 0), F.array("band", F.col("band") - 1)).otherwise(F.array("band"))
+        large = banded.withColumn("low", F.explode(tiles)).withColumns({"high": F.col("low"), "band": F.col("low")})
     else:
-        reach = Window.partitionBy("key")
-        edges = banded.groupBy("key", "band").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        spans = edges.withColumn("spans", F.collect_list(F.struct("band", "least", "most")).over(reach)).select("key", "band", "spans")
-        meets = F.expr(
-            f"transform(filter(spans, s -> greatest(s.least, own.least) * {t.numerator} <= least(s.most, own.most) * {t.denominator}), s -> s.band)"
-        )
-        spans = spans.withColumn("own", F.expr("filter(spans, s -> s.band = band)[0]")).select("key", "band", meets.alias("meets"))
-        many = spans.filter(F.size("meets") > 1)
-        dealt = banded.join(many, ["key", "band"], "left").select(
-            "key", "band", F.explode(F.coalesce("meets", F.array("band"))).alias("other"), "node", "n", "comp", "bits"
-        ).select("key", F.least("band", "other").alias("low"), F.greatest("band", "other").alias("high"), "band", "node", "n", "comp", "bits")
-    together = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node")
-    return together.select("key", "low", "high", "band", "node", F.col("n").cast("long").alias("n"), "comp", "bits").mapInArrow(tiles_scan(t, tree), "a long, b long").distinct()
+        # Least and largest size of every band (one row for TILE sets), and which bands of the key it meets.
+        spans = banded.groupBy("key", "band").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        other = spans.select("key", F.col("band").alias("other"), F.col("least").alias("o_least"), F.col("most").alias("o_most"))
+        near = F.greatest("least", "o_least") * t.numerator <= F.least("most", "o_most") * t.denominator
+        meets = spans.join(other, "key").filter(near).select("key", "band", "other")
+        large = banded.join(meets, ["key", "band"]).withColumns({"low": F.least("band", "other"), "high": F.greatest("band", "other")})
+    scan = tiles_scan(t, tree)
+    columns = [F.col(c).cast("long").alias(c) if c in ("n", "place") else F.col(c) for c in TILE_COLUMNS]
+    one = small.select(*columns).repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(scan, "a long, b long")
+    many = large.select(*columns).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInArrow(scan, "a long, b long")
+    return one.unionByName(many).distinct()
 
 
 def overlaps(sets_a: pa.Array, sets_b: pa.Array) -> np.ndarray:
@@ -254,8 +283,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
         def scan(batches: Iterable[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 grams, offsets = shingle_sets(batch.column(1), size)
-                names = np.array([set_key(grams[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
-                hit = np.flatnonzero(np.isin(names, wanted.value))
+                names = set_keys(grams, offsets)
+                hit = np.flatnonzero(is_in(names, wanted.value))
                 hit = hit[np.unique(names[hit], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays([pa.array(names[hit]), pa.array([grams[offsets[r] : offsets[r + 1]].tobytes() for r in hit], pa.binary())], ["node", "grams"])
 
@@ -291,15 +320,15 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8"
     sets = stored(sets, root, "sets")
 
     shared = Window.partitionBy("key")
-    first = sets.select(F.explode(F.array_distinct("minima")).alias("key"), "node", "n", F.col("node").alias("comp"), "bits")
-    first = first.withColumn("many", F.min("node").over(shared) < F.max("node").over(shared)).filter("many")
+    first = sets.select(F.explode(F.array_distinct("minima")).alias("key"), "node", "n", F.lit(0).alias("place"), F.col("node").alias("comp"), "bits")
+    first = first.withColumn("size", F.count("*").over(shared)).filter("size > 1")
     links = verified(docs, tiled(first, t, True), size, t, root, "first")
     joined = stored(components(links, f"{root}/first"), root, "first_components")
 
     named = sets.join(joined.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    keyed = named.select(F.explode("prefix").alias("key"), "node", "comp")
-    keyed = keyed.withColumn("many", F.min("comp").over(shared) < F.max("comp").over(shared)).filter("many").select("key", "node")
-    keyed = stored(keyed, root, "shared_prefixes")
+    keyed = named.select(F.posexplode("prefix").alias("place", "key"), "node", "comp")
+    keyed = keyed.withColumns({"size": F.count("*").over(shared), "many": F.min("comp").over(shared) < F.max("comp").over(shared)})
+    keyed = stored(keyed.filter("many").select("key", "place", "size", "node"), root, "shared_prefixes")
     second = keyed.join(named.select("node", "n", "comp", "bits"), "node")
     more = verified(docs, tiled(second, t, False), size, t, root, "second")
     groups = components(links.unionByName(more), f"{root}/second")
@@ -309,3 +338,13 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8"
     least = named_rows.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     out = named_rows.join(least, "component", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), F.col("component").alias("node"))
+
+
+def keep_one_of_each_group(docs: DataFrame, size: int = 5, threshold: str = "0.8") -> DataFrame:
+    """The document of the smallest ``doc_id`` of each group, and each document without words; all columns as they were.
+
+    ``doc_id`` names a document: of rows that repeat one with the same text, one stays.
+    """
+    groups = near_duplicate_groups(docs, size, threshold)
+    chosen = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("chosen")).distinct()
+    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi").dropDuplicates(["doc_id", "text"])
