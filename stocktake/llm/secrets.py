@@ -5,13 +5,14 @@ Base spans come from three patterns. Further candidates are runs of 16 or more c
 and one of ordinary identifiers, give each candidate a log-likelihood ratio; a candidate that doesn't touch
 a base span is a span of kind ``markov`` if its ratio reaches ``MIN_RATIO`` in all and
 ``MIN_RATIO_PER_CHAR`` on average. Both models are trained from labelled samples: what the base
-patterns found (random) and the words of texts without a finding (ordinary).
+patterns found (random) and the shorter runs of those characters in texts without a finding (ordinary).
 
 Positions are code points, the end exclusive. Spark's ``split`` gives the texts between the matches
 of a pattern, ``regexp_extract_all`` the matches; their running lengths are the positions.
 
 Defined cases: a null text is empty, and an empty text has no spans; equal texts have equal
-spans; without any sample the models are uniform, and no span is added. Extra columns are ignored.
+spans; without any sample the models are uniform, and no span
+is added. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from stocktake.llm.text import text_rows
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE_LENGTH = 16
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_LENGTH},}}"
 WORD = r"[A-Za-z0-9+/_=-]{6,}"
 KINDS = ["assign", "access", "hex", "markov"]
 MIN_VALUE = 6
@@ -36,24 +38,32 @@ MIN_VALUE = 6
 SAMPLE_DOCS = 4000
 #: Nats of evidence for a random string, in all and by character.
 MIN_RATIO, MIN_RATIO_PER_CHAR = 12.0, 0.5
+#: Weight of a model's single-character shares in its transitions.
+BACKOFF = 16.0
+#: Share of the single characters that is spread evenly, so that one never seen is no evidence.
+FLOOR = 0.01
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 REDACTED = "[SECRET]"
 
-SPAN = "array<struct<start:int,kind:int,end:int,size:int>>"
+SPAN = "array<struct<start:int,kind:int,stop:int,size:int>>"
 
 
 def matches(pattern: str, kind: int, value_group: int = 0) -> str:
     """SQL: the spans of a pattern in ``text``, leftmost and non-overlapping; ``size`` is the length of the given group."""
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    sizes = f"regexp_extract_all(text, '{quoted}', {value_group})"
-    found = f"""aggregate(
-        arrays_zip(transform(regexp_extract_all(text, '{quoted}', 0), m -> length(m)) AS m, transform({sizes}, v -> length(v)) AS v, transform(split(text, '{quoted}', -1), g -> length(g)) AS g),
+    lengths = f"""struct(
+        transform(regexp_extract_all(text, '{quoted}', 0), m -> length(m)) AS m,
+        transform(regexp_extract_all(text, '{quoted}', {value_group}), v -> length(v)) AS v,
+        transform(split(text, '{quoted}', -1), g -> length(g)) AS g)"""
+    # The array of one binds the lengths once. Before match i lie i + 1 gaps and i matches.
+    found = f"""transform(array({lengths}), x -> aggregate(
+        sequence(0, size(x.m) - 1),
         struct(0 AS at, cast(array() AS {SPAN}) AS spans),
-        (s, x) -> struct(
-            s.at + x.g + coalesce(x.m, 0) AS at,
-            CASE WHEN x.m IS NULL THEN s.spans ELSE concat(s.spans, array(struct(s.at + x.g AS start, {kind} AS kind, s.at + x.g + x.m AS end, x.v AS size))) END AS spans),
-        s -> s.spans)"""
-    return f"CASE WHEN text RLIKE '{quoted}' THEN {found} ELSE cast(array() AS {SPAN}) END"
+        (s, i) -> struct(
+            s.at + x.g[i] + x.m[i] AS at,
+            concat(s.spans, array(struct(s.at + x.g[i] AS start, {kind} AS kind, s.at + x.g[i] + x.m[i] AS stop, x.v[i] AS size))) AS spans),
+        s -> s.spans))[0]"""
+    return f"if(text RLIKE '{quoted}', {found}, cast(array() AS {SPAN}))"
 
 
 def with_base_spans(rows: DataFrame) -> DataFrame:
@@ -71,7 +81,9 @@ def pairs_of(tokens: DataFrame) -> DataFrame:
 
 
 def train_ratios(rows: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
-    """Log-likelihood ratio of every character pair ``128 * a + b``, random against ordinary (add-one smoothing)."""
+    """Log-likelihood ratio of every character pair ``128 * a + b``, random against ordinary.
+
+    Each model's transitions back off to its shares of single characters, which have an equal floor in both."""
     flagged = rows.withColumn("found", F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}"))
     sizes = {r["found"]: r["count"] for r in flagged.groupBy("found").count().collect()}
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
@@ -81,16 +93,20 @@ def train_ratios(rows: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]
 
     values = with_base_spans(sample(True)).select("text", F.explode("base").alias("s"))
     # The value is the end of the match: the whole of it but for `assign`, whose name is ordinary.
-    value = F.expr("substring(text, s.end - s.size + 1, s.size)")
+    value = F.expr("substring(text, s.stop - s.size + 1, s.size)")
     random = values.select(F.lit(1).alias("label"), F.explode(F.regexp_extract_all(value, F.lit(WORD), F.lit(0))).alias("token"))
     words = sample(False).select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("token"))
+    # Runs as long as a candidate are not labelled: an unknown secret may be among them.
+    words = words.filter(F.length("token") < CANDIDATE_LENGTH)
     counts: dict[tuple[int, int, int], int] = {(r.label, r.a, r.b): r.n for r in pairs_of(random.unionByName(words)).collect()}
     codes, ratios = [ord(c) for c in ALPHABET], [0.0] * (128 * 128)
+    seen = [{b: sum(counts.get((label, a, b), 0) for a in codes) for b in codes} for label in (0, 1)]
+    share = [{b: (1 - FLOOR) * n / max(sum(s.values()), 1) + FLOOR / len(codes) for b, n in s.items()} for s in seen]
     for a in codes:
         total = [sum(counts.get((label, a, b), 0) for b in codes) for label in (0, 1)]
         for b in codes:
-            ordinary, rand = ((counts.get((label, a, b), 0) + 1) / (total[label] + len(codes)) for label in (0, 1))
-            ratios[128 * a + b] = math.log(rand / ordinary)
+            ordinary, random_ = ((counts.get((label, a, b), 0) + BACKOFF * share[label][b]) / (total[label] + BACKOFF) for label in (0, 1))
+            ratios[128 * a + b] = math.log(random_ / ordinary)
     return ratios
 
 
@@ -98,7 +114,7 @@ def with_spans(rows: DataFrame, ratios: list[float]) -> DataFrame:
     """Adds ``base`` and ``spans`` (base and Markov spans)."""
     table = ",".join(f"{x:.6f}" for x in ratios)
     ratio = f"cast(split('{table}', ',') AS array<double>)"
-    found = with_base_spans(rows).withColumn("candidates", F.expr(f"filter({matches(CANDIDATE, 3)}, s -> NOT exists(base, b -> b.start < s.end AND s.start < b.end))"))
+    found = with_base_spans(rows).withColumn("candidates", F.expr(f"filter({matches(CANDIDATE, 3)}, s -> NOT exists(base, b -> b.start < s.stop AND s.start < b.stop))"))
     judged = f"""filter(
         transform(candidates, s -> struct(s AS s, split(substring(text, s.start + 1, s.size), '') AS c)),
         x -> aggregate(sequence(1, x.s.size - 1), 0D, (t, i) -> t + element_at({ratio}, 128 * ascii(x.c[i - 1]) + ascii(x.c[i]) + 1)) >= greatest({MIN_RATIO}D, {MIN_RATIO_PER_CHAR}D * x.s.size))"""
@@ -108,7 +124,7 @@ def with_spans(rows: DataFrame, ratios: list[float]) -> DataFrame:
 
 def joined(spans: str) -> Column:
     names = ", ".join(f"'{k}'" for k in KINDS)
-    return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', array({names})[s.kind], s.start, s.end)), ',')")
+    return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', array({names})[s.kind], s.start, s.stop)), ',')")
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
@@ -125,7 +141,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     found = with_spans(docs, ratios)
     cut = F.expr(
         f"""aggregate(spans, struct(0 AS at, '' AS done),
-            (t, s) -> struct(greatest(t.at, s.end) AS at,
+            (t, s) -> struct(greatest(t.at, s.stop) AS at,
                 CASE WHEN s.start < t.at THEN t.done ELSE concat(t.done, substring(text, t.at + 1, s.start - t.at), '{REDACTED}') END AS done),
             t -> concat(t.done, substring(text, t.at + 1)))"""
     )

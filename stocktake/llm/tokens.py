@@ -17,7 +17,8 @@ import pyarrow.compute as pc
 from stocktake.llm.text import flat, rows_at
 
 #: A space or line feed next to other white space, or the separator used here: such texts are encoded whole.
-MIXED_SPACE = r"[ \n][\s\v]|[\s\v][ \n]|\x00"
+SPACE = r"[\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+MIXED_SPACE = rf"[ \n]{SPACE}|{SPACE}[ \n]|\x00"
 #: Distinct units kept by a worker between batches.
 KEPT_UNITS = 1 << 20
 
