@@ -59,7 +59,7 @@ def test_chains_over_many_small_chunks_and_files(spark, monkeypatch):
     root = scratch(spark)
     files = stored(W.write_warc(pages(spark).coalesce(1), f"{root}/archives", root), root, "files")
     assert files.count() == 1
-    for size in (17, 256, 5000):
+    for size in (3000, 30000):
         assert result(W.read_warc(files, scratch(spark), size)) == brute()
 
 
