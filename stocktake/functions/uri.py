@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 # Fixed values of the URI format: `s3://<bucket>/<key>`; the bucket is the shortest run up to
 # the first slash and the key must hold at least one character, so `s3://bucket/` is invalid.
-S3_URI_PATTERN = r"^s3://(.+?)/(.+)"
+# `(?s)`: a key may hold line breaks.
+S3_URI_PATTERN = r"(?s)^s3://(.+?)/(.+)"
 # Same split for web URLs (scheme http or https), used on page URLs.
-WEB_URL_PATTERN = r"^https?://(.+?)/(.+)"
+WEB_URL_PATTERN = r"(?s)^https?://(.+?)/(.+)"
 
 # Whitespace removed around map cells (Python's str.strip() set without the rare Unicode spaces).
 CELL_WHITESPACE = " \t\n\r\x0b\x0c"
@@ -67,7 +68,7 @@ def base_name(key: Column | str) -> Column:
 
 def parent_folder(key: Column | str) -> Column:
     """Everything up to and including the last slash (`a/b/c.csv` -> `a/b/`, `a/b/` -> `a/b/`, `c` -> ``)."""
-    return F.regexp_extract(_col(key), r"^(.*/)", 1)
+    return F.regexp_extract(_col(key), r"(?s)^(.*/)", 1)
 
 
 def strip_quotes(etag: Column | str) -> Column:

@@ -3,12 +3,13 @@
 Plan shape (one shuffle for the combine, everything else broadcast when the
 folder-sized side passes its size check):
 
-    listing --(broadcast map, inner)--> rekeyed --(filter all-null)--> groupBy(key folder, name)
-                                                                     `-> max(struct) per account
+    listing --(broadcast map, inner)--> rekeyed --(filter all-null)--> exchange on (name, key folder)
+                                        --> number the copies of a key --> one struct per account
     key folders --(left anti, broadcast seen folders)--> placeholder rows (empty folders)
 
-The combine groups on ``(name, bucket, prefix)``, so a hot folder is spread over
-all reducers by file name, and the partial aggregation folds rows map-side.
+The combine deals rows out by ``(name, bucket, prefix)``, so a hot folder is spread over
+all reducers by file name. An account's key is almost always unique, so nothing would fold before
+the exchange and nothing is sorted there.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.functions.uri import quoted
@@ -28,6 +29,8 @@ from stocktake.schemas import ATTRS, FILE_NAME_COLUMN, OBJECT_STRUCT, attr_colum
 # columns, and a sort's 8-byte key prefix only helps when the first column varies (the
 # bucket is nearly constant). The shuffle hashes all three, so distribution is unchanged.
 ROW_KEY = ["name", "key_bucket", "key_prefix"]
+# Which of several rows with one key and account this is; copies pair up across accounts by it.
+COPY = "__copy"
 FOLDER_KEY = ["account", "bucket", "prefix"]
 
 
@@ -91,15 +94,25 @@ def has_attributes() -> Column:
     return F.col("date").isNotNull() | F.col("size").isNotNull() | F.col("hash").isNotNull()
 
 
+def account_column(accounts: list[str], account: str) -> str:
+    """Internal name of an account's struct, so that no account name meets a column of ours."""
+    return f"__acc_{accounts.index(account)}"
+
+
 def combine(rekeyed: DataFrame, accounts: list[str]) -> DataFrame:
-    """N-way outer combine: one row per key, one ``struct<date,size,hash>`` column per account.
+    """N-way outer combine: one row per key and copy, one ``struct<date,size,hash>`` column per account.
 
-    Rows with no attribute at all (placeholders) are dropped first. ``max`` of the
-    whole struct keeps the three values of one row together.
+    Rows with no attribute at all (placeholders) are dropped first. Rows of one account with equal
+    keys (two objects whose names end alike, a listing given twice) are all kept: they are numbered
+    by date, size and hash, and the n-th copy of each account shares a row. One exchange
+    serves the numbering and the grouping.
     """
     obj = F.struct(*[F.col(a) for a in ATTRS])
-    per_account = [F.max(F.when(F.col("account") == F.lit(a), obj)).alias(a) for a in accounts]
-    return rekeyed.where(has_attributes()).groupBy(*ROW_KEY).agg(*per_account)
+    # Dealt out by the row key explicitly: the window and the grouping need no exchange of their own.
+    dealt = rekeyed.where(has_attributes()).repartition(*ROW_KEY)
+    order = Window.partitionBy(*ROW_KEY, "account").orderBy(*ATTRS)
+    per_account = [F.max(F.when(F.col("account") == F.lit(a), obj)).alias(account_column(accounts, a)) for a in accounts]
+    return dealt.withColumn(COPY, F.row_number().over(order)).groupBy(*ROW_KEY, COPY).agg(*per_account).drop(COPY)
 
 
 def with_empty_folders(combined: DataFrame, long_map: DataFrame, accounts: list[str]) -> DataFrame:
@@ -111,7 +124,7 @@ def with_empty_folders(combined: DataFrame, long_map: DataFrame, accounts: list[
     and the combine's exchange is reused instead of scanning the listing again.
     The anti join is on folder-sized inputs only; object rows are never shuffled by folder.
     """
-    any_object = reduce(operator.or_, [quoted(a).isNotNull() for a in accounts])
+    any_object = reduce(operator.or_, [F.col(account_column(accounts, a)).isNotNull() for a in accounts])
     seen = (
         combined.groupBy(F.col("key_bucket").alias("bucket"), F.col("key_prefix").alias("prefix"))
         .agg(F.count(F.when(any_object, F.lit(1))).alias("n_objects"))
@@ -126,7 +139,7 @@ def with_empty_folders(combined: DataFrame, long_map: DataFrame, accounts: list[
 
 def placeholder_rows(folders: DataFrame, accounts: list[str]) -> DataFrame:
     """``bucket, prefix`` folders -> struct-form rows with a null name and null accounts."""
-    nulls = [F.lit(None).cast(OBJECT_STRUCT).alias(a) for a in accounts]
+    nulls = [F.lit(None).cast(OBJECT_STRUCT).alias(account_column(accounts, a)) for a in accounts]
     return folders.select(
         F.col("bucket").alias("key_bucket"), F.col("prefix").alias("key_prefix"), F.lit(None).cast("string").alias("name"), *nulls
     )
@@ -141,7 +154,7 @@ def flatten(struct_form: DataFrame, accounts: list[str], key_account: str | None
         F.col("name").alias(FILE_NAME_COLUMN),
     ]
     for a in accounts:
-        cols += [quoted(a).getField(attr).alias(attr_column(attr, a)) for attr in ATTRS]
+        cols += [F.col(account_column(accounts, a)).getField(attr).alias(attr_column(attr, a)) for attr in ATTRS]
     return struct_form.select(*cols)
 
 
@@ -154,7 +167,7 @@ def to_struct_form(flat: DataFrame, accounts: list[str], key_account: str | None
         quoted(FILE_NAME_COLUMN).alias("name"),
     ]
     for a in accounts:
-        cols.append(F.struct(*[quoted(attr_column(attr, a)).alias(attr) for attr in ATTRS]).alias(a))
+        cols.append(F.struct(*[quoted(attr_column(attr, a)).alias(attr) for attr in ATTRS]).alias(account_column(accounts, a)))
     return flat.select(*cols)
 
 

@@ -2,8 +2,8 @@
 
 The small sides in this library (URI map, folder lists) grow with the number of
 folders, not with the number of objects, but nothing guarantees they stay small.
-``join_small`` therefore counts the small side first (a bounded ``limit().count()``
-job), broadcasts it when its row count fits the broadcast budget, and otherwise
+``join_small`` therefore measures the small side first (the bytes of its values, or those of
+a frame that bounds it), broadcasts it when they fit the broadcast budget, and otherwise
 falls back to a shuffle join salted on a high-cardinality column of the big side,
 so that one hot folder holding a third of all objects is still spread over many
 tasks. The salt is a hash of row data, never a random number, so a task that is
@@ -13,6 +13,7 @@ re-run after an executor loss puts every row into the same bucket again.
 from __future__ import annotations
 
 import operator
+import re
 import weakref
 from collections.abc import Sequence
 from functools import reduce
@@ -20,56 +21,52 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stocktake.functions.uri import quoted
+
 SALT_COLUMN = "__salt"
-DEFAULT_SALT_BUCKETS = 32
-# Planning estimate for one row of a map or folder list (a few short strings).
-DEFAULT_ROW_BYTES = 256
-
-
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    value = df.sparkSession.conf.get(key, None)
-    try:
-        return int(value) if value is not None else default
-    except ValueError:
-        return default
-
-
-def broadcast_row_budget(df: DataFrame, row_bytes: int = DEFAULT_ROW_BYTES) -> int:
-    """Max rows of a side that may be broadcast, from the session's broadcast threshold."""
-    explicit = df.sparkSession.conf.get("stocktake.broadcast.maxRows", None)
-    if explicit is not None:
-        return int(explicit)
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        threshold = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        threshold = 10 * 1024 * 1024
-    if threshold <= 0:
-        return 0
-    return max(threshold // row_bytes, 0)
+# Spark's byte-string suffixes.
+UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def parse_bytes(text: str) -> int:
+    """A size as Spark writes it: ``10485760``, ``64MB``, ``1g``; negative values stay negative."""
+    found = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)b?\s*", str(text).lower())
+    if not found:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(found[1]) * UNITS[found[2]]
+
+
+def broadcast_budget(df: DataFrame) -> int:
+    """Bytes of a side that may be broadcast: the session's broadcast threshold."""
+    return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
 
 # Size checks already run, per DataFrame object (a DataFrame's plan and file listing are fixed).
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+_MEASURED: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
-def fits_broadcast(small: DataFrame, row_bytes: int = DEFAULT_ROW_BYTES) -> bool:
-    """True when the side has at most the broadcast budget of rows (counted, never collected).
+def measured_bytes(small: DataFrame) -> int:
+    """Bytes of a side's rows, by a sum over its values (nothing is collected but the sum).
 
-    The count runs once per DataFrame object and budget; callers pass the same
-    bounding frame (e.g. the long URI map) for every side derived from it.
+    Runs once per DataFrame object; callers pass the same bounding frame (e.g. the
+    materialized long map) for every side derived from it.
     """
-    budget = broadcast_row_budget(small, row_bytes)
-    if budget <= 0:
-        return False
-    seen = _CHECKED.setdefault(small, {})
-    if budget not in seen:
-        seen[budget] = small.limit(budget + 1).count() <= budget
-    return seen[budget]
+    if small not in _MEASURED:
+        sizes = [F.coalesce(F.octet_length(quoted(f.name).cast("string")), F.lit(0)) + 16 for f in small.schema.fields]
+        _MEASURED[small] = int(small.agg(F.sum(reduce(operator.add, sizes).cast("long"))).first()[0] or 0)
+    return _MEASURED[small]
+
+
+def fits_broadcast(small: DataFrame) -> bool:
+    """True when the side's measured bytes are within the broadcast budget."""
+    budget = broadcast_budget(small)
+    return budget > 0 and measured_bytes(small) <= budget
 
 
 def salt_buckets(df: DataFrame) -> int:
-    return max(_conf_int(df, "stocktake.skew.saltBuckets", DEFAULT_SALT_BUCKETS), 1)
+    """Pieces that a hot key is cut into: one for each shuffle partition, unless set."""
+    explicit = df.sparkSession.conf.get("stocktake.skew.saltBuckets", None)
+    return max(int(explicit or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 
 def join_small(
@@ -79,7 +76,6 @@ def join_small(
     how: str = "inner",
     *,
     salt_by: Sequence[str | Column] | None = None,
-    row_bytes: int = DEFAULT_ROW_BYTES,
     broadcast: bool | None = None,
     null_safe: bool = False,
     bound: DataFrame | None = None,
@@ -88,8 +84,8 @@ def join_small(
 
     ``how`` is one of ``inner``, ``left``, ``left_semi``, ``left_anti`` (the big side is
     always the preserved/streamed side). ``broadcast`` forces the decision (tests);
-    by default it is taken from the counted size of ``small``, or of ``bound``: a
-    cheap DataFrame whose row count is proven to be at least ``small``'s (e.g. the
+    by default it is taken from the measured size of ``small``, or of ``bound``: a
+    cheap DataFrame whose size is proven to be at least ``small``'s (e.g. the
     map's folder list for "folders seen in the listing"), so that sizing the small
     side never runs the expensive plan that produces it.
 
@@ -100,7 +96,7 @@ def join_small(
     shuffle can be reused.
     """
     on = list(on)
-    use_broadcast = fits_broadcast(bound if bound is not None else small, row_bytes) if broadcast is None else broadcast
+    use_broadcast = fits_broadcast(bound if bound is not None else small) if broadcast is None else broadcast
     right = F.broadcast(small) if use_broadcast else small
     if null_safe:
         if how not in ("left_semi", "left_anti"):
@@ -111,8 +107,9 @@ def join_small(
         return big.join(right, on, how)
     if not salt_by:
         # No column to spread a hot key: rely on AQE's skew-join split of the sort-merge join.
-        return big.join(small, on, how)
+        return big.join(small.hint("merge"), on, how)
     n = salt_buckets(big)
     salted_big = big.withColumn(SALT_COLUMN, F.pmod(F.xxhash64(*salt_by), F.lit(n)))
     salted_small = small.withColumn(SALT_COLUMN, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
-    return salted_big.join(salted_small, on + [SALT_COLUMN], how).drop(SALT_COLUMN)
+    # Spark's own estimate leaves out the growth by the salts, so it could broadcast the copies: the hint forbids it.
+    return salted_big.join(salted_small.hint("merge"), on + [SALT_COLUMN], how).drop(SALT_COLUMN)

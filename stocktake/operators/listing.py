@@ -77,6 +77,13 @@ def placeholders(folders: DataFrame, records: DataFrame, key: list[str] | None =
     )
 
 
+def with_placeholders(listing: DataFrame, long_map: DataFrame, accounts: list[str] | None = None) -> DataFrame:
+    """A given listing with a placeholder for every mapped folder of which it has no row (strays stay)."""
+    folders = mapped_folders(long_map, accounts)
+    inside = join_small(listing.select(*FOLDER_KEY, "name"), folders, FOLDER_KEY, "left_semi", salt_by=["name"], bound=long_map)
+    return listing.select(*LISTING_COLUMNS).unionByName(placeholders(folders, inside, bound=long_map))
+
+
 def extract_files(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None = None) -> DataFrame:
     """Raw entries -> listing rows of the files directly inside mapped folders (no placeholders)."""
     folders = mapped_folders(long_map, accounts)
@@ -111,26 +118,12 @@ def subfolders(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None =
     return join_small(found, counts, FOLDER_KEY, "inner", bound=long_map)
 
 
-def assert_no_subfolders(report: DataFrame, max_listed: int = 1000) -> None:
-    """Strict mode: raise for the first folder that has sub-folders.
-
-    The error text lists the sub-folders of that folder in order (at most
-    ``max_listed`` names; the count is always exact). The full report stays a DataFrame.
-    """
-    first = report.orderBy(*FOLDER_KEY).select(*FOLDER_KEY, "n_subfolders").limit(1).collect()
-    if not first:
-        return
-    row = first[0]
-    names = (
-        report.where((F.col("account") == row["account"]) & (F.col("bucket") == row["bucket"]) & (F.col("prefix") == row["prefix"]))
-        .select("subfolder")
-        .orderBy("subfolder")
-        .limit(max_listed)
-        .collect()
-    )
-    raise SubfolderError(
-        MSG_SUBFOLDERS.format(bucket=row["bucket"], n=row["n_subfolders"], names=", ".join(r["subfolder"] for r in names))
-    )
+def assert_no_subfolders(report: DataFrame) -> None:
+    """Strict mode: raise for the first folder that has sub-folders, with all of their names in order."""
+    by_folder = report.groupBy(*FOLDER_KEY).agg(F.first("n_subfolders").alias("n"), F.array_join(F.array_sort(F.collect_list("subfolder")), ", ").alias("names"))
+    first = by_folder.orderBy(*FOLDER_KEY).limit(1).collect()
+    if first:
+        raise SubfolderError(MSG_SUBFOLDERS.format(bucket=first[0]["bucket"], n=first[0]["n"], names=first[0]["names"]))
 
 
 def duplicate_keys(listing: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ The driver tables hold no object listings, so three accounts are derived from
 changed, is decided by fixed rules on ``doc_id`` (the diff scenario, not a
 sample: every document row is read and every text is hashed whole).
 
-* ``pro``: bucket ``docs``, every document except ``doc_id % 11 = 0``
+* ``pro``: bucket ``docs``, every document except ``doc_id % 11 = 0`` (but those that no other
+  account has, ``doc_id % 21 = 0``, are all there: each document is in some account)
 * ``release``: same folders, except ``doc_id % 7 = 0``; ``doc_id % 5 = 0`` changed
   (text + ``#r``, size + 2)
 * ``dev``: bucket ``docs_dev``, folder ``<lang>/dev_<source>/``, except ``doc_id % 3 = 0``;
@@ -60,23 +61,25 @@ def _doc_date() -> Column:
 def listing_from_documents(docs: DataFrame) -> DataFrame:
     """``account, bucket, prefix, name, date, size, hash`` for the three derived accounts.
 
-    One row per document and account index (``explode``), every column a ``CASE``
-    on the index: a consumer that needs no hash (folder lists, counts) gets
-    ``text`` pruned from the scan, and ``md5(text)`` is computed once per document.
+    One row per document and account that has it. The hash of every account's copy is made inside the
+    array that is exploded, so ``text`` ends before the rows multiply.
     """
-    k = F.col("k")
-    rel_changed = (k == 1) & (F.col("doc_id") % 5 == 0)
-    dev_changed = (k == 2) & (F.col("doc_id") % 13 == 0)
-    base = docs.select(
-        "doc_id", "n_chars", "source", "lang", "text", F.md5("text").alias("h"),
-        F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"),
-    )
-    keep = (
-        F.when(k == 0, F.col("doc_id") % 11 != 0)
-        .when(k == 1, F.col("doc_id") % 7 != 0)
-        .otherwise(F.col("doc_id") % 3 != 0)
+    i = F.col("doc_id")
+
+    def copy(k: int, there: Column, changed: Column, suffix: str) -> Column:
+        content = F.when(changed, F.concat("text", F.lit(suffix))).otherwise(F.col("text"))
+        return F.when(there, F.struct(F.lit(k).alias("k"), F.md5(content).alias("hash")))
+
+    copies = F.array(
+        copy(0, (i % 11 != 0) | (i % 21 == 0), F.lit(False), ""),
+        copy(1, i % 7 != 0, i % 5 == 0, "#r"),
+        copy(2, i % 3 != 0, i % 13 == 0, "#d"),
     )
-    return base.where(keep).select(
+    there = F.filter(copies, lambda c: c.isNotNull())
+    base = docs.select("doc_id", "n_chars", "source", "lang", F.inline(there))
+    k = F.col("k")
+    rel_changed = (k == 1) & (i % 5 == 0)
+    return base.select(
         F.element_at(F.array(*[F.lit(a) for a in ACCOUNTS]), k + 1).alias("account"),
         F.when(k == 2, F.lit("docs_dev")).otherwise(F.lit("docs")).alias("bucket"),
         F.when(k == 2, F.concat("lang", F.lit("/dev_"), "source", F.lit("/")))
@@ -85,10 +88,7 @@ def listing_from_documents(docs: DataFrame) -> DataFrame:
         F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"),
         _doc_date().alias("date"),
         F.when(rel_changed, F.col("n_chars") + 2).otherwise(F.col("n_chars")).cast("long").alias("size"),
-        F.when(rel_changed, F.md5(F.concat("text", F.lit("#r"))))
-        .when(dev_changed, F.md5(F.concat("text", F.lit("#d"))))
-        .otherwise(F.col("h"))
-        .alias("hash"),
+        "hash",
     )
 
 
@@ -119,9 +119,18 @@ DIRTY_MAP_ROWS = [
 
 
 def dirty_wide_map(docs: DataFrame) -> DataFrame:
-    spark = docs.sparkSession
-    extra = literal_rows(spark, DIRTY_MAP_ROWS, "pro string, release string, dev string")
-    return wide_map_from_documents(docs).unionByName(extra)
+    """The map with faults: two fixed rows, and a row for each source and version (``doc_id % 50``) of the
+    documents, padded with spaces, with blank, scheme-less and repeated cells by the version.
+    """
+    extra = literal_rows(docs.sparkSession, DIRTY_MAP_ROWS, "pro string, release string, dev string")
+    versions = docs.select("source", (F.col("doc_id") % 50).alias("v")).distinct()
+    name = F.concat("source", F.lit("/v"), F.col("v").cast("string"))
+    faulty = versions.select(
+        F.concat(F.lit("  s3://docs/"), name, F.lit("/ ")).alias("pro"),
+        F.when(F.col("v") % 5 == 0, F.lit("  ")).when(F.col("v") % 5 == 1, F.concat(F.lit("s3://docs/"), "source", F.lit("/all/"))).otherwise(F.concat(F.lit("s3://docs/"), name)).alias("release"),
+        F.when(F.col("v") % 7 == 0, F.concat(F.lit("docs_dev/"), name)).otherwise(F.concat(F.lit("s3://docs_dev/"), name)).alias("dev"),
+    )
+    return wide_map_from_documents(docs).unionByName(extra).unionByName(faulty)
 
 
 # Extra raw entries: a zero-byte folder marker, a non-empty key ending in `/`, keys one
@@ -173,7 +182,12 @@ def listing_with_strays(docs: DataFrame) -> DataFrame:
     stray = literal_rows(
         spark, STRAY_ROWS, "account string, bucket string, prefix string, name string, size long, hash string"
     ).select("account", "bucket", "prefix", "name", F.timestamp_seconds(F.lit(EPOCH_2024)).alias("date"), "size", "hash")
-    return listing_from_documents(docs).unionByName(stray)
+    # Every 17th document has also been left in a folder that no map row names.
+    left = docs.filter(F.col("doc_id") % 17 == 0).select(
+        F.lit("release").alias("account"), F.lit("docs").alias("bucket"), F.concat(F.lit("lost/"), "lang", F.lit("/")).alias("prefix"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), _doc_date().alias("date"), F.col("n_chars").alias("size"), F.md5("text").alias("hash"),
+    )
+    return listing_from_documents(docs).unionByName(stray).unionByName(left)
 
 
 def listing_from_lineitem(lineitem: DataFrame) -> DataFrame:

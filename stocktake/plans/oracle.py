@@ -18,7 +18,7 @@ listing AS (
   select 'pro' account, 'docs' bucket, source||'/'||lang||'/' prefix,
          cast(doc_id as varchar)||'.txt' name, to_timestamp(1704067200 + doc_id * 60)::timestamp date,
          n_chars size, md5(text) hash
-  from documents where doc_id % 11 <> 0
+  from documents where doc_id % 11 <> 0 or doc_id % 21 = 0
   union all
   select 'release', 'docs', source||'/'||lang||'/', cast(doc_id as varchar)||'.txt',
          to_timestamp(1704067200 + doc_id * 60)::timestamp,
@@ -52,6 +52,11 @@ map_wide AS (
   select '  s3://docs/src0/en/  ', 's3://docs/src0/en/', 's3://docs_dev/en/dev_src0'
   union all
   select 's3://docs/', '   ', 'docs_dev/en/dev_src1/'
+  union all
+  select '  s3://docs/'||name||'/ ',
+         case when v % 5 = 0 then '  ' when v % 5 = 1 then 's3://docs/'||source||'/all/' else 's3://docs/'||name end,
+         case when v % 7 = 0 then 'docs_dev/'||name else 's3://docs_dev/'||name end
+  from (select distinct source, doc_id % 50 v, source||'/v'||cast(doc_id % 50 as varchar) name from documents)
 )"""
 
 MAP_RAW_LONG = """
@@ -105,6 +110,9 @@ listing_strays AS (
     ('dev', 'docs_dev', 'xx/', 'stray.txt', 4, '8277e0910d750195b448797616e091ad'),
     ('release', 'docs', 'src0/zz/', 'lost.txt', 3, 'fbade9e36a3f36d3d676c1b808451dd7')
   ) t(account, bucket, prefix, name, size, hash)
+  union all
+  select 'release', 'docs', 'lost/'||lang||'/', cast(doc_id as varchar)||'.txt', n_chars, md5(text)
+  from documents where doc_id % 17 = 0
 )"""
 
 
@@ -358,16 +366,17 @@ from all_accounts"""
 select *, {_hash_rule('pro', 'release')}, {_hash_rule('pro', 'dev')}, {_exist_rule('pro', 'release')}
 from all_accounts"""
     )
-    q["rules_unknown_accounts"] = (
-        clean
-        + """
-, known AS (select distinct account from map_long),
-cfg AS (select 'prod' origin),
-targets AS (select unnest(['releas', 'dev', 'de', 'pre', 'release']) account),
+    q["rules_unknown_accounts"] = """
+with known AS (select distinct source account from documents),
+targets AS (
+  select distinct case when lang = 'en' then source||'-'||cast(n_chars // 500 as varchar) else source end account from documents
+  union
+  select distinct source||'_'||lang from documents
+),
 bad AS (
-  select 'origin' chk, origin account from cfg where origin not in (select account from known)
+  select 'origin' chk, max(source)||'-none' account from documents
   union all
-  select distinct 'targets', account from targets where account not in (select account from known)
+  select 'targets', account from targets where account not in (select account from known)
 )
 select chk "check", count(*) n_accounts, string_agg(account, ', ' order by account) accounts,
        case when count(*) = 1
@@ -375,7 +384,6 @@ select chk "check", count(*) n_accounts, string_agg(account, ', ' order by accou
             else 'The AWS accounts ''' || string_agg(account, ''', ''' order by account) || ''' are defined in analysis-config.json but not in s3-uris-to-analyze.csv'
        end message
 from bad group by chk"""
-    )
     q["pending_accounts"] = (
         _with(LISTING, MAP_WIDE, MAP_RAW_LONG, MAP_LONG)
         + """
@@ -388,4 +396,91 @@ select account, account_ord, account_ord = (select min(account_ord) from pending
     )
     q["round_trip_csv"] = q["all_accounts"]
     q["listing_csv_round_trip"] = q["listing_with_placeholders"]
+    q.update(_written(q, dirty))
     return q
+
+
+# --------------------------------------------------------------------------- the written path
+
+ODD_NAME = """case doc_id % 5 when 0 then ' '||cast(doc_id as varchar)||'.csv '
+  when 1 then 'a"'||cast(doc_id as varchar)||'",b.csv'
+  when 2 then cast(doc_id as varchar)||chr(10)||'line'||chr(13)||chr(10)||'break.csv'
+  when 3 then '"'||cast(doc_id as varchar)||'\\".csv'
+  else cast(doc_id as varchar)||'.csv' end"""
+ODD_DATE = "make_timestamp(1704067200000000 + doc_id * 60000000 + doc_id % 3 * 123456)"
+NUMBERED = {"pro": "012345678901", "release": "123456789012", "dev": "000000000007"}
+DATE = "to_timestamp(1704067200 + doc_id * 60)::timestamp"
+
+
+def _written(q: dict[str, str], dirty: str) -> dict[str, str]:
+    odd = lambda sql: sql.replace("cast(doc_id as varchar)||'.txt'", ODD_NAME).replace(DATE, ODD_DATE)
+    full = q["analysis_full"]
+    numbered = _with(LISTING, MAP_WIDE, MAP_RAW_LONG, MAP_LONG)
+    number = "case l.account " + " ".join(f"when '{a}' then '{n}'" for a, n in NUMBERED.items()) + " end"
+    return {
+        "full_diff_written": full,
+        "full_diff_csv": odd(q["all_accounts"]),
+        "analysis_csv": odd(full),
+        "full_diff_rerun": full.replace("from documents where doc_id % 3 <> 0", "from documents where false"),
+        "full_diff_earlier_run": full.replace("from documents where doc_id % 11 <> 0 or doc_id % 21 = 0", "from documents where doc_id % 4 <> 0 and (doc_id % 11 <> 0 or doc_id % 21 = 0)")
+        .replace("from documents where doc_id % 7 <> 0", "from documents where doc_id % 4 <> 0 and doc_id % 7 <> 0")
+        .replace("from documents where doc_id % 3 <> 0", "from documents where doc_id % 4 <> 0 and doc_id % 3 <> 0"),
+        "full_diff_subfolders": q["listing_subfolders"],
+        "numeric_accounts": numbered
+        + f"""
+, folders AS (select distinct account, bucket, prefix from map_long where bucket is not null),
+filled AS (
+  select account, bucket, prefix, name, size, hash from listing
+  union all
+  select f.account, f.bucket, f.prefix, null, null, null from folders f
+  where not exists (select 1 from listing x where x.account = f.account and x.bucket = f.bucket and x.prefix = f.prefix)
+)
+select s.source, {number} account, l.bucket, l.prefix, l.name, l.size, l.hash
+from filled l cross join (values ('parquet'), ('csv')) s(source)""",
+        "combine_duplicate_keys": """
+with l AS (
+  select 'orders/'||cast(l_orderkey as varchar)||'/' prefix, cast(l_linenumber as varchar)||'.row' name,
+         l_shipdate::timestamp date, cast(l_quantity as bigint) size, l_partkey, l_suppkey, l_extendedprice
+  from lineitem
+), h AS (
+  select prefix, name, date, size, md5(concat_ws('|', l_partkey, l_suppkey, l_extendedprice)) hash from l
+), a AS (select *, row_number() over (partition by prefix, name order by date, size, hash) copy from h),
+b AS (select *, row_number() over (partition by prefix, name order by date, size, hash) copy from h where size % 3 <> 0)
+select 'tpch' bucket_in_all, coalesce(a.prefix, b.prefix) prefix_in_all, coalesce(a.name, b.name) file_name_in_all_accounts,
+       a.date date_in_all, a.size size_in_all, a.hash hash_in_all, b.date date_in_name, b.size size_in_name, b.hash hash_in_name
+from a full join b on a.prefix = b.prefix and a.name = b.name and a.copy = b.copy""",
+        "map_file_round_trip": dirty + "\nselect account, uri, bucket, prefix, key_bucket, key_prefix from map_long",
+        "map_empty_account": _with(MAP_WIDE)
+        + """
+select 0 account_ord, false is_empty, count(distinct pro) n_uris from map_wide
+union all select 1, true, count(distinct release) from map_wide
+union all select 2, false, count(distinct dev) from map_wide""",
+        "rule_config_file": """
+with c AS (
+  select 'is_hash_the_same_in' rule, source target from documents where lang = 'de' group by source
+  union all
+  select 'can_the_file_exist_in', source from documents where lang = 'en' group by source
+)
+select rule, row_number() over (partition by rule order by target) - 1 ord, target, (select max(source) from documents) origin, true run_analysis from c""",
+        "struct_form": q["all_accounts"],
+        "account_pair": _with(MAP_WIDE_DIRTY) + "\nselect pro, dev from map_wide",
+        "prefix_check": _with(LISTING)
+        + """
+select account, bool_and(not (account = 'dev' and prefix like 'fr/%')) all_end_in_slash from listing group by account""",
+        "analysis_ordered": _all_accounts_with()
+        + """
+, ords AS (select pro, row_number() over (order by pro desc) ord from map_wide),
+keyed AS (select ord, regexp_extract(pro, '^s3://(.+?)/(.+)', 1) b, regexp_extract(pro, '^s3://(.+?)/(.+)', 2)||'/' f from ords)
+select row_number() over (order by ord, file_name_in_all_accounts nulls first) - 1 "position",
+       bucket_in_pro, prefix_in_pro, file_name_in_all_accounts, hash_in_dev
+from all_accounts join keyed on b = bucket_in_pro and f = prefix_in_pro""",
+        "inventory_listing": q["listing_with_placeholders"],
+        "binaryfile_listing": """
+select 'pro' account, 'docs' bucket, 'folder='||source||'_'||lang||'/' prefix,
+       cast(sum(octet_length(encode(text)) + 1) as bigint) size, 0::bigint n_placeholders
+from documents group by source, lang
+union all select 'pro', 'docs', 'folder=none/', null, 1""",
+        "object_hashes": """
+select 'pro' account, 'folder='||cast(n_nationkey as varchar)||'/' prefix, cast(octet_length(encode(n_name)) + 1 as bigint) size, md5(n_name||chr(10)) hash
+from nation""",
+    }

@@ -5,10 +5,11 @@
 * P-3 ``analysis``: all-accounts table -> rule columns
 * P-4 ``full_diff``: map checks, then P-1 .. P-3, optionally written per run id
 
-Nothing is collected to the driver. The folder-sized map is materialized once
-(``checkpoint``); without an output root the rest is one lazy plan. With one,
-each stage is written for the run and the next stage reads the written table, so
-the tables are the lineage cut points (also when stages run as separate jobs).
+What reaches the driver is bounded: the map's header, the rule config, size sums and the first
+finding of each strict check. The folder-sized map is materialized once (``checkpoint``);
+without an output root the rest is one lazy plan. With one, each stage is written for
+the run as Parquet and the next stage reads the written table, so the tables are the lineage cut
+points (also when stages run as separate jobs). A CSV export is written last, from these tables.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from stocktake.functions.uri import quoted
 from stocktake.operators import combine as C
 from stocktake.operators import listing as L
 from stocktake.operators import rules as R
@@ -25,7 +26,7 @@ from stocktake.operators import uri_map as M
 from stocktake.operators.joins import join_small
 from stocktake.schemas import all_accounts_schema, key_bucket_column, key_prefix_column
 from stocktake.sinks import tables as S
-from stocktake.sources.readers import read_all_accounts_csv, read_listing_csv_table, read_listing_table
+from stocktake.sources.readers import read_listing_table
 
 # Fixed value: error text when listing rows fall outside the map.
 MSG_UNMAPPED = "Some values could not be replaced"
@@ -38,6 +39,7 @@ class DiffResult:
     all_accounts: DataFrame
     analysis: DataFrame
     unmapped: DataFrame
+    duplicates: DataFrame
     subfolders: DataFrame | None = None
 
 
@@ -80,14 +82,17 @@ def full_diff(
     fmt: str = "parquet",
     ordered: bool = False,
 ) -> DiffResult:
-    """P-4. Give either raw entries (P-1 runs) or a ready listing.
+    """P-4. Give either raw entries (P-1 runs) or a ready listing of one run.
 
     ``ordered`` writes the analysis in map order, then file name (a range-partitioned
-    sort; meant for outputs read by people).
+    sort; meant for outputs read by people). ``strict`` raises on map errors and on listing rows
+    outside the map, before anything is written.
 
     Without ``out_root`` everything stays one lazy plan. With it, each stage is
     written under ``out_root`` for the run and the next stage reads the written
-    table (lineage cut); empty folders are then found from written rows.
+    table (lineage cut); empty folders are then found from written rows. The reports (rows outside
+    the map, sub-folders, keys listed more than once) are written beside the tables; ``fmt="csv"``
+    adds a CSV export of the tables under ``csv/``.
     """
     if listing is None and raw is None:
         raise ValueError("give raw entries or a listing")
@@ -95,63 +100,62 @@ def full_diff(
     if config.run_analysis:
         R.assert_config_matches(config, accounts)
     long_map = prepare_map(wide_map, strict)
-    # A listing extracted here holds mapped folders only; a given one may hold strays.
-    check_unmapped = strict and listing is not None
     report = L.subfolders(raw, long_map, accounts) if raw is not None else None
     if report is not None and on_subfolders == "fail":
         L.assert_no_subfolders(report)
+    given = listing
+    if given is not None:
+        # A listing extracted here holds mapped folders only; a given one may hold strays.
+        unmapped = C.unmapped_objects(given, long_map)
+        if strict and unmapped.limit(1).count() > 0:
+            raise ValueError(MSG_UNMAPPED)
 
     if out_root is None:
         if listing is None:
             listing = L.extract_listing(raw, long_map, accounts)
-        unmapped = C.unmapped_objects(listing, long_map)
-        if check_unmapped and unmapped.limit(1).count() > 0:
-            raise ValueError(MSG_UNMAPPED)
+            unmapped = C.unmapped_objects(listing, long_map)
         flat = combine_accounts(listing, long_map, accounts)
-        return DiffResult(long_map, listing, flat, analysis(flat, config, accounts), unmapped, report)
+        return DiffResult(long_map, listing, flat, analysis(flat, config, accounts), unmapped, L.duplicate_keys(listing), report)
 
     run_id = run_id or S.new_run_id()
-    if listing is None:
-        listing = write_listing_run(raw, long_map, accounts, out_root, run_id, fmt)
+    if given is None:
+        listing = write_listing_run(raw, long_map, accounts, out_root, run_id)
+        unmapped = C.unmapped_objects(listing, long_map)
     else:
-        path = S.write_listing(listing, out_root, run_id, fmt)
-        listing = _read_listing_run(listing.sparkSession, path, run_id, fmt)
-    unmapped = C.unmapped_objects(listing, long_map)
-    if check_unmapped and unmapped.limit(1).count() > 0:
-        raise ValueError(MSG_UNMAPPED)
-    flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id, fmt)
+        # Every account of the map gets rows, so none of an earlier attempt's rows stay.
+        path = S.write_listing(L.with_placeholders(given, long_map, accounts), out_root, run_id)
+        listing = read_listing_table(given.sparkSession, path, run_id)
+        unmapped = C.unmapped_objects(listing, long_map)
+    flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id)
     result = analysis(flat, config, accounts)
+    spark, columns = listing.sparkSession, result.schema
     if config.run_analysis:
         out = C.order_like_map(result, long_map, accounts) if ordered else result
-        S.write_run(out, S.table_path(out_root, S.ANALYSIS_DIR), run_id, fmt)
-    return DiffResult(long_map, listing, flat, result, unmapped, report)
-
-
-def _read_listing_run(spark, path: str, run_id: str, fmt: str) -> DataFrame:
+        result = spark.read.schema(columns).parquet(S.write_run(out, S.table_path(out_root, S.ANALYSIS_DIR), run_id))
+    reports = {S.UNMAPPED_DIR: unmapped, S.DUPLICATES_DIR: L.duplicate_keys(listing)} | ({S.SUBFOLDERS_DIR: report} if report is not None else {})
+    kept = {name: spark.read.schema(df.schema).parquet(S.write_run(df, S.table_path(out_root, name), run_id)) for name, df in reports.items()}
     if fmt == "csv":
-        return read_listing_csv_table(spark, path, run_id)
-    return read_listing_table(spark, path, run_id)
+        export = S.table_path(out_root, S.CSV_DIR)
+        S.write_listing(listing, export, run_id, "csv")
+        S.write_all_accounts(flat, export, run_id, "csv")
+        if config.run_analysis:
+            S.write_run(C.order_like_map(result, long_map, accounts) if ordered else result, S.table_path(export, S.ANALYSIS_DIR), run_id, "csv")
+    elif fmt != "parquet":
+        raise ValueError(f"unknown format {fmt!r}")
+    return DiffResult(long_map, listing, flat, result, kept[S.UNMAPPED_DIR], kept[S.DUPLICATES_DIR], kept.get(S.SUBFOLDERS_DIR))
 
 
-def write_listing_run(
-    raw: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, fmt: str = "parquet"
-) -> DataFrame:
-    """P-1 into the listing table: file rows first, then placeholders found from the written rows.
+def write_listing_run(raw: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str) -> DataFrame:
+    """P-1 into the listing table: files and placeholders in one write.
 
-    The raw inventory is scanned once; the empty-folder check reads three columns
-    of the written listing. Returns a frame over the written run (lineage cut).
+    So every account owned has rows, and the write replaces all of them: an account that has become
+    empty leaves no rows of an earlier attempt. Returns a frame over the written run (lineage cut).
     """
-    spark = raw.sparkSession
-    path = S.write_listing(L.extract_files(raw, long_map, accounts), out_root, run_id, fmt)
-    written = _read_listing_run(spark, path, run_id, fmt).where(F.col("account").isin(list(accounts)))
-    filler = L.placeholders(L.mapped_folders(long_map, accounts), written, bound=long_map)
-    S.write_listing(filler, out_root, run_id, fmt, mode="append")
-    return _read_listing_run(spark, path, run_id, fmt)
+    path = S.write_listing(L.extract_listing(raw, long_map, accounts), out_root, run_id)
+    return read_listing_table(raw.sparkSession, path, run_id)
 
 
-def write_all_accounts_run(
-    listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, fmt: str = "parquet"
-) -> DataFrame:
+def write_all_accounts_run(listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str) -> DataFrame:
     """P-2 into a table: object rows first, then the empty folders found from the written rows.
 
     Reading back two folder columns of the written run is cheaper than a second
@@ -162,21 +166,14 @@ def write_all_accounts_run(
     spark = listing.sparkSession
     table = S.table_path(out_root, S.ALL_ACCOUNTS_DIR)
     objects = C.combine(C.rekey(listing, long_map), accounts)
-    S.write_run(C.flatten(objects, accounts), table, run_id, fmt, mode="overwrite")
-    written = _read_run(spark, table, run_id, accounts, fmt)
+    path = S.write_run(C.flatten(objects, accounts), table, run_id, mode="overwrite")
+    written = spark.read.schema(all_accounts_schema(accounts)).parquet(path)
     key = accounts[0]
     seen = written.select(
-        F.col(key_bucket_column(key)).alias("key_bucket"), F.col(key_prefix_column(key)).alias("key_prefix")
+        quoted(key_bucket_column(key)).alias("key_bucket"), quoted(key_prefix_column(key)).alias("key_prefix")
     ).distinct()
     folders = M.key_folders(long_map)
     empty = join_small(folders, seen.withColumnsRenamed({"key_bucket": "bucket", "key_prefix": "prefix"}), ["bucket", "prefix"], "left_anti", bound=long_map)
     filler = C.placeholder_rows(empty, accounts)
-    S.write_run(C.flatten(filler, accounts), table, run_id, fmt, mode="append")
-    return _read_run(spark, table, run_id, accounts, fmt)
-
-
-def _read_run(spark, table: str, run_id: str, accounts: list[str], fmt: str) -> DataFrame:
-    path = S.run_path(table, run_id)
-    if fmt == "csv":
-        return read_all_accounts_csv(spark, path, accounts)
+    S.write_run(C.flatten(filler, accounts), table, run_id, mode="append")
     return spark.read.schema(all_accounts_schema(accounts)).parquet(path)

@@ -19,15 +19,14 @@ from stocktake.operators import listing as L
 from stocktake.operators import rules as R
 from stocktake.operators import uri_map as M
 from stocktake.plans import documents as D
-from stocktake.schemas import FILE_NAME_COLUMN, RULE_CONFIG, key_bucket_column, key_prefix_column
+from stocktake.plans.written import QUERIES as WRITTEN
+from stocktake.schemas import FILE_NAME_COLUMN, key_bucket_column, key_prefix_column
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ACCOUNTS = D.ACCOUNTS
 FLAGSHIP_RULES = R.RuleConfig(origin="pro", is_hash_the_same_in=["release", "dev"], can_the_file_exist_in=["release"])
 OTHER_ORIGIN_RULES = R.RuleConfig(origin="release", is_hash_the_same_in=["pro", "dev"], can_the_file_exist_in=["pro", "dev"])
-# A config naming accounts the map does not have (origin and three targets).
-BAD_RULES = ("prod", ["releas", "dev"], ["de", "pre", "release"])
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,10 +212,15 @@ def q_orders_analysis(spark, sf_dir):
 
 
 def q_rules_unknown_accounts(spark, sf_dir):
-    origin, hash_in, exist_in = BAD_RULES
-    config = spark.createDataFrame([(True, origin, exist_in, hash_in)], RULE_CONFIG)
-    accounts = A.map_accounts(_long_map(spark, sf_dir))
-    return R.unknown_accounts_report(config, accounts)
+    """Accounts are the sources; the config names sources with a suffix by size and language, which mostly are none."""
+    docs = _docs(spark, sf_dir)
+    grown = F.when(F.col("lang") == "en", F.concat("source", F.lit("-"), F.floor(F.col("n_chars") / 500).cast("string"))).otherwise(F.col("source"))
+    names = lambda c: F.array_sort(F.collect_set(c))
+    config = docs.agg(
+        F.lit(True).alias("run_analysis"), F.concat(F.max("source"), F.lit("-none")).alias("origin"),
+        names(grown).alias("can_the_file_exist_in"), names(F.concat("source", F.lit("_"), "lang")).alias("is_hash_the_same_in"),
+    )
+    return R.unknown_accounts_report(config, docs.select(F.col("source").alias("account")).distinct())
 
 
 def q_pending_accounts(spark, sf_dir):
@@ -237,26 +241,6 @@ def q_round_trip_csv(spark, sf_dir):
     return read_all_accounts_csv(spark, S.run_path(path, run_id), ACCOUNTS)
 
 
-def q_binaryfile_listing(spark, sf_dir):
-    """Write every document as text into ``<bucket>/<source>/<lang>/`` folders, scan them back with binaryFile."""
-    from stocktake.session import scratch_root
-    from stocktake.sources.objects import scan_objects
-
-    root = scratch_root(spark)
-    docs = _docs(spark, sf_dir)
-    (
-        docs.select(F.concat("source", F.lit("_"), "lang").alias("folder"), "text")
-        .repartition("folder")
-        .write.mode("overwrite")
-        .partitionBy("folder")
-        .text(f"{root}/docs")
-    )
-    raw = scan_objects(spark, root, "pro")
-    folders = docs.select("source", "lang").distinct().select(F.concat(F.lit("s3://docs/folder="), "source", F.lit("_"), "lang").alias("pro"))
-    long_map = M.unpivot_map(folders)
-    return L.extract_listing(raw, long_map).select("account", "bucket", "prefix", "name", "size", "hash")
-
-
 QUERIES: dict[str, Query] = {
     "uri_parts": q_uri_parts,
     "url_parts_pages": q_url_parts_pages,
@@ -284,5 +268,4 @@ QUERIES: dict[str, Query] = {
     "rules_unknown_accounts": q_rules_unknown_accounts,
     "pending_accounts": q_pending_accounts,
     "round_trip_csv": q_round_trip_csv,
-    "binaryfile_listing": q_binaryfile_listing,
-}
+} | WRITTEN

@@ -18,6 +18,10 @@ LISTING = T.StructType(
     ]
 )
 
+# A listing table on disk also has its run; partition values are declared as text, so that
+# account ids such as 012345678901 keep their zeros.
+LISTING_WITH_RUN = T.StructType([*LISTING.fields, T.StructField("run_id", T.StringType())])
+
 # Raw entry of an object store listing (what a list call or an inventory report returns).
 RAW_ENTRY = T.StructType(
     [
@@ -33,6 +37,10 @@ RAW_ENTRY = T.StructType(
 # Per-account listing as stored in CSV: every column read as text first (size may read "49.0").
 LISTING_CSV_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("bucket", "prefix", "name", "date", "size", "hash")])
 
+LISTING_CSV_WITH_RUN = T.StructType(
+    [*LISTING_CSV_TEXT.fields, T.StructField("run_id", T.StringType()), T.StructField("account", T.StringType())]
+)
+
 RULE_CONFIG = T.StructType(
     [
         T.StructField("run_analysis", T.BooleanType()),

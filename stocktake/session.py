@@ -8,12 +8,13 @@ that setting is missing (local tests).
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SCRATCH_SUBDIR = "stocktake"
+# Checkpoint folder of a local master where none is configured (tests, a laptop).
+LOCAL_CHECKPOINTS = "file:///tmp/checkpoints/stocktake"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "stocktake") -> SparkSession:
@@ -33,6 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
@@ -83,9 +85,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and not sc.master.startswith("local"):
         # A machine-local folder is not visible to other executors: never fall back to one on a cluster.
         raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
-    path = configured or tempfile.mkdtemp(prefix="stocktake-ckpt-")
+    path = configured or LOCAL_CHECKPOINTS
     sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    current = sc.getCheckpointDir() or path
+    _delete_on_exit(spark, current)
+    return current
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the folder removed when the driver ends: scratch of this session only (its name is unique)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -95,4 +106,9 @@ def scratch_root(spark: SparkSession) -> str:
     except Exception:  # Spark Connect
         base = _conf_checkpoint_dir(spark)
     base = base or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{SCRATCH_SUBDIR}/{uuid.uuid4().hex}"
+    root = f"{base.rstrip('/')}/{SCRATCH_SUBDIR}/{uuid.uuid4().hex}"
+    try:
+        _delete_on_exit(spark, root)
+    except Exception:  # Spark Connect: the server's own clean-up applies
+        pass
+    return root

@@ -1,26 +1,34 @@
 """Writers: listing, all-accounts and analysis tables, one result set per run id.
 
-Parquet by default; CSV on request with text parity to the classic CSV output
-(timestamps as ``2024-10-14 08:49:01+00:00``, booleans as ``True``/``False``).
-Writes use dynamic partition overwrite, so writing one account of a run never
-touches the other accounts' partitions (accounts may be extracted by separate jobs).
+Tables are Parquet; a CSV export has text parity to the classic CSV output (timestamps as
+``2024-10-14 08:49:01+00:00``, with a fraction only where there is one, booleans as
+``True``/``False``). Listing writes use dynamic partition overwrite, so writing one account of a
+run never touches the other accounts' partitions (accounts may be extracted by separate jobs);
+every account that is written needs a row, or its old partition would stay.
 """
 
 from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stocktake.functions.uri import quoted
+from stocktake.sources.readers import CSV_DIALECT
+
 # Fixed value: run ids look like 20250519224348 (UTC, year to second).
 RUN_ID_FORMAT = "%Y%m%d%H%M%S"
-CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ssxxx"
 
 LISTINGS_DIR = "accounts"
 ALL_ACCOUNTS_DIR = "all_accounts"
 ANALYSIS_DIR = "analysis"
+UNMAPPED_DIR = "unmapped_objects"
+SUBFOLDERS_DIR = "subfolders"
+DUPLICATES_DIR = "duplicate_keys"
+# CSV exports: the same tables under this folder.
+CSV_DIR = "csv"
 
 
 def new_run_id(now: datetime.datetime | None = None) -> str:
@@ -28,25 +36,36 @@ def new_run_id(now: datetime.datetime | None = None) -> str:
     return now.strftime(RUN_ID_FORMAT)
 
 
-def _booleans_as_text(df: DataFrame) -> DataFrame:
-    cols = []
-    for f in df.schema.fields:
-        c = F.col("`" + f.name + "`")
-        cols.append(F.initcap(c.cast("string")).alias(f.name) if isinstance(f.dataType, T.BooleanType) else c)
-    return df.select(*cols)
+def _text_of(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.BooleanType):
+        return F.initcap(c.cast("string"))
+    if isinstance(kind, T.TimestampType):
+        fraction = F.when(F.unix_micros(c) % 1_000_000 != 0, F.date_format(c, ".SSSSSS")).otherwise(F.lit(""))
+        return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), fraction, F.date_format(c, "xxx"))
+    return c
 
 
-def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str, mode: str = "overwrite") -> None:
+def _as_csv_text(df: DataFrame) -> DataFrame:
+    return df.select(*[_text_of(quoted(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
+def _save(df: DataFrame, path: str, fmt: str, mode: str, partition_by: list[str]) -> None:
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format {fmt!r}")
-    out = _booleans_as_text(df) if fmt == "csv" else df
-    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    out = _as_csv_text(df) if fmt == "csv" else df
+    writer = out.write.mode(mode)
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path)
+        writer.options(header=True, **CSV_DIALECT).csv(path)
     else:
         writer.parquet(path)
 
 
+def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str, mode: str = "overwrite") -> None:
+    _save(df, path, fmt, mode, partition_by)
+
+
 def write_listing(listing: DataFrame, root: str, run_id: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Listing rows into ``<root>/accounts/run_id=<id>/account=<a>``; overwrite replaces only the accounts written."""
     path = f"{root.rstrip('/')}/{LISTINGS_DIR}"
@@ -72,15 +91,8 @@ def write_run(df: DataFrame, table_path: str, run_id: str, fmt: str = "parquet",
     ``overwrite`` replaces the whole run folder (also when ``df`` is empty), so a
     retried job never leaves rows of an earlier attempt; ``append`` adds files.
     """
-    if fmt not in ("csv", "parquet"):
-        raise ValueError(f"unknown format {fmt!r}")
     path = run_path(table_path, run_id)
-    out = _booleans_as_text(df) if fmt == "csv" else df
-    writer = out.write.mode(mode)
-    if fmt == "csv":
-        writer.option("header", True).option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path)
-    else:
-        writer.parquet(path)
+    _save(df, path, fmt, mode, [])
     return path
 
 

@@ -1,40 +1,88 @@
-"""Scan stored objects with Spark's ``binaryFile`` source into raw listing entries.
+"""List the objects of mapped folders, distributed over the folders, into raw listing entries.
 
-The root is scanned recursively once (never folder by folder, so a configured
-folder that does not exist is just empty). The first path component under the
-root is the bucket, the rest the key. ``content`` is read only when a hash is
-asked for; otherwise column pruning keeps it out of the scan.
+Only the mapped folders are listed, one list call per folder and non-recursive, in the tasks
+that hold the folders' rows: the driver never sees an object, and nothing else under a bucket is
+touched. Names and sizes come from the listing; no object is read. Every name counts: zero-byte objects,
+``_SUCCESS``, names that begin with a dot. A folder that does not exist is just empty.
 
-Hash kinds: a store's ETag is not always the MD5 of the content (multipart
-uploads). Compare listings of the same ``hash_kind`` only.
+``with_content_hash`` adds the MD5 of the content for objects that were listed, read in pieces by
+tasks that share the objects evenly. A store's own ETags come with inventory reports
+(:func:`stocktake.sources.readers.read_inventory`). Compare listings of the same ``hash_kind`` only.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterable, Iterator
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def _path_body(root: str) -> str:
-    """Root without scheme, as it appears after the scheme in ``binaryFile``'s ``path``."""
-    body = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", root)
-    return body.rstrip("/")
-
-
-def scan_objects(spark: SparkSession, root: str, account: str, with_hash: bool = True, glob: str | None = None) -> DataFrame:
-    """Objects under ``root`` -> ``account, bucket, key, last_modified, size, etag``."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root)
-    rel = F.regexp_extract("path", re.escape(_path_body(root)) + r"/(.*)$", 1)
-    etag = F.md5("content") if with_hash else F.lit(None).cast("string")
-    return df.select(
-        F.lit(account).alias("account"),
-        F.substring_index(rel, "/", 1).alias("bucket"),
-        F.regexp_extract(rel, r"^[^/]*/(.*)$", 1).alias("key"),
-        F.col("modificationTime").alias("last_modified"),
-        F.col("length").alias("size"),
-        etag.alias("etag"),
-    )
+from stocktake.operators.listing import mapped_folders
+from stocktake.schemas import RAW_ENTRY
+
+#: Where ``<bucket>/<key>`` lies; ``{account}`` stands for the account.
+S3_STORE = "s3://"
+READ_BYTES = 8 << 20
+ENTRY_KINDS = [("account", pa.string()), ("bucket", pa.string()), ("key", pa.string()), ("last_modified", pa.timestamp("us", "UTC")), ("size", pa.int64()), ("etag", pa.string())]
+
+
+def _located(store: str, account: str, bucket: str, key: str) -> tuple[fs.FileSystem, str]:
+    escaped = quote if re.match("[a-zA-Z][a-zA-Z0-9+.-]*:", store) else str  # a plain path is no URI
+    return fs.FileSystem.from_uri(store.replace("{account}", escaped(account)) + escaped(f"{bucket}/{key}"))
+
+
+def list_folders(long_map: DataFrame, accounts: list[str] | None = None, store: str = S3_STORE, tasks: int | None = None) -> DataFrame:
+    """Objects directly under each mapped folder -> ``account, bucket, key, last_modified, size, etag`` (null).
+
+    A sub-folder is an entry whose key ends in ``/``, of size 0, as a store's folder marker; so
+    it is no file, and shows up in the sub-folder report.
+    """
+    folders = mapped_folders(long_map, accounts)
+    tasks = tasks or int(folders.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def list_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for account, bucket, prefix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                system, path = _located(store, account, bucket, prefix)
+                found = system.get_file_info(fs.FileSelector(path, recursive=False, allow_not_found=True))
+                files = [f for f in found if f.type in (fs.FileType.File, fs.FileType.Directory)]
+                folder = [f.type == fs.FileType.Directory for f in files]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([account] * len(files), pa.string()),
+                        pa.array([bucket] * len(files), pa.string()),
+                        pa.array([prefix + f.base_name + ("/" if d else "") for f, d in zip(files, folder, strict=True)], pa.string()),
+                        pa.array([f.mtime for f in files], pa.timestamp("us", "UTC")),
+                        pa.array([0 if d else f.size for f, d in zip(files, folder, strict=True)], pa.int64()),
+                        pa.nulls(len(files), pa.string()),
+                    ],
+                    [name for name, _ in ENTRY_KINDS],
+                )
+
+    return folders.select("account", "bucket", "prefix").repartition(tasks).mapInArrow(list_, RAW_ENTRY)
+
+
+def with_content_hash(raw: DataFrame, store: str = S3_STORE) -> DataFrame:
+    """The entries with ``etag`` set to the MD5 of the object's content (folder entries keep theirs)."""
+
+    def hashed(account: str, bucket: str, key: str) -> str:
+        system, path = _located(store, account, bucket, key)
+        digest = hashlib.md5()
+        with system.open_input_stream(path) as stream:
+            while piece := stream.read(READ_BYTES):
+                digest.update(piece)
+        return digest.hexdigest()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = zip(*(batch.column(c).to_pylist() for c in ("account", "bucket", "key", "etag")), strict=True)
+            etags = [etag if key.endswith("/") else hashed(account, bucket, key) for account, bucket, key, etag in named]
+            yield batch.set_column(batch.schema.get_field_index("etag"), "etag", pa.array(etags, pa.string()))
+
+    # Dealt out by object, so that a folder with many objects is read by many tasks.
+    return raw.select(*RAW_ENTRY.fieldNames()).repartition(F.col("account"), F.col("bucket"), F.col("key")).mapInArrow(run, RAW_ENTRY)

@@ -12,7 +12,12 @@ from pyspark.sql import types as T
 from stocktake.functions.uri import quoted
 from stocktake.operators.rules import RuleConfig
 from stocktake.operators.uri_map import ORD, MapFileError
-from stocktake.schemas import LISTING, LISTING_CSV_TEXT, RULE_CONFIG, all_accounts_schema
+from stocktake.schemas import LISTING, LISTING_CSV_TEXT, LISTING_CSV_WITH_RUN, LISTING_WITH_RUN, RAW_ENTRY, RULE_CONFIG, all_accounts_schema
+
+# The CSV dialect of all listing and result files, the same for reading and writing: quotes are
+# doubled, white space is kept, quoted cells may hold line breaks (so a file is one split).
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_READ = {**CSV_DIALECT, "header": True, "multiLine": True, "enforceSchema": True}
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -25,27 +30,40 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_uri_map(spark: SparkSession, path: str) -> DataFrame:
-    """Wide URI map with a file-order ordinal; header names trimmed, duplicates rejected."""
+    """Wide URI map with a file-order ordinal; header names trimmed, duplicates rejected.
+
+    Column names of the results contain account names and Spark compares them without regard to
+    case, so names that differ in case only are rejected as well.
+    """
     names = _header(spark, path)
-    if len(set(names)) != len(names):
-        dup = sorted({n for n in names if names.count(n) > 1})
+    folded = [n.lower() for n in names]
+    if len(set(folded)) != len(names):
+        dup = sorted({n for n in names if folded.count(n.lower()) > 1})
         raise MapFileError(f"Duplicated account names: {', '.join(dup)}")
     # Empty header cells keep Spark's `_c<i>` name so that the empty-account check sees them.
     fixed = [n if n else f"_c{i}" for i, n in enumerate(names)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in fixed])
-    df = spark.read.csv(path, header=True, schema=schema, enforceSchema=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    df = spark.read.csv(path, header=True, schema=schema, enforceSchema=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, escape='"')
     return df.select(F.monotonically_increasing_id().alias(ORD), *[quoted(n) for n in fixed])
 
 
 def read_rule_config_df(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("multiLine", True).schema(RULE_CONFIG).json(path)
+    """One row. Text that is no JSON (a trailing comma, a file cut short) raises when it is read."""
+    return spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(RULE_CONFIG).json(path)
 
 
 def read_rule_config(spark: SparkSession, path: str) -> RuleConfig:
-    """Parse the one-row rule config. ``run_analysis`` counts only when it is JSON ``true``."""
+    """Parse the one-row rule config; raises on malformed JSON and on a missing key.
+
+    ``run_analysis`` counts only when it is JSON ``true``.
+    """
     rows = read_rule_config_df(spark, path).limit(1).collect()
-    if not rows:
+    keys = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path).columns
+    if not rows or not keys:
         raise ValueError(f"empty rule config: {path}")
+    missing = [f for f in RULE_CONFIG.fieldNames() if f not in keys]
+    if missing:
+        raise ValueError(f"rule config {path} has no {', '.join(missing)}")
     r = rows[0]
     return RuleConfig(
         origin=r["origin"],
@@ -64,11 +82,9 @@ def parse_date(c: str = "date"):
     return F.expr(f"try_cast({c} as timestamp)")
 
 
-def read_listing_csv(spark: SparkSession, path: str, account: str) -> DataFrame:
-    """One account's listing CSV (``bucket,prefix,name,date,size,hash``) -> long listing rows."""
-    df = spark.read.csv(path, header=True, schema=LISTING_CSV_TEXT, enforceSchema=True)
-    return df.select(
-        F.lit(account).alias("account"),
+def _typed_listing(text: DataFrame, account) -> DataFrame:
+    return text.select(
+        account.alias("account"),
         "bucket",
         "prefix",
         "name",
@@ -78,69 +94,116 @@ def read_listing_csv(spark: SparkSession, path: str, account: str) -> DataFrame:
     )
 
 
+def read_listing_csv(spark: SparkSession, path: str, account: str) -> DataFrame:
+    """One account's listing CSV (``bucket,prefix,name,date,size,hash``) -> long listing rows."""
+    return _typed_listing(spark.read.csv(path, schema=LISTING_CSV_TEXT, **CSV_READ), F.lit(account))
+
+
 def read_account_csvs(spark: SparkSession, folder: str, accounts: list[str]) -> DataFrame:
     """``<folder>/<account>.csv`` for every account (one listing file per account) -> long listing.
 
     One read over all files; the account comes from the file name.
     """
     paths = [f"{folder.rstrip('/')}/{a}.csv" for a in accounts]
-    df = spark.read.csv(paths, header=True, schema=LISTING_CSV_TEXT, enforceSchema=True)
-    account = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
-    return df.select(
-        account.alias("account"),
-        "bucket",
-        "prefix",
-        "name",
-        parse_date("date").alias("date"),
-        parse_size("size").alias("size"),
-        F.col("hash").cast("string").alias("hash"),
-    )
+    df = spark.read.csv(paths, schema=LISTING_CSV_TEXT, **CSV_READ)
+    return _typed_listing(df, F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))
 
 
 def read_listing_csv_table(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """A listing table written as CSV (folders ``run_id=<id>/account=<a>``), typed like :func:`read_listing_csv`."""
-    df = spark.read.option("basePath", path).csv(path, header=True, schema=LISTING_CSV_TEXT, enforceSchema=True)
-    df = df.withColumn("account", F.col("account").cast("string")).withColumn("run_id", F.col("run_id").cast("string"))
+    df = spark.read.option("basePath", path).csv(path, schema=LISTING_CSV_WITH_RUN, **CSV_READ)
     if run_id is not None:
         df = df.where(F.col("run_id") == F.lit(run_id))
-    return df.select(
-        "account",
-        "bucket",
-        "prefix",
-        "name",
-        parse_date("date").alias("date"),
-        parse_size("size").alias("size"),
-        F.col("hash").cast("string").alias("hash"),
-    )
+    return _typed_listing(df, F.col("account"))
 
 
 def read_listing_table(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """Listing table written by :func:`stocktake.sinks.tables.write_listing` (partitioned by run and account)."""
-    df = spark.read.parquet(path)
+    """Listing table written by :func:`stocktake.sinks.tables.write_listing` (partitioned by run and account).
+
+    Without ``run_id`` the rows of all runs come back together; a diff reads one run.
+    """
+    df = spark.read.schema(LISTING_WITH_RUN).parquet(path)
     if run_id is not None:
         df = df.where(F.col("run_id") == F.lit(run_id))
     return df.select(*[f.name for f in LISTING.fields])
 
 
+def newest_run(spark: SparkSession, path: str) -> str:
+    """The last run id of a table (Parquet) partitioned by run; run ids sort by time."""
+    last = spark.read.schema(LISTING_WITH_RUN).parquet(path).agg(F.max("run_id")).first()[0]
+    if last is None:
+        raise ValueError(f"no run in {path}")
+    return last
+
+
+# What the columns of raw entries are called in the inventory, where names differ.
+INVENTORY_COLUMNS = {f: f for f in RAW_ENTRY.fieldNames()}
+
+
+def read_inventory(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    *,
+    account: str | None = None,
+    columns: dict[str, str] | None = None,
+    csv_columns: list[str] | None = None,
+    url_encoded_keys: bool = False,
+) -> DataFrame:
+    """An inventory report or list export (``parquet``, ``orc`` or ``csv``) -> raw entries.
+
+    ``columns`` maps raw entry fields (``bucket, key, last_modified, size, etag, account``) to the report's
+    column names; a field without a column is null. ``account`` names the account where the
+    report has no such column. ``csv_columns`` gives the names of a CSV without a header line;
+    otherwise its first line has them. ``url_encoded_keys`` decodes keys as stores write them in CSV reports
+    (``+`` is a space). The ETag is taken as it is: no object is read.
+    """
+    names = {**INVENTORY_COLUMNS, **(columns or {})}
+    if fmt == "csv":
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in csv_columns]) if csv_columns else None
+        df = spark.read.csv(path, schema=schema, header=not csv_columns, multiLine=True, **CSV_DIALECT)
+    elif fmt in ("parquet", "orc"):
+        df = spark.read.format(fmt).load(path)
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+    out = []
+    for field in RAW_ENTRY.fields:
+        if field.name == "account" and account is not None:
+            c = F.lit(account)
+        elif names[field.name] not in df.columns:
+            c = F.lit(None)
+        elif field.name == "size":
+            c = F.expr(f"try_cast(try_cast(`{names['size']}` as decimal(20,1)) as bigint)")
+        elif field.name == "last_modified":
+            c = F.expr(f"try_cast(`{names['last_modified']}` as timestamp)")
+        else:
+            c = quoted(names[field.name])
+            if field.name == "key" and url_encoded_keys:
+                c = F.url_decode(c)
+        out.append(c.cast(field.dataType).alias(field.name))
+    return df.select(*out)
+
+
 def read_all_accounts_csv(spark: SparkSession, path: str, accounts: list[str]) -> DataFrame:
     """Flattened all-accounts CSV, typed from the account list (sizes via decimal, see :func:`parse_size`)."""
     schema = all_accounts_schema(accounts)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    df = spark.read.csv(path, header=True, schema=text, enforceSchema=True)
+    df = spark.read.csv(path, schema=text, **CSV_READ)
     cols = []
     for f in schema.fields:
-        c = quoted(f.name)
+        name = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, T.LongType):
-            cols.append(F.expr(f"try_cast(try_cast(`{f.name}` as decimal(20,1)) as bigint)").alias(f.name))
+            cols.append(F.expr(f"try_cast(try_cast({name} as decimal(20,1)) as bigint)").alias(f.name))
         elif isinstance(f.dataType, T.TimestampType):
-            cols.append(F.expr(f"try_cast(`{f.name}` as timestamp)").alias(f.name))
+            cols.append(F.expr(f"try_cast({name} as timestamp)").alias(f.name))
         else:
-            cols.append(c.alias(f.name))
+            cols.append(quoted(f.name).alias(f.name))
     return df.select(*cols)
 
 
 def read_all_accounts_table(spark: SparkSession, path: str, accounts: list[str], run_id: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    schema = T.StructType([*all_accounts_schema(accounts).fields, T.StructField("run_id", T.StringType())])
+    df = spark.read.schema(schema).parquet(path)
     if run_id is not None:
         df = df.where(F.col("run_id") == F.lit(run_id))
     return df.select(*[quoted(f.name) for f in all_accounts_schema(accounts).fields])

@@ -17,30 +17,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stocktake.operators import accounts as A
 from stocktake.operators import rules as R
 from stocktake.operators import uri_map as M
 from stocktake.plans import pipeline as P
-from stocktake.schemas import LISTING
+from stocktake.schemas import LISTING_WITH_RUN
 from stocktake.sinks import tables as S
 from stocktake.sources.readers import read_listing_table
 
-LISTING_WITH_RUN = T.StructType(LISTING.fields + [T.StructField("run_id", T.StringType())])
+# Files of a micro-batch: bounds the runs that one batch can touch, also on a first start.
+MAX_FILES = 1000
 
 
 def complete_runs(batch: DataFrame, listing_path: str, long_map: DataFrame) -> list[str]:
-    """Runs touched by ``batch`` whose listing now covers every account of the map."""
+    """Runs touched by ``batch`` whose listing now covers every account of the map.
+
+    One grouped query over the partition columns of those runs. A batch holds at most ``MAX_FILES`` files,
+    so at most as many run ids come back.
+    """
     spark = batch.sparkSession
-    runs = [r["run_id"] for r in batch.select("run_id").distinct().collect()]  # one row per run: tiny
-    done = []
-    for run_id in runs:
-        listing = read_listing_table(spark, listing_path, run_id)
-        if A.pending_accounts(long_map, listing).limit(1).count() == 0:
-            done.append(run_id)
-    return done
+    accounts = A.map_accounts(long_map).select("account").distinct()
+    present = spark.read.schema(LISTING_WITH_RUN).parquet(listing_path).select("run_id", "account").distinct()
+    touched = batch.select("run_id").distinct()
+    covered = present.join(touched, "run_id", "left_semi").join(accounts, "account", "left_semi").groupBy("run_id").agg(F.count("*").alias("n"))
+    return [r["run_id"] for r in covered.where(F.col("n") == accounts.count()).select("run_id").orderBy("run_id").collect()]
 
 
 def process_run(spark: SparkSession, listing_path: str, long_map: DataFrame, accounts: list[str], config: R.RuleConfig, out_root: str, run_id: str) -> None:
@@ -66,7 +68,7 @@ def watch_listings(
     if config.run_analysis:
         R.assert_config_matches(config, accounts)
     long_map = P.prepare_map(wide_map)
-    stream = spark.readStream.schema(LISTING_WITH_RUN).parquet(listing_path)
+    stream = spark.readStream.schema(LISTING_WITH_RUN).option("maxFilesPerTrigger", MAX_FILES).parquet(listing_path)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         for run_id in complete_runs(batch, listing_path, long_map):

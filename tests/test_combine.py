@@ -123,19 +123,67 @@ def test_plan_one_object_shuffle_and_broadcast_map(spark):
     assert "ReusedExchange" in plan
 
 
-def test_binaryfile_scan_prunes_content_without_hash(spark, tmp_root):
-    from stocktake.sources.objects import scan_objects
-
-    X.write_object_tree(tmp_root)
-    df = scan_objects(spark, f"{tmp_root}/pro", "pro", with_hash=False)
-    scans = [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan binaryFile" in ln]
-    assert scans and "content" not in scans[0].split("]")[0]  # the file bodies are never read
-    hashed = scan_objects(spark, f"{tmp_root}/pro", "pro")
-    scans = [ln for ln in hashed._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan binaryFile" in ln]
-    assert "content" in scans[0].split("]")[0]
-    assert sorted(r["key"] for r in df.collect())[0] == "dogs/big_size/dogs-20240914.csv"
-    hashed = scan_objects(spark, f"{tmp_root}/pro", "pro").where(F.col("key").endswith("cars-20241014.csv")).first()
-    assert hashed["etag"] == "f15993242621717c5eb2a329b672bc1d" and hashed["bucket"] == "cars"
+def test_fallback_never_broadcasts_the_salted_copies(spark):
+    """A map over the budget with broadcasting left on: no salts explode below a broadcast."""
+    long = _long(spark, [(f"s3://b/f{k}", f"s3://c/g{k}") for k in range(300)], ["pro", "dev"])
+    listing = spark.createDataFrame([("pro", "b", f"f{k}/", "a", None, k, "h") for k in range(300)], LISTING)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8KB")
+    try:
+        df = C.rekey(listing, long)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 300 and "__salt" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_byte_sizes():
+    from stocktake.operators.joins import parse_bytes
+
+    assert [parse_bytes(x) for x in ("10485760", "64MB", "1g", "10k", "7b", "-1")] == [10485760, 64 << 20, 1 << 30, 10240, 7, -1]
+    with pytest.raises(ValueError):
+        parse_bytes("lots")
+
+
+def test_combine_is_one_exchange_of_the_objects(spark):
+    rows = spark.createDataFrame([("pro", "b", "f/", "a", None, 1, "h")], "account string, key_bucket string, key_prefix string, name string, date timestamp, size long, hash string")
+    df = C.combine(rows, ["pro", "dev"])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_every_copy_of_a_key_is_kept(spark):
+    kind = "account string, key_bucket string, key_prefix string, name string, date timestamp, size long, hash string"
+    rows = [("pro", "b", "f/", "f", None, 5, "x"), ("pro", "b", "f/", "f", None, 9, "y"), ("dev", "b", "f/", "f", None, 5, "x"), ("pro", "b", "f/", None, None, 1, "z")]
+    found = C.flatten(C.combine(spark.createDataFrame(rows, kind), ["pro", "dev"]), ["pro", "dev"]).select("file_name_in_all_accounts", "size_in_pro", "size_in_dev").collect()
+    assert sorted(map(tuple, found), key=repr) == [("f", 5, 5), ("f", 9, None), (None, 1, None)]
+
+
+def test_accounts_named_like_columns(spark):
+    wide = spark.createDataFrame([("s3://b/f", "s3://c/g", "s3://d/h")], "name string, uri_ord_x string, size string")
+    raw = spark.createDataFrame([("name", "b", "f/a", None, 1, "h"), ("size", "d", "h/a", None, 1, "h")], "account string, bucket string, key string, last_modified timestamp, size long, etag string")
+    r = P.full_diff(wide, R.RuleConfig(origin="name", is_hash_the_same_in=["size"]), raw=raw).analysis.first()
+    assert (r["hash_in_name"], r["hash_in_size"], r["is_hash_the_same_in_size"]) == ("h", "h", True)
+
+
+def test_list_folders_sees_every_name(spark, tmp_root):
+    """Zero-byte, hidden and underscore names count; nested objects show as sub-folders; roots repeat in paths."""
+    import os
+
+    from stocktake.operators import listing as L
+    from stocktake.sources.objects import list_folders, with_content_hash
+
+    root = f"{tmp_root}/data/proj/data"
+    os.makedirs(f"{root}/b/f g/deep")
+    for name, body in (("a.csv", "x"), ("empty.csv", ""), ("_SUCCESS", ""), (".hid", "h"), ("deep/z", "z"), ("é %41.txt", "u")):
+        with open(f"{root}/b/f g/{name}", "w") as f:
+            f.write(body)
+    long = _long(spark, [("s3://b/f g",), ("s3://b/none",)], ["pro"])
+    raw = list_folders(long, store=f"file://{root}/")
+    listing = {r["name"]: r for r in L.extract_listing(with_content_hash(raw, f"file://{root}/"), long).collect()}
+    assert set(listing) == {"a.csv", "empty.csv", "_SUCCESS", ".hid", "é %41.txt", None}
+    assert listing["empty.csv"]["size"] == 0 and listing["a.csv"]["hash"] == "9dd4e461268c8034f5c8564e155c67a6"
+    assert [r["subfolder"] for r in L.subfolders(raw, long).collect()] == ["f g/deep/"]
 
 
 def test_rekey_counts_preserved_and_unmapped(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stocktake.operators import rules as R
 from stocktake.plans import pipeline as P
-from stocktake.sources.objects import scan_objects
+from stocktake.sources.objects import list_folders, with_content_hash
 from tests import fixtures as X
 
 RULES = R.RuleConfig(origin="pro", is_hash_the_same_in=["release", "dev"], can_the_file_exist_in=["release"])
@@ -63,13 +63,11 @@ def test_per_account_placeholders(spark):
     assert res.listing.where(F.col("name").isNotNull()).count() == len(X.OBJECTS)
 
 
-def test_full_diff_from_binaryfile_scan(spark, tmp_root):
-    """Objects written as files, scanned with binaryFile per account, hashed with md5(content)."""
+def test_full_diff_from_listed_folders(spark, tmp_root):
+    """Objects written as files per account; the mapped folders listed, objects hashed with MD5."""
     X.write_object_tree(tmp_root)
-    raw = None
-    for a in X.ACCOUNTS:
-        part = scan_objects(spark, f"{tmp_root}/{a}", a)
-        raw = part if raw is None else raw.unionByName(part)
+    store = f"file://{tmp_root}/{{account}}/"
+    raw = with_content_hash(list_folders(P.prepare_map(X.wide_map(spark)), store=store), store)
     res = P.full_diff(X.wide_map(spark), RULES, raw=raw)
     assert _rule_rows(res.analysis) == sorted(X.EXPECTED_RULES, key=repr)
     sizes = {r["file_name_in_all_accounts"]: r["size_in_pro"] for r in res.analysis.collect()}
@@ -106,10 +104,10 @@ def test_full_diff_written_csv(spark, tmp_root):
 
     res = P.full_diff(X.wide_map(spark), RULES, raw=X.raw_entries(spark), out_root=tmp_root, run_id="r9", fmt="csv")
     assert _rule_rows(res.analysis) == sorted(X.EXPECTED_RULES, key=repr)
-    listing = read_listing_csv_table(spark, f"{tmp_root}/accounts", "r9")
+    listing = read_listing_csv_table(spark, f"{tmp_root}/csv/accounts", "r9")
     assert listing.where(F.col("name").isNull()).count() == 5
     assert listing.where(F.col("name").isNotNull()).count() == len(X.OBJECTS)
-    lines = [r["value"] for r in spark.read.text(f"{tmp_root}/analysis/run_id=r9").collect()]
+    lines = [r["value"] for r in spark.read.text(f"{tmp_root}/csv/analysis/run_id=r9").collect()]
     assert any(ln.endswith("False,,False") for ln in lines)  # dogs-20241020-test.csv
 
 
@@ -136,7 +134,7 @@ def test_ordered_csv_output_follows_map(spark, tmp_root):
     import glob
 
     names = []
-    for f in sorted(glob.glob(f"{tmp_root}/analysis/run_id=o1/part-*.csv")):
+    for f in sorted(glob.glob(f"{tmp_root}/csv/analysis/run_id=o1/part-*.csv")):
         with open(f) as fh:
             names += [ln.split(",")[2] for ln in fh.read().splitlines()[1:]]
     assert names == [
