@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from stocktake.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8, app="stocktake-tests")
+    s = build_session(master="local[4]", shuffle_partitions=3, app="stocktake-tests")
     yield s
     s.stop()
 
