@@ -34,8 +34,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.llm.components import components
-from stocktake.llm.text import SLICE_BYTES, hashes, mixed, rows_at, scratch, slices, stored, text_rows, words
+from stocktake.llm.text import hashes, mixed, rows_at, scratch, slices, stored, text_rows, words
 
+#: Bytes of text whose n-grams a task holds at a time (each word takes a dozen 8-byte numbers).
+SHINGLE_BYTES = 4 << 20
 #: Sets of a tile's band.
 TILE = 512
 #: Minimum hashes of the first run.
@@ -112,7 +114,7 @@ def common_ngrams(docs: DataFrame, size: int) -> np.ndarray:
     """N-grams of so many documents that they go last in the global order (sorted; at most ``MOST_COMMON``)."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=4 * SLICE_BYTES):
+        for batch in slices(batches, limit=SHINGLE_BYTES):
             grams, _ = shingle_sets(batch.column(1), size)
             values, counts = np.unique(grams, return_counts=True)
             often = counts > max(2, COMMON_SHARE * batch.num_rows)
@@ -138,7 +140,7 @@ def features(docs: DataFrame, size: int, t: Fraction, common: np.ndarray) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SHINGLE_BYTES):
             grams, offsets = shingle_sets(batch.column(1), size)
             n, row = np.diff(offsets), rows_at(offsets)
             # The global order within each set: common n-grams after the others, else by hash (as they stand).
@@ -281,7 +283,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(part.toPandas()["node"].to_numpy(np.int64)))
 
         def scan(batches: Iterable[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
+            for batch in slices(batches, limit=SHINGLE_BYTES):
                 grams, offsets = shingle_sets(batch.column(1), size)
                 names = set_keys(grams, offsets)
                 hit = np.flatnonzero(is_in(names, wanted.value))
