@@ -10,6 +10,9 @@ Which way a text goes never changes its ids (tested against whole-text encoding)
 
 from __future__ import annotations
 
+from itertools import chain
+from unicodedata import normalize
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +22,7 @@ from stocktake.llm.text import flat, rows_at
 #: A space or line feed next to other white space, or the separator used here: such texts are encoded whole.
 SPACE = r"[\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 MIXED_SPACE = rf"[ \n]{SPACE}|{SPACE}[ \n]|\x00"
+STOPS = (".", ",")
 #: Distinct units kept by a worker between batches.
 KEPT_UNITS = 1 << 20
 
@@ -32,26 +36,58 @@ def encoder(path: str) -> UnitEncoder:
     return _encoders[path]
 
 
+def byte_characters() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte.
+
+    Printable bytes stand for themselves; the others follow, in order, from U+0100 on.
+    """
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+BYTE_CHARACTERS = byte_characters()
+
+
 class UnitEncoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         # Does a unit carry the space before it?
-        self.spaced = self._ids([" a"])[0].tolist() != self._ids(["a"])[0].tolist()
-        self.kept: dict[str, np.ndarray] = {}
+        self.spaced = self._whole(" a") != self._whole("a")
+        self.kept: dict[str, list[int]] = {}
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _letters(self, unit: str) -> list[int]:
+        """Ids of a unit of letters alone (after one space): the model's on its byte characters, as one piece."""
+        return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(BYTE_CHARACTERS))]
+
+    def _unit(self, unit: str) -> list[int]:
+        """A unit of letters, with a stop or comma, is one piece or two; everything else goes the whole way."""
+        if not self.spaced:
+            unit = normalize("NFC", unit)
+            if "Σ" in unit:  # its lower case depends on its place, but not in the library
+                return self._whole(unit)
+            unit = unit.lower()
+        body = unit[1:] if unit[:1] == " " else unit
+        if body.isalpha():
+            return self._letters(unit)
+        if body[-1:] in STOPS and body[:-1].isalpha():
+            return self._letters(unit[:-1]) + self._letters(body[-1])
+        return self._whole(unit) if unit else []
 
-    def _units(self, units: list[str]) -> list[np.ndarray]:
-        if len(self.kept) > KEPT_UNITS:
-            self.kept.clear()
-        new = [u for u in units if u not in self.kept]
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            self.kept.update(zip(part, self._ids(part), strict=True))
-        return [self.kept[u] for u in units]
+    def _units(self, units: list[str]) -> list[list[int]]:
+        kept = self.kept
+        if len(kept) > KEPT_UNITS:
+            kept.clear()
+        for unit in units:
+            if unit not in kept:
+                kept[unit] = self._unit(unit)
+        return [kept[u] for u in units]
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) of the texts (null: empty), and row offsets."""
@@ -68,8 +104,8 @@ class UnitEncoder:
         if not self.spaced:
             known = [u.strip(" ") for u in known]
         ids = self._units(known)
-        sizes = np.array([len(x) for x in ids], np.int64)
-        table = np.concatenate([*ids, np.empty(0, np.uint32)])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        table = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         first = np.cumsum(sizes) - sizes
         n = sizes[codes]
         starts = np.cumsum(n) - n
@@ -78,7 +114,8 @@ class UnitEncoder:
         odd = np.flatnonzero(whole)
         if len(odd):
             parts = np.split(flat_ids, np.cumsum(counts)[:-1])
-            for r, own in zip(odd, self._ids([text[int(r)].as_py() for r in odd]), strict=True):
-                parts[r], counts[r] = own, len(own)
+            for r in odd:
+                parts[r] = np.array(self._whole(text[int(r)].as_py()), np.uint32)
+                counts[r] = len(parts[r])
             flat_ids = np.concatenate(parts)
         return flat_ids, np.concatenate([[0], np.cumsum(counts)])

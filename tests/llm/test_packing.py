@@ -46,8 +46,9 @@ def test_hard_cases(spark):
 
 
 def test_many_shards_stay_near_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(P, "SHARD", 64)
-    rows = [(k, prose(k, 5 + (k * 37) % 180), "en") for k in range(400)]
+    monkeypatch.setattr(P, "SHARD", 100)
+    monkeypatch.setattr(P, "EPOCHS", 1)
+    rows = [(k, prose(k, 5 + (k * 37) % 90), "en") for k in range(250)]
     used, least = check(rows, P.pack_documents(documents(spark, rows), FILE, 256).collect(), 256)
     assert used <= 1.03 * least + 1
 
@@ -55,9 +56,10 @@ def test_many_shards_stay_near_the_bound(spark, monkeypatch):
 def test_pieces_of_over_half_a_sequence(spark, monkeypatch):
     """No two of them share a bin: the levels must end."""
     monkeypatch.setattr(P, "SHARD", 8)
-    rows = [(k, "the " * 150, "en") for k in range(40)]
+    monkeypatch.setattr(P, "EPOCHS", 1)
+    rows = [(k, "the " * 150, "en") for k in range(20)]
     used, _ = check(rows, P.pack_documents(documents(spark, rows), FILE, 256).collect(), 256)
-    assert used == 40
+    assert used == 20
 
 
 def test_empty_table(spark):
