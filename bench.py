@@ -32,6 +32,8 @@ HEADLINE = [
     "listing_duplicate_keys",
     "map_duplicates",
     "pending_accounts",
+    "full_diff_written",
+    "full_diff_csv",
 ]
 
 

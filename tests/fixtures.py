@@ -1,4 +1,7 @@
-"""Golden scenario: three accounts, four folders, eight object contents."""
+"""Golden scenario: three accounts, four folders, eight object contents.
+
+Fixed values: contents, names, sizes and hashes must give the published outcome of this scenario.
+"""
 
 import hashlib
 

@@ -14,12 +14,12 @@ def _map(spark, rows, accounts):
 
 
 def test_placeholders_when_all_folders_empty(spark):
-    long = _map(spark, [("s3://bucket_1/prefix_1",), ("s3://bucket_2/prefix_2",)], ["foo"])
+    long = _map(spark, [("s3://shelf-a/north",), ("s3://shelf-b/south",)], ["foo"])
     raw = spark.createDataFrame([], RAW)
     rows = L.extract_listing(raw, long).collect()
     assert sorted((r["bucket"], r["prefix"], r["name"], r["size"]) for r in rows) == [
-        ("bucket_1", "prefix_1/", None, None),
-        ("bucket_2", "prefix_2/", None, None),
+        ("shelf-a", "north/", None, None),
+        ("shelf-b", "south/", None, None),
     ]
 
 
@@ -39,19 +39,19 @@ def test_files_only_and_marker_only_folder(spark):
 
 
 def test_subfolder_report_and_message(spark):
-    long = _map(spark, [("s3://bucket-1/tmp",)], ["a"])
+    long = _map(spark, [("s3://crate/in",)], ["a"])
     raw = spark.createDataFrame(
-        [("a", "bucket-1", "tmp/folder/x", None, 1, '"h"'), ("a", "bucket-1", "tmp/folder/y/z", None, 1, '"h"'),
-         ("a", "bucket-1", "tmp/file", None, 1, '"h"')],
+        [("a", "crate", "in/box/x", None, 1, '"h"'), ("a", "crate", "in/box/y/z", None, 1, '"h"'),
+         ("a", "crate", "in/loose", None, 1, '"h"')],
         RAW,
     )
     report = L.subfolders(raw, long)
-    assert [(r["prefix"], r["subfolder"], r["n_subfolders"]) for r in report.collect()] == [("tmp/", "tmp/folder/", 1)]
+    assert [(r["prefix"], r["subfolder"], r["n_subfolders"]) for r in report.collect()] == [("in/", "in/box/", 1)]
     with pytest.raises(L.SubfolderError) as e:
         L.assert_no_subfolders(report)
     assert str(e.value) == (
-        "Subfolders detected in bucket 'bucket-1'. The current version of the program cannot manage subfolders"
-        ". Subfolders (1): tmp/folder/"
+        "Subfolders detected in bucket 'crate'. The current version of the program cannot manage subfolders"
+        ". Subfolders (1): in/box/"
     )
 
 
