@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktake.llm.text import hashes, row_sums, rows_at, scratch, slices, stored, text_rows, words
+from stocktake.llm.text import hashes, most_counted, row_sums, rows_at, scratch, slices, stored, text_rows, words
 
 WORDS, CLASSES, HIDDEN = 2048, 64, 16
 MEMBERS = WORDS // CLASSES
@@ -60,7 +60,7 @@ class Counts:
     def __init__(self, table: DataFrame) -> None:
         total = table.agg(F.sum("n"), F.count("*")).first()
         self.tokens, self.distinct = int(total[0] or 0), int(total[1] or 0)
-        top = table.orderBy(F.desc("n"), "h").limit(TOP_COUNTS).toPandas()
+        top = most_counted(table, TOP_COUNTS).toPandas().sort_values(["n", "h"], ascending=[False, True])
         h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
         ids = np.full(len(h), OTHER, np.int32)
         own = np.flatnonzero(h != END_HASH)[: WORDS - 2]
@@ -205,7 +205,7 @@ def gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: n
     return g, states[-1]
 
 
-def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = 64) -> dict:
+def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES // 2) -> dict:
     """One pass of AdaGrad over the texts."""
     w, seen = {k: v.copy() for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
     packed = Lanes(ids, offsets, lanes)
