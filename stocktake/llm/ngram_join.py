@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.llm.components import components
-from stocktake.llm.text import hashes, mixed, rows_at, scratch, slices, stored, text_rows, words
+from stocktake.llm.text import hashes, mixed, most_counted, rows_at, scratch, slices, stored, text_rows, words
 
 #: Bytes of text whose n-grams a task holds at a time (each word takes a dozen 8-byte numbers).
 SHINGLE_BYTES = 4 << 20
@@ -110,7 +110,7 @@ def folded(words_: np.ndarray, bits: int) -> np.ndarray:
     return words_
 
 
-def common_ngrams(docs: DataFrame, size: int) -> np.ndarray:
+def common_ngrams(docs: DataFrame, size: int, root: str) -> np.ndarray:
     """N-grams of so many documents that they go last in the global order (sorted; at most ``MOST_COMMON``)."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +121,7 @@ def common_ngrams(docs: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["g", "n"])
 
     found = text_rows(docs).mapInArrow(scan, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    return np.sort(found.orderBy(F.desc("n"), "g").limit(MOST_COMMON).toPandas()["g"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(most_counted(stored(found, root, "common"), MOST_COMMON).toPandas()["g"].to_numpy(np.int64).view(np.uint64))
 
 
 def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -317,7 +317,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8"
     """Per row of ``docs``: ``doc_id, n_shingles, component_id``, and the group's ``node``."""
     spark, t = docs.sparkSession, Fraction(threshold)
     root = scratch(spark)
-    rows = stored(features(docs, size, t, common_ngrams(docs, size)), root, "features")
+    rows = stored(features(docs, size, t, common_ngrams(docs, size, root)), root, "features")
     sets = rows.filter("n_shingles > 0").dropDuplicates(["node"]).select("node", F.col("n_shingles").cast("int").alias("n"), "prefix", "minima", "bits")
     sets = stored(sets, root, "sets")
 
