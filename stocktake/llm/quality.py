@@ -7,11 +7,16 @@ per language the sums of the character-class histograms, and the shares of its
 most common words. Documents full of symbols, or of repetitions counted without regard to
 case, make no reference.
 
+The largest distances kept are learnt from the same documents, by one rule for every language and both
+histograms: the ``LIMIT_SHARE`` quantile of the distances of a language's reference documents to its own
+reference (those beyond the length guard concerned). The word limit also stays below what a text without any
+common word reaches.
+
 Defined cases: a null or empty text has no words and fails the base rules; a null
 ``lang`` contributes to no reference but is judged like any other row; a row is
-judged by its nearest language; repeated rows are judged alike; documents below the
-length guards are not judged by the histogram concerned; with no reference
-(empty table, no language) the base rules alone decide. Extra columns are ignored.
+kept if some language's limit allows it; repeated rows are judged alike; documents below the
+length guards are not judged by the histogram concerned; a language without reference documents
+beyond a guard has no such limit and is left out; with no limit (empty table, no language) the base rules alone decide. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,9 +60,12 @@ COMMON_WORDS = 48
 REPORT_SHARE = 0.0005
 #: Length guards: histograms of shorter texts are too noisy to judge.
 MIN_CHARS, MIN_WORDS = 200, 80
-#: Largest distance to the nearest language that is kept.
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.42
-
+#: Share of a language's reference documents that lies within its limits.
+LIMIT_SHARE = 0.995
+#: The word limit is at most this share of the distance of a text without any common word.
+MAX_REACHED = 0.95
+#: Distances are counted in steps of 1 / STEPS, rounded up.
+STEPS = 1000
 #: Documents with more symbols than this share of their words make no reference.
 MAX_REFERENCE_SYMBOLS = 0.1
 
@@ -120,6 +128,12 @@ def base_of(text: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
+def makes_reference(codes: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Per row (codes of its words without regard to case), whether it counts for the reference of its language."""
+    n_words = np.diff(offsets)
+    return (n_words >= 50) & (2 * repeated_words(codes, offsets) <= n_words) & (classes[:, SYMBOL] <= MAX_REFERENCE_SYMBOLS * n_words)
+
+
 def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]]:
     """Per language: shares of the character classes, and shares of its common words.
 
@@ -131,8 +145,8 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]
         for batch in slices(batches):
             text, lang = batch.column(1), batch.column(2)
             codes, offsets, known = words(text, lower=True)
-            n_words, (classes, _) = np.diff(offsets), class_counts(text)
-            good = (n_words >= 50) & (2 * repeated_words(codes, offsets) <= n_words) & (classes[:, SYMBOL] <= MAX_REFERENCE_SYMBOLS * n_words)
+            classes, _ = class_counts(text)
+            good = makes_reference(codes, offsets, classes)
             row, langs, out = rows_at(offsets), np.array(lang.to_pylist(), object), []
             for name in {x for x in langs if x is not None}:
                 own = good & (langs == name)
@@ -169,37 +183,110 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0.0, 1.0))
 
 
-class Judge:
-    """Verdicts of the base rules and the references over one Arrow array of texts."""
+class Distances:
+    """Distances of texts to the references of each language."""
 
-    def __init__(self, refs: dict[str, tuple[np.ndarray, dict[str, float]]], max_char: float, max_word: float) -> None:
-        self.max_char, self.max_word = max_char, max_word
+    def __init__(self, refs: dict[str, tuple[np.ndarray, dict[str, float]]]) -> None:
+        self.langs = list(refs)
         self.words = sorted({w for _, shares in refs.values() for w in shares})
         place = {w: i for i, w in enumerate(self.words)}
         self.chars = [classes for classes, _ in refs.values()]
         # Of each language: where its common words are in the histogram, and their shares.
         self.common = [(np.array([place[w] for w in shares], np.int64), np.array(list(shares.values()))) for _, shares in refs.values()]
 
+    def shares(self, codes: np.ndarray, offsets: np.ndarray, dictionary: pa.Array) -> np.ndarray:
+        """Per row, the share of each of ``words`` among its words (in lower case)."""
+        n, size = len(offsets) - 1, len(self.words) + 1
+        at = pc.fill_null(pc.index_in(dictionary, pa.array(self.words, pa.string())), size - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+        return np.bincount(rows_at(offsets) * size + at[codes], minlength=n * size).reshape(n, -1) / np.maximum(np.diff(offsets)[:, None], 1)
+
+    def char(self, classes: np.ndarray, k: int) -> np.ndarray:
+        return js_distance(classes / np.maximum(classes.sum(axis=1, keepdims=True), 1), self.chars[k])
+
+    def word(self, hist: np.ndarray, k: int) -> np.ndarray:
+        own, q = self.common[k]
+        with_rest = lambda x: np.column_stack([x, np.maximum(1 - x.sum(axis=1), 0)])  # noqa: E731  all other words count as one
+        return js_distance(with_rest(hist[:, own]), with_rest(q[None])[0])
+
+    def farthest_word(self, k: int) -> float:
+        """The word distance of a text without any common word of the language."""
+        return float(self.word(np.zeros((1, len(self.words) + 1)), k)[0])
+
+
+#: Per language, the largest char and word distance that is kept (None: nothing to learn it from).
+Limits = dict[str, tuple[float | None, float | None]]
+
+
+def limits(docs: DataFrame, refs: dict[str, tuple[np.ndarray, dict[str, float]]]) -> Limits:
+    """One pass over all documents. What reaches the driver: at most ``STEPS + 1`` counts a language and histogram."""
+    far = Distances(refs)
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            text, out = batch.column(1), []
+            codes, offsets, known = words(text, lower=True)
+            classes, _ = class_counts(text)
+            good, hist = makes_reference(codes, offsets, classes), far.shares(codes, offsets, known)
+            langs, n_words = np.array(batch.column(2).to_pylist(), object), np.diff(offsets)
+            for k, name in enumerate(far.langs):
+                own = good & (langs == name)
+                for kind, rows, distance in (
+                    (0, own & (classes.sum(axis=1) >= MIN_CHARS), lambda r, k=k: far.char(classes[r], k)),
+                    (1, own & (n_words >= MIN_WORDS), lambda r, k=k: far.word(hist[r], k)),
+                ):
+                    if rows.any():
+                        steps, n = np.unique(np.ceil(distance(rows) * STEPS).astype(np.int64), return_counts=True)
+                        out += [(name, kind, int(x), int(c)) for x, c in zip(steps, n, strict=True)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["lang", "kind", "step", "n"])
+
+    counted: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    if refs:
+        found = text_rows(docs, "lang").mapInArrow(scan, "lang string, kind int, step long, n long").groupBy("lang", "kind", "step").agg(F.sum("n").alias("n"))
+        for r in found.collect():
+            counted.setdefault((r.lang, r.kind), []).append((r.step, r.n))
+
+    def quantile(counts: list[tuple[int, int]]) -> float:
+        steps, n = np.array(sorted(counts)).T
+        return float(steps[np.searchsorted(np.cumsum(n), LIMIT_SHARE * n.sum())]) / STEPS
+
+    out = {}
+    for k, name in enumerate(far.langs):
+        char, word = (quantile(counted[name, kind]) if (name, kind) in counted else None for kind in (0, 1))
+        out[name] = (char, None if word is None else min(word, MAX_REACHED * far.farthest_word(k)))
+    return out
+
+
+class Judge:
+    """Verdicts of the base rules, references and limits over one Arrow array of texts."""
+
+    def __init__(self, refs: dict[str, tuple[np.ndarray, dict[str, float]]], most: Limits) -> None:
+        self.far = Distances(refs)
+        self.most = [most[name] for name in self.far.langs]
+
     def __call__(self, text: pa.Array) -> dict[str, np.ndarray]:
         base, n = base_of(text), len(text)
         n_words, classes = base["n_words"], base.pop("classes")
-        char_d, word_d = np.zeros(n), np.zeros(n)
-        if self.chars:
-            codes, offsets, dictionary = words(text, lower=True)
-            size = len(self.words) + 1
-            at = pc.fill_null(pc.index_in(dictionary, pa.array(self.words, pa.string())), size - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            hist = np.bincount(rows_at(offsets) * size + at[codes], minlength=n * size).reshape(n, -1) / np.maximum(n_words[:, None], 1)
-            shares = classes / np.maximum(classes.sum(axis=1, keepdims=True), 1)
-            char_d = np.min([js_distance(shares, q) for q in self.chars], axis=0)
-            with_rest = lambda x: np.column_stack([x, np.maximum(1 - x.sum(axis=1), 0)])  # noqa: E731  all other words count as one
-            word_d = np.min([js_distance(with_rest(hist[:, own]), with_rest(q[None])[0]) for own, q in self.common], axis=0)
-        odd = ((classes.sum(axis=1) >= MIN_CHARS) & (char_d > self.max_char)) | ((n_words >= MIN_WORDS) & (word_d > self.max_word))
+        codes, offsets, dictionary = words(text, lower=True)
+        hist = self.far.shares(codes, offsets, dictionary)
+        of_char = {k: self.far.char(classes, k) for k, (m, _) in enumerate(self.most) if m is not None}
+        of_word = {k: self.far.word(hist, k) for k, (_, m) in enumerate(self.most) if m is not None}
+        char_d = np.min(list(of_char.values()), axis=0) if of_char else np.zeros(n)
+        word_d = np.min(list(of_word.values()), axis=0) if of_word else np.zeros(n)
+        odd_char = np.all([d > self.most[k][0] for k, d in of_char.items()], axis=0) if of_char else np.zeros(n, bool)
+        odd_word = np.all([d > self.most[k][1] for k, d in of_word.items()], axis=0) if of_word else np.zeros(n, bool)
+        odd = ((classes.sum(axis=1) >= MIN_CHARS) & odd_char) | ((n_words >= MIN_WORDS) & odd_word)
         return base | {"kept": ~base["base_failed"] & ~odd, "char_distance": char_d, "word_distance": word_d}
 
 
-def quality_rules(docs: DataFrame, refs: dict | None = None, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+def judge_of(docs: DataFrame) -> Judge:
+    refs = references(docs)
+    return Judge(refs, limits(docs, refs))
+
+
+def quality_rules(docs: DataFrame, judge: Judge | None = None) -> DataFrame:
     """One row per document: base counts, ``base_failed``, ``kept``, and the distances to the nearest reference."""
-    judge = Judge(references(docs) if refs is None else refs, max_char, max_word)
+    judge = judge_of(docs) if judge is None else judge
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -210,9 +297,9 @@ def quality_rules(docs: DataFrame, refs: dict | None = None, max_char: float = M
     return text_rows(docs).mapInArrow(run, schema)
 
 
-def keep_good(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep; all columns as they were."""
-    judge = Judge(references(docs), max_char, max_word)
+    judge = judge_of(docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -55,3 +55,16 @@ def test_distance_is_zero_for_equal_and_one_for_disjoint():
 
     p = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0]])
     assert np.allclose(Q.js_distance(p, np.array([0.5, 0.5, 0.0])), [0.0, 1.0])
+
+
+def test_limits_learnt_from_the_references_decide(spark):
+    """A long text without a common word and a pipe-separated text go; clean prose stays."""
+    rows = [(k, prose(f"r{k}", 300, lang), lang) for k in range(40) for lang in ("en", "de")]
+    odd = " ".join(f"qv{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(300)) + "."
+    piped = " | ".join(" ".join(prose(50 + k, 4).split()) for k in range(60))
+    clean = [(300 + k, prose(f"n{k}", 300), None) for k in range(10)]
+    found = {r.doc_id: r for r in Q.quality_rules(documents(spark, [*rows, *clean, (200, odd, "en"), (201, piped, None)])).collect()}
+    assert not found[200].base_failed and not found[200].kept
+    assert not found[201].base_failed and not found[201].kept
+    assert all(found[i].kept for i, _, _ in clean)
+    assert sum(not found[i].kept for i, _, _ in rows) <= 2
