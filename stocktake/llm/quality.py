@@ -4,7 +4,7 @@ Every document's character-class and common-word histograms are compared with
 references of each language by Jensen-Shannon distance (base 2, square root, 0 to 1).
 The references are corpus statistics over all documents that pass the base rules:
 per language the sums of the character-class histograms, and the shares of its
-most common words. Documents full of symbols, or of repetitions counted without regard to
+most common words, counted exactly. Documents full of symbols, or of repetitions counted without regard to
 case, make no reference.
 
 The largest distances kept are learnt from the same documents, by one rule for every language and both
@@ -16,7 +16,9 @@ Defined cases: a null or empty text has no words and fails the base rules; a nul
 ``lang`` contributes to no reference but is judged like any other row; a row is
 kept if some language's limit allows it; repeated rows are judged alike; documents below the
 length guards are not judged by the histogram concerned; a language without reference documents
-beyond a guard has no such limit and is left out; with no limit (empty table, no language) the base rules alone decide. Extra columns are ignored.
+beyond a guard has no such limit and is left out; a language whose common words cover
+too little of its text (unspaced scripts) has no word limit, and a text is not judged by words if that language's
+characters are the nearest and allow it; with no limit (empty table, no language) the base rules alone decide. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktake.llm.text import bytes_of, mixed, row_sums, rows_at, slices, text_rows, words
+from stocktake.llm.text import bytes_of, mixed, row_sums, rows_at, scratch, slices, stored, text_rows, words
 
 # The character classes, as rows of (name, characters). Bytes of 128 and more
 # are `wide`; UTF-8 continuation bytes are not counted; the rest is `other`.
@@ -55,9 +57,8 @@ SPACES = np.frombuffer(b" \t\n\r\v\f", np.uint8)
 
 #: Common words of a language's reference.
 COMMON_WORDS = 48
-#: A batch reports a word of a language from this share of that language's words in it. A word
-#: with a larger share of the corpus reaches it in some batch, so references lose no common word.
-REPORT_SHARE = 0.0005
+#: A language whose common words make less than this share of its text is judged by characters alone.
+MIN_COVERED = 0.1
 #: Length guards: histograms of shorter texts are too noisy to judge.
 MIN_CHARS, MIN_WORDS = 200, 80
 #: Share of a language's reference documents that lies within its limits.
@@ -135,7 +136,7 @@ def makes_reference(codes: np.ndarray, offsets: np.ndarray, classes: np.ndarray)
 
 
 def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]]:
-    """Per language: shares of the character classes, and shares of its common words.
+    """Per language: shares of the character classes, and shares of its common words (none if they cover too little).
 
     One pass over all documents. What reaches the driver is bounded by the number of
     languages times ``COMMON_WORDS`` and the classes.
@@ -147,31 +148,39 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]
             codes, offsets, known = words(text, lower=True)
             classes, _ = class_counts(text)
             good = makes_reference(codes, offsets, classes)
-            row, langs, out = rows_at(offsets), np.array(lang.to_pylist(), object), []
+            row, langs = rows_at(offsets), np.array(lang.to_pylist(), object)
             for name in {x for x in langs if x is not None}:
                 own = good & (langs == name)
                 if not own.any():
                     continue
-                out += [(name, None, k, int(v)) for k, v in enumerate(classes[own].sum(axis=0))]
                 count = np.bincount(codes[own[row]], minlength=len(known))
-                frequent = np.flatnonzero(count > REPORT_SHARE * count.sum())
-                out += [(name, w, None, int(n)) for w, n in zip(known.take(pa.array(frequent)).to_pylist(), count[frequent], strict=True)]
-                out.append((name, None, -1, int(count.sum())))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)], ["lang", "word", "kind", "n"])
+                found = np.flatnonzero(count)
+                sums = np.append(classes[own].sum(axis=0), count.sum())
+                word = pa.concat_arrays([known.take(pa.array(found)), pa.nulls(len(sums), pa.string())])
+                kind = pa.concat_arrays([pa.nulls(len(found), pa.int32()), pa.array([*range(N_CLASSES), -1], pa.int32())])
+                n = pa.array(np.concatenate([count[found], sums]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(n), pa.string()), word, kind, n], ["lang", "word", "kind", "n"])
 
     sums = text_rows(docs, "lang").mapInArrow(scan, "lang string, word string, kind int, n long").groupBy("lang", "word", "kind").agg(F.sum("n").alias("n"))
-    # The most common words of a language: numbered only among the reported ones (at most 1 / REPORT_SHARE a batch).
-    top = sums.groupBy("lang").agg(
-        F.slice(F.sort_array(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("n", "word"))), asc=False), 1, COMMON_WORDS).alias("top"),
-        F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("kind", "n"))).alias("kinds"),
-    )
+    sums = stored(sums, scratch(docs.sparkSession), "word_counts")
+    # The most common words of a language: numbered only at the levels of n (eighths of powers of two) that hold them.
+    counts = sums.filter("word is not null").withColumn("level", F.floor(F.log2("n") * 8))
+    before = Window.partitionBy("lang").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = counts.groupBy("lang", "level").agg(F.count("*").alias("words")).withColumn("more", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    high = levels.filter(F.col("more") < COMMON_WORDS).select("lang", "level")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    top = counts.join(F.broadcast(high), ["lang", "level"]).withColumn("rank", rank).filter(F.col("rank") <= COMMON_WORDS)
+    kinds: dict[str, dict[int, int]] = {}
+    for r in sums.filter("kind is not null").collect():
+        kinds.setdefault(r.lang, {})[r.kind] = r.n
+    common: dict[str, dict[str, float]] = {}
+    for r in top.orderBy("lang", "rank").collect():
+        common.setdefault(r.lang, {})[r.word] = r.n / kinds[r.lang][-1]
     found = {}
-    for r in top.collect():
-        kinds = dict((k.kind, k.n) for k in r.kinds)
-        counts = np.array([kinds.get(k, 0) for k in range(N_CLASSES)], float)
-        found[r.lang] = (counts / max(counts.sum(), 1.0), {t.word: t.n / max(kinds.get(-1, 0), 1) for t in r.top})
-    return dict(sorted(found.items()))
+    for name, n in sorted(kinds.items()):
+        classes, shares = np.array([n[k] for k in range(N_CLASSES)], float), common.get(name, {})
+        found[name] = (classes / max(classes.sum(), 1.0), shares if sum(shares.values()) >= MIN_COVERED else {})
+    return found
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -194,6 +203,8 @@ class Distances:
         # Of each language: where its common words are in the histogram, and their shares.
         self.common = [(np.array([place[w] for w in shares], np.int64), np.array(list(shares.values()))) for _, shares in refs.values()]
 
+        self.worded = [bool(shares) for _, shares in refs.values()]
+
     def shares(self, codes: np.ndarray, offsets: np.ndarray, dictionary: pa.Array) -> np.ndarray:
         """Per row, the share of each of ``words`` among its words (in lower case)."""
         n, size = len(offsets) - 1, len(self.words) + 1
@@ -232,7 +243,7 @@ def limits(docs: DataFrame, refs: dict[str, tuple[np.ndarray, dict[str, float]]]
                 own = good & (langs == name)
                 for kind, rows, distance in (
                     (0, own & (classes.sum(axis=1) >= MIN_CHARS), lambda r, k=k: far.char(classes[r], k)),
-                    (1, own & (n_words >= MIN_WORDS), lambda r, k=k: far.word(hist[r], k)),
+                    (1, own & (n_words >= MIN_WORDS) & far.worded[k], lambda r, k=k: far.word(hist[r], k)),
                 ):
                     if rows.any():
                         steps, n = np.unique(np.ceil(distance(rows) * STEPS).astype(np.int64), return_counts=True)
@@ -275,6 +286,10 @@ class Judge:
         word_d = np.min(list(of_word.values()), axis=0) if of_word else np.zeros(n)
         odd_char = np.all([d > self.most[k][0] for k, d in of_char.items()], axis=0) if of_char else np.zeros(n, bool)
         odd_word = np.all([d > self.most[k][1] for k, d in of_word.items()], axis=0) if of_word else np.zeros(n, bool)
+        if of_char and of_word and not all(self.far.worded):  # texts nearest to a language that has no common words
+            near = np.array(list(of_char))[np.argmin(list(of_char.values()), axis=0)]
+            allowed = char_d <= np.array([self.most[k][0] or 0.0 for k in range(len(self.most))])[near]
+            odd_word &= np.array(self.far.worded)[near] | ~allowed
         odd = ((classes.sum(axis=1) >= MIN_CHARS) & odd_char) | ((n_words >= MIN_WORDS) & odd_word)
         return base | {"kept": ~base["base_failed"] & ~odd, "char_distance": char_d, "word_distance": word_d}
 

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import pyarrow as pa
 
@@ -68,3 +69,27 @@ def test_limits_learnt_from_the_references_decide(spark):
     assert not found[201].base_failed and not found[201].kept
     assert all(found[i].kept for i, _, _ in clean)
     assert sum(not found[i].kept for i, _, _ in rows) <= 2
+
+
+def test_common_words_are_counted_exactly_whatever_the_slices(spark):
+    """Every word counts, also where a slice holds few of it; more words of equal count than are wanted."""
+    rows = [(k, prose(f"x{k}", 300, lang), lang) for k in range(12) for lang in ("en", "de")]
+    rows += [(100 + k, " ".join(f"{'burst' if k == 3 else 'w'}{i % (2 if k == 3 else 4000)}x{i * k % 97}" for i in range(6000)), "en") for k in range(4)]
+    refs = Q.references(documents(spark, rows).repartition(7))
+    for lang in ("en", "de"):
+        good = [WORD.findall(t) for _, t, x in rows if x == lang and not Q.base_of(pa.array([t]))["base_failed"][0]]
+        counts = Counter(w.lower() for t in good for w in t)
+        want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: Q.COMMON_WORDS]
+        assert refs[lang][1] == {w: n / sum(counts.values()) for w, n in want}
+
+
+def test_a_language_of_unspaced_script_does_not_switch_the_word_rule_off(spark):
+    rows = [(k, prose(f"r{k}", 300), "en") for k in range(30)]
+    rows += [(100 + k, " ".join("".join(chr(0x4E00 + (37 * k + 11 * i + 7 * j * j) % 9000) for j in range(12)) for i in range(150)), "zh") for k in range(20)]
+    odd = " ".join(f"qv{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(300)) + "."
+    docs = documents(spark, [*rows, (200, odd, "en")])
+    refs = Q.references(docs)
+    assert refs["zh"][1] == {} and len(refs["en"][1]) == Q.COMMON_WORDS
+    found = {r.doc_id: r for r in Q.quality_rules(docs).collect()}
+    assert not found[200].kept and not found[200].base_failed
+    assert all(found[i].kept for i, _, _ in rows)  # the unspaced texts by their characters
