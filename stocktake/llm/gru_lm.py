@@ -7,9 +7,9 @@ of the other training words. So a text's score is a sum over all of its words an
 
 Training: truncated backpropagation through ``WINDOW`` steps, the state carried on from window to
 window. Texts lie one after another in lanes; the state is reset where a text begins. In each of
-``ROUNDS`` rounds every task trains on its own share of the training texts (``TRAIN_SHARE`` of them in all,
-by a hash of ``doc_id``, so the sample grows with the corpus) from the same start, and
-the weights are averaged by tokens, in a tree of Spark stages.
+``ROUNDS`` rounds every task trains on its own part of the round's training texts from the same start, and
+the weights are averaged by tokens, in a tree of Spark stages. The rounds' texts are disjoint parts, by a hash of
+``doc_id``, that together make all training texts.
 
 Counts cover the whole corpus. The ``TOP_COUNTS`` most common words' counts (16 bytes each) go to
 every task; the other words of the texts meet their counts in a join.
@@ -33,7 +33,7 @@ from stocktake.llm.text import hashes, most_counted, row_sums, rows_at, scratch,
 WORDS, CLASSES, HIDDEN = 2048, 64, 16
 MEMBERS = WORDS // CLASSES
 END, OTHER = 0, 1
-WINDOW, LANES, ROUNDS, TRAIN_SHARE, RATE = 16, 256, 2, 0.25, 0.05
+WINDOW, LANES, ROUNDS, RATE = 16, 256, 2, 0.05
 TOP_COUNTS = 1 << 18
 #: The end of a text among the counted words.
 END_HASH = np.uint64(0)
@@ -205,7 +205,7 @@ def gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: n
     return g, states[-1]
 
 
-def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES // 2) -> dict:
+def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES // 4) -> dict:
     """One pass of AdaGrad over the texts."""
     w, seen = {k: v.copy() for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
     packed = Lanes(ids, offsets, lanes)
@@ -273,9 +273,9 @@ def averaged(spark: SparkSession, trained: DataFrame) -> tuple[np.ndarray | None
     return (np.frombuffer(rows[0].w, np.float64), rows[0].n) if rows else (None, 0.0)
 
 
-def train(docs: DataFrame, counts: Counts, share: float = TRAIN_SHARE) -> dict:
+def train(docs: DataFrame, counts: Counts) -> dict:
     spark, w = docs.sparkSession, initial(counts.by_id)
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
+    part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(ROUNDS))
     rows = text_rows(docs).filter(~held_out(F.col("doc_id")))
     shared = spark.sparkContext.broadcast(counts)
     for k in range(ROUNDS):
@@ -287,7 +287,7 @@ def train(docs: DataFrame, counts: Counts, share: float = TRAIN_SHARE) -> dict:
                 ids = shared.value.look_up(h)[2]
                 yield pa.RecordBatch.from_arrays([pa.array([(len(ids) * flat_of(train_on(start.value, ids, offsets))).tobytes()], pa.binary()), pa.array([float(len(ids))])], ["w", "n"])
 
-        own = rows.filter((drawn >= share * k / ROUNDS) & (drawn < share * (k + 1) / ROUNDS))
+        own = rows.filter(part == k)
         total, weight = averaged(spark, own.mapInArrow(learn, "w binary, n double"))
         if total is not None:
             w = weights_of(total / weight, w)

@@ -101,3 +101,17 @@ def test_training_beats_the_unigram_start():
     learnt = G.train_on(G.train_on(start, ids[:half], offsets[:61], 8), ids[:half], offsets[:61], 8)
     before, after = (G.text_scores(w, ids[half:], offsets[60:] - half).sum() for w in (start, learnt))
     assert after > 0.85 * before
+
+
+def test_every_training_text_is_learnt_from_once(spark, monkeypatch):
+    rows = [(200 + k, prose(k, 60 + k), "en") for k in range(40)]
+    docs, averaged, seen = documents(spark, rows), G.averaged, []
+
+    def noted(session, trained):
+        total, weight = averaged(session, trained)
+        seen.append(weight)
+        return total, weight
+
+    monkeypatch.setattr(G, "averaged", noted)
+    G.train(docs, G.Counts(G.word_counts(docs)))
+    assert len(seen) == G.ROUNDS and all(seen) and sum(seen) == brute(rows)[0]
