@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stocktake.llm.fingerprint import fingerprint_documents
 from stocktake.llm.gru_lm import score_documents
+from stocktake.llm.html_text import extract_text
 from stocktake.llm.langid import identify_languages
 from stocktake.llm.ngram_join import near_duplicate_groups
 from stocktake.llm.packing import pack_documents
@@ -66,6 +67,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_secret_scans": op10_secret_scans,
+    "op13_html_extraction": op13_html_extraction,
     "pipeline": pipeline,
 }
