@@ -37,4 +37,39 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
 """
 
-ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op6_warc": OP6}
+
+def clustering(rounds: int = 3, k: int = 16) -> str:
+    """Assignments and means as a chain of tables ``c0, a0, c1, a1, ...``; vectors and centroids as one row a component."""
+    steps = [
+        """kept AS (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        "p AS (SELECT id, unnest(range(64)) AS j, unnest(v) AS x FROM kept)",
+        f"""c0 AS (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS c, v FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept)
+  QUALIFY row_number() OVER (ORDER BY h NULLS LAST, v) <= {k}
+)""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+  SELECT id, c, d FROM (
+    SELECT id, c, sum((p.x - q.x) * (p.x - q.x))::BIGINT AS d
+    FROM p JOIN (SELECT c, unnest(range(64)) AS j, unnest(v) AS x FROM c{r}) q USING (j) GROUP BY id, c
+  ) QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, c) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS (
+  SELECT c{r}.c, coalesce(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+    SELECT c, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY j) AS v
+    FROM (SELECT c, j, sum(x)::HUGEINT AS s, count(*) AS n FROM p JOIN a{r} USING (id) GROUP BY c, j) GROUP BY c
+  ) m USING (c)
+)""")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(z.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (id) JOIN c{rounds} z ON z.c = a.c
+"""
+
+
+ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op6_warc": OP6, "op12_centroid_clustering": clustering()}

@@ -11,6 +11,7 @@ from stocktake.llm.gru_lm import score_documents
 from stocktake.llm.html_text import extract_text
 from stocktake.llm.langid import identify_languages
 from stocktake.llm.ngram_join import near_duplicate_groups
+from stocktake.llm.nsimplex import cluster_vectors
 from stocktake.llm.packing import pack_documents
 from stocktake.llm.pieces import piece_digests
 from stocktake.llm.quality import quality_rules
@@ -67,6 +68,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_secret_scans": op10_secret_scans,
+    "op12_centroid_clustering": op12_centroid_clustering,
     "op13_html_extraction": op13_html_extraction,
     "pipeline": pipeline,
 }
