@@ -37,6 +37,23 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
 """
 
+OP11 = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), d AS (SELECT id, doc_id, ts, len(ts) AS n FROM t WHERE len(ts) > 0),
+s AS (SELECT count(*) AS big_n, sum(n) AS big_l FROM d),
+tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, s GROUP BY term, big_n),
+q AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)
+), r AS (
+  SELECT item, item_id, d.id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n)::BIGINT // big_l::BIGINT))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN d ON d.id = tf.id, s GROUP BY ALL
+), o AS (SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM r WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
 
 def clustering(rounds: int = 3, k: int = 16) -> str:
     """Assignments and means as a chain of tables ``c0, a0, c1, a1, ...``; vectors and centroids as one row a component."""
@@ -72,4 +89,4 @@ FROM a{rounds} a JOIN kept USING (id) JOIN c{rounds} z ON z.c = a.c
 """
 
 
-ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op6_warc": OP6, "op12_centroid_clustering": clustering()}
+ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op6_warc": OP6, "op11_ranked_search": OP11, "op12_centroid_clustering": clustering()}

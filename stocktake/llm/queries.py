@@ -10,6 +10,7 @@ from stocktake.llm.fingerprint import fingerprint_documents
 from stocktake.llm.gru_lm import score_documents
 from stocktake.llm.html_text import extract_text
 from stocktake.llm.langid import identify_languages
+from stocktake.llm.lexical import rank_documents
 from stocktake.llm.ngram_join import near_duplicate_groups
 from stocktake.llm.nsimplex import cluster_vectors
 from stocktake.llm.packing import pack_documents
@@ -68,6 +69,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_secret_scans": op10_secret_scans,
+    "op11_ranked_search": op11_ranked_search,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_html_extraction": op13_html_extraction,
     "pipeline": pipeline,
