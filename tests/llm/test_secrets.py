@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -56,6 +57,70 @@ def test_markov_spans_are_random_strings(spark):
     assert clean[100].text == rows[40][1] and "password=" not in clean[0].text
 
 
+def test_ratios_equal_brute_force_and_unseen_pairs_are_no_evidence():
+    tokens = {0: ["water", "people", "time", "a", "of", "2024", "well-known"], 1: ["dK3x9QpL0z", "9f8e7d6c5b4a", "Zx81kQ"]}
+    counts = {}
+    for label, words in tokens.items():
+        for w in words:
+            for a, b in zip(w, w[1:]):
+                counts[label, ord(a), ord(b)] = counts.get((label, ord(a), ord(b)), 0) + 1
+    ratios = S.pair_ratios(counts)
+
+    kind = lambda c: next(k for k, x in enumerate(["isupper", "islower", "isdigit", "__len__"]) if getattr(c, x)())
+
+    def chance(label, a, b):
+        pairs = [(x, y) for w in tokens[label] for x, y in zip(w, w[1:])]
+        share = {c: (1 - S.FLOOR) * sum(y == c for _, y in pairs) / len(pairs) + S.FLOOR / len(S.ALPHABET) for c in S.ALPHABET}
+        within = share[b] / sum(p for c, p in share.items() if kind(c) == kind(b))
+        after, after_kind = [y for x, y in pairs if x == a], [kind(y) for x, y in pairs if kind(x) == kind(a)]
+        near = after_kind.count(kind(b)) / len(after_kind) * within if after_kind else share[b]
+        return S.PAIRS * (after.count(b) / len(after) if after else near) + S.KIND_PAIRS * near + S.SINGLES * share[b]
+
+    for a in S.ALPHABET:
+        for b in S.ALPHABET:
+            seen = any((label, ord(a), ord(b)) in counts for label in (0, 1))
+            want = math.log(chance(1, a, b) / chance(0, a, b)) if seen else 0.0
+            assert math.isclose(ratios[128 * ord(a) + ord(b)], want, abs_tol=1e-12), (a, b)
+    assert ratios[128 * ord("e") + ord("_")] == ratios[128 * ord("_") + ord("o")] == 0.0
+
+
+def test_ordinary_identifiers_and_numbers_of_real_texts(spark):
+    rng = random.Random(9)
+    ordinary = ["internationalization", "getElementsByClassName", "https-everywhere-and-more", "2024-01-31-2024-02-28", "4111111111111111", "antidisestablishmentarianism", "the_quick_brown_fox_jumps"]
+    signs = ["0123456789abcdef", S.ALPHABET[:62]]
+    hexes = ["".join(rng.choice(signs[k % 2]) for _ in range(32)) for k in range(80)]
+    rows = [(k, f"{prose(k, 120)} in 2024-05-{k % 28 + 1} call 555-0{k:03d} getElement ClassName {k * 37} api_key={h} end", "en") for k, h in enumerate(hexes)]
+    rows += [(200 + k, f"{prose(300 + k, 150)} {w} then {rng.randrange(10**6)} getName 2023-12-{k + 1} everywhere international x_y", "en") for k, w in enumerate(ordinary * 5)]
+    loose = "".join(rng.choice(signs[1]) for _ in range(40))
+    rows += [(900, f"lost {loose} here", "en")]
+    found = {r.doc_id: r.spans for r in S.scan_secrets(documents(spark, rows)).collect()}
+    assert found[900] == f"markov:5:{5 + len(loose)}"
+    assert {w for k, w in enumerate(ordinary * 5) if found[200 + k]} == set()
+
+
+def test_many_spans_in_one_text(spark):
+    """Folds over spans in blocks: longer than one block, overlaps across kinds, and pieces of the cut text."""
+    rng = random.Random(11)
+    parts = []
+    for k in range(700):
+        h = "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([20, 24, 40])))
+        parts.append(rng.choice(["", "é😀 "]) + rng.choice(["password=", "", "token: '", "AKIA" + "Q" * 16 + " "]) + h + rng.choice([" ", "\n", " some prose here, "]))
+    text = "".join(parts)
+    r = S.scan_secrets(documents(spark, [(1, text, "en")])).collect()[0]
+    want = base(text)
+    assert len(want) > 3 * S.RUN_BLOCK and r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+    spans = [x.split(":") for x in r.spans.split(",")]
+    at, out = 0, ""
+    for _, a, b in spans:
+        a, b = int(a), int(b)
+        if a >= at:
+            out += text[at:a] + S.REDACTED
+        at = max(at, b)
+    assert S.redact_secrets(documents(spark, [(1, text, "en")])).collect()[0].text == out + text[at:]
+    taken = [(int(a), int(b)) for k, a, b in spans if k != "markov"]
+    assert all(e <= a or s >= b for k, a, b in ((k, int(a), int(b)) for k, a, b in spans if k == "markov") for s, e in taken)
+
+
 def test_redaction_of_hard_cases(spark):
     done = S.redact_secrets(documents(spark))
     assert done.columns == documents(spark).columns and done.count() == len(texts())
