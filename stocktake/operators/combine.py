@@ -4,12 +4,12 @@ Plan shape (one shuffle for the combine, everything else broadcast when the
 folder-sized side passes its size check):
 
     listing --(broadcast map, inner)--> rekeyed --(filter all-null)--> exchange on (name, key folder)
-                                        --> number the copies of a key --> one struct per account
+                                        --> hash aggregate: each account's copies of a key --> one row a copy
     key folders --(left anti, broadcast seen folders)--> placeholder rows (empty folders)
 
 The combine deals rows out by ``(name, bucket, prefix)``, so a hot folder is spread over
 all reducers by file name. An account's key is almost always unique, so nothing would fold before
-the exchange and nothing is sorted there.
+the exchange, and nothing is sorted. The seen folders come from the same exchange, read again.
 """
 
 from __future__ import annotations
@@ -25,12 +25,8 @@ from stocktake.operators.joins import fits_broadcast, join_small
 from stocktake.operators.uri_map import ORD, key_folders
 from stocktake.schemas import ATTRS, FILE_NAME_COLUMN, OBJECT_STRUCT, attr_column, key_bucket_column, key_prefix_column
 
-# Grouping key of the combine. The file name comes first: the aggregate sorts on these
-# columns, and a sort's 8-byte key prefix only helps when the first column varies (the
-# bucket is nearly constant). The shuffle hashes all three, so distribution is unchanged.
+# Grouping key of the combine.
 ROW_KEY = ["name", "key_bucket", "key_prefix"]
-# Which of several rows with one key and account this is; copies pair up across accounts by it.
-COPY = "__copy"
 FOLDER_KEY = ["account", "bucket", "prefix"]
 
 
@@ -99,41 +95,118 @@ def account_column(accounts: list[str], account: str) -> str:
     return f"__acc_{accounts.index(account)}"
 
 
-def combine(rekeyed: DataFrame, accounts: list[str]) -> DataFrame:
+def deal(rekeyed: DataFrame) -> DataFrame:
+    """Rows with an attribute, dealt out by the row key: the combine's only exchange of objects."""
+    return rekeyed.where(has_attributes()).repartition(*ROW_KEY)
+
+
+def let(name: str, value: str, use: str) -> str:
+    """SQL: ``use`` with ``name`` bound to the value, computed once (an array of one holds it)."""
+    return f"transform(array({value}), {name} -> {use})[0]"
+
+
+def paired(names: list[str]) -> str:
+    """SQL: the rows of one key from ``found``, its copies with their account's number ``k``: an array of one struct per row.
+
+    Copies with equal hashes share a row, as many times as at least two accounts have them (rows by hash). All
+    other copies of an account fill, by date, size and hash, first the rows where the account has none yet, then new ones.
+    """
+    n, columns = len(names), [f"`{c}`" for c in names]
+    copy = "struct(" + ", ".join(f"{{c}}.{a} AS {a}" for a in ATTRS) + ")"
+    place = "cast(array_position(found.k, {k}) AS int) - 1"
+    only = "if(array_contains(found.k, {k}), " + copy.format(c=f"get(found, {place})") + ", NULL)"
+    single = "array(struct(" + ", ".join(f"{only.format(k=k)} AS {c}" for k, c in enumerate(columns)) + "))"
+    none = f"cast(array() AS array<array<{OBJECT_STRUCT.simpleString()}>>)"
+    # `copies`: by account; `groups`: by hash and account; `common`: cells of the rows that two accounts share.
+    hashes = "array_sort(filter(array_distinct(transform(flatten(copies), x -> x.hash)), h -> h IS NOT NULL))"
+    groups = f"transform({hashes}, h -> transform(copies, c -> filter(c, x -> x.hash = h)))"
+    depth = "sort_array(transform(g, c -> size(c)), false)[1]" if n > 1 else "0"
+    common = f"flatten(transform(groups, g -> if({depth} > 0, transform(sequence(0, {depth} - 1), j -> transform(g, c -> get(c, j))), {none})))"
+    # `rest`: what is left, by account; `gaps`: the common rows without the account.
+    more = f"flatten(transform(groups, g -> slice(g[k], {depth} + 1, greatest(size(g[k]) - {depth}, 0))))"
+    rest = f"transform(copies, (c, k) -> array_sort(concat(filter(c, x -> x.hash IS NULL), {more})))"
+    gaps = "transform(copies, (c, k) -> filter(if(size(common) > 0, sequence(0, size(common) - 1), cast(array() AS array<int>)), i -> common[i][k] IS NULL))"
+    last = "size(common) + greatest(0, array_max(transform(rest, (c, k) -> size(c) - size(gaps[k]))))"
+    cell = """if(t < size(common),
+        coalesce(get(get(common, t), {k}), if(array_position(gaps[{k}], t) > 0, get(rest[{k}], cast(array_position(gaps[{k}], t) AS int) - 1), NULL)),
+        get(rest[{k}], size(gaps[{k}]) + t - size(common)))"""
+    row = "struct(" + ", ".join(f"{cell.format(k=k)} AS {c}" for k, c in enumerate(columns)) + ")"
+    rows = f"transform(sequence(0, {last} - 1), t -> {row})"
+    by_account = f"transform(sequence(0, {n - 1}), k -> array_sort(transform(filter(found, c -> c.k = k), c -> {copy.format(c='c')})))"
+    bound = let("copies", by_account, let("groups", groups, let("common", common, let("rest", rest, let("gaps", gaps, rows)))))
+    return f"if(size(array_distinct(found.k)) = size(found), {single}, {bound})"
+
+
+def combine_dealt(dealt: DataFrame, accounts: list[str]) -> DataFrame:
+    """:func:`combine` of rows that are dealt out already."""
+    names = [account_column(accounts, a) for a in accounts]
+    number = F.array_position(F.array(*[F.lit(a) for a in accounts]), F.col("account")).cast("int") - 1
+    # One aggregate keeps a key's copies (hardly ever more than one an account) in a hash map: no sort, no window.
+    found = F.collect_list(F.when(number >= 0, F.struct(number.alias("k"), *ATTRS))).alias("found")
+    return dealt.groupBy(*ROW_KEY).agg(found).where(F.size("found") > 0).selectExpr(*ROW_KEY, f"inline({paired(names)})")
+
+
+def combine(rekeyed: DataFrame, accounts: list[str], repeated: DataFrame | None = None) -> DataFrame:
     """N-way outer combine: one row per key and copy, one ``struct<date,size,hash>`` column per account.
 
     Rows with no attribute at all (placeholders) are dropped first. Rows of one account with equal
-    keys (two objects whose names end alike, a listing given twice) are all kept: they are numbered
-    by date, size and hash, and the n-th copy of each account shares a row. One exchange
-    serves the numbering and the grouping.
+    keys (versions of an object, a listing given twice) are all kept and paired across accounts as
+    :func:`paired` states. A key's copies are held together in a task; keys known to have more of them than that
+    bears (``repeated``, with the columns of the row key) are paired the same way by sorts that spill.
     """
+    if repeated is None:
+        return combine_dealt(deal(rekeyed), accounts)
+    keys = repeated.select(*ROW_KEY).distinct()
+    same = lambda side: reduce(operator.and_, [rekeyed[c].eqNullSafe(side[c]) for c in ROW_KEY])
+    few = combine_dealt(deal(rekeyed.join(keys, same(keys), "left_anti")), accounts)
+    return few.unionByName(combine_many_copies(rekeyed.join(keys, same(keys), "left_semi"), accounts))
+
+
+def combine_many_copies(rekeyed: DataFrame, accounts: list[str]) -> DataFrame:
+    """The rows of :func:`combine` by windows: copies are numbered and matched as rows, however many a key has."""
     obj = F.struct(*[F.col(a) for a in ATTRS])
-    # Dealt out by the row key explicitly: the window and the grouping need no exchange of their own.
-    dealt = rekeyed.where(has_attributes()).repartition(*ROW_KEY)
-    order = Window.partitionBy(*ROW_KEY, "account").orderBy(*ATTRS)
+    key = Window.partitionBy(*ROW_KEY)
+    nth = F.row_number().over(Window.partitionBy(*ROW_KEY, "account", "hash").orderBy("date", "size"))
+    holders = F.count(F.lit(1)).over(Window.partitionBy(*ROW_KEY, "hash", "nth"))
+    numbered = rekeyed.where(has_attributes()).withColumn("nth", nth).withColumn("common", F.col("hash").isNotNull() & (holders > 1))
+    place = F.dense_rank().over(Window.partitionBy(*ROW_KEY, "common").orderBy("hash", "nth"))
+    turn = F.row_number().over(Window.partitionBy(*ROW_KEY, "common", "account").orderBy(*ATTRS))
+    placed = numbered.withColumn("place", F.when(F.col("common"), place)).withColumn("turn", F.when(~F.col("common"), turn))
+    placed = placed.withColumn("n_common", F.coalesce(F.max("place").over(key), F.lit(0)))
+    # Which common rows an account isn't in, in their order; its other copies take these places by turn.
+    present = placed.where("common").groupBy(*ROW_KEY, "place").agg(F.collect_set("account").alias("there"))
+    gaps = present.select(*ROW_KEY, "place", F.explode(F.array_except(F.array(*[F.lit(a) for a in accounts]), "there")).alias("account"))
+    mine = Window.partitionBy(*ROW_KEY, "account")
+    gaps = gaps.withColumn("gap_turn", F.row_number().over(mine.orderBy("place"))).withColumn("n_gaps", F.count(F.lit(1)).over(mine))
+    on = [*ROW_KEY, "account"]
+    named = lambda df, prefix: df.select([F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
+    equal = lambda prefix, columns: reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"{prefix}_{c}")) for c in columns])
+    by_turn = named(gaps.select(*on, F.col("gap_turn").alias("turn"), "place"), "gap")
+    counts = named(gaps.select(*on, "n_gaps").distinct(), "all")
+    filled = placed.where("NOT common").join(by_turn, equal("gap", [*on, "turn"]), "left").join(counts, equal("all", on), "left")
+    at = F.coalesce("gap_place", F.col("n_common") + F.col("turn") - F.coalesce("all_n_gaps", F.lit(0)))
+    rows = placed.where("common").select(*ROW_KEY, "account", *ATTRS, "place").unionByName(filled.select(*ROW_KEY, "account", *ATTRS, at.alias("place")))
     per_account = [F.max(F.when(F.col("account") == F.lit(a), obj)).alias(account_column(accounts, a)) for a in accounts]
-    return dealt.withColumn(COPY, F.row_number().over(order)).groupBy(*ROW_KEY, COPY).agg(*per_account).drop(COPY)
+    return rows.groupBy(*ROW_KEY, "place").agg(*per_account).drop("place")
+
+
+def seen_folders(dealt: DataFrame) -> DataFrame:
+    """Key folders that hold an object, from the rows as they were dealt out.
+
+    The bits of all columns are asked for (and their presence is tested), so the optimizer can't narrow the
+    rows before the exchange: the combine's own exchange is read again, and neither the listing nor the aggregate runs twice.
+    """
+    bits = F.bit_or(F.xxhash64("name", "account", *ATTRS))
+    return dealt.groupBy(F.col("key_bucket").alias("bucket"), F.col("key_prefix").alias("prefix")).agg(bits.alias("bits")).where(F.col("bits").isNotNull()).drop("bits")
 
 
-def with_empty_folders(combined: DataFrame, long_map: DataFrame, accounts: list[str]) -> DataFrame:
-    """Add a null row for every key-account folder that has no object in any account.
+def with_empty_folders(combined: DataFrame, seen: DataFrame, long_map: DataFrame, accounts: list[str]) -> DataFrame:
+    """Add a null row for every key-account folder that is not among ``seen``.
 
-    The seen-folder list is computed from the combine's shuffle output: the count
-    below references every account column, so the optimizer cannot prune the
-    combine aggregate away (as it does for a bare ``select(folder).distinct()``)
-    and the combine's exchange is reused instead of scanning the listing again.
     The anti join is on folder-sized inputs only; object rows are never shuffled by folder.
     """
-    any_object = reduce(operator.or_, [F.col(account_column(accounts, a)).isNotNull() for a in accounts])
-    seen = (
-        combined.groupBy(F.col("key_bucket").alias("bucket"), F.col("key_prefix").alias("prefix"))
-        .agg(F.count(F.when(any_object, F.lit(1))).alias("n_objects"))
-        .where(F.col("n_objects") > 0)
-        .select("bucket", "prefix")
-    )
-    folders = key_folders(long_map)
     # `seen` holds key folders only (re-keying is an inner join on the map), so the map bounds its size.
-    empty = join_small(folders, seen, ["bucket", "prefix"], "left_anti", null_safe=True, bound=long_map)
+    empty = join_small(key_folders(long_map), seen, ["bucket", "prefix"], "left_anti", null_safe=True, bound=long_map)
     return combined.unionByName(placeholder_rows(empty, accounts))
 
 
@@ -172,8 +245,8 @@ def to_struct_form(flat: DataFrame, accounts: list[str], key_account: str | None
 
 
 def all_accounts_struct(listing: DataFrame, long_map: DataFrame, accounts: list[str]) -> DataFrame:
-    combined = combine(rekey(listing, long_map), accounts)
-    return with_empty_folders(combined, long_map, accounts)
+    dealt = deal(rekey(listing, long_map))
+    return with_empty_folders(combine_dealt(dealt, accounts), seen_folders(dealt), long_map, accounts)
 
 
 def all_accounts(listing: DataFrame, long_map: DataFrame, accounts: list[str]) -> DataFrame:

@@ -444,11 +444,16 @@ with l AS (
   from lineitem
 ), h AS (
   select prefix, name, date, size, md5(concat_ws('|', l_partkey, l_suppkey, l_extendedprice)) hash from l
-), a AS (select *, row_number() over (partition by prefix, name order by date, size, hash) copy from h),
-b AS (select *, row_number() over (partition by prefix, name order by date, size, hash) copy from h where size % 3 <> 0)
+), both_accounts AS (select *, 'a' account from h union all select *, 'b' from h where size % 3 <> 0),
+n AS (select *, row_number() over (partition by prefix, name, account, hash order by date, size) nth from both_accounts),
+c AS (select *, count(*) over (partition by prefix, name, hash, nth) holders from n),
+p AS (
+  select *, case when holders = 2 then dense_rank() over (partition by prefix, name, holders order by hash, nth)
+    else row_number() over (partition by prefix, name, account, holders order by date, size, hash) end place from c
+), a AS (select * from p where account = 'a'), b AS (select * from p where account = 'b')
 select 'tpch' bucket_in_all, coalesce(a.prefix, b.prefix) prefix_in_all, coalesce(a.name, b.name) file_name_in_all_accounts,
        a.date date_in_all, a.size size_in_all, a.hash hash_in_all, b.date date_in_name, b.size size_in_name, b.hash hash_in_name
-from a full join b on a.prefix = b.prefix and a.name = b.name and a.copy = b.copy""",
+from a full join b on a.prefix = b.prefix and a.name = b.name and a.holders = b.holders and a.place = b.place""",
         "map_file_round_trip": dirty + "\nselect account, uri, bucket, prefix, key_bucket, key_prefix from map_long",
         "map_empty_account": _with(MAP_WIDE)
         + """

@@ -13,6 +13,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 SCRATCH_SUBDIR = "stocktake"
+# Keys that a task's aggregate holds in its hash map before it goes on by sorting (which spills): some
+# 100 MB of heap, where Spark's own limit is 128 keys.
+HASHED_KEYS = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "200000"}
 # Checkpoint folder of a local master where none is configured (tests, a laptop).
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints/stocktake"
 
@@ -34,6 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config(map=HASHED_KEYS)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
     )
@@ -56,6 +60,7 @@ def cluster_session(app: str = "stocktake") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config(map=HASHED_KEYS)
         .getOrCreate()
     )
     return spark

@@ -159,6 +159,64 @@ def test_every_copy_of_a_key_is_kept(spark):
     assert sorted(map(tuple, found), key=repr) == [("f", 5, 5), ("f", 9, None), (None, 1, None)]
 
 
+ROWS = "account string, key_bucket string, key_prefix string, name string, date timestamp, size long, hash string"
+
+
+def pairing(rows, accounts):
+    """Brute force: rows as dicts from account to (date, size, hash)."""
+    low = lambda v: tuple((x is not None, x) for x in v)
+    out = []
+    for key in {r[1:4] for r in rows}:
+        left = {a: sorted((r[4:] for r in rows if r[1:4] == key and r[0] == a), key=low) for a in accounts}
+        lines = []
+        for h in sorted({v[2] for c in left.values() for v in c if v[2] is not None}):
+            while sum(any(v[2] == h for v in c) for c in left.values()) > 1:
+                line = {}
+                for a, c in left.items():
+                    mine = [v for v in c if v[2] == h]
+                    if mine:
+                        line[a] = mine[0]
+                        c.remove(mine[0])
+                lines.append(line)
+        for a, c in left.items():
+            free = [line for line in lines if a not in line]
+            for v in c:
+                if not free:
+                    free = [{}]
+                    lines.append(free[0])
+                free.pop(0)[a] = v
+        out += [(key, *(line.get(a, (None,) * 3) for a in accounts)) for line in lines]
+    return sorted(out, key=repr)
+
+
+def test_copies_pair_by_hash_first_like_brute_force(spark):
+    import datetime
+    import random
+
+    rng = random.Random(2)
+    accounts = ["x", "y", "z"]
+    day = lambda: datetime.datetime(2024, 1, rng.randrange(1, 4))
+    rows = [
+        (a, "b", "f/", f"n{k}" if k else None, day(), rng.randrange(3), rng.choice(["h1", "h2", "h3", "h4", None]))
+        for k in range(120) for a in accounts for _ in range(rng.choice([0, 1, 1, 1, 2, 3, 5]))
+    ]
+    for df in (C.combine(spark.createDataFrame(rows, ROWS), accounts), C.combine_many_copies(spark.createDataFrame(rows, ROWS), accounts)):
+        got = [((r["key_bucket"], r["key_prefix"], r["name"]), *(tuple(r[C.account_column(accounts, a)] or (None,) * 3) for a in accounts)) for r in df.collect()]
+        assert sorted(got, key=repr) == pairing(rows, accounts)
+    crossed = [("x", "b", "f/", "k", None, 1, "h1"), ("x", "b", "f/", "k", None, 2, "h2"), ("y", "b", "f/", "k", None, 0, "h2"), ("y", "b", "f/", "k", None, 3, "h1")]
+    flat = C.flatten(C.combine(spark.createDataFrame(crossed, ROWS), ["x", "y"]), ["x", "y"])
+    assert all(r["hash_in_x"] == r["hash_in_y"] for r in flat.collect())
+
+
+def test_keys_with_many_copies_take_the_sorted_way(spark):
+    rows = [(a, "b", "f/", None if k % 2 else "n", None, k // 3, f"h{k % 5}") for k in range(40) for a in ("x", "y")[: 1 + (k % 3 > 0)]]
+    rows += [("x", "b", "f/", "other", None, 1, "h")]
+    df = spark.createDataFrame(rows, ROWS)
+    many = spark.createDataFrame([("b", "f/", None), ("b", "f/", "n")], "key_bucket string, key_prefix string, name string")
+    want = sorted(map(repr, C.combine(df, ["x", "y"]).collect()))
+    assert sorted(map(repr, C.combine(df, ["x", "y"], repeated=many).collect())) == want
+
+
 def test_accounts_named_like_columns(spark):
     wide = spark.createDataFrame([("s3://b/f", "s3://c/g", "s3://d/h")], "name string, uri_ord_x string, size string")
     raw = spark.createDataFrame([("name", "b", "f/a", None, 1, "h"), ("size", "d", "h/a", None, 1, "h")], "account string, bucket string, key string, last_modified timestamp, size long, etag string")

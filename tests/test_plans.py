@@ -41,3 +41,12 @@ def test_run_filter_is_a_partition_filter(spark, tmp_root):
     P.full_diff(X.wide_map(spark), R.RuleConfig(origin="pro"), raw=X.raw_entries(spark), out_root=tmp_root, run_id="r1")
     scans = _scans(read_listing_table(spark, f"{tmp_root}/accounts", "r1"))
     assert scans and "PartitionFilters: [isnotnull(run_id" in scans[0] and "(run_id" in scans[0].split("PartitionFilters:")[1]
+
+
+def test_analysis_sorts_no_objects_and_reads_them_once(spark):
+    df = QUERIES["analysis_full"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    nodes = [re.sub(r"^[\s:+\-*()\d]*", "", line).split(" ")[0].split("(")[0] for line in plan.splitlines()]
+    assert not {"Sort", "Window", "SortAggregate", "SortMergeJoin"} & set(nodes), plan
+    assert "ReusedExchange" in nodes and sum("FileScan parquet" in line and "text" in line for line in plan.splitlines()) == 1, plan
