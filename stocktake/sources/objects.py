@@ -1,77 +1,98 @@
-"""List the objects of mapped folders, distributed over the folders, into raw listing entries.
+"""List the objects of mapped folders, distributed over folders and ranges of names, into raw listing entries.
 
-Only the mapped folders are listed, one list call per folder and non-recursive, in the tasks
-that hold the folders' rows: the driver never sees an object, and nothing else under a bucket is
-touched. Names and sizes come from the listing; no object is read. Every name counts: zero-byte objects,
-``_SUCCESS``, names that begin with a dot. A folder that does not exist is just empty.
+Only the mapped folders are listed, non-recursive, in the tasks that hold their rows: the driver never sees an
+object, and nothing else under a bucket is touched. A folder comes in pages (see
+:mod:`stocktake.sources.paging`). A task lists at most ``RANGE_ENTRIES`` of one range of names; what is left is cut into
+ranges for the tasks of the next round, so a folder of any size is listed by many tasks that hold a page each.
+Every round is written to shared scratch storage, and the entries are read from there: a folder is listed once, whatever
+is made of the entries later. Every name counts: zero-byte objects, ``_SUCCESS``, names that begin with a dot. A
+folder that does not exist is just empty.
 
 ``with_content_hash`` adds the MD5 of the content for objects that were listed, read in pieces by
-tasks that share the objects evenly. A store's own ETags come with inventory reports
+tasks that share the objects evenly. A store's own ETags come with an ``s3://`` scan and with inventory reports
 (:func:`stocktake.sources.readers.read_inventory`). Compare listings of the same ``hash_kind`` only.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.operators.listing import mapped_folders
 from stocktake.schemas import RAW_ENTRY
+from stocktake.session import scratch_root
+from stocktake.sources.paging import Pager, cuts_behind, opened_store, pager_of
 
 #: Where ``<bucket>/<key>`` lies; ``{account}`` stands for the account.
 S3_STORE = "s3://"
 READ_BYTES = 8 << 20
+#: Entries that a task lists of one range in a round, and ranges that the rest is cut into.
+RANGE_ENTRIES, RANGES = 100_000, 64
 ENTRY_KINDS = [("account", pa.string()), ("bucket", pa.string()), ("key", pa.string()), ("last_modified", pa.timestamp("us", "UTC")), ("size", pa.int64()), ("etag", pa.string())]
 
 
-def _located(store: str, account: str, bucket: str, key: str) -> tuple[fs.FileSystem, str]:
-    escaped = quote if re.match("[a-zA-Z][a-zA-Z0-9+.-]*:", store) else str  # a plain path is no URI
-    return fs.FileSystem.from_uri(store.replace("{account}", escaped(account)) + escaped(f"{bucket}/{key}"))
+def _listed(pager: Pager, after: str | None, last: str | None, most: int) -> Iterator[tuple[list, list[tuple]]]:
+    """Pages of a range, and at the end the ranges left when ``most`` entries have been listed."""
+    done = 0
+    while True:
+        limit = min(pager.page_entries, most - done) if pager.page_entries else 1 << 62
+        page = pager.page(after, last, limit)
+        done += len(page)
+        yield page, []
+        if len(page) < limit:
+            return
+        after = page[-1].name
+        if done >= most:
+            ends = [*cuts_behind(after, last, RANGES - 1), last]
+            yield [], list(zip([after, *ends[:-1]], ends, strict=True))
+            return
 
 
-def list_folders(long_map: DataFrame, accounts: list[str] | None = None, store: str = S3_STORE, tasks: int | None = None) -> DataFrame:
-    """Objects directly under each mapped folder -> ``account, bucket, key, last_modified, size, etag`` (null).
+def list_folders(long_map: DataFrame, accounts: list[str] | None = None, store: str = S3_STORE, tasks: int | None = None, range_entries: int | None = None) -> DataFrame:
+    """Objects directly under each mapped folder -> ``account, bucket, key, last_modified, size, etag``.
 
     A sub-folder is an entry whose key ends in ``/``, of size 0, as a store's folder marker; so
     it is no file, and shows up in the sub-folder report.
     """
     folders = mapped_folders(long_map, accounts)
-    tasks = tasks or int(folders.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    spark, most = folders.sparkSession, range_entries or RANGE_ENTRIES
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    root = scratch_root(spark)
 
     def list_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [*ENTRY_KINDS, ("prefix", pa.string()), ("after", pa.string()), ("last", pa.string())]
         for batch in batches:
-            for account, bucket, prefix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                system, path = _located(store, account, bucket, prefix)
-                found = system.get_file_info(fs.FileSelector(path, recursive=False, allow_not_found=True))
-                files = [f for f in found if f.type in (fs.FileType.File, fs.FileType.Directory)]
-                folder = [f.type == fs.FileType.Directory for f in files]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([account] * len(files), pa.string()),
-                        pa.array([bucket] * len(files), pa.string()),
-                        pa.array([prefix + f.base_name + ("/" if d else "") for f, d in zip(files, folder, strict=True)], pa.string()),
-                        pa.array([f.mtime for f in files], pa.timestamp("us", "UTC")),
-                        pa.array([0 if d else f.size for f, d in zip(files, folder, strict=True)], pa.int64()),
-                        pa.nulls(len(files), pa.string()),
-                    ],
-                    [name for name, _ in ENTRY_KINDS],
-                )
-
-    return folders.select("account", "bucket", "prefix").repartition(tasks).mapInArrow(list_, RAW_ENTRY)
+            for account, bucket, prefix, after, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for page, rest in _listed(pager_of(store, account, bucket, prefix), after, last, most):
+                    n, left = len(page), len(rest)
+                    columns = [
+                        [account] * (n + left), [bucket] * (n + left), [prefix + e.name for e in page] + [None] * left, [e.last_modified for e in page] + [None] * left,
+                        [e.size for e in page] + [None] * left, [e.etag for e in page] + [None] * left, [None] * n + [prefix] * left, [None] * n + [r[0] for r in rest], [None] * n + [r[1] for r in rest],
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, kinds, strict=True)], [name for name, _ in kinds])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_ENTRY.fields) + ", prefix string, after string, last string"
+    ranges = folders.select("account", "bucket", "prefix", F.lit(None).cast("string").alias("after"), F.lit(None).cast("string").alias("last"))
+    paths = []
+    while True:
+        paths.append(f"{root}/round_{len(paths)}")
+        ranges.repartition(tasks).mapInArrow(list_, schema).write.parquet(paths[-1])
+        ranges = spark.read.schema(schema).parquet(paths[-1]).where("prefix IS NOT NULL").select("account", "bucket", "prefix", "after", "last")
+        if ranges.isEmpty():
+            break
+    return spark.read.schema(schema).parquet(*paths).where("key IS NOT NULL").select(*RAW_ENTRY.fieldNames())
 
 
 def with_content_hash(raw: DataFrame, store: str = S3_STORE) -> DataFrame:
     """The entries with ``etag`` set to the MD5 of the object's content (folder entries keep theirs)."""
 
     def hashed(account: str, bucket: str, key: str) -> str:
-        system, path = _located(store, account, bucket, key)
+        system, root = opened_store(store, account, bucket)
+        path = f"{root.rstrip('/')}/{key}"
         digest = hashlib.md5()
         with system.open_input_stream(path) as stream:
             while piece := stream.read(READ_BYTES):
