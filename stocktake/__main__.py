@@ -10,7 +10,7 @@ Instead of ``--inventory``: ``--listing <listing table written by an earlier run
 account>`` or ``--scan <store>`` (``s3://`` or any root that holds ``<bucket>/<key>``, ``{account}`` in it stands for the
 account; the mapped folders are listed, ``--hash`` reads the objects found for their MD5). Outputs go to
 ``<out>/accounts``, ``<out>/all_accounts`` and ``<out>/analysis``, partitioned by run id, with
-the reports ``unmapped_objects``, ``subfolders`` and ``duplicate_keys`` beside them (their row counts are printed); ``--format
+the reports ``unmapped_objects``, ``subfolders``, ``duplicate_keys`` and ``unlike_hashes`` beside them (their row counts are printed); ``--format
 csv`` adds CSV exports under ``<out>/csv``.
 """
 
@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--url-encoded-keys", action="store_true")
     ap.add_argument("--listing-run", help="run of --listing to diff (default: the newest)")
     ap.add_argument("--hash", action="store_true", help="with --scan: MD5 of every object found")
+    ap.add_argument("--part-bytes", type=int, help="with --hash: digests of uploads in parts of this size")
+    ap.add_argument("--on-unlike-hashes", default="report", choices=["report", "fail"])
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--run-id")
@@ -73,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         raw = list_folders(P.prepare_map(wide), store=args.scan)
         if args.hash:
-            raw = with_content_hash(raw, args.scan)
+            raw = with_content_hash(raw, args.scan, args.part_bytes)
     run_id = args.run_id or S.new_run_id()
     done = P.full_diff(
         wide,
@@ -81,13 +83,14 @@ def main(argv: list[str] | None = None) -> int:
         raw=raw,
         listing=listing,
         on_subfolders=args.on_subfolders,
+        on_unlike_hashes=args.on_unlike_hashes,
         out_root=args.out,
         run_id=run_id,
         fmt=args.format,
         ordered=args.ordered,
     )
     print(f"run {run_id} written to {args.out}")
-    for name, report in (("rows outside the map", done.unmapped), ("keys listed more than once", done.duplicates), ("sub-folders", done.subfolders)):
+    for name, report in (("rows outside the map", done.unmapped), ("keys listed more than once", done.duplicates), ("sub-folders", done.subfolders), ("kinds of hashes that never match", done.unlike_hashes)):
         if report is not None:
             print(f"{name}: {report.count()}")
     spark.stop()

@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 
 from stocktake.functions.uri import quoted
 from stocktake.operators.joins import fits_broadcast, join_small
-from stocktake.operators.uri_map import ORD, key_folders
+from stocktake.operators.uri_map import ORD, key_folders, materialize
 from stocktake.schemas import ATTRS, FILE_NAME_COLUMN, OBJECT_STRUCT, attr_column, key_bucket_column, key_prefix_column
 
 # Grouping key of the combine.
 ROW_KEY = ["name", "key_bucket", "key_prefix"]
 FOLDER_KEY = ["account", "bucket", "prefix"]
+#: Copies of a key in an account that are paired in one array.
+MAX_COPIES = 256
 
 
 def map_for_rekey(long_map: DataFrame) -> DataFrame:
@@ -162,6 +164,16 @@ def combine(rekeyed: DataFrame, accounts: list[str], repeated: DataFrame | None
     return few.unionByName(combine_many_copies(rekeyed.join(keys, same(keys), "left_semi"), accounts))
 
 
+def repeated_keys(duplicates: DataFrame, listing: DataFrame, long_map: DataFrame, most: int = MAX_COPIES) -> DataFrame:
+    """Row keys with more copies in an account than :func:`combine` should hold together in a task.
+
+    From the report of keys listed more than once, and the objects without a name (which it leaves out), counted by folder."""
+    named = duplicates.where(F.col("n_copies") > most).select(*FOLDER_KEY, "name")
+    unnamed = listing.where(F.col("name").isNull() & has_attributes()).groupBy(*FOLDER_KEY, "name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    nothing = {a: F.lit(None).cast(t) for a, t in zip(ATTRS, ("timestamp", "long", "string"))}
+    return materialize(rekey(named.unionByName(unnamed.drop("n")).withColumns(nothing), long_map).select(*ROW_KEY).distinct())
+
+
 def combine_many_copies(rekeyed: DataFrame, accounts: list[str]) -> DataFrame:
     """The rows of :func:`combine` by windows: copies are numbered and matched as rows, however many a key has."""
     obj = F.struct(*[F.col(a) for a in ATTRS])

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.functions.uri import quoted
+from stocktake.functions.uri import hash_kind, quoted
 from stocktake.schemas import attr_column
 
 RULE_HASH = "is_hash_the_same_in"
@@ -39,6 +39,10 @@ class AnalysisConfigError(ValueError):
     pass
 
 
+class HashKindError(ValueError):
+    pass
+
+
 @dataclass(frozen=True)
 class RuleConfig:
     origin: str
@@ -100,6 +104,29 @@ def analyse(flat: DataFrame, config: RuleConfig, accounts: list[str]) -> DataFra
     return flat.select("*", *rule_columns(config))
 
 
+def unlike_hashes(flat: DataFrame, config: RuleConfig) -> DataFrame:
+    """Per target of a hash rule: objects there whose hash is of another kind than the origin's, so that they can't match.
+
+    ``origin, target, origin_kind, target_kind, n_objects``; one pass over the hashes."""
+    mine = quoted(attr_column("hash", config.origin))
+    cells = [
+        F.struct(F.lit(config.origin).alias("origin"), F.lit(t).alias("target"), hash_kind(mine).alias("origin_kind"), hash_kind(quoted(attr_column("hash", t))).alias("target_kind"))
+        for t in config.is_hash_the_same_in
+    ]
+    if not cells:
+        return flat.sparkSession.createDataFrame([], "origin string, target string, origin_kind string, target_kind string, n_objects long")
+    pairs = flat.select(F.inline(F.filter(F.array(*cells), lambda c: c.origin_kind != c.target_kind)))
+    return pairs.groupBy("origin", "target", "origin_kind", "target_kind").agg(F.count(F.lit(1)).alias("n_objects"))
+
+
+def assert_like_hashes(report: DataFrame) -> None:
+    """Strict mode: raise if hashes of different kinds were compared, with the kinds (a few rows for each target)."""
+    found = report.orderBy("target", "origin_kind", "target_kind").collect()
+    if found:
+        kinds = "; ".join(f"{r.n_objects} objects with {r.origin_kind} in '{r.origin}' and {r.target_kind} in '{r.target}'" for r in found)
+        raise HashKindError(f"Hashes of different kinds can't be compared: {kinds}")
+
+
 # ------------------------------------------------------------- DataFrame form of the config check
 
 

@@ -147,8 +147,24 @@ EXTRA_ENTRIES = [
 ]
 
 
+def old_versions(docs: DataFrame) -> DataFrame:
+    """Raw entries one or two levels below the mapped folders of ``pro``: every 23rd document's old version, in a
+    sub-folder by its number, so that sub-folders grow with the documents.
+    """
+    i = F.col("doc_id")
+    below = F.concat(F.lit("v"), F.floor(i / 512).cast("string"), F.lit("/"), F.when(i % 46 == 0, F.lit("more/")).otherwise(F.lit("")))
+    return docs.where(i % 23 == 0).select(
+        F.lit("pro").alias("account"),
+        F.lit("docs").alias("bucket"),
+        F.concat("source", F.lit("/"), "lang", F.lit("/"), below, i.cast("string"), F.lit(".txt")).alias("key"),
+        _doc_date().alias("last_modified"),
+        F.col("n_chars").cast("long").alias("size"),
+        F.concat(F.lit('"'), F.md5("text"), F.lit('"')).alias("etag"),
+    )
+
+
 def raw_entries_from_documents(docs: DataFrame) -> DataFrame:
-    """Raw listing entries (quoted ETags) of the three accounts, plus :data:`EXTRA_ENTRIES`."""
+    """Raw listing entries (quoted ETags) of the three accounts, their old versions, and :data:`EXTRA_ENTRIES`."""
     spark = docs.sparkSession
     listing = listing_from_documents(docs)
     raw = listing.select(
@@ -167,7 +183,7 @@ def raw_entries_from_documents(docs: DataFrame) -> DataFrame:
         "size",
         F.concat(F.lit('"'), "md5", F.lit('"')).alias("etag"),
     )
-    return raw.unionByName(extra)
+    return raw.unionByName(old_versions(docs)).unionByName(extra)
 
 
 # Listing rows in folders the map does not name.

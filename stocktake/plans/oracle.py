@@ -84,6 +84,10 @@ RAW_ENTRIES = """
 raw AS (
   select account, bucket, prefix||name key, size, '"'||hash||'"' etag from listing
   union all
+  select 'pro', 'docs', source||'/'||lang||'/v'||cast(doc_id // 512 as varchar)||'/'||case when doc_id % 46 = 0 then 'more/' else '' end
+         ||cast(doc_id as varchar)||'.txt', n_chars, '"'||md5(text)||'"'
+  from documents where doc_id % 23 = 0
+  union all
   select * from (values
     ('pro', 'docs', 'src0/en/', 0, '"d41d8cd98f00b204e9800998ecf8427e"'),
     ('pro', 'docs', 'src1/en/', 5, '"0cc175b9c0f1b6a831c399e269772661"'),
@@ -486,6 +490,25 @@ select 'pro' account, 'docs' bucket, 'folder='||source||'_'||lang||'/' prefix,
 from documents group by source, lang
 union all select 'pro', 'docs', 'folder=none/', null, 1""",
         "object_hashes": """
-select 'pro' account, 'folder='||cast(n_nationkey as varchar)||'/' prefix, cast(octet_length(encode(n_name)) + 1 as bigint) size, md5(n_name||chr(10)) hash
-from nation""",
+select 'pro' account, 'folder='||source||'_'||lang||'/part='||cast(doc_id // 2048 as varchar)||'/' prefix,
+       cast(sum(octet_length(encode(coalesce(text, ''))) + 1) as bigint) size, md5(string_agg(coalesce(text, '')||chr(10), '' order by doc_id, text)) hash
+from documents group by source, lang, doc_id // 2048""",
+        "multipart_hashes": """
+with o AS (
+  select 'folder='||source||'_'||lang||'/part='||cast(doc_id // 256 as varchar)||'/' prefix,
+         string_agg(md5(coalesce(text, ''))||chr(10), '' order by doc_id, md5(coalesce(text, ''))) content
+  from documents group by source, lang, doc_id // 256
+), p AS (
+  select prefix, content, i, substr(content, i * 528 + 1, 528) part
+  from (select prefix, content, unnest(range(0, (length(content) + 527) // 528)) i from o)
+)
+select 'pro' account, prefix, length(content) size,
+       case when length(content) < 528 then md5(content)
+            else md5(unhex(string_agg(md5(part), '' order by i)))||'-'||cast(count(*) as varchar) end hash,
+       case when length(content) < 528 then 'md5' else 'multipart' end hash_kind
+from p group by prefix, content""",
+        "unlike_hashes": """
+select 'pro' origin, 'dev' target, 'md5' origin_kind, 'multipart' target_kind, count(*) n_objects
+from documents where doc_id % 5 = 0 and doc_id % 3 <> 0 and (doc_id % 11 <> 0 or doc_id % 21 = 0)
+having count(*) > 0""",
     }

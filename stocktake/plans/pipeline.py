@@ -24,7 +24,7 @@ from stocktake.operators import listing as L
 from stocktake.operators import rules as R
 from stocktake.operators import uri_map as M
 from stocktake.operators.joins import join_small
-from stocktake.schemas import all_accounts_schema, key_bucket_column, key_prefix_column
+from stocktake.schemas import RAW_ENTRY, all_accounts_schema, key_bucket_column, key_prefix_column
 from stocktake.sinks import tables as S
 from stocktake.sources.readers import read_listing_table
 
@@ -41,6 +41,7 @@ class DiffResult:
     unmapped: DataFrame
     duplicates: DataFrame
     subfolders: DataFrame | None = None
+    unlike_hashes: DataFrame | None = None
 
 
 def prepare_map(wide_map: DataFrame, strict: bool = True) -> DataFrame:
@@ -77,6 +78,7 @@ def full_diff(
     listing: DataFrame | None = None,
     strict: bool = True,
     on_subfolders: str = "report",
+    on_unlike_hashes: str = "report",
     out_root: str | None = None,
     run_id: str | None = None,
     fmt: str = "parquet",
@@ -86,38 +88,46 @@ def full_diff(
 
     ``ordered`` writes the analysis in map order, then file name (a range-partitioned
     sort; meant for outputs read by people). ``strict`` raises on map errors and on listing rows
-    outside the map, before anything is written.
+    outside the map, before anything is written. ``on_unlike_hashes="fail"`` raises where a hash rule meets hashes of
+    different kinds (an MD5 against a multipart digest never match); else they are a report.
 
     Without ``out_root`` everything stays one lazy plan. With it, each stage is
     written under ``out_root`` for the run and the next stage reads the written
-    table (lineage cut); empty folders are then found from written rows. The reports (rows outside
+    table (lineage cut), the raw entries first; empty folders are then found from written rows. The run is
+    marked as finished last (``runs``): one that was stopped has no mark, and a second attempt takes an old mark back first. The reports (rows outside
     the map, sub-folders, keys listed more than once) are written beside the tables; ``fmt="csv"``
     adds a CSV export of the tables under ``csv/``.
     """
     if listing is None and raw is None:
         raise ValueError("give raw entries or a listing")
+    if fmt not in ("parquet", "csv"):
+        raise ValueError(f"unknown format {fmt!r}")
     accounts = M.accounts_of(wide_map)
     if config.run_analysis:
         R.assert_config_matches(config, accounts)
     long_map = prepare_map(wide_map, strict)
-    report = L.subfolders(raw, long_map, accounts) if raw is not None else None
-    if report is not None and on_subfolders == "fail":
-        L.assert_no_subfolders(report)
     given = listing
     if given is not None:
         # A listing extracted here holds mapped folders only; a given one may hold strays.
         unmapped = C.unmapped_objects(given, long_map)
         if strict and unmapped.limit(1).count() > 0:
             raise ValueError(MSG_UNMAPPED)
+    run_id = run_id or S.new_run_id()
+    if out_root is not None:
+        S.begin_run(wide_map.sparkSession, out_root, run_id)
+        raw = write_raw_run(raw, out_root, run_id) if raw is not None else None
+    report = L.subfolders(raw, long_map, accounts) if raw is not None else None
+    if report is not None and on_subfolders == "fail":
+        L.assert_no_subfolders(report)
 
     if out_root is None:
         if listing is None:
             listing = L.extract_listing(raw, long_map, accounts)
             unmapped = C.unmapped_objects(listing, long_map)
         flat = combine_accounts(listing, long_map, accounts)
-        return DiffResult(long_map, listing, flat, analysis(flat, config, accounts), unmapped, L.duplicate_keys(listing), report)
+        unlike = unlike_hashes(flat, config, on_unlike_hashes)
+        return DiffResult(long_map, listing, flat, analysis(flat, config, accounts), unmapped, L.duplicate_keys(listing), report, unlike)
 
-    run_id = run_id or S.new_run_id()
     if given is None:
         listing = write_listing_run(raw, long_map, accounts, out_root, run_id)
         unmapped = C.unmapped_objects(listing, long_map)
@@ -126,23 +136,52 @@ def full_diff(
         path = S.write_listing(L.with_placeholders(given, long_map, accounts), out_root, run_id)
         listing = read_listing_table(given.sparkSession, path, run_id)
         unmapped = C.unmapped_objects(listing, long_map)
-    flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id)
+    spark = listing.sparkSession
+    kept = {}
+
+    def keep(name: str, report: DataFrame) -> None:
+        kept[name] = spark.read.schema(report.schema).parquet(S.write_run(report, S.table_path(out_root, name), run_id))
+
+    keep(S.DUPLICATES_DIR, L.duplicate_keys(listing))
+    flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id, kept[S.DUPLICATES_DIR])
+    unlike = unlike_hashes(flat, config, on_unlike_hashes)
     result = analysis(flat, config, accounts)
-    spark, columns = listing.sparkSession, result.schema
+    columns = result.schema
     if config.run_analysis:
         out = C.order_like_map(result, long_map, accounts) if ordered else result
         result = spark.read.schema(columns).parquet(S.write_run(out, S.table_path(out_root, S.ANALYSIS_DIR), run_id))
-    reports = {S.UNMAPPED_DIR: unmapped, S.DUPLICATES_DIR: L.duplicate_keys(listing)} | ({S.SUBFOLDERS_DIR: report} if report is not None else {})
-    kept = {name: spark.read.schema(df.schema).parquet(S.write_run(df, S.table_path(out_root, name), run_id)) for name, df in reports.items()}
+    for name, found in ((S.UNMAPPED_DIR, unmapped), (S.SUBFOLDERS_DIR, report), (S.UNLIKE_HASHES_DIR, unlike)):
+        if found is not None:
+            keep(name, found)
     if fmt == "csv":
         export = S.table_path(out_root, S.CSV_DIR)
         S.write_listing(listing, export, run_id, "csv")
         S.write_all_accounts(flat, export, run_id, "csv")
         if config.run_analysis:
             S.write_run(C.order_like_map(result, long_map, accounts) if ordered else result, S.table_path(export, S.ANALYSIS_DIR), run_id, "csv")
-    elif fmt != "parquet":
-        raise ValueError(f"unknown format {fmt!r}")
-    return DiffResult(long_map, listing, flat, result, kept[S.UNMAPPED_DIR], kept[S.DUPLICATES_DIR], kept.get(S.SUBFOLDERS_DIR))
+    written = [S.LISTINGS_DIR, S.ALL_ACCOUNTS_DIR, *kept] + [S.ANALYSIS_DIR] * config.run_analysis + [S.RAW_DIR] * (raw is not None) + [S.CSV_DIR] * (fmt == "csv")
+    S.commit_run(spark, out_root, run_id, written)
+    return DiffResult(long_map, listing, flat, result, kept[S.UNMAPPED_DIR], kept[S.DUPLICATES_DIR], kept.get(S.SUBFOLDERS_DIR), kept.get(S.UNLIKE_HASHES_DIR))
+
+
+def unlike_hashes(flat: DataFrame, config: R.RuleConfig, on_unlike: str) -> DataFrame | None:
+    """The report of hashes that can't be compared, if rules run; ``fail`` raises where it has rows."""
+    if not config.run_analysis:
+        return None
+    report = R.unlike_hashes(flat, config)
+    if on_unlike == "fail":
+        R.assert_like_hashes(report)
+    return report
+
+
+def write_raw_run(raw: DataFrame, out_root: str, run_id: str) -> DataFrame:
+    """Raw entries into the run's own table, once: files, placeholders and the sub-folder report all read it.
+
+    So a store is listed (and its objects hashed) once, and all three tell of the same moment.
+    """
+    columns = RAW_ENTRY.fieldNames()
+    path = S.write_run(raw.select(*columns), S.table_path(out_root, S.RAW_DIR), run_id)
+    return raw.sparkSession.read.schema(RAW_ENTRY).parquet(path)
 
 
 def write_listing_run(raw: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str) -> DataFrame:
@@ -155,9 +194,11 @@ def write_listing_run(raw: DataFrame, long_map: DataFrame, accounts: list[str],
     return read_listing_table(raw.sparkSession, path, run_id)
 
 
-def write_all_accounts_run(listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str) -> DataFrame:
+def write_all_accounts_run(listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, duplicates: DataFrame | None = None) -> DataFrame:
     """P-2 into a table: object rows first, then the empty folders found from the written rows.
 
+    ``duplicates`` is the listing's report of keys listed more than once, if it is written already.
+
     Reading back two folder columns of the written run is cheaper than a second
     pass over the combine, and the returned frame reads the written table, so
     later stages never recompute the combine (a lineage cut that survives
@@ -165,7 +206,8 @@ def write_all_accounts_run(listing: DataFrame, long_map: DataFrame, accounts: li
     """
     spark = listing.sparkSession
     table = S.table_path(out_root, S.ALL_ACCOUNTS_DIR)
-    objects = C.combine(C.rekey(listing, long_map), accounts)
+    repeated = C.repeated_keys(L.duplicate_keys(listing) if duplicates is None else duplicates, listing, long_map)
+    objects = C.combine(C.rekey(listing, long_map), accounts, None if repeated.isEmpty() else repeated)
     path = S.write_run(C.flatten(objects, accounts), table, run_id, mode="overwrite")
     written = spark.read.schema(all_accounts_schema(accounts)).parquet(path)
     key = accounts[0]

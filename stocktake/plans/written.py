@@ -29,6 +29,7 @@ RULES = R.RuleConfig(origin="pro", is_hash_the_same_in=["release", "dev"], can_t
 NUMBERED = {"pro": "012345678901", "release": "123456789012", "dev": "000000000007"}
 RUN = "20250101000000"
 LATER_RUN = "20250102000000"
+STOPPED_RUN = "20250103000000"
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +105,11 @@ def q_full_diff_earlier_run(spark, sf_dir):
     path = S.write_listing(L.with_placeholders(listing, long_map), root, RUN)
     later = listing.filter(F.substring_index("name", ".", 1).cast("long") % 4 != 0)
     S.write_listing(L.with_placeholders(later, long_map), root, LATER_RUN)
+    # A third run was stopped before its end: it has rows, but no mark.
+    S.begin_run(spark, root, STOPPED_RUN)
+    S.write_listing(L.with_placeholders(listing.filter("account = 'pro'"), long_map, ["pro"]), root, STOPPED_RUN)
+    for done in (RUN, LATER_RUN):
+        S.commit_run(spark, root, done, [S.LISTINGS_DIR])
     newest = RD.newest_run(spark, path)
     P.full_diff(wide, RULES, listing=RD.read_listing_table(spark, path, newest), out_root=out, run_id=newest)
     return _analysis(spark, out, newest)
@@ -245,12 +251,47 @@ def q_binaryfile_listing(spark, sf_dir):
 
 
 def q_object_hashes(spark, sf_dir):
-    """SRC-1 with content hashes: one small object for each nation, listed and hashed."""
-    root, nation = scratch_root(spark), D.table(spark, sf_dir, "nation")
-    nation.select(F.col("n_nationkey").alias("folder"), F.col("n_name").alias("text")).write.partitionBy("folder").text(f"{root}/nations")
-    long_map = P.prepare_map(nation.select(F.concat(F.lit("s3://nations/folder="), F.col("n_nationkey").cast("string")).alias("pro")))
-    raw = list_folders(long_map, store=f"{root}/").filter(~F.col("key").endswith(".crc"))
-    return L.extract_listing(with_content_hash(raw, f"{root}/"), long_map).select("account", "prefix", "size", "hash")
+    """SRC-1 with content hashes: an object for each source, language and 2048 document numbers, listed and hashed."""
+    root, docs = scratch_root(spark), _docs(spark, sf_dir)
+    folder = F.concat("source", F.lit("_"), "lang")
+    parts = docs.select(folder.alias("folder"), F.floor(F.col("doc_id") / 2048).alias("part"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # A part's documents are written by one task, in order: one object.
+    dealt = parts.repartition("folder", "part").sortWithinPartitions("folder", "part", "doc_id", "text")
+    dealt.select("folder", "part", "text").write.option("maxRecordsPerFile", 0).partitionBy("folder", "part").text(f"{root}/docs")
+    named = parts.select(F.concat(F.lit("s3://docs/folder="), "folder", F.lit("/part="), F.col("part").cast("string")).alias("pro")).distinct()
+    raw = list_folders(P.prepare_map(named), store=f"{root}/").filter(~F.col("key").endswith(".crc"))
+    return with_content_hash(raw, f"{root}/").select("account", F.regexp_extract("key", "^(.*/)", 1).alias("prefix"), "size", F.col("etag").alias("hash"))
+
+
+PART_BYTES = 33 * 16
+
+
+def _digest_objects(docs: DataFrame, root: str) -> DataFrame:
+    """Objects of one line a document (its text's MD5), one for each source, language and 256 document numbers; their folders as a map."""
+    folder, part = F.concat("source", F.lit("_"), "lang").alias("folder"), F.floor(F.col("doc_id") / 256).alias("part")
+    lines = docs.select(folder, part, "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text"))
+    dealt = lines.repartition("folder", "part").sortWithinPartitions("folder", "part", "doc_id", "text")
+    dealt.select("folder", "part", "text").write.option("maxRecordsPerFile", 0).partitionBy("folder", "part").text(f"{root}/docs")
+    return lines.select(F.concat(F.lit("s3://docs/folder="), "folder", F.lit("/part="), F.col("part").cast("string")).alias("pro")).distinct()
+
+
+def q_multipart_hashes(spark, sf_dir):
+    """T14: objects hashed as uploads in parts, so that they compare with a listing of such digests."""
+    root = scratch_root(spark)
+    named = _digest_objects(_docs(spark, sf_dir), root)
+    raw = list_folders(P.prepare_map(named), store=f"{root}/").filter(~F.col("key").endswith(".crc"))
+    hashed = with_content_hash(raw, f"{root}/", PART_BYTES)
+    return hashed.select("account", F.regexp_extract("key", "^(.*/)", 1).alias("prefix"), "size", F.col("etag").alias("hash"), L.hash_kind("etag").alias("hash_kind"))
+
+
+def q_unlike_hashes(spark, sf_dir):
+    """T14: ``dev`` holds every fifth object as an upload in parts; the kinds that a run found side by side."""
+    docs, root = _docs(spark, sf_dir), scratch_root(spark)
+    listing = D.listing_from_documents(docs)
+    in_parts = (F.col("account") == "dev") & (F.substring_index("name", ".", 1).cast("long") % 5 == 0)
+    mixed = listing.withColumn("hash", F.when(in_parts, F.concat("hash", F.lit("-2"))).otherwise(F.col("hash")))
+    done = P.full_diff(D.wide_map_from_documents(docs), RULES, listing=mixed, out_root=root, run_id=RUN)
+    return done.unlike_hashes.select("origin", "target", "origin_kind", "target_kind", "n_objects")
 
 
 QUERIES = {
@@ -272,4 +313,6 @@ QUERIES = {
     "inventory_listing": q_inventory_listing,
     "binaryfile_listing": q_binaryfile_listing,
     "object_hashes": q_object_hashes,
+    "multipart_hashes": q_multipart_hashes,
+    "unlike_hashes": q_unlike_hashes,
 }

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,11 @@ ANALYSIS_DIR = "analysis"
 UNMAPPED_DIR = "unmapped_objects"
 SUBFOLDERS_DIR = "subfolders"
 DUPLICATES_DIR = "duplicate_keys"
+RAW_DIR = "raw_entries"
+UNLIKE_HASHES_DIR = "unlike_hashes"
+# Marks of finished runs: a row written last.
+RUNS_DIR = "runs"
+RUN_MARK = "committed_at timestamp, tables array<string>"
 # CSV exports: the same tables under this folder.
 CSV_DIR = "csv"
 
@@ -96,6 +102,28 @@ def write_run(df: DataFrame, table_path: str, run_id: str, fmt: str = "parquet",
     return path
 
 
+def begin_run(spark: SparkSession, root: str, run_id: str) -> None:
+    """Take back the mark of an earlier attempt, before any of its tables change."""
+    write_run(spark.createDataFrame([], RUN_MARK), table_path(root, RUNS_DIR), run_id)
+
+
+def commit_run(spark: SparkSession, root: str, run_id: str, tables: list[str]) -> None:
+    """Mark a run as finished; call it after its last table is written."""
+    mark = spark.range(1).select(F.current_timestamp().alias("committed_at"), F.array(*[F.lit(t) for t in sorted(tables)]).cast("array<string>").alias("tables"))
+    write_run(mark.coalesce(1), table_path(root, RUNS_DIR), run_id)
+
+
+def committed_runs(spark: SparkSession, root: str) -> DataFrame:
+    """``run_id, committed_at, tables`` of the finished runs under a root (none where nothing was ever begun)."""
+    try:
+        found = spark.read.schema(f"{RUN_MARK}, run_id string").parquet(table_path(root, RUNS_DIR))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], f"{RUN_MARK}, run_id string")
+    return found.select("run_id", "committed_at", "tables")
+
+
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 

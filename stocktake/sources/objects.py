@@ -87,17 +87,35 @@ def list_folders(long_map: DataFrame, accounts: list[str] | None = None, store:
     return spark.read.schema(schema).parquet(*paths).where("key IS NOT NULL").select(*RAW_ENTRY.fieldNames())
 
 
-def with_content_hash(raw: DataFrame, store: str = S3_STORE) -> DataFrame:
-    """The entries with ``etag`` set to the MD5 of the object's content (folder entries keep theirs)."""
+def digest_of(stream, part_bytes: int | None = None) -> str:
+    """MD5 of a content; from ``part_bytes`` on, as stores name an upload in parts of that size: MD5 of the parts' MD5s, and their number."""
+    whole, parts, filled = hashlib.md5(), [], 0
+    part = hashlib.md5()
+    while piece := stream.read(READ_BYTES if part_bytes is None else min(READ_BYTES, part_bytes - filled)):
+        whole.update(piece)
+        if part_bytes is not None:
+            part.update(piece)
+            filled += len(piece)
+            if filled == part_bytes:
+                parts.append(part.digest())
+                part, filled = hashlib.md5(), 0
+    if not parts:
+        return whole.hexdigest()
+    parts += [part.digest()] if filled else []
+    return f"{hashlib.md5(b''.join(parts)).hexdigest()}-{len(parts)}"
+
+
+def with_content_hash(raw: DataFrame, store: str = S3_STORE, part_bytes: int | None = None) -> DataFrame:
+    """The entries with ``etag`` set to the MD5 of the object's content (folder entries keep theirs).
+
+    ``part_bytes`` gives the digests of uploads in parts of that size instead (contents below it have plain MD5s), to
+    be compared with a listing that holds those."""
 
     def hashed(account: str, bucket: str, key: str) -> str:
         system, root = opened_store(store, account, bucket)
         path = f"{root.rstrip('/')}/{key}"
-        digest = hashlib.md5()
         with system.open_input_stream(path) as stream:
-            while piece := stream.read(READ_BYTES):
-                digest.update(piece)
-        return digest.hexdigest()
+            return digest_of(stream, part_bytes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -129,10 +129,17 @@ def read_listing_table(spark: SparkSession, path: str, run_id: str | None = None
 
 
 def newest_run(spark: SparkSession, path: str) -> str:
-    """The last run id of a table (Parquet) partitioned by run; run ids sort by time."""
-    last = spark.read.schema(LISTING_WITH_RUN).parquet(path).agg(F.max("run_id")).first()[0]
+    """The last finished run of a table under a root; run ids sort by time.
+
+    A run counts once it is committed (see :func:`stocktake.sinks.tables.commit_run`): what a run that was
+    stopped has left in the table is never taken for one.
+    """
+    from stocktake.sinks.tables import committed_runs
+
+    root, table = path.rstrip("/").rsplit("/", 1)
+    last = committed_runs(spark, root).where(F.array_contains("tables", table)).agg(F.max("run_id")).first()[0]
     if last is None:
-        raise ValueError(f"no run in {path}")
+        raise ValueError(f"no finished run in {path}")
     return last
 
 

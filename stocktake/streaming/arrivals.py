@@ -47,10 +47,12 @@ def complete_runs(batch: DataFrame, listing_path: str, long_map: DataFrame) -> l
 
 def process_run(spark: SparkSession, listing_path: str, long_map: DataFrame, accounts: list[str], config: R.RuleConfig, out_root: str, run_id: str) -> None:
     listing = read_listing_table(spark, listing_path, run_id)
+    S.begin_run(spark, out_root, run_id)
     # Returns a frame over the written run: the analysis never recomputes the combine.
     flat = P.write_all_accounts_run(listing, long_map, accounts, out_root, run_id)
     if config.run_analysis:
         S.write_run(P.analysis(flat, config, accounts), S.table_path(out_root, S.ANALYSIS_DIR), run_id)
+    S.commit_run(spark, out_root, run_id, [S.ALL_ACCOUNTS_DIR] + [S.ANALYSIS_DIR] * config.run_analysis)
 
 
 def watch_listings(
@@ -83,6 +85,5 @@ def watch_listings(
 
 
 def runs_written(spark: SparkSession, out_root: str) -> DataFrame:
-    """Run ids that have an all-accounts result."""
-    path = f"{out_root.rstrip('/')}/{S.ALL_ACCOUNTS_DIR}"
-    return spark.read.parquet(path).select("run_id").distinct().orderBy(F.col("run_id"))
+    """Ids of the finished runs that have an all-accounts result."""
+    return S.committed_runs(spark, out_root).where(F.array_contains("tables", S.ALL_ACCOUNTS_DIR)).select("run_id").orderBy("run_id")

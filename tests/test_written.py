@@ -141,3 +141,80 @@ def test_command_line(spark, tmp_root, monkeypatch, capsys):
     a, b = (spark.read.parquet(f"{tmp_root}/{o}/analysis").drop("run_id") for o in ("o", "o2"))
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     assert "sub-folders: 0" in capsys.readouterr().out
+
+
+def test_a_stopped_run_is_no_run(spark, tmp_root, monkeypatch):
+    raw = raw_of(spark, ("pro", "b", "f/x", "h"), ("dev", "c", "g/x", "h"))
+    P.full_diff(wide_of(spark), RULES, raw=raw, out_root=tmp_root, run_id="r1")
+    write = S.write_run
+
+    def stops(df, path, run_id, *a, **k):
+        if path.endswith(S.ANALYSIS_DIR) or k.get("mode") == "append":
+            raise OSError("lost")
+        return write(df, path, run_id, *a, **k)
+
+    monkeypatch.setattr(S, "write_run", stops)
+    for run_id in ("r2", "r1"):  # a new run, and a second attempt of a finished one
+        with pytest.raises(OSError):
+            P.full_diff(wide_of(spark), RULES, raw=raw, out_root=tmp_root, run_id=run_id)
+    assert S.committed_runs(spark, tmp_root).count() == 0
+    assert RD.read_listing_table(spark, f"{tmp_root}/accounts", "r2").count() == 2  # it looks finished
+    with pytest.raises(ValueError, match="no finished run"):
+        RD.newest_run(spark, f"{tmp_root}/accounts")
+    monkeypatch.undo()
+    P.full_diff(wide_of(spark), RULES, raw=raw, out_root=tmp_root, run_id="r1")
+    assert RD.newest_run(spark, f"{tmp_root}/accounts") == "r1" == RD.newest_run(spark, f"{tmp_root}/analysis")
+    assert S.committed_runs(spark, f"{tmp_root}/nowhere").count() == 0
+
+
+def test_raw_entries_are_read_once(spark, tmp_root):
+    """Files, placeholders and sub-folders come from the same stored entries, whatever the source says a second time."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def listed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield pa.RecordBatch.from_pylist(batch.to_pylist(), schema=batch.schema)
+
+    raw = raw_of(spark, ("pro", "b", "f/x", "h"), ("pro", "b", "f/sub/y", "h"), ("dev", "c", "g/x", "h")).repartition(1)
+    done = P.full_diff(wide_of(spark), RULES, raw=raw.mapInArrow(listed, raw.schema), out_root=tmp_root, run_id="r1", on_subfolders="report")
+    assert done.subfolders.count() == 1 and done.listing.count() == 2 and calls.value == 3
+    for frame in (done.listing, done.subfolders, done.all_accounts):
+        assert "MapInArrow" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hashes_of_different_kinds(spark, tmp_root):
+    md5, parts = "d41d8cd98f00b204e9800998ecf8427e", "d41d8cd98f00b204e9800998ecf8427e-2"
+    raw = raw_of(spark, ("pro", "b", "f/x", md5), ("dev", "c", "g/x", parts), ("pro", "b", "f/y", md5), ("dev", "c", "g/y", md5), ("dev", "c", "g/z", parts))
+    for root in (None, tmp_root):
+        done = P.full_diff(wide_of(spark), RULES, raw=raw, out_root=root, run_id="r1")
+        assert [tuple(r) for r in done.unlike_hashes.collect()] == [("pro", "dev", "md5", "multipart", 1)]
+        with pytest.raises(R.HashKindError, match="1 objects with md5 in 'pro' and multipart in 'dev'"):
+            P.full_diff(wide_of(spark), RULES, raw=raw, out_root=root, run_id="r2", on_unlike_hashes="fail")
+    assert P.full_diff(wide_of(spark), R.RuleConfig(origin="pro"), raw=raw).unlike_hashes.count() == 0
+
+
+@pytest.mark.parametrize("size", [0, 1, 9, 10, 11, 20, 25])
+def test_digests_of_uploads_in_parts(size):
+    import hashlib
+    import io
+
+    from stocktake.sources.objects import digest_of
+
+    body = bytes(range(size))
+    parts = [hashlib.md5(body[k : k + 10]).digest() for k in range(0, size, 10)]
+    want = hashlib.md5(body).hexdigest() if size < 10 else f"{hashlib.md5(b''.join(parts)).hexdigest()}-{len(parts)}"
+    assert digest_of(io.BytesIO(body), 10) == want and digest_of(io.BytesIO(body)) == hashlib.md5(body).hexdigest()
+
+
+def test_many_copies_of_a_key_in_a_written_run(spark, tmp_root, monkeypatch):
+    from stocktake.operators import combine as C
+
+    monkeypatch.setattr(C.repeated_keys, "__defaults__", (3,))
+    rows = [(a, p, f"f/{n}" if a == "pro" else f"g/{n}", None, k, f"h{k % 4}") for a, p in (("pro", "b"), ("dev", "c")) for n, times in (("x", 9), ("y", 2), ("z", 1)) for k in range(times)]
+    raw = spark.createDataFrame(rows, RAW)
+    done = P.full_diff(wide_of(spark), RULES, raw=raw, out_root=tmp_root, run_id="r1")
+    lazy = P.full_diff(wide_of(spark), RULES, raw=raw)
+    assert done.all_accounts.count() == 12 and sorted(map(repr, done.analysis.collect())) == sorted(map(repr, lazy.analysis.collect()))
