@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from stocktake.operators.listing import mapped_folders
 from stocktake.schemas import RAW_ENTRY
 from stocktake.session import scratch_root
-from stocktake.sources.paging import Pager, cuts_behind, opened_store, pager_of
+from stocktake.sources.paging import Pager, opened_store, pager_of
 
 #: Where ``<bucket>/<key>`` lies; ``{account}`` stands for the account.
 S3_STORE = "s3://"
@@ -47,7 +47,7 @@ def _listed(pager: Pager, after: str | None, last: str | None, most: int) -> Ite
             return
         after = page[-1].name
         if done >= most:
-            ends = [*cuts_behind(after, last, RANGES - 1), last]
+            ends = [*pager.cuts(after, last, RANGES - 1), last]
             yield [], list(zip([after, *ends[:-1]], ends, strict=True))
             return
 

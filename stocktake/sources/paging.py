@@ -15,6 +15,7 @@ import datetime
 import functools
 import heapq
 import os
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,6 +31,8 @@ except ImportError:
 
 #: Behind every name that begins with the text before it.
 END = "\U0010ffff"
+#: Names that a directory's ranges are cut by.
+SAMPLE_NAMES = 4096
 
 
 class Entry(NamedTuple):
@@ -51,6 +54,10 @@ class Pager(Protocol):
         Fewer than ``limit`` mean that there are no more."""
         ...
 
+    def cuts(self, after: str, last: str | None, most: int) -> list[str]:
+        """At most so many names, ascending, that cut the range behind ``after`` into about equal parts."""
+        ...
+
 
 @functools.lru_cache(maxsize=64)
 def opened_store(store: str, account: str, bucket: str) -> tuple[fs.FileSystem, str]:
@@ -107,6 +114,20 @@ class FilePager:
         return entries
 
 
+    def cuts(self, after: str, last: str | None, most: int) -> list[str]:
+        # Quantiles of a sample of the names: it decides how even the parts are, not what they hold.
+        sample, rng, n = [], random.Random(self.path), 0
+        for name in self.names():
+            if inside(name, after, last):
+                n += 1
+                if len(sample) < SAMPLE_NAMES:
+                    sample.append(name)
+                elif (place := rng.randrange(n)) < SAMPLE_NAMES:
+                    sample[place] = name
+        sample = sorted(set(sample))
+        return sample[:: -(-len(sample) // most)][1:] if sample else []
+
+
 @dataclass
 class ArrowPager:
     system: fs.FileSystem
@@ -120,6 +141,9 @@ class ArrowPager:
         entries = [Entry(f.base_name + "/" * d, f.mtime, 0 if d else f.size, None) for f, d in zip(found, folder, strict=True)]
         return sorted(e for e in entries if inside(e.name, after, last))[:limit]
 
+    def cuts(self, after: str, last: str | None, most: int) -> list[str]:
+        return []
+
 
 @dataclass
 class S3Pager:
@@ -146,13 +170,18 @@ class S3Pager:
             kept += self.page(entries[-1].name, last, limit - len(kept))
         return kept
 
+    def cuts(self, after: str, last: str | None, most: int) -> list[str]:
+        return cuts_behind(after, last, most)
+
 
 def cuts_behind(name: str, last: str | None, most: int) -> list[str]:
-    """Names behind ``name`` where the rest of its folder may be cut, ascending: at each place of the name the greater signs.
-
-    Like the wheels of a counter, so numbered names are cut evenly; any cut is right, whatever the names."""
-    signs = "-.0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
-    cuts = sorted({name[:k] + s for k in range(len(name)) for s in signs if s > name[k]} - {name})
-    cuts = [c for c in cuts if inside(c, name, last)]
-    step = -(-len(cuts) // most) if cuts else 1
-    return cuts[::step]
+    """Names behind ``name`` where the rest of its folder may be cut, ascending: at each place of the name the greater signs of its kind.
+
+    Like the wheels of a counter, so numbered names are cut evenly: all cuts at digits, and as many at letters
+    as are left. Any cut is right, whatever the names; a range that is still too long is cut again."""
+    kinds = ["0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"]
+    at = [{name[:k] + s for k in range(len(name)) for s in kind if name[k] in kind and s > name[k]} for kind in kinds]
+    digits = sorted(c for c in at[0] if inside(c, name, last))[:most]
+    letters = sorted(c for c in at[1] | at[2] if inside(c, name, last))
+    room = most - len(digits)
+    return sorted(digits + (letters[:: -(-len(letters) // room)] if room and letters else []))
