@@ -68,17 +68,18 @@ class UnitEncoder:
 
     def _unit(self, unit: str) -> list[int]:
         """A unit of letters, with a stop or comma, is one piece or two; everything else goes the whole way."""
+        given = unit  # the library normalises what goes to it itself; doing it twice would compose more
         if not self.spaced:
             unit = normalize("NFC", unit)
             if "Σ" in unit:  # its lower case depends on its place, but not in the library
-                return self._whole(unit)
+                return self._whole(given)
             unit = unit.lower()
         body = unit[1:] if unit[:1] == " " else unit
         if body.isalpha():
             return self._letters(unit)
         if body[-1:] in STOPS and body[:-1].isalpha():
             return self._letters(unit[:-1]) + self._letters(body[-1])
-        return self._whole(unit) if unit else []
+        return self._whole(given) if given else []
 
     def _units(self, units: list[str]) -> list[list[int]]:
         kept = self.kept

@@ -14,7 +14,7 @@ from stocktake.llm.tokens import UnitEncoder, encoder
 from .cases import documents, texts
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
-CHARS = st.sampled_from(list("ab'sT.,| \n\t\x0b\x0c\r\x00 \u0085　\x1cé") + ["  ", "\n\n", " don't", " I'LL", "<|endoftext|>", "é", "İ", "ß", "\U0001f600", "12"])
+CHARS = st.sampled_from(list("ab'sT.,| \n\t\x0b\x0c\r\x00 \u0085　\x1cé") + ["  ", "\n\n", " don't", " I'LL", "<|endoftext|>", "é", "İ", "ß", "\U0001f600", "12"] + [a + m for a in "TJHWaÉ" for m in "\u0301\u0308\u030a\u030c\u0331"])
 
 
 @pytest.mark.parametrize("name", FILES)
