@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--inventory-format", default="parquet", choices=["parquet", "orc", "csv"])
     ap.add_argument("--columns", default="", help="report's column names: field=name,...")
     ap.add_argument("--csv-columns", default="", help="column names of a CSV report without a header line")
+    ap.add_argument("--on-unreadable", default="fail", choices=["fail", "null"], help="sizes and dates of the report that can't be read")
     ap.add_argument("--account", help="account of an inventory without an account column")
     ap.add_argument("--url-encoded-keys", action="store_true")
     ap.add_argument("--listing-run", help="run of --listing to diff (default: the newest)")
@@ -67,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
             columns=dict(x.split("=", 1) for x in args.columns.split(",") if x),
             csv_columns=[x for x in args.csv_columns.split(",") if x] or None,
             url_encoded_keys=args.url_encoded_keys,
+            on_unreadable=args.on_unreadable,
         )
     elif args.listing:
         listing = RD.read_listing_table(spark, args.listing, args.listing_run or RD.newest_run(spark, args.listing))
@@ -90,6 +92,7 @@ def main(argv: list[str] | None = None) -> int:
         ordered=args.ordered,
     )
     print(f"run {run_id} written to {args.out}")
+    print(f"rows listed: {done.counts['n_rows']}, re-keyed: {done.counts['n_rekeyed']}")
     for name, report in (("rows outside the map", done.unmapped), ("keys listed more than once", done.duplicates), ("sub-folders", done.subfolders), ("kinds of hashes that never match", done.unlike_hashes)):
         if report is not None:
             print(f"{name}: {report.count()}")

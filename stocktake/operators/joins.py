@@ -4,9 +4,9 @@ The small sides in this library (URI map, folder lists) grow with the number of
 folders, not with the number of objects, but nothing guarantees they stay small.
 ``join_small`` therefore measures the small side first (the bytes of its values, or those of
 a frame that bounds it), broadcasts it when they fit the broadcast budget, and otherwise
-falls back to a shuffle join salted on a high-cardinality column of the big side,
+falls back to a shuffle join in which hot keys are salted on a high-cardinality column of the big side,
 so that one hot folder holding a third of all objects is still spread over many
-tasks. The salt is a hash of row data, never a random number, so a task that is
+tasks. Only rows of hot keys are copied on the small side. The salt is a hash of row data, never a random number, so a task that is
 re-run after an executor loss puts every row into the same bucket again.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.functions.uri import quoted
+from stocktake.session import ensure_checkpoint_dir
 
 SALT_COLUMN = "__salt"
 # Spark's byte-string suffixes.
@@ -109,7 +110,32 @@ def join_small(
         # No column to spread a hot key: rely on AQE's skew-join split of the sort-merge join.
         return big.join(small.hint("merge"), on, how)
     n = salt_buckets(big)
-    salted_big = big.withColumn(SALT_COLUMN, F.pmod(F.xxhash64(*salt_by), F.lit(n)))
-    salted_small = small.withColumn(SALT_COLUMN, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    hot = hot_keys(big, on, n, bound if bound is not None else small)
+    # Only hot keys get salts, and only their rows of the small side are copied. Both sides know them by the hash of the key.
+    is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
+    unkeyed = reduce(operator.or_, [F.col(c).isNull() for c in on])  # they match nothing, but would all meet in one task
+    salt = F.when(is_hot | unkeyed, F.pmod(F.xxhash64(*salt_by), F.lit(n))).otherwise(F.lit(0).cast("long"))
+    salts = F.sequence(F.lit(0).cast("long"), F.when(is_hot, F.lit(n - 1)).otherwise(F.lit(0)).cast("long"))
+    salted_big = big.withColumn(SALT_COLUMN, salt)
+    salted_small = small.withColumn(SALT_COLUMN, F.explode(salts))
     # Spark's own estimate leaves out the growth by the salts, so it could broadcast the copies: the hint forbids it.
     return salted_big.join(salted_small.hint("merge"), on + [SALT_COLUMN], how).drop(SALT_COLUMN)
+
+
+# Hot keys found, per frame that bounds the small side. They decide where rows go, never which rows match, so what
+# was found for one listing serves the next one of the same map.
+_HOT: "weakref.WeakKeyDictionary[DataFrame, dict[tuple[str, ...], list[int]]]" = weakref.WeakKeyDictionary()
+
+
+def hot_keys(big: DataFrame, on: Sequence[str], n: int, bound: DataFrame) -> list[int]:
+    """Hashes of the keys that hold more than their share (one ``n``-th) of the big side's rows: fewer than ``n`` can.
+
+    One pass over the key columns, counted per task before anything is shuffled.
+    """
+    known = _HOT.setdefault(bound, {})
+    if tuple(on) not in known:
+        ensure_checkpoint_dir(big.sparkSession)
+        counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).checkpoint()  # as many rows as keys
+        whole = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+        known[tuple(on)] = [r[0] for r in counts.where(F.col("__n") * n > F.lit(whole)).select(F.xxhash64(*on)).collect()]
+    return known[tuple(on)]

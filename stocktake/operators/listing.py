@@ -12,6 +12,9 @@ placeholder row (null name and attributes) per mapped folder without files.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,11 +122,12 @@ def subfolders(raw: DataFrame, long_map: DataFrame, accounts: list[str] | None =
 
 
 def assert_no_subfolders(report: DataFrame) -> None:
-    """Strict mode: raise for the first folder that has sub-folders, with all of their names in order."""
-    by_folder = report.groupBy(*FOLDER_KEY).agg(F.first("n_subfolders").alias("n"), F.array_join(F.array_sort(F.collect_list("subfolder")), ", ").alias("names"))
-    first = by_folder.orderBy(*FOLDER_KEY).limit(1).collect()
+    """Strict mode: raise for the first folder that has sub-folders, with its names in order; no other folder's are gathered."""
+    first = report.orderBy(*FOLDER_KEY).limit(1).collect()
     if first:
-        raise SubfolderError(MSG_SUBFOLDERS.format(bucket=first[0]["bucket"], n=first[0]["n"], names=first[0]["names"]))
+        mine = reduce(operator.and_, [F.col(c).eqNullSafe(F.lit(first[0][c])) for c in FOLDER_KEY])
+        names = [r["subfolder"] for r in report.where(mine).select("subfolder").orderBy("subfolder").collect()]
+        raise SubfolderError(MSG_SUBFOLDERS.format(bucket=first[0]["bucket"], n=first[0]["n_subfolders"], names=", ".join(names)))
 
 
 def duplicate_keys(listing: DataFrame) -> DataFrame:
@@ -145,6 +149,6 @@ def hash_kinds(listing: DataFrame) -> DataFrame:
     )
 
 
-def prefixes_end_in_slash(listing: DataFrame) -> DataFrame:
-    """One row: whether every non-null prefix ends in `/`."""
-    return listing.agg(F.coalesce(F.bool_and(F.col("prefix").endswith("/")), F.lit(True)).alias("all_end_in_slash"))
+def prefixes_end_in_slash(listing: DataFrame, *by: str) -> DataFrame:
+    """One row, or one for each value of the named columns: whether every non-null prefix ends in `/`."""
+    return listing.groupBy(*by).agg(F.coalesce(F.bool_and(F.col("prefix").endswith("/")), F.lit(True)).alias("all_end_in_slash"))

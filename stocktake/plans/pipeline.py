@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from stocktake.functions.uri import quoted
 from stocktake.operators import combine as C
@@ -42,6 +43,8 @@ class DiffResult:
     duplicates: DataFrame
     subfolders: DataFrame | None = None
     unlike_hashes: DataFrame | None = None
+    #: Of a written run: rows of the listing, rows the re-key made of them, and rows outside the map.
+    counts: dict[str, int] | None = None
 
 
 def prepare_map(wide_map: DataFrame, strict: bool = True) -> DataFrame:
@@ -143,7 +146,8 @@ def full_diff(
         kept[name] = spark.read.schema(report.schema).parquet(S.write_run(report, S.table_path(out_root, name), run_id))
 
     keep(S.DUPLICATES_DIR, L.duplicate_keys(listing))
-    flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id, kept[S.DUPLICATES_DIR])
+    counts: dict[str, int] = {}
+    flat = write_all_accounts_run(listing, long_map, accounts, out_root, run_id, kept[S.DUPLICATES_DIR], counts)
     unlike = unlike_hashes(flat, config, on_unlike_hashes)
     result = analysis(flat, config, accounts)
     columns = result.schema
@@ -159,9 +163,25 @@ def full_diff(
         S.write_all_accounts(flat, export, run_id, "csv")
         if config.run_analysis:
             S.write_run(C.order_like_map(result, long_map, accounts) if ordered else result, S.table_path(export, S.ANALYSIS_DIR), run_id, "csv")
+    counts = checked_counts(counts, kept[S.UNMAPPED_DIR], listing, long_map, strict)
     written = [S.LISTINGS_DIR, S.ALL_ACCOUNTS_DIR, *kept] + [S.ANALYSIS_DIR] * config.run_analysis + [S.RAW_DIR] * (raw is not None) + [S.CSV_DIR] * (fmt == "csv")
     S.commit_run(spark, out_root, run_id, written)
-    return DiffResult(long_map, listing, flat, result, kept[S.UNMAPPED_DIR], kept[S.DUPLICATES_DIR], kept.get(S.SUBFOLDERS_DIR), kept.get(S.UNLIKE_HASHES_DIR))
+    return DiffResult(long_map, listing, flat, result, kept[S.UNMAPPED_DIR], kept[S.DUPLICATES_DIR], kept.get(S.SUBFOLDERS_DIR), kept.get(S.UNLIKE_HASHES_DIR), counts)
+
+
+def checked_counts(counts: dict[str, int], unmapped: DataFrame, listing: DataFrame, long_map: DataFrame, strict: bool) -> dict[str, int]:
+    """A-4: re-keyed and unmapped rows make the listing's rows, unless a folder is mapped to two key folders.
+
+    Metrics of a write may count the rows of a task that ran twice, so where they don't add up, one pass counts again
+    before anything is said; ``strict`` raises if rows were lost.
+    """
+    counts = counts | {"n_unmapped": unmapped.count()}
+    if counts.get("n_rows") != counts.get("n_rekeyed", 0) + counts["n_unmapped"] or "n_rows" not in counts:
+        sums = C.rekey_counts(listing, long_map).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_rows", "n_rekeyed", "n_unmapped")])
+        counts = sums.first().asDict()
+        if strict and counts["n_rekeyed"] + counts["n_unmapped"] < counts["n_rows"]:
+            raise ValueError(MSG_UNMAPPED)
+    return counts
 
 
 def unlike_hashes(flat: DataFrame, config: R.RuleConfig, on_unlike: str) -> DataFrame | None:
@@ -194,21 +214,30 @@ def write_listing_run(raw: DataFrame, long_map: DataFrame, accounts: list[str],
     return read_listing_table(raw.sparkSession, path, run_id)
 
 
-def write_all_accounts_run(listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, duplicates: DataFrame | None = None) -> DataFrame:
+def write_all_accounts_run(listing: DataFrame, long_map: DataFrame, accounts: list[str], out_root: str, run_id: str, duplicates: DataFrame | None = None, counts: dict[str, int] | None = None) -> DataFrame:
     """P-2 into a table: object rows first, then the empty folders found from the written rows.
 
-    ``duplicates`` is the listing's report of keys listed more than once, if it is written already.
+    ``duplicates`` is the listing's report of keys listed more than once, if it is written already. ``counts`` is
+    given ``n_rows`` and ``n_rekeyed``, the listing's rows and those of them that the re-key kept, placeholders included (A-4).
 
     Reading back two folder columns of the written run is cheaper than a second
     pass over the combine, and the returned frame reads the written table, so
     later stages never recompute the combine (a lineage cut that survives
     executor loss).
     """
-    spark = listing.sparkSession
+    spark, counts = listing.sparkSession, {} if counts is None else counts
     table = S.table_path(out_root, S.ALL_ACCOUNTS_DIR)
     repeated = C.repeated_keys(L.duplicate_keys(listing) if duplicates is None else duplicates, listing, long_map)
-    objects = C.combine(C.rekey(listing, long_map), accounts, None if repeated.isEmpty() else repeated)
-    path = S.write_run(C.flatten(objects, accounts), table, run_id, mode="overwrite")
+    rekeyed = C.rekey(listing, long_map)
+    if repeated.isEmpty():
+        # Counted by the write's own pass over the rows.
+        given, kept = Observation(), Observation()
+        seen = listing.observe(given, F.count(F.lit(1)).alias("n_rows"))
+        rekeyed = C.rekey(seen, long_map).observe(kept, F.count(F.lit(1)).alias("n_rekeyed"))
+        path = S.write_run(C.flatten(C.combine(rekeyed, accounts), accounts), table, run_id, mode="overwrite")
+        counts.update(given.get, **kept.get)
+    else:
+        path = S.write_run(C.flatten(C.combine(rekeyed, accounts, repeated), accounts), table, run_id, mode="overwrite")
     written = spark.read.schema(all_accounts_schema(accounts)).parquet(path)
     key = accounts[0]
     seen = written.select(

@@ -196,8 +196,7 @@ def q_prefix_check(spark, sf_dir):
     listing = D.listing_from_documents(_docs(spark, sf_dir))
     bare = (F.col("account") == "dev") & F.col("prefix").startswith("fr/")
     listing = listing.withColumn("prefix", F.when(bare, F.expr("rtrim('/', prefix)")).otherwise(F.col("prefix")))
-    parts = [L.prefixes_end_in_slash(listing.filter(F.col("account") == a)).withColumn("account", F.lit(a)) for a in ACCOUNTS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("account", "all_end_in_slash")
+    return L.prefixes_end_in_slash(listing, "account")
 
 
 def with_position(ordered: DataFrame, root: str) -> DataFrame:

@@ -156,11 +156,14 @@ def read_inventory(
     columns: dict[str, str] | None = None,
     csv_columns: list[str] | None = None,
     url_encoded_keys: bool = False,
+    on_unreadable: str = "fail",
 ) -> DataFrame:
     """An inventory report or list export (``parquet``, ``orc`` or ``csv``) -> raw entries.
 
     ``columns`` maps raw entry fields (``bucket, key, last_modified, size, etag, account``) to the report's
-    column names; a field without a column is null. ``account`` names the account where the
+    column names, in any case; one that the report doesn't have raises, and a field without a column is null. A size or
+    date that can't be read fails the job (an unknown size would count as no file), or is null with
+    ``on_unreadable="null"``. ``account`` names the account where the
     report has no such column. ``csv_columns`` gives the names of a CSV without a header line;
     otherwise its first line has them. ``url_encoded_keys`` decodes keys as stores write them in CSV reports
     (``+`` is a space). The ETag is taken as it is: no object is read.
@@ -173,18 +176,25 @@ def read_inventory(
         df = spark.read.format(fmt).load(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
+    there = {c.lower(): c for c in df.columns}  # Spark reads column names without case
+    absent = [f"{field}={name}" for field, name in {"bucket": names["bucket"], "key": names["key"], **(columns or {})}.items() if name.lower() not in there]
+    if absent:
+        raise ValueError(f"the report has no such columns: {', '.join(absent)} (it has {', '.join(df.columns)})")
+    typed = {"size": parse_size, "last_modified": parse_date}
     out = []
     for field in RAW_ENTRY.fields:
+        name = there.get(names[field.name].lower())
         if field.name == "account" and account is not None:
             c = F.lit(account)
-        elif names[field.name] not in df.columns:
+        elif name is None:
             c = F.lit(None)
-        elif field.name == "size":
-            c = F.expr(f"try_cast(try_cast(`{names['size']}` as decimal(20,1)) as bigint)")
-        elif field.name == "last_modified":
-            c = F.expr(f"try_cast(`{names['last_modified']}` as timestamp)")
+        elif field.name in typed:
+            c = typed[field.name](f"`{name.replace('`', '``')}`")
+            if on_unreadable == "fail":
+                text = quoted(name).cast("string")
+                c = F.when(c.isNull() & text.isNotNull() & (text != ""), F.raise_error(F.concat(F.lit(f"unreadable {name}: "), text))).otherwise(c)
         else:
-            c = quoted(names[field.name])
+            c = quoted(name)
             if field.name == "key" and url_encoded_keys:
                 c = F.url_decode(c)
         out.append(c.cast(field.dataType).alias(field.name))

@@ -136,6 +136,34 @@ def test_fallback_never_broadcasts_the_salted_copies(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_only_hot_folders_are_copied(spark):
+    """One folder holds a third of all objects: its map row is copied by the salts, no other."""
+    from stocktake.operators import joins as J
+
+    rows = [("s3://b/hot", "s3://c/hot")] + [(f"s3://b/f{k}", f"s3://c/g{k}") for k in range(300)]
+    long = M.materialize(_long(spark, rows, ["pro", "dev"]))
+    listing = spark.createDataFrame(
+        [("pro", "b", "hot/", f"n{k}", None, k, "h") for k in range(300)] + [("pro", "b", f"f{k}/", "a", None, k, "h") for k in range(300)] + [("pro", "b", None, f"x{k}", None, k, "h") for k in range(300)],
+        LISTING,
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8KB")
+    spark.conf.set("stocktake.skew.saltBuckets", "16")
+    try:
+        hot = J.hot_keys(listing, C.FOLDER_KEY, 16, long)
+        is_hot = F.xxhash64(*C.FOLDER_KEY).isin(hot)
+        assert len(hot) == 2 and {r["prefix"] for r in listing.where(is_hot).select("prefix").collect()} == {None, "hot/"}
+        df = C.rekey(listing, long)
+        assert df.count() == 600 and {r["key_prefix"] for r in df.where("name LIKE 'n%'").collect()} == {"hot/"}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "__salt" in plan
+        copies = C.map_for_rekey(long).where(is_hot).count() * 15 + C.map_for_rekey(long).count()
+        assert copies == 602 + 15
+        assert C.unmapped_objects(listing, long).count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("stocktake.skew.saltBuckets")
+
+
 def test_byte_sizes():
     from stocktake.operators.joins import parse_bytes
 

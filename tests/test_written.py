@@ -218,3 +218,32 @@ def test_many_copies_of_a_key_in_a_written_run(spark, tmp_root, monkeypatch):
     done = P.full_diff(wide_of(spark), RULES, raw=raw, out_root=tmp_root, run_id="r1")
     lazy = P.full_diff(wide_of(spark), RULES, raw=raw)
     assert done.all_accounts.count() == 12 and sorted(map(repr, done.analysis.collect())) == sorted(map(repr, lazy.analysis.collect()))
+
+
+def test_inventory_columns_are_checked(spark, tmp_root):
+    report = spark.createDataFrame([("b", "f/x", "7", "2024-01-01 00:00:00", "h"), ("b", "f/y", "many", "2024-01-01 00:00:00", "h")], "Bucket string, Key string, Size string, Date string, ETag string")
+    report.write.parquet(f"{tmp_root}/report")
+    read = lambda **k: RD.read_inventory(spark, f"{tmp_root}/report", account="pro", columns={"last_modified": "Date"} | k.pop("columns", {}), **k)
+    with pytest.raises(ValueError, match="etag=E_Tag"):
+        read(columns={"etag": "E_Tag"})
+    rows = {r["key"]: r for r in read(on_unreadable="null").collect()}
+    assert rows["f/x"]["etag"] == "h" and rows["f/x"]["size"] == 7 and rows["f/y"]["size"] is None and rows["f/y"]["last_modified"] is not None
+    with pytest.raises(Exception, match="unreadable Size: many"):
+        read().collect()
+
+
+def test_counts_of_a_run_come_from_its_write(spark, tmp_root, monkeypatch):
+    from stocktake.operators import combine as C
+
+    passes = []
+    counted = C.rekey_counts
+    monkeypatch.setattr(C, "rekey_counts", lambda *a: passes.append(1) or counted(*a))
+    raw = raw_of(spark, ("pro", "b", "f/x", "h"), ("pro", "b", "f/y", "h"), ("dev", "c", "g/x", "h"))
+    done = P.full_diff(wide_of(spark), RULES, raw=raw, out_root=tmp_root, run_id="r1")
+    assert done.counts == {"n_rows": 3, "n_rekeyed": 3, "n_unmapped": 0} and not passes
+    stray = done.listing.unionByName(done.listing.limit(1).withColumn("prefix", F.lit("else/")))
+    done = P.full_diff(wide_of(spark), RULES, listing=stray, out_root=tmp_root, run_id="r2", strict=False)
+    assert done.counts == {"n_rows": 4, "n_rekeyed": 3, "n_unmapped": 1} and not passes
+    twice = spark.createDataFrame([("s3://b/f", "s3://c/g"), ("s3://b/k", "s3://c/g")], "pro string, dev string")  # one folder, two keys
+    done = P.full_diff(twice, RULES, raw=raw, out_root=tmp_root, run_id="r3", strict=False)
+    assert done.counts["n_rekeyed"] > done.counts["n_rows"] - done.counts["n_unmapped"] and passes == [1]
