@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--account", help="account of an inventory without an account column")
     ap.add_argument("--url-encoded-keys", action="store_true")
     ap.add_argument("--listing-run", help="run of --listing to diff (default: the newest)")
+    ap.add_argument("--one-line-rows", action="store_true", help="CSV input without line breaks in cells: its files are split among tasks")
     ap.add_argument("--hash", action="store_true", help="with --scan: MD5 of every object found")
     ap.add_argument("--part-bytes", type=int, help="with --hash: digests of uploads in parts of this size")
     ap.add_argument("--on-unlike-hashes", default="report", choices=["report", "fail"])
@@ -69,11 +70,12 @@ def main(argv: list[str] | None = None) -> int:
             csv_columns=[x for x in args.csv_columns.split(",") if x] or None,
             url_encoded_keys=args.url_encoded_keys,
             on_unreadable=args.on_unreadable,
+            multi_line=not args.one_line_rows,
         )
     elif args.listing:
         listing = RD.read_listing_table(spark, args.listing, args.listing_run or RD.newest_run(spark, args.listing))
     elif args.account_csvs:
-        listing = RD.read_account_csvs(spark, args.account_csvs, M.accounts_of(wide))
+        listing = RD.read_account_csvs(spark, args.account_csvs, M.accounts_of(wide), not args.one_line_rows)
     else:
         raw = list_folders(P.prepare_map(wide), store=args.scan)
         if args.hash:

@@ -114,3 +114,20 @@ def ancestor_folders(folder: Column | str) -> Column:
         n >= 1,
         F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))),
     ).otherwise(F.array().cast("array<string>"))
+
+
+# Cells with line breaks are written URL-encoded behind this mark, so that a row of a CSV export is one line and a
+# large file can be split; so are cells that begin with the mark.
+CELL_MARK = "%url:"
+
+
+def csv_cell(c: Column | str) -> Column:
+    """A text as a cell without line breaks; all but texts with line breaks stay as they are."""
+    text = _col(c)
+    return F.when(text.rlike(r"[\r\n]") | text.startswith(CELL_MARK), F.concat(F.lit(CELL_MARK), F.url_encode(text))).otherwise(text)
+
+
+def from_csv_cell(c: Column | str) -> Column:
+    """The inverse of :func:`csv_cell`."""
+    cell = _col(c)
+    return F.when(cell.startswith(CELL_MARK), F.try_url_decode(F.substring(cell, len(CELL_MARK) + 1, 1 << 30))).otherwise(cell)

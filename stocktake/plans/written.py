@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.functions.uri import quoted
+from stocktake.functions.uri import from_csv_cell, quoted
 from stocktake.operators import combine as C
 from stocktake.operators import listing as L
 from stocktake.operators import rules as R
@@ -85,7 +85,8 @@ def q_analysis_csv(spark, sf_dir):
     rules = ["is_hash_the_same_in_release", "is_hash_the_same_in_dev", "can_exist_in_release"]
     text = T.StructType([T.StructField(n, T.StringType()) for n in [*base.fieldNames(), *rules]])
     back = spark.read.csv(S.run_path(S.table_path(f"{root}/{S.CSV_DIR}", S.ANALYSIS_DIR), RUN), schema=text, **RD.CSV_READ)
-    return back.select(*[quoted(f.name).try_cast(f.dataType).alias(f.name) for f in base.fields], *[F.col(r).try_cast("boolean").alias(r) for r in rules])
+    typed = [(from_csv_cell(quoted(f.name)) if isinstance(f.dataType, T.StringType) else quoted(f.name).try_cast(f.dataType)).alias(f.name) for f in base.fields]
+    return back.select(*typed, *[F.col(r).try_cast("boolean").alias(r) for r in rules])
 
 
 def q_full_diff_rerun(spark, sf_dir):

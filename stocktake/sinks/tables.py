@@ -2,7 +2,8 @@
 
 Tables are Parquet; a CSV export has text parity to the classic CSV output (timestamps as
 ``2024-10-14 08:49:01+00:00``, with a fraction only where there is one, booleans as
-``True``/``False``). Listing writes use dynamic partition overwrite, so writing one account of a
+``True``/``False``) but for texts with line breaks, which are encoded so that each row is a line (see
+:func:`stocktake.functions.uri.csv_cell`). Listing writes use dynamic partition overwrite, so writing one account of a
 run never touches the other accounts' partitions (accounts may be extracted by separate jobs);
 every account that is written needs a row, or its old partition would stay.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.functions.uri import quoted
+from stocktake.functions.uri import csv_cell, quoted
 from stocktake.sources.readers import CSV_DIALECT
 
 # Fixed value: run ids look like 20250519224348 (UTC, year to second).
@@ -48,7 +49,7 @@ def _text_of(c: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampType):
         fraction = F.when(F.unix_micros(c) % 1_000_000 != 0, F.date_format(c, ".SSSSSS")).otherwise(F.lit(""))
         return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), fraction, F.date_format(c, "xxx"))
-    return c
+    return csv_cell(c) if isinstance(kind, T.StringType) else c
 
 
 def _as_csv_text(df: DataFrame) -> DataFrame:

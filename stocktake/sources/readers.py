@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.functions.uri import quoted
+from stocktake.functions.uri import from_csv_cell, quoted
 from stocktake.operators.rules import RuleConfig
 from stocktake.operators.uri_map import ORD, MapFileError
 from stocktake.schemas import LISTING, LISTING_CSV_TEXT, LISTING_CSV_WITH_RUN, LISTING_WITH_RUN, RAW_ENTRY, RULE_CONFIG, all_accounts_schema
 
 # The CSV dialect of all listing and result files, the same for reading and writing: quotes are
-# doubled, white space is kept, quoted cells may hold line breaks (so a file is one split).
+# doubled, white space is kept. A row of our exports is one line (cells with line breaks are encoded), so their files
+# are split among tasks; files of others may hold line breaks in quoted cells, and are one split each then.
 CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-CSV_READ = {**CSV_DIALECT, "header": True, "multiLine": True, "enforceSchema": True}
+CSV_READ = {**CSV_DIALECT, "header": True, "enforceSchema": True}
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -85,27 +86,27 @@ def parse_date(c: str = "date"):
 def _typed_listing(text: DataFrame, account) -> DataFrame:
     return text.select(
         account.alias("account"),
-        "bucket",
-        "prefix",
-        "name",
+        *[from_csv_cell(c).alias(c) for c in ("bucket", "prefix", "name")],
         parse_date("date").alias("date"),
         parse_size("size").alias("size"),
-        F.col("hash").cast("string").alias("hash"),
+        from_csv_cell("hash").alias("hash"),
     )
 
 
-def read_listing_csv(spark: SparkSession, path: str, account: str) -> DataFrame:
-    """One account's listing CSV (``bucket,prefix,name,date,size,hash``) -> long listing rows."""
-    return _typed_listing(spark.read.csv(path, schema=LISTING_CSV_TEXT, **CSV_READ), F.lit(account))
+def read_listing_csv(spark: SparkSession, path: str, account: str, multi_line: bool = True) -> DataFrame:
+    """One account's listing CSV (``bucket,prefix,name,date,size,hash``) -> long listing rows.
 
+    A file whose every row is a line, as in our exports, is split among tasks with ``multi_line=False``."""
+    return _typed_listing(spark.read.csv(path, schema=LISTING_CSV_TEXT, multiLine=multi_line, **CSV_READ), F.lit(account))
 
-def read_account_csvs(spark: SparkSession, folder: str, accounts: list[str]) -> DataFrame:
+
+def read_account_csvs(spark: SparkSession, folder: str, accounts: list[str], multi_line: bool = True) -> DataFrame:
     """``<folder>/<account>.csv`` for every account (one listing file per account) -> long listing.
 
-    One read over all files; the account comes from the file name.
+    One read over all files; the account comes from the file name. ``multi_line`` as in :func:`read_listing_csv`.
     """
     paths = [f"{folder.rstrip('/')}/{a}.csv" for a in accounts]
-    df = spark.read.csv(paths, schema=LISTING_CSV_TEXT, **CSV_READ)
+    df = spark.read.csv(paths, schema=LISTING_CSV_TEXT, multiLine=multi_line, **CSV_READ)
     return _typed_listing(df, F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))
 
 
@@ -156,6 +157,7 @@ def read_inventory(
     columns: dict[str, str] | None = None,
     csv_columns: list[str] | None = None,
     url_encoded_keys: bool = False,
+    multi_line: bool = True,
     on_unreadable: str = "fail",
 ) -> DataFrame:
     """An inventory report or list export (``parquet``, ``orc`` or ``csv``) -> raw entries.
@@ -166,12 +168,12 @@ def read_inventory(
     ``on_unreadable="null"``. ``account`` names the account where the
     report has no such column. ``csv_columns`` gives the names of a CSV without a header line;
     otherwise its first line has them. ``url_encoded_keys`` decodes keys as stores write them in CSV reports
-    (``+`` is a space). The ETag is taken as it is: no object is read.
+    (``+`` is a space); a CSV of such keys has no line breaks in cells, so ``multi_line=False`` splits its files. The ETag is taken as it is: no object is read.
     """
     names = {**INVENTORY_COLUMNS, **(columns or {})}
     if fmt == "csv":
         schema = T.StructType([T.StructField(c, T.StringType()) for c in csv_columns]) if csv_columns else None
-        df = spark.read.csv(path, schema=schema, header=not csv_columns, multiLine=True, **CSV_DIALECT)
+        df = spark.read.csv(path, schema=schema, header=not csv_columns, multiLine=multi_line, **CSV_DIALECT)
     elif fmt in ("parquet", "orc"):
         df = spark.read.format(fmt).load(path)
     else:
@@ -201,11 +203,13 @@ def read_inventory(
     return df.select(*out)
 
 
-def read_all_accounts_csv(spark: SparkSession, path: str, accounts: list[str]) -> DataFrame:
-    """Flattened all-accounts CSV, typed from the account list (sizes via decimal, see :func:`parse_size`)."""
+def read_all_accounts_csv(spark: SparkSession, path: str, accounts: list[str], multi_line: bool = False) -> DataFrame:
+    """Flattened all-accounts CSV, typed from the account list (sizes via decimal, see :func:`parse_size`).
+
+    Each row is a line, as in our exports; ``multi_line`` reads files of others with line breaks in quoted cells."""
     schema = all_accounts_schema(accounts)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    df = spark.read.csv(path, schema=text, **CSV_READ)
+    df = spark.read.csv(path, schema=text, multiLine=multi_line, **CSV_READ)
     cols = []
     for f in schema.fields:
         name = "`" + f.name.replace("`", "``") + "`"
@@ -214,7 +218,7 @@ def read_all_accounts_csv(spark: SparkSession, path: str, accounts: list[str]) -
         elif isinstance(f.dataType, T.TimestampType):
             cols.append(F.expr(f"try_cast({name} as timestamp)").alias(f.name))
         else:
-            cols.append(quoted(f.name).alias(f.name))
+            cols.append(from_csv_cell(quoted(f.name)).alias(f.name))
     return df.select(*cols)
 
 

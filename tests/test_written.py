@@ -247,3 +247,20 @@ def test_counts_of_a_run_come_from_its_write(spark, tmp_root, monkeypatch):
     twice = spark.createDataFrame([("s3://b/f", "s3://c/g"), ("s3://b/k", "s3://c/g")], "pro string, dev string")  # one folder, two keys
     done = P.full_diff(twice, RULES, raw=raw, out_root=tmp_root, run_id="r3", strict=False)
     assert done.counts["n_rekeyed"] > done.counts["n_rows"] - done.counts["n_unmapped"] and passes == [1]
+
+
+def test_one_csv_file_is_read_by_several_tasks(spark, tmp_root):
+    """Names with line breaks, and with the mark of encoded cells, in one file that is cut into splits anywhere."""
+    names = [f"{k}\nline\r\nbreak \r%url: é,\"" if k % 3 == 0 else f"%url:{k}" if k % 3 == 1 else f'plain "{k}", x' for k in range(3000)]
+    rows = spark.createDataFrame([("pro", "b", "f/", n, 1, "h") for n in names], "account string, bucket string, prefix string, name string, size long, hash string")
+    listing = rows.withColumn("date", F.expr("timestamp'2024-01-01 00:00:00'"))
+    path = S.write_listing(listing.coalesce(1), tmp_root, "r1", "csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        back = RD.read_listing_csv_table(spark, path, "r1")
+        assert back.groupBy(F.spark_partition_id()).count().count() > 4
+        assert sorted(r["name"] for r in back.collect()) == sorted(names)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
