@@ -94,7 +94,9 @@ def initial(by_id: np.ndarray) -> dict[str, np.ndarray]:
 
 
 class Lanes:
-    """Texts (ids, offsets) side by side: ``inputs, targets, begins, text`` by step and lane, the longest lane first."""
+    """Texts (ids, offsets) side by side in lanes, the longest lane first; a window of steps is laid out when it is asked for.
+
+    So a long text takes the room of its own ids, not of as many steps in every lane."""
 
     def __init__(self, ids: np.ndarray, offsets: np.ndarray, lanes: int) -> None:
         size = np.diff(offsets)
@@ -111,21 +113,33 @@ class Lanes:
         place = np.argsort(-load, kind="stable")
         rank = np.empty(lanes, np.int64)
         rank[place] = np.arange(lanes)
-        self.length, lane = load[place], rank[lane]
-        steps = int(self.length[0]) if len(order) else 0
-        self.targets, self.inputs = np.zeros((steps, lanes), np.int32), np.zeros((steps, lanes), np.int32)
-        self.begins, self.text = np.zeros((steps, lanes), bool), np.full((steps, lanes), -1, np.int32)
-        fill = np.zeros(lanes, np.int64)
-        for r, b in zip(order, lane, strict=True):
-            a, n = fill[b], size[r]
-            own = ids[offsets[r] : offsets[r + 1]]
-            self.targets[a : a + n, b], self.text[a : a + n, b], self.begins[a, b] = own, r, True
-            self.inputs[a + 1 : a + n, b] = own[:-1]
-            fill[b] += n
-
-    def windows(self, steps: int) -> Iterator[tuple[slice, int]]:
-        for t in range(0, len(self.targets), steps):
-            yield slice(t, t + steps), int((self.length > t).sum())
+        self.length, lane = load[place], rank[lane] if len(lane) else lane
+        # The ids lane by lane, texts in the order in which they came to their lanes.
+        place = np.lexsort((np.arange(len(order)), lane))
+        order = order[place]
+        self.first = np.cumsum(self.length) - self.length
+        starts = np.cumsum(size[order]) - size[order]
+        total = int(size[order].sum())
+        self.ids = np.asarray(ids)[np.repeat(offsets[order] - starts, size[order]) + np.arange(total)].astype(np.int32)
+        self.text = np.repeat(order, size[order]).astype(np.int32)
+        self.begins = np.zeros(total, bool)
+        self.begins[starts] = True
+
+    @property
+    def lanes(self) -> int:
+        return len(self.length)
+
+    def windows(self, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """``inputs, targets, begins, text`` (-1: none) by step and lane, for the lanes that are not over."""
+        for t in range(0, int(self.length[0]), steps):
+            live = int((self.length > t).sum())
+            step = np.arange(t, min(t + steps, int(self.length[0])))[:, None]
+            there = step < self.length[:live]
+            at = np.where(there, self.first[:live] + step, 0)
+            begins = self.begins[at] & there
+            targets = np.where(there, self.ids[at], 0)
+            inputs = np.where(there & ~begins, self.ids[at - 1], 0)
+            yield inputs, targets, begins, np.where(there, self.text[at], -1)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -209,10 +223,9 @@ def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES /
     """One pass of AdaGrad over the texts."""
     w, seen = {k: v.copy() for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
     packed = Lanes(ids, offsets, lanes)
-    h = np.zeros((packed.targets.shape[1], HIDDEN), np.float32)
-    for span, live in packed.windows(WINDOW):
-        cut = (span, slice(0, live))
-        g, last = gradients(w, packed.inputs[cut], packed.targets[cut], packed.begins[cut], packed.text[cut] >= 0, h[:live])
+    h = np.zeros((packed.lanes, HIDDEN), np.float32)
+    for inputs, targets, begins, text in packed.windows(WINDOW):
+        g, last = gradients(w, inputs, targets, begins, text >= 0, h[: inputs.shape[1]])
         h = last
         for k, v in g.items():
             seen[k] += v * v
@@ -223,13 +236,12 @@ def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES /
 def text_scores(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES) -> np.ndarray:
     """log10 probability of every text under the model, over its whole length."""
     packed, out = Lanes(ids, offsets, lanes), np.zeros(len(offsets) - 1)
-    h = np.zeros((packed.targets.shape[1], HIDDEN), np.float32)
-    for span, live in packed.windows(4 * WINDOW):
-        cut = (span, slice(0, live))
-        states, _ = run_window(w, packed.inputs[cut], packed.begins[cut], h[:live])
-        h, text = states[-1], packed.text[cut].ravel()
+    h = np.zeros((packed.lanes, HIDDEN), np.float32)
+    for inputs, targets, begins, text in packed.windows(4 * WINDOW):
+        states, _ = run_window(w, inputs, begins, h[: inputs.shape[1]])
+        h, text = states[-1], text.ravel()
         at = np.flatnonzero(text >= 0)
-        score = log10_of(w, states.reshape(-1, HIDDEN)[at], packed.targets[cut].ravel()[at])
+        score = log10_of(w, states.reshape(-1, HIDDEN)[at], targets.ravel()[at])
         out += np.bincount(text[at], weights=score, minlength=len(out))
     return out
 

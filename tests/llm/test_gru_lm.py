@@ -57,6 +57,21 @@ def test_lanes_windows_and_order_do_not_change_a_score():
         assert np.allclose(G.text_scores(w, ids, offsets, lanes), alone, rtol=1e-4)
 
 
+def test_a_long_text_takes_no_room_in_other_lanes():
+    size = np.array([400_000] + [20] * 300)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    ids = (np.arange(offsets[-1]) % G.WORDS).astype(np.int32)
+    packed = G.Lanes(ids, offsets, 256)
+    assert sum(a.nbytes for a in vars(packed).values() if isinstance(a, np.ndarray)) < 20 * len(ids)
+    seen, first = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+    for inputs, targets, begins, text in packed.windows(4096):
+        there = text >= 0
+        seen += np.bincount(text[there], minlength=len(size))
+        first += np.bincount(text[there & begins], minlength=len(size))
+        assert (inputs[there & ~begins] == (targets[there & ~begins] - 1) % G.WORDS).all() and (inputs[begins] == 0).all()
+    assert (seen == size).all() and (first == 1).all()
+
+
 def test_gradients_equal_finite_differences():
     w = {k: v.astype(np.float64) for k, v in model().items()}
     rng = np.random.default_rng(4)
