@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stocktake.operators import rules as R
 from stocktake.plans import pipeline as P
 from stocktake.sinks import tables as S
-from stocktake.streaming.arrivals import runs_written, watch_listings
+from stocktake.streaming.arrivals import complete_runs, runs_written, watch_listings
 from tests import fixtures as X
 
 RULES = R.RuleConfig(origin="pro", is_hash_the_same_in=["release", "dev"], can_the_file_exist_in=["release"])
@@ -34,6 +34,12 @@ def test_run_completes_when_last_account_lands(spark, tmp_root):
     q = watch_listings(spark, table, wide, RULES, out, ckpt)
     q.awaitTermination()
     assert [r["run_id"] for r in runs_written(spark, out).collect()] == ["r1"]
+    # Another run's folder that can't be read is never opened for this one's batch.
+    batch = spark.createDataFrame([("r1",)], "run_id string")
+    os.makedirs(f"{table}/run_id=r0/account=pro")
+    with open(f"{table}/run_id=r0/account=pro/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    assert complete_runs(batch, table, long_map) == ["r1"] and complete_runs(batch.limit(0), table, long_map) == []
     ana = spark.read.parquet(f"{out}/analysis").where("run_id = 'r1'")
     assert ana.count() == 8
     got = sorted(
