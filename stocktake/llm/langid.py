@@ -7,6 +7,9 @@ plus distinct) and the cost in the next shorter context, down to a uniform byte.
 frozen after training, so a text's code length in a language is exact: the sum over all its bytes.
 The shortest code wins; ``score`` is its share of ``2 ** -length`` over the languages.
 
+The pipeline's filter also rejects texts that no learned language explains: of at least ``MIN_BYTES`` bytes, with more
+bits a byte in the best language than ``SLACK`` times what ``LIMIT_SHARE`` of that language's training sample stay within.
+
 Trained on a bounded sample: at most about ``SAMPLE_DOCS`` training documents a language, drawn
 by a hash of ``doc_id``. A-Z count as a-z.
 
@@ -33,6 +36,10 @@ SAMPLE_DOCS = 2000
 #: A prediction under this score is rejected by the pipeline's filter.
 MIN_SCORE = 0.5
 UNKNOWN = "und"
+#: The limit of bits a byte: this share of a language's sample is within it, times a slack for texts that weren't learned from.
+LIMIT_SHARE, SLACK = 0.995, 1.75
+#: Shorter texts are not judged by bits a byte.
+MIN_BYTES = 200
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[ord("A") : ord("Z") + 1] += 32
@@ -106,14 +113,21 @@ class Model:
         return np.column_stack([row_sums(bits[:, i][at], offsets) for i in range(len(self.langs))])
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """Context trees from the training documents; ``None`` where there are none."""
+def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame | None:
+    """``doc_id, text, lang`` of the documents to learn from; ``None`` where there are none."""
     rows = text_rows(docs, F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return None
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_docs / n))])
+    return rows.filter(drawn < share[F.col("lang")])
+
+
+def train(sample: DataFrame | None) -> Model | None:
+    """Context trees from a training sample; ``None`` where there is nothing to learn."""
+    if sample is None:
+        return None
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -123,7 +137,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
                 known, n = np.unique(grams(*bytes_of(own.column(1))), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(known), pa.string()), pa.array(known.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
-    counted = rows.filter(drawn < share[F.col("lang")]).mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    counted = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     if not len(counted):
         return None
     langs = sorted(counted["lang"].unique())
@@ -139,36 +153,60 @@ def lettered(text: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return has
 
 
-def predictions(model: Model | None, text: pa.Array) -> tuple[list[str], np.ndarray]:
+def learned_limits(sample: DataFrame, model: Model) -> dict[str, float]:
+    """Per language, the bits a byte of its own model that its sample stays within (one number a language)."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def cost(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            data, offsets = bytes_of(batch.column(1))
+            own = np.array([shared.value.langs.index(x) for x in batch.column(2).to_pylist()], np.int64)
+            size = np.diff(offsets)
+            bits = shared.value.lengths(data, offsets)[np.arange(len(own)), own] / np.maximum(size, 1)
+            judged = pa.array(size >= MIN_BYTES)
+            yield pa.RecordBatch.from_arrays([batch.column(2).filter(judged), pa.array(bits).filter(judged)], ["lang", "bits"])
+
+    found = sample.mapInArrow(cost, "lang string, bits double").groupBy("lang").agg(F.percentile_approx("bits", LIMIT_SHARE, 10_000).alias("bits")).collect()
+    return {r["lang"]: SLACK * r["bits"] for r in found}
+
+
+def predictions(model: Model | None, text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score, and bits a byte in that language (0 for an empty text)."""
     data, offsets = bytes_of(text)
     if model is None:
-        return [UNKNOWN] * len(text), np.zeros(len(text))
+        return [UNKNOWN] * len(text), np.zeros(len(text)), np.zeros(len(text))
     lengths, has = model.lengths(data, offsets), lettered(text, data, offsets)
     best = lengths.argmin(axis=1)
     share = 1.0 / np.exp2(np.maximum(lengths.min(axis=1, keepdims=True) - lengths, -1000.0)).sum(axis=1)
-    return [model.langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)], np.where(has, share, 0.0)
+    names = [model.langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)]
+    return names, np.where(has, share, 0.0), lengths.min(axis=1) / np.maximum(np.diff(offsets), 1)
 
 
 def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``."""
-    model = train(docs) if model is None else model
+    model = train(training_sample(docs)) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            langs, scores = predictions(shared.value, batch.column(1))
+            langs, scores, _ = predictions(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
 
     return text_rows(docs, held_out(F.col("doc_id")).alias("held_out")).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents whose language is told with at least ``min_score``; all columns as they were."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs))
+    """The documents whose language is told with at least ``min_score`` and whose text is within its limit; all columns as they were."""
+    sample = training_sample(docs)
+    model = train(sample)
+    shared, limits = docs.sparkSession.sparkContext.broadcast(model), learned_limits(sample, model) if model is not None else {}
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            langs, scores = predictions(shared.value, batch.column(batch.schema.get_field_index("text")))
-            yield batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(langs, scores, strict=True)], pa.bool_()))
+            text = batch.column(batch.schema.get_field_index("text"))
+            langs, scores, bits = predictions(shared.value, text)
+            size = np.diff(bytes_of(text)[1])
+            strange = (size >= MIN_BYTES) & (bits > np.array([limits.get(x, np.inf) for x in langs]))
+            yield batch.filter(pa.array([x != UNKNOWN and s >= min_score and not odd for x, s, odd in zip(langs, scores, strange, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -61,6 +61,23 @@ def test_held_out_accuracy_and_hard_cases(spark):
     assert kept.columns == documents(spark).columns and {4, 5, 6, 14}.isdisjoint(r.doc_id for r in kept.collect())
 
 
+def test_filter_rejects_unlearned_languages_and_random_letters(spark):
+    import random
+
+    rng = random.Random(4)
+    finnish = "talossa on vanha kello jonka ääni kuuluu yön läpi kun tuuli kääntyy järveltä päin ja lumi peittää polut joita pitkin lapset kulkivat syksyllä kouluun".split()
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    rows = [(k, prose(f"k{k}", 60 + k % 90, lang), lang) for k in range(300) for lang in [("en", "de")[k % 2]]]
+    strange = [(1000 + k, " ".join(rng.choice(finnish) for _ in range(80)), "en") for k in range(5)] + [(1100 + k, letters(80), "de") for k in range(5)]
+    # Strange texts are held out: their labels, which are wrong, are not learned.
+    ids = [i for i in range(1000, 2000) if crc32(str(i).encode()) % 3 == 1]
+    strange = [(i, t, lang) for i, (_, t, lang) in zip(ids, strange)]
+    short = [(5000, "talossa on vanha kello", None)]  # too short to be judged by its bits
+    kept = {r.doc_id for r in L.keep_identified(documents(spark, rows + strange + short)).collect()}
+    assert {k for k, _, _ in rows} <= kept and kept.isdisjoint(i for i, _, _ in strange) and 5000 in kept
+
+
 def test_nothing_to_learn_from(spark):
     assert L.identify_languages(documents(spark, [])).count() == 0
     assert [r.lang_pred for r in L.identify_languages(documents(spark, [(1, "some words", None)])).collect()] == [L.UNKNOWN]
+    assert L.keep_identified(documents(spark, [])).count() == L.keep_identified(documents(spark, [(1, "some words", None)])).count() == 0
