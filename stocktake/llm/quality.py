@@ -67,6 +67,8 @@ LIMIT_SHARE = 0.995
 MAX_REACHED = 0.95
 #: Distances are counted in steps of 1 / STEPS, rounded up.
 STEPS = 1000
+#: Bytes of text whose words are held at a time, and rows of word counts that a task folds.
+QUALITY_BYTES, HELD_ROWS = 4 << 20, 1 << 18
 #: Documents with more symbols than this share of their words make no reference.
 MAX_REFERENCE_SYMBOLS = 0.1
 
@@ -143,7 +145,10 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]
     """
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        return folded(count(batches))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=QUALITY_BYTES):
             text, lang = batch.column(1), batch.column(2)
             codes, offsets, known = words(text, lower=True)
             classes, _ = class_counts(text)
@@ -153,12 +158,12 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]
                 own = good & (langs == name)
                 if not own.any():
                     continue
-                count = np.bincount(codes[own[row]], minlength=len(known))
-                found = np.flatnonzero(count)
-                sums = np.append(classes[own].sum(axis=0), count.sum())
+                times = np.bincount(codes[own[row]], minlength=len(known))
+                found = np.flatnonzero(times)
+                sums = np.append(classes[own].sum(axis=0), times.sum())
                 word = pa.concat_arrays([known.take(pa.array(found)), pa.nulls(len(sums), pa.string())])
                 kind = pa.concat_arrays([pa.nulls(len(found), pa.int32()), pa.array([*range(N_CLASSES), -1], pa.int32())])
-                n = pa.array(np.concatenate([count[found], sums]).astype(np.int64))
+                n = pa.array(np.concatenate([times[found], sums]).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(n), pa.string()), word, kind, n], ["lang", "word", "kind", "n"])
 
     sums = text_rows(docs, "lang").mapInArrow(scan, "lang string, word string, kind int, n long").groupBy("lang", "word", "kind").agg(F.sum("n").alias("n"))
@@ -183,6 +188,28 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]
     return found
 
 
+def folded(counts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task added up by their keys as they come; a task holds ``HELD_ROWS`` of them, and gives them out when folding no longer helps."""
+    held, rows = [], 0
+
+    def fold() -> pa.Table:
+        table = pa.Table.from_batches(held).group_by(["lang", "word", "kind"], use_threads=False).aggregate([("n", "sum")])
+        return table.select(["lang", "word", "kind", "n_sum"]).rename_columns(["lang", "word", "kind", "n"])
+
+    for batch in counts:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HELD_ROWS:
+            table = fold()
+            if table.num_rows > HELD_ROWS // 2:
+                yield from table.to_batches()
+                held, rows = [], 0
+            else:
+                held, rows = table.to_batches(), table.num_rows
+    if held:
+        yield from fold().to_batches()
+
+
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Jensen-Shannon distance (base 2) of the rows of ``p`` to the distribution ``q``."""
     m = (p + q) / 2
@@ -233,7 +260,7 @@ def limits(docs: DataFrame, refs: dict[str, tuple[np.ndarray, dict[str, float]]]
     far = Distances(refs)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=QUALITY_BYTES):
             text, out = batch.column(1), []
             codes, offsets, known = words(text, lower=True)
             classes, _ = class_counts(text)
@@ -304,7 +331,7 @@ def quality_rules(docs: DataFrame, judge: Judge | None = None) -> DataFrame:
     judge = judge_of(docs) if judge is None else judge
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=QUALITY_BYTES):
             columns = {"doc_id": batch.column(0)} | judge(batch.column(1))
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()], list(columns))
 
@@ -317,7 +344,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     judge = judge_of(docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=QUALITY_BYTES):
             text = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
             yield batch.filter(pa.array(judge(text)["kept"]))
 

@@ -51,6 +51,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
         while start < batch.num_rows:
             stop = max(start + 1, int(np.searchsorted(ends, used + limit, side="right")))
             yield batch.slice(start, stop - start)
+            pa.default_memory_pool().release_unused()  # what the slice took is the system's again
             start, used = stop, int(ends[stop - 1])
 
 
