@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktake.llm.text import bytes_of, row_sums, rows_at, scratch, slices, stored, text_rows, words
+from stocktake.llm.text import bytes_of, rows_at, scratch, slices, stored, text_rows, words
 
 #: Documents of a block, on average.
 BLOCK_DOCS = 8
