@@ -10,11 +10,11 @@ wide as its size class; the bits in which two bitmaps differ bound the overlap f
 what follows the tile's element in both orders, and only pairs that these bounds leave are
 intersected exactly, as sorted arrays.
 
-Large groups of near copies would make pairs by the square, so the join runs twice.
+Large groups of near copies would make pairs by the square, so the join runs several times.
 The first run tiles the sets by a few minimum hashes, and links only along a
-spanning tree of every tile, which joins such groups cheaply. The second run covers every
-prefix element, but looks only at pairs whose ends the first run hasn't joined: what it adds makes
-the groups exact.
+spanning tree of every tile, which joins such groups cheaply; a candidate that fails the exact check may hide others
+there. The next one (``TREE_ROUNDS``) does the same over every prefix element, and only where ends aren't joined yet. The last run
+looks at all pairs whose ends are still apart: what it adds makes the groups exact.
 
 Defined cases: a text without words (null, empty, blanks) has an empty set, links with
 nothing and is its own component; a text of fewer than ``size`` words is one n-gram; rows
@@ -46,6 +46,8 @@ MINIMA = 6
 COMMON_SHARE = 0.0002
 #: Bound of the list of common n-grams that every task holds (8 bytes each). It orders elements, it drops none.
 MOST_COMMON = 1 << 20
+#: Runs over the prefix elements along spanning trees, before the run over all pairs left.
+TREE_ROUNDS = 1
 #: Sets looked for in one pass over the texts (8 bytes each in every task); more take more passes.
 LOOKUP = 1 << 22
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -325,15 +327,17 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8"
     first = sets.select(F.explode(F.array_distinct("minima")).alias("key"), "node", "n", F.lit(0).alias("place"), F.col("node").alias("comp"), "bits")
     first = first.withColumn("size", F.count("*").over(shared)).filter("size > 1")
     links = verified(docs, tiled(first, t, True), size, t, root, "first")
-    joined = stored(components(links, f"{root}/first"), root, "first_components")
-
-    named = sets.join(joined.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    keyed = named.select(F.posexplode("prefix").alias("place", "key"), "node", "comp")
-    keyed = keyed.withColumns({"size": F.count("*").over(shared), "many": F.min("comp").over(shared) < F.max("comp").over(shared)})
-    keyed = stored(keyed.filter("many").select("key", "place", "size", "node"), root, "shared_prefixes")
-    second = keyed.join(named.select("node", "n", "comp", "bits"), "node")
-    more = verified(docs, tiled(second, t, False), size, t, root, "second")
-    groups = components(links.unionByName(more), f"{root}/second")
+    # Over all prefix elements: first along spanning trees again, which joins what is left of large groups by few pairs,
+    # and then every pair of sets that aren't joined.
+    for k, tree in enumerate([True] * TREE_ROUNDS + [False]):
+        joined = stored(components(links, f"{root}/round_{k}"), root, f"components_{k}")
+        named = sets.join(joined.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        keyed = named.select(F.posexplode("prefix").alias("place", "key"), "node", "comp")
+        keyed = keyed.withColumns({"size": F.count("*").over(shared), "many": F.min("comp").over(shared) < F.max("comp").over(shared)})
+        keyed = stored(keyed.filter("many").select("key", "place", "size", "node"), root, f"shared_prefixes_{k}")
+        members = keyed.join(named.select("node", "n", "comp", "bits"), "node")
+        links = links.unionByName(verified(docs, tiled(members, t, tree), size, t, root, f"round_{k}"))
+    groups = components(links, f"{root}/last")
 
     named_rows = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # A group's smallest doc_id, from one row per set: a large group of copies is folded before the shuffle.
