@@ -6,7 +6,7 @@ returns comes from files that the job itself wrote under the scratch folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from stocktake.schemas import all_accounts_schema
 from stocktake.session import scratch_root
 from stocktake.sinks import tables as S
 from stocktake.sources import readers as RD
-from stocktake.sources.objects import list_folders, with_content_hash
+from stocktake.sources.objects import list_folders, with_content_hash, write_objects
 
 ACCOUNTS = D.ACCOUNTS
 RULES = R.RuleConfig(origin="pro", is_hash_the_same_in=["release", "dev"], can_the_file_exist_in=["release"])
@@ -250,15 +250,18 @@ def q_binaryfile_listing(spark, sf_dir):
     return listing.groupBy("account", "bucket", "prefix").agg(F.sum("size").alias("size"), F.count(F.when(F.col("name").isNull(), 1)).alias("n_placeholders"))
 
 
+def _line_objects(docs: DataFrame, numbers: int, line: Column, root: str) -> DataFrame:
+    """Objects of one line a document, in order, one object for each source, language and so many document numbers; their folders as a map."""
+    part = F.floor(F.col("doc_id") / numbers).cast("string")
+    lines = docs.select(F.concat(F.lit("folder="), "source", F.lit("_"), "lang", F.lit("/part="), part).alias("folder"), "doc_id", line.alias("text"))
+    write_objects(lines.withColumn("key", F.concat("folder", F.lit("/lines.txt"))), ["doc_id", "text"], f"{root}/", "docs")
+    return lines.select(F.concat(F.lit("s3://docs/"), "folder").alias("pro")).distinct()
+
+
 def q_object_hashes(spark, sf_dir):
     """SRC-1 with content hashes: an object for each source, language and 2048 document numbers, listed and hashed."""
     root, docs = scratch_root(spark), _docs(spark, sf_dir)
-    folder = F.concat("source", F.lit("_"), "lang")
-    parts = docs.select(folder.alias("folder"), F.floor(F.col("doc_id") / 2048).alias("part"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # A part's documents are written by one task, in order: one object.
-    dealt = parts.repartition("folder", "part").sortWithinPartitions("folder", "part", "doc_id", "text")
-    dealt.select("folder", "part", "text").write.option("maxRecordsPerFile", 0).partitionBy("folder", "part").text(f"{root}/docs")
-    named = parts.select(F.concat(F.lit("s3://docs/folder="), "folder", F.lit("/part="), F.col("part").cast("string")).alias("pro")).distinct()
+    named = _line_objects(docs, 2048, F.coalesce("text", F.lit("")), root)
     raw = list_folders(P.prepare_map(named), store=f"{root}/").filter(~F.col("key").endswith(".crc"))
     return with_content_hash(raw, f"{root}/").select("account", F.regexp_extract("key", "^(.*/)", 1).alias("prefix"), "size", F.col("etag").alias("hash"))
 
@@ -266,19 +269,10 @@ def q_object_hashes(spark, sf_dir):
 PART_BYTES = 33 * 16
 
 
-def _digest_objects(docs: DataFrame, root: str) -> DataFrame:
-    """Objects of one line a document (its text's MD5), one for each source, language and 256 document numbers; their folders as a map."""
-    folder, part = F.concat("source", F.lit("_"), "lang").alias("folder"), F.floor(F.col("doc_id") / 256).alias("part")
-    lines = docs.select(folder, part, "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text"))
-    dealt = lines.repartition("folder", "part").sortWithinPartitions("folder", "part", "doc_id", "text")
-    dealt.select("folder", "part", "text").write.option("maxRecordsPerFile", 0).partitionBy("folder", "part").text(f"{root}/docs")
-    return lines.select(F.concat(F.lit("s3://docs/folder="), "folder", F.lit("/part="), F.col("part").cast("string")).alias("pro")).distinct()
-
-
 def q_multipart_hashes(spark, sf_dir):
     """T14: objects hashed as uploads in parts, so that they compare with a listing of such digests."""
     root = scratch_root(spark)
-    named = _digest_objects(_docs(spark, sf_dir), root)
+    named = _line_objects(_docs(spark, sf_dir), 256, F.md5(F.coalesce("text", F.lit(""))), root)
     raw = list_folders(P.prepare_map(named), store=f"{root}/").filter(~F.col("key").endswith(".crc"))
     hashed = with_content_hash(raw, f"{root}/", PART_BYTES)
     return hashed.select("account", F.regexp_extract("key", "^(.*/)", 1).alias("prefix"), "size", F.col("etag").alias("hash"), L.hash_kind("etag").alias("hash_kind"))

@@ -8,6 +8,8 @@ Every round is written to shared scratch storage, and the entries are read from
 is made of the entries later. Every name counts: zero-byte objects, ``_SUCCESS``, names that begin with a dot. A
 folder that does not exist is just empty.
 
+``write_objects`` puts objects of lines where ``list_folders`` finds them, by tasks that share them evenly.
+
 ``with_content_hash`` adds the MD5 of the content for objects that were listed, read in pieces by
 tasks that share the objects evenly. A store's own ETags come with an ``s3://`` scan and with inventory reports
 (:func:`stocktake.sources.readers.read_inventory`). Compare listings of the same ``hash_kind`` only.
@@ -16,6 +18,7 @@ tasks that share the objects evenly. A store's own ETags come with an ``s3://``
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -125,3 +128,39 @@ def with_content_hash(raw: DataFrame, store: str = S3_STORE, part_bytes: int | N
 
     # Dealt out by object, so that a folder with many objects is read by many tasks.
     return raw.select(*RAW_ENTRY.fieldNames()).repartition(F.col("account"), F.col("bucket"), F.col("key")).mapInArrow(run, RAW_ENTRY)
+
+
+def write_objects(lines: DataFrame, order: list[str], store: str, bucket: str, tasks: int | None = None) -> int:
+    """Writes each ``key`` of ``lines (key, text, ...)`` as one object: its texts by ``order``, each ended by a line feed. Returns how many.
+
+    The keys are dealt evenly to ``tasks``, however few bytes they hold: a small object costs its creation, not its size. An
+    object is written beside the bucket and moved to its place when it is whole, so a task that runs again, or
+    twice, leaves the same objects. A line without a key is in none.
+    """
+    tasks = tasks or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = opened_store(store, "", bucket)
+        attempt = f"{root.rstrip('/')}_unfinished/{uuid.uuid4().hex}"
+        system.create_dir(attempt, recursive=True)
+        now, out, done = None, None, 0
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                path = f"{root.rstrip('/')}/{now}"
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                system.move(f"{attempt}/{done}", path)
+
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if key != now:
+                    close()
+                    done += out is not None
+                    now, out = key, system.open_output_stream(f"{attempt}/{done}")
+                out.write(text.encode() + b"\n")
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([done + (out is not None)], pa.int64())], ["n"])
+
+    dealt = lines.filter("key IS NOT NULL").repartition(tasks, "key").sortWithinPartitions("key", *order).select("key", "text")
+    return dealt.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -264,3 +264,20 @@ def test_one_csv_file_is_read_by_several_tasks(spark, tmp_root):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_small_objects_are_written_by_many_tasks(spark, tmp_root):
+    import os
+
+    from stocktake.sources.objects import write_objects
+
+    # Hardly a byte in all: Spark's own writer would leave them to one task.
+    lines = spark.createDataFrame([(f"f={k % 9}/p={k % 40}/x", k, str(k)) for k in range(400)] + [(None, 0, "lost")], "key string, n long, text string")
+    want = {}
+    for k in range(400):
+        want.setdefault(f"f={k % 9}/p={k % 40}/x", []).append(f"{k}\n")
+    for _ in range(2):  # a second attempt leaves the same objects
+        assert write_objects(lines, ["n"], f"{tmp_root}/", "docs", tasks=6) == len(want)
+        found = {os.path.relpath(f"{at}/{name}", f"{tmp_root}/docs"): open(f"{at}/{name}").read() for at, _, names in os.walk(f"{tmp_root}/docs") for name in names}
+        assert found == {key: "".join(texts) for key, texts in want.items()}
+    assert len(os.listdir(f"{tmp_root}/docs_unfinished")) == 12
