@@ -8,10 +8,10 @@ frozen after training, so a text's code length in a language is exact: the sum o
 The shortest code wins; ``score`` is its share of ``2 ** -length`` over the languages.
 
 The pipeline's filter also rejects texts that no learned language explains: of at least ``MIN_BYTES`` bytes, with more
-bits a byte in the best language than ``SLACK`` times what ``LIMIT_SHARE`` of that language's training sample stay within.
+bits a byte in the best language than ``SLACK`` times what ``LIMIT_SHARE`` of that language's training texts stay within.
 
-Trained on a bounded sample: at most about ``SAMPLE_DOCS`` training documents a language, drawn
-by a hash of ``doc_id``. A-Z count as a-z.
+Trained on every labelled document that is not held out, and so are the limits: counts are summed in Spark, and only
+the trees (distinct contexts and bytes, which grow far slower than the texts) reach the driver and the tasks. A-Z count as a-z.
 
 Defined cases: a null ``lang`` is not learned from; a null ``doc_id`` counts as held out; a text
 that is null or has no letter is ``und`` with score 0, as is every text where nothing was learned; equal code
@@ -26,17 +26,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stocktake.llm.text import bytes_of, row_sums, slices, text_rows
+from stocktake.llm.text import bytes_of, row_sums, scratch, slices, stored, text_rows
 
 #: Bytes of the longest context.
 ORDER = 3
-#: Bound of the training sample: documents of a language, on average.
-SAMPLE_DOCS = 2000
+#: Bytes of text worked on at a time (each takes some forty bytes of arrays), and grams whose counts a task holds.
+TEXT_BYTES, HELD_GRAMS = 2 << 20, 1 << 21
 #: A prediction under this score is rejected by the pipeline's filter.
 MIN_SCORE = 0.5
 UNKNOWN = "und"
-#: The limit of bits a byte: this share of a language's sample is within it, times a slack for texts that weren't learned from.
+#: The limit of bits a byte: this share of a language's training texts is within it, times a slack for texts that weren't learned from.
 LIMIT_SHARE, SLACK = 0.995, 1.75
 #: Shorter texts are not judged by bits a byte.
 MIN_BYTES = 200
@@ -85,9 +86,9 @@ class Model:
                 own = np.log2((total + distinct)[of]) - np.log2(count)
             shorter = np.full((len(known), size), 8.0) if k == 0 else self.cost[k - 1][np.searchsorted(self.grams[k - 1], known & np.uint32((1 << 8 * k) - 1))]
             self.grams.append(known)
-            self.cost.append(np.where(count > 0, own, escape[of] + shorter))
+            self.cost.append(np.where(count > 0, own, escape[of] + shorter).astype(np.float32))
             self.contexts.append(contexts)
-            self.escape.append(escape)
+            self.escape.append(escape.astype(np.float32))
 
     def bits(self, gram: np.ndarray) -> np.ndarray:
         """Cost of every gram's last byte, per language."""
@@ -113,31 +114,47 @@ class Model:
         return np.column_stack([row_sums(bits[:, i][at], offsets) for i in range(len(self.langs))])
 
 
-def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame | None:
-    """``doc_id, text, lang`` of the documents to learn from; ``None`` where there are none."""
-    rows = text_rows(docs, F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return None
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_docs / n))])
-    return rows.filter(drawn < share[F.col("lang")])
+def training_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, lang`` of the documents to learn from."""
+    rows = text_rows(docs, F.col("lang").cast("string").alias("lang"))
+    return rows.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
 
 
-def train(sample: DataFrame | None) -> Model | None:
-    """Context trees from a training sample; ``None`` where there is nothing to learn."""
-    if sample is None:
-        return None
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``grams, counts``."""
+    known, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return known, np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
+def train(rows: DataFrame) -> Model | None:
+    """Context trees from all training rows; ``None`` where there is nothing to learn."""
+
+    def batch_of(held: dict[str, list]) -> pa.RecordBatch:
+        sums = {lang: merged(parts) for lang, parts in held.items()}
+        langs = pa.array([lang for lang, (g, _) in sums.items() for _ in range(len(g))], pa.string())
+        columns = [np.concatenate([s[i] for s in sums.values()]).astype(np.int64) for i in range(2)]
+        return pa.RecordBatch.from_arrays([langs, *map(pa.array, columns)], ["lang", "gram", "n"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+        for batch in slices(batches, limit=TEXT_BYTES):
             names = np.array(batch.column(2).to_pylist(), object)
             for lang in sorted(set(names)):
                 own = batch.filter(pa.array(names == lang))
-                known, n = np.unique(grams(*bytes_of(own.column(1))), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(known), pa.string()), pa.array(known.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
-
-    counted = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+                parts = held.setdefault(lang, [])
+                parts.append(np.unique(grams(*bytes_of(own.column(1))), return_counts=True))
+                size += len(parts[-1][0])
+            if size > HELD_GRAMS:
+                held = {lang: [merged(parts)] for lang, parts in held.items()}
+                size = sum(len(parts[0][0]) for parts in held.values())
+                if size > HELD_GRAMS // 2:
+                    yield batch_of(held)
+                    held, size = {}, 0
+        if held:
+            yield batch_of(held)
+
+    counted = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     if not len(counted):
         return None
     langs = sorted(counted["lang"].unique())
@@ -153,60 +170,70 @@ def lettered(text: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return has
 
 
-def learned_limits(sample: DataFrame, model: Model) -> dict[str, float]:
-    """Per language, the bits a byte of its own model that its sample stays within (one number a language)."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
-
-    def cost(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            data, offsets = bytes_of(batch.column(1))
-            own = np.array([shared.value.langs.index(x) for x in batch.column(2).to_pylist()], np.int64)
-            size = np.diff(offsets)
-            bits = shared.value.lengths(data, offsets)[np.arange(len(own)), own] / np.maximum(size, 1)
-            judged = pa.array(size >= MIN_BYTES)
-            yield pa.RecordBatch.from_arrays([batch.column(2).filter(judged), pa.array(bits).filter(judged)], ["lang", "bits"])
-
-    found = sample.mapInArrow(cost, "lang string, bits double").groupBy("lang").agg(F.percentile_approx("bits", LIMIT_SHARE, 10_000).alias("bits")).collect()
-    return {r["lang"]: SLACK * r["bits"] for r in found}
-
-
 def predictions(model: Model | None, text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score, and bits a byte in that language (0 for an empty text)."""
+    """Language, score, and the code lengths in all languages."""
     data, offsets = bytes_of(text)
     if model is None:
-        return [UNKNOWN] * len(text), np.zeros(len(text)), np.zeros(len(text))
+        return [UNKNOWN] * len(text), np.zeros(len(text)), np.zeros((len(text), 1))
     lengths, has = model.lengths(data, offsets), lettered(text, data, offsets)
     best = lengths.argmin(axis=1)
     share = 1.0 / np.exp2(np.maximum(lengths.min(axis=1, keepdims=True) - lengths, -1000.0)).sum(axis=1)
     names = [model.langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)]
-    return names, np.where(has, share, 0.0), lengths.min(axis=1) / np.maximum(np.diff(offsets), 1)
+    return names, np.where(has, share, 0.0), lengths
 
 
 def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``."""
-    model = train(training_sample(docs)) if model is None else model
+    model = train(training_rows(docs)) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TEXT_BYTES):
             langs, scores, _ = predictions(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
 
     return text_rows(docs, held_out(F.col("doc_id")).alias("held_out")).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents whose language is told with at least ``min_score`` and whose text is within its limit; all columns as they were."""
-    sample = training_sample(docs)
-    model = train(sample)
-    shared, limits = docs.sparkSession.sparkContext.broadcast(model), learned_limits(sample, model) if model is not None else {}
+#: What the filter's pass tells of a text: bits a byte in the language told and in its label's (null for a short text).
+TOLD = [("lang", "string"), ("score", "double"), ("bits", "double"), ("own", "double")]
+
 
-    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+def told_of(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` with a column ``told``."""
+    shared, langs = docs.sparkSession.sparkContext.broadcast(model), {} if model is None else {x: i for i, x in enumerate(model.langs)}
+
+    def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=TEXT_BYTES):
             text = batch.column(batch.schema.get_field_index("text"))
-            langs, scores, bits = predictions(shared.value, text)
+            names, scores, lengths = predictions(shared.value, text)
             size = np.diff(bytes_of(text)[1])
-            strange = (size >= MIN_BYTES) & (bits > np.array([limits.get(x, np.inf) for x in langs]))
-            yield batch.filter(pa.array([x != UNKNOWN and s >= min_score and not odd for x, s, odd in zip(langs, scores, strange, strict=True)], pa.bool_()))
+            label = np.array([langs.get(x, -1) for x in batch.column(batch.num_columns - 1).to_pylist()], np.int64)
+            bits, own = (x / np.maximum(size, 1) for x in (lengths.min(axis=1), lengths[np.arange(len(label)), label]))
+            short = size < MIN_BYTES
+            columns = [pa.array(names, pa.string()), pa.array(scores), pa.array(bits, mask=short), pa.array(own, mask=short | (label < 0))]
+            told = pa.StructArray.from_arrays(columns, [name for name, _ in TOLD])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], told], [*batch.schema.names[:-1], "told"])
+
+    fields = ", ".join(f"{name}: {kind}" for name, kind in TOLD)
+    schema = T.StructType([*docs.schema.fields, T.StructField("told", T.StructType.fromDDL(fields))])
+    return docs.withColumn("told", F.col("lang").cast("string")).mapInArrow(tell, schema)
+
+
+def learned_limits(told: DataFrame) -> dict[str, float]:
+    """Per language, the limit of bits a byte: from all its training texts, in their label's own tree (one number a language)."""
+    learned = told.filter(F.col("told.own").isNotNull() & ~held_out(F.col("doc_id").cast("long")))
+    found = learned.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.percentile_approx("told.own", LIMIT_SHARE, 10_000).alias("bits")).collect()
+    return {r["lang"]: SLACK * r["bits"] for r in found}
 
-    return docs.mapInArrow(keep, docs.schema)
+
+def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents whose language is told with at least ``min_score`` and whose text is within its limit; all columns as they were.
+
+    Every text is weighed once; what was told of it is stored beside it, and the limits and the filter read that.
+    """
+    told = stored(told_of(docs, train(training_rows(docs))), scratch(docs.sparkSession), "told")
+    limits = learned_limits(told)
+    limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("told.lang")] if limits else F.lit(None).cast("double")
+    strange = F.coalesce(F.col("told.bits") > limit, F.lit(False))
+    return told.filter((F.col("told.lang") != UNKNOWN) & (F.col("told.score") >= min_score) & ~strange).select(*docs.columns)

@@ -81,3 +81,16 @@ def test_nothing_to_learn_from(spark):
     assert L.identify_languages(documents(spark, [])).count() == 0
     assert [r.lang_pred for r in L.identify_languages(documents(spark, [(1, "some words", None)])).collect()] == [L.UNKNOWN]
     assert L.keep_identified(documents(spark, [])).count() == L.keep_identified(documents(spark, [(1, "some words", None)])).count() == 0
+
+
+def test_every_training_text_counts(spark):
+    # The last text alone holds these letters: a model of a sample of the texts hardly ever meets them.
+    rows = [(i, prose(f"w{i}", 4, lang), lang) for i, lang in zip(range(9000), ("en", "de") * 4500)]
+    last = next(i for i in range(9000, 9100) if crc32(str(i).encode()) % 3 != 1)
+    for shift in range(3):
+        mark = "".join(chr(0x4E00 + 7 * k + shift) for k in range(40))
+        model = L.train(L.training_rows(documents(spark, [*rows, (last + 100_000 * shift, mark, "de")])))
+        if crc32(str(last + 100_000 * shift).encode()) % 3 != 1:
+            assert set(np.unique(L.grams(*bytes_of(pa.array([mark])))).tolist()) <= set(model.grams[L.ORDER].tolist())
+    learned = [t for i, t, _ in rows if crc32(str(i).encode()) % 3 != 1]
+    assert len(set(np.unique(L.grams(*bytes_of(pa.array(learned)))).tolist()) - set(model.grams[L.ORDER].tolist())) == 0
