@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stocktake.llm.blocks import ordered_blocks
-from stocktake.llm.text import bytes_of, mixed, rows_at, slices, text_rows
+from stocktake.llm.text import bytes_of, distinct, mixed, rows_at, slices, text_rows
 
 LEVELS, SKETCH = 3, 48
 #: Rounds of coin tossing that bring 64-bit names down to fewer than 6 labels.
@@ -72,7 +72,7 @@ def fingerprints(text: pa.Array) -> list[str]:
         if level >= LEVELS - 2:
             values.append(mixed(names ^ np.uint64(level)) >> np.uint64(32))
             owners.append(row)
-    both = np.unique(np.concatenate(owners).astype(np.uint64) << np.uint64(32) | np.concatenate(values)) if len(data) else np.empty(0, np.uint64)
+    both = distinct(np.concatenate(owners).astype(np.uint64) << np.uint64(32) | np.concatenate(values)) if len(data) else np.empty(0, np.uint64)
     owner = (both >> np.uint64(32)).astype(np.int64)
     first = np.searchsorted(owner, np.arange(len(text) + 1))
     digits = (both & np.uint64(0xFFFFFFFF)).astype(">u4").tobytes().hex()

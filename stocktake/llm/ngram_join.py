@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.llm.components import components
-from stocktake.llm.text import hashes, mixed, most_counted, rows_at, scratch, slices, stored, text_rows, words
+from stocktake.llm.text import distinct, hashes, mixed, most_counted, rows_at, scratch, slices, stored, text_rows, words
 
 #: Bytes of text whose n-grams a task holds at a time (each word takes a dozen 8-byte numbers).
 SHINGLE_BYTES = 4 << 20
@@ -80,7 +80,7 @@ def shingle_sets(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(owner, kind="stable")
     grams, counts = grams[order], np.bincount(owner, minlength=len(text))
     ends = np.cumsum(counts)
-    parts = [np.unique(grams[e - c : e]) for c, e in zip(counts, ends, strict=True)]
+    parts = [distinct(grams[e - c : e]) for c, e in zip(counts, ends, strict=True)]
     return (np.concatenate(parts) if parts else grams), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 

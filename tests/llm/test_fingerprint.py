@@ -64,3 +64,11 @@ def test_equal_substrings_share_phrases_whatever_their_offset():
 def test_batches_do_not_matter():
     rows = [t for _, t, _ in texts()]
     assert F.fingerprints(pa.array(rows)) == [one(t or "") for t in rows]
+
+
+def test_distinct_values_by_sorting():
+    from stocktake.llm.text import distinct
+
+    for n in (0, 1, 5, 3000):
+        values = np.random.default_rng(n).integers(0, 1 << 10, n).astype(np.uint64) << np.uint64(50)
+        assert np.array_equal(distinct(values), np.unique(values))
