@@ -43,7 +43,10 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blocks = -(-len(values) // BLOCK)
     grid = np.zeros((blocks, BLOCK + PAD), np.uint64)
     grid[:, :BLOCK] = np.concatenate([values, np.zeros(blocks * BLOCK - len(values), np.uint64)]).reshape(blocks, BLOCK)
-    width = np.searchsorted(POWERS, grid, side="right").astype(np.uint8)
+    if len(values) and values.max() >> np.uint64(52):
+        width = np.searchsorted(POWERS, grid, side="right").astype(np.uint8)
+    else:  # such numbers are exact as doubles
+        width = np.frexp(grid.astype(np.float64))[1].astype(np.uint8)
     # The selector of the most values that fit, for a word that would start at each place.
     choice = np.zeros((blocks, BLOCK), np.uint8)
     widest: dict[int, np.ndarray] = {1: width}
@@ -54,7 +57,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         widest[count] = np.maximum(part[:, :span], part[:, count - base : count - base + span])
     for selector in range(len(COUNTS) - 1, 0, -1):
         fits = widest[int(COUNTS[selector])][:, :BLOCK] <= WIDTHS[selector]
-        choice[fits] = selector  # ends with the smallest selector, so with the most values, that fits
+        np.copyto(choice, np.uint8(selector), where=fits)  # ends with the smallest selector, so with the most values, that fits
     step = COUNTS[choice]
     begins = np.zeros((blocks, BLOCK), bool)
     at, live = np.zeros(blocks, np.int64), np.arange(blocks)

@@ -24,7 +24,7 @@ SPACE = r"[\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{2
 MIXED_SPACE = rf"[ \n]{SPACE}|{SPACE}[ \n]|\x00"
 STOPS = (".", ",")
 #: Distinct units kept by a worker between batches.
-KEPT_UNITS = 1 << 20
+KEPT_UNITS = 1 << 19
 
 _encoders: dict[str, UnitEncoder] = {}
 
@@ -47,6 +47,7 @@ def byte_characters() -> dict[int, str]:
 
 
 BYTE_CHARACTERS = byte_characters()
+SPACE_CHARACTER = BYTE_CHARACTERS[ord(" ")]
 
 
 class UnitEncoder:
@@ -57,6 +58,7 @@ class UnitEncoder:
         self.model = self.tokenizer.model
         # Does a unit carry the space before it?
         self.spaced = self._whole(" a") != self._whole("a")
+        self.stops = {c: self._letters(c) for c in STOPS}
         self.kept: dict[str, bytes] = {}  # ids as packed uint32, a quarter of a list's size
 
     def _whole(self, text: str) -> list[int]:
@@ -64,6 +66,8 @@ class UnitEncoder:
 
     def _letters(self, unit: str) -> list[int]:
         """Ids of a unit of letters alone (after one space): the model's on its byte characters, as one piece."""
+        if unit.isascii():  # letters stand for themselves
+            return [t.id for t in self.model.tokenize(SPACE_CHARACTER + unit[1:] if unit[:1] == " " else unit)]
         return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(BYTE_CHARACTERS))]
 
     def _unit(self, unit: str) -> list[int]:
@@ -78,7 +82,8 @@ class UnitEncoder:
         if body.isalpha():
             return self._letters(unit)
         if body[-1:] in STOPS and body[:-1].isalpha():
-            return self._letters(unit[:-1]) + self._letters(body[-1])
+            word = self.kept.get(given[:-1])  # most words also stand without a stop
+            return (self._letters(unit[:-1]) if word is None else array("I", word).tolist()) + self.stops[body[-1]]
         return self._whole(given) if given else []
 
     def _units(self, units: list[str]) -> list[bytes]:

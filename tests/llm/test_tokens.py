@@ -89,3 +89,22 @@ def test_a_broken_file_is_refused(tmp_path):
     path.write_bytes(b"nonsense" * 20)
     with path.open("rb") as file, pytest.raises(ValueError):
         next(T.segments(file))
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_a_word_before_a_stop_is_encoded_once(file, monkeypatch):
+    from stocktake.llm.tokens import UnitEncoder
+
+    encoder, asked = UnitEncoder(public_tokenizers.path(file)), []
+    plain = encoder._letters
+    monkeypatch.setattr(encoder, "_letters", lambda unit: asked.append(unit) or plain(unit))
+    text = "the Water over water the. Water, over, water."
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == Tokenizer.from_file(public_tokenizers.path(file)).encode(text, add_special_tokens=False).ids
+    assert len(asked) <= 5 and not {".", ","} & set(asked)
+
+
+def test_widths_of_large_values():
+    for top in (1 << 51, 1 << 53, (1 << 59) + 1, (1 << 64) - 1):
+        values = np.array([0, 1, 2, 3, top - 1, top, 7], np.uint64)
+        assert np.array_equal(T.decode(*T.encode(values), len(values)), values)
