@@ -40,18 +40,20 @@ END_HASH = np.uint64(0)
 #: Tokens that a task trains on, or scores, in one set of lanes.
 SET_TOKENS = 1 << 21
 EPS = 1e-8
+#: Rows of a class that are multiplied at once.
+CHUNK = 16
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(True))
 
 
-def tokens_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of every text and its end, and row offsets."""
+def coded_tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A code for each word of every text and its end, row offsets, and the hashes that the codes point to."""
     codes, offsets, known = words(text, lower=True)
-    h = hashes(known)[codes]
+    h = hashes(known)
     h[h == END_HASH] = np.uint64(1)
-    return np.insert(h, offsets[1:], END_HASH), offsets + np.arange(len(offsets))
+    return np.insert(codes, offsets[1:], len(h)), offsets + np.arange(len(offsets)), np.append(h, END_HASH)
 
 
 class Counts:
@@ -142,27 +144,47 @@ class Lanes:
             yield inputs, targets, begins, np.where(there, self.text[at], -1)
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def run_window(w: dict, x: np.ndarray, begins: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list]:
-    """States after every step of a window, and what its backward pass needs."""
-    d, out, kept = HIDDEN, np.empty((*x.shape, HIDDEN), np.float32), []
+def run_window(w: dict, x: np.ndarray, begins: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """States after every step of a window, and what its backward pass needs (the states before, gates, candidates, their recurrent parts)."""
+    d, shape, kind = HIDDEN, x.shape, np.result_type(w["u"], w["x"], h)
+    given, fresh = w["x"][x], begins.any(axis=1)
+    before, n, gn, out = (np.empty((*shape, d), kind) for _ in range(4))
+    gates = np.empty((*shape, 2 * d), kind)
     for t in range(len(x)):
-        h = np.where(begins[t][:, None], np.float32(0), h)
-        gx, gh = w["x"][x[t]], h @ w["u"]
-        gates = sigmoid(gx[:, : 2 * d] + gh[:, : 2 * d])
-        r, z = gates[:, :d], gates[:, d:]
-        n = np.tanh(gx[:, 2 * d :] + r * gh[:, 2 * d :])
-        kept.append((h, r, z, n, gh[:, 2 * d :]))
-        h = out[t] = (1 - z) * n + z * h
-    return out, kept
+        before[t] = h
+        if fresh[t]:
+            before[t][begins[t]] = 0
+        h, g, now = before[t], gates[t], out[t]
+        into = h @ w["u"]
+        np.add(given[t, :, : 2 * d], into[:, : 2 * d], out=g)
+        g *= 0.5  # the logistic function, by tanh
+        np.tanh(g, out=g)
+        g *= 0.5
+        g += 0.5
+        gn[t] = into[:, 2 * d :]
+        np.multiply(g[:, :d], gn[t], out=n[t])
+        n[t] += given[t, :, 2 * d :]
+        np.tanh(n[t], out=n[t])
+        np.subtract(h, n[t], out=now)
+        now *= g[:, d:]
+        now += n[t]
+        h = now
+    return out, (before, gates, n, gn)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    """Over the last axis, in place."""
+    x -= x.max(axis=-1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=-1, keepdims=True)
+    return x
+
+
+def log10_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """log10 of the softmax of each row at one place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    return np.log10(x[np.arange(len(at)), at] / x.sum(axis=1) + 1e-30)
 
 
 def by_class(y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -176,47 +198,90 @@ def by_class(y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def log10_of(w: dict, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     """log10 probability of the ids ``y`` after the states ``h``."""
-    out = np.log10(softmax(h @ w["wc"] + w["bc"])[np.arange(len(y)), y // MEMBERS] + 1e-30)
+    out = log10_share(h @ w["wc"] + w["bc"], y // MEMBERS)
     for c, rows in by_class(y):
-        out[rows] += np.log10(softmax(h[rows] @ w["wo"][c] + w["bo"][c])[np.arange(len(rows)), y[rows] % MEMBERS] + 1e-30)
+        out[rows] += log10_share(h[rows] @ w["wo"][c] + w["bo"][c], y[rows] % MEMBERS)
     return out
 
 
-def gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: np.ndarray, h0: np.ndarray) -> tuple[dict, np.ndarray]:
-    """Mean gradients of -log P over a window (backpropagation is cut at its start), and the last state."""
+def member_gradients(w: dict, h: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of the words-in-class weights and biases and of the states, for all classes at once.
+
+    The targets are dealt by class into chunks of ``CHUNK`` rows (the last one of a class is filled up), so
+    that one product of stacked small matrices serves all classes."""
+    d, c = HIDDEN, y // MEMBERS
+    wo, bo, dh = np.zeros_like(w["wo"]), np.zeros_like(w["bo"]), np.zeros_like(h)
+    if not len(y):
+        return wo, bo, dh
+    order, counts = np.argsort(c, kind="stable"), np.bincount(c, minlength=CLASSES)
+    chunks = -(-counts // CHUNK)
+    first = np.cumsum(chunks) - chunks
+    place = np.arange(len(y)) + np.repeat(first * CHUNK - (np.cumsum(counts) - counts), counts)
+    of = np.repeat(np.arange(CLASSES), chunks)
+    states, there = np.zeros((len(of) * CHUNK, d), h.dtype), np.zeros((len(of) * CHUNK, 1), h.dtype)
+    states[place], there[place] = h[order], scale
+    states, weights = states.reshape(-1, CHUNK, d), w["wo"][of]
+    q = softmax(states @ weights + w["bo"][of][:, None]).reshape(-1, MEMBERS)
+    q[place, y[order] % MEMBERS] -= 1
+    q *= there
+    q = q.reshape(-1, CHUNK, MEMBERS)
+    present = np.flatnonzero(counts)
+    wo[present] = np.add.reduceat(states.transpose(0, 2, 1) @ q, first[present], axis=0)
+    bo[present] = np.add.reduceat(q.sum(axis=1), first[present], axis=0)
+    dh[order] = (q @ weights.transpose(0, 2, 1)).reshape(-1, d)[place]
+    return wo, bo, dh
+
+
+def window_gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: np.ndarray, h0: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Mean gradients of -log P over a window (backpropagation is cut at its start), ``x`` only for the rows that come next, and the last state."""
     d, (steps, lanes) = HIDDEN, x.shape
-    states, kept = run_window(w, x, begins, h0)
+    states, (before, gates, n, gn) = run_window(w, x, begins, h0)
     at = np.flatnonzero(live.ravel())
     h, target = states.reshape(-1, d)[at], y.ravel()[at]
-    scale = np.float32(1 / max(len(at), 1))
-    g = {k: np.zeros_like(v) for k, v in w.items()}
+    scale = h.dtype.type(1 / max(len(at), 1))
     p = softmax(h @ w["wc"] + w["bc"])
     p[np.arange(len(at)), target // MEMBERS] -= 1
     p *= scale
-    g["wc"], g["bc"], dh = h.T @ p, p.sum(0), p @ w["wc"].T
-    for c, rows in by_class(target):
-        q = softmax(h[rows] @ w["wo"][c] + w["bo"][c])
-        q[np.arange(len(rows)), target[rows] % MEMBERS] -= 1
-        q *= scale
-        g["wo"][c], g["bo"][c] = h[rows].T @ q, q.sum(0)
-        dh[rows] += q @ w["wo"][c].T
-    out = np.zeros((steps * lanes, d), np.float32)
-    out[at] = dh
+    g = {"wc": h.T @ p, "bc": p.sum(0)}
+    g["wo"], g["bo"], dh = member_gradients(w, h, target, scale)
+    out = np.zeros((steps * lanes, d), h.dtype)
+    out[at] = dh + p @ w["wc"].T
     out = out.reshape(steps, lanes, d)
-    gates, back = np.empty((steps, lanes, 3 * d), np.float32), np.zeros((lanes, d), np.float32)
+    r, z = gates[:, :, :d], gates[:, :, d:]
+    to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), gn * r * (1 - r)
+    own, into = np.empty((steps, lanes, 3 * d), h.dtype), np.empty((steps, lanes, 3 * d), h.dtype)
+    back, turned, fresh = np.zeros((lanes, d), h.dtype), w["u"].T.copy(), begins.any(axis=1)
     for t in range(steps - 1, -1, -1):
-        before, r, z, n, gn = kept[t]
-        now = out[t] + back
-        dn = now * (1 - z) * (1 - n * n)
-        dz = now * (before - n) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        gates[t] = np.concatenate([dr, dz, dn], axis=1)
-        into = np.concatenate([dr, dz, dn * r], axis=1)
-        g["u"] += before.T @ into
-        back = np.where(begins[t][:, None], np.float32(0), now * z + into @ w["u"].T)
-    index = (x.ravel()[:, None].astype(np.int64) * (3 * d) + np.arange(3 * d)).ravel()
-    g["x"] = np.bincount(index, weights=gates.ravel(), minlength=w["x"].size).reshape(w["x"].shape).astype(np.float32)
-    return g, states[-1]
+        now, gate, part = out[t], own[t], into[t]
+        now += back
+        np.multiply(now, to_n[t], out=gate[:, 2 * d :])
+        np.multiply(gate[:, 2 * d :], to_r[t], out=gate[:, :d])
+        np.multiply(now, to_z[t], out=gate[:, d : 2 * d])
+        part[:, : 2 * d] = gate[:, : 2 * d]
+        np.multiply(gate[:, 2 * d :], r[t], out=part[:, 2 * d :])
+        back = part @ turned
+        now *= z[t]
+        back += now
+        if fresh[t]:
+            back[begins[t]] = 0
+    g["u"] = before.reshape(-1, d).T @ into.reshape(-1, 3 * d)
+    order = np.argsort(x.ravel(), kind="stable")
+    sorted_ = x.ravel()[order]
+    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    g["x"] = np.add.reduceat(own.reshape(-1, 3 * d)[order], starts, axis=0)
+    return g, sorted_[starts], states[-1]
+
+
+def gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: np.ndarray, h0: np.ndarray) -> tuple[dict, np.ndarray]:
+    """The gradients of :func:`window_gradients` in the shape of the weights, and the last state."""
+    g, rows, last = window_gradients(w, x, y, begins, live, h0)
+    return g | {"x": dense_rows(w["x"], rows, g["x"])}, last
+
+
+def dense_rows(like: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.zeros_like(like)
+    out[rows] = values
+    return out
 
 
 def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES // 4) -> dict:
@@ -225,11 +290,11 @@ def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES /
     packed = Lanes(ids, offsets, lanes)
     h = np.zeros((packed.lanes, HIDDEN), np.float32)
     for inputs, targets, begins, text in packed.windows(WINDOW):
-        g, last = gradients(w, inputs, targets, begins, text >= 0, h[: inputs.shape[1]])
-        h = last
+        g, rows, h = window_gradients(w, inputs, targets, begins, text >= 0, h[: inputs.shape[1]])
         for k, v in g.items():
-            seen[k] += v * v
-            w[k] -= RATE * v / (np.sqrt(seen[k]) + EPS)
+            at = rows if k == "x" else slice(None)  # a row of no gradient stays as it is
+            seen[k][at] += v * v
+            w[k][at] -= RATE * v / (np.sqrt(seen[k][at]) + EPS)
     return w
 
 
@@ -263,8 +328,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=32 << 20):
-            h, n = np.unique(tokens_of(batch.column(1))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+            codes, _, h = coded_tokens(batch.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.bincount(codes, minlength=len(h)))], ["h", "n"])
 
     return text_rows(docs).filter(~held_out(F.col("doc_id"))).mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -295,8 +360,8 @@ def train(docs: DataFrame, counts: Counts) -> dict:
 
         def learn(batches: Iterable[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, limit=SET_TOKENS * 6):
-                h, offsets = tokens_of(batch.column(1))
-                ids = shared.value.look_up(h)[2]
+                codes, offsets, h = coded_tokens(batch.column(1))
+                ids = shared.value.look_up(h)[2][codes]
                 yield pa.RecordBatch.from_arrays([pa.array([(len(ids) * flat_of(train_on(start.value, ids, offsets))).tobytes()], pa.binary()), pa.array([float(len(ids))])], ["w", "n"])
 
         own = rows.filter(part == k)
@@ -315,11 +380,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SET_TOKENS * 6):
-            h, offsets = tokens_of(batch.column(1))
+            codes, offsets, h = coded_tokens(batch.column(1))
             top, n, ids = shared.value.look_up(h)
-            logs = np.log10(n + 1.0)
+            logs, top, ids = np.log10(n + 1.0)[codes], top[codes], ids[codes]
             at = np.flatnonzero(~top)  # the others: each once a text, with how often
-            rare, owner = h[at].view(np.int64), rows_at(offsets)[at]
+            rare, owner = h[codes[at]].view(np.int64), rows_at(offsets)[at]
             order = np.lexsort((rare, owner))
             rare, owner = rare[order], owner[order]
             new = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (owner[1:] != owner[:-1])])) if len(at) else at

@@ -130,3 +130,18 @@ def test_every_training_text_is_learnt_from_once(spark, monkeypatch):
     monkeypatch.setattr(G, "averaged", noted)
     G.train(docs, G.Counts(G.word_counts(docs)))
     assert len(seen) == G.ROUNDS and all(seen) and sum(seen) == brute(rows)[0]
+
+
+def test_gradients_of_all_classes_at_once_equal_those_class_by_class():
+    w, rng = model(), np.random.default_rng(9)
+    y = np.concatenate([rng.integers(0, 40, 50), rng.integers(0, G.WORDS, 30)])  # a class of many chunks, and classes of none
+    h = rng.normal(size=(len(y), G.HIDDEN)).astype(np.float32)
+    wo, bo, dh = G.member_gradients(w, h, y, np.float32(0.5))
+    for c in range(G.CLASSES):
+        rows = np.flatnonzero(y // G.MEMBERS == c)
+        x = h[rows] @ w["wo"][c] + w["bo"][c]
+        q = np.exp(x) / np.exp(x).sum(axis=1, keepdims=True) if len(rows) else x
+        q[np.arange(len(rows)), y[rows] % G.MEMBERS] -= 1
+        q *= np.float32(0.5)
+        assert np.allclose(wo[c], h[rows].T @ q, atol=1e-5) and np.allclose(bo[c], q.sum(0), atol=1e-5)
+        assert np.allclose(dh[rows], q @ w["wo"][c].T, atol=1e-5)
