@@ -131,3 +131,11 @@ def test_redaction_of_hard_cases(spark):
 def test_no_python_in_the_plan(spark):
     plan = S.scan_secrets(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_models_are_learned_from_every_text(spark):
+    # Each of these pairs stands in one text of thousands; a sample of the texts meets some of them only.
+    pairs = [a + b for a in "QXZJ" for b in "qxzj7"]
+    rows = [(k, f"plain words number {k}", "en") for k in range(9000)] + [(10_000 + k, f"plain words with {pair} here", "en") for k, pair in enumerate(pairs)]
+    ratios = S.train_ratios(S.text_rows(documents(spark, rows)))
+    assert all(ratios[128 * ord(a) + ord(b)] != 0 for a, b in pairs)
