@@ -11,20 +11,22 @@ Which way a text goes never changes its ids (tested against whole-text encoding)
 from __future__ import annotations
 
 from array import array
+from string import punctuation
 from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from stocktake.llm.text import flat, rows_at
+from stocktake.llm.text import flat
 
 #: A space or line feed next to other white space, or the separator used here: such texts are encoded whole.
 SPACE = r"[\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 MIXED_SPACE = rf"[ \n]{SPACE}|{SPACE}[ \n]|\x00"
-STOPS = (".", ",")
-#: Distinct units kept by a worker between batches.
+#: Distinct units kept by a worker between batches, in two generations of half as many.
 KEPT_UNITS = 1 << 19
+#: Distinct runs of punctuation kept.
+KEPT_TAILS = 1 << 12
 
 _encoders: dict[str, UnitEncoder] = {}
 
@@ -58,8 +60,9 @@ class UnitEncoder:
         self.model = self.tokenizer.model
         # Does a unit carry the space before it?
         self.spaced = self._whole(" a") != self._whole("a")
-        self.stops = {c: self._letters(c) for c in STOPS}
+        self.tails: dict[str, list[int]] = {}  # ids of the ASCII punctuation after a word
         self.kept: dict[str, bytes] = {}  # ids as packed uint32, a quarter of a list's size
+        self.older: dict[str, bytes] = {}  # the generation before; what is used of it moves on
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -71,7 +74,7 @@ class UnitEncoder:
         return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(BYTE_CHARACTERS))]
 
     def _unit(self, unit: str) -> list[int]:
-        """A unit of letters, with a stop or comma, is one piece or two; everything else goes the whole way."""
+        """A unit of letters, with ASCII punctuation after them, is one piece or two; everything else goes the whole way."""
         given = unit  # the library normalises what goes to it itself; doing it twice would compose more
         if not self.spaced:
             unit = normalize("NFC", unit)
@@ -81,19 +84,33 @@ class UnitEncoder:
         body = unit[1:] if unit[:1] == " " else unit
         if body.isalpha():
             return self._letters(unit)
-        if body[-1:] in STOPS and body[:-1].isalpha():
-            word = self.kept.get(given[:-1])  # most words also stand without a stop
-            return (self._letters(unit[:-1]) if word is None else array("I", word).tolist()) + self.stops[body[-1]]
+        if body.rstrip(punctuation).isalpha():
+            word = unit.rstrip(punctuation)
+            tail = unit[len(word) :]
+            if tail not in self.tails:
+                if len(self.tails) > KEPT_TAILS:
+                    self.tails.clear()
+                self.tails[tail] = self._whole(tail)
+            stem = given[: -len(tail)]
+            kept = self.kept.get(stem) or self.older.get(stem)  # most words also stand without it
+            return (self._letters(word) if kept is None else array("I", kept).tolist()) + self.tails[tail]
         return self._whole(given) if given else []
 
     def _units(self, units: list[str]) -> list[bytes]:
-        kept = self.kept
-        if len(kept) > KEPT_UNITS:
-            kept.clear()
+        kept, older = self.kept, self.older
+        out = []
         for unit in units:
-            if unit not in kept:
-                kept[unit] = array("I", self._unit(unit)).tobytes()
-        return [kept[u] for u in units]
+            ids = kept.get(unit)
+            if ids is None:
+                ids = older.get(unit)
+                if ids is None:
+                    ids = array("I", self._unit(unit)).tobytes()
+                kept[unit] = ids
+                if 2 * len(kept) > KEPT_UNITS:
+                    self.older = older = kept
+                    self.kept = kept = {}
+            out.append(ids)
+        return out
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) of the texts (null: empty), and row offsets."""
@@ -102,21 +119,17 @@ class UnitEncoder:
         simple = pc.if_else(pa.array(whole), "", text)
         # A line feed becomes a unit of its own; each other unit begins with the space before it, if any.
         lists = flat(pc.split_pattern(pc.replace_substring(pc.replace_substring(simple, "\n", "\x00\n\x00"), " ", "\x00 "), "\x00"))
-        units = lists.flatten()
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        row = rows_at(offsets - offsets[0])
-        encoded = units.dictionary_encode()
-        codes, known = encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary.to_pylist()
+        encoded = lists.flatten().dictionary_encode()
+        known = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()  # many times faster than to_pylist
         if not self.spaced:
             known = [u.strip(" ") for u in known]
-        ids = self._units(known)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        table = np.frombuffer(b"".join(ids), np.uint32)
-        first = np.cumsum(sizes) - sizes
-        n = sizes[codes]
-        starts = np.cumsum(n) - n
-        flat_ids = table[np.repeat(first[codes] - starts, n) + np.arange(int(n.sum()))]
-        counts = np.bincount(row, weights=n, minlength=len(text)).astype(np.int64)
+        # Ids are gathered as packed bytes, so that no numbers as wide as places stand beside them.
+        gathered = pa.array(self._units(known), pa.large_binary()).take(encoded.indices)
+        data = gathered.buffers()[2]
+        offsets = lists.offsets.to_numpy()
+        ends = np.frombuffer(gathered.buffers()[1], np.int64, len(gathered) + 1)[offsets - offsets[0]] // 4
+        flat_ids = np.frombuffer(data, np.uint32, int(ends[-1])) if data is not None else np.empty(0, np.uint32)
+        counts = np.diff(ends)
         odd = np.flatnonzero(whole)
         if len(odd):
             parts = np.split(flat_ids, np.cumsum(counts)[:-1])

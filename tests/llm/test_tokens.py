@@ -108,3 +108,23 @@ def test_widths_of_large_values():
     for top in (1 << 51, 1 << 53, (1 << 59) + 1, (1 << 64) - 1):
         values = np.array([0, 1, 2, 3, top - 1, top, 7], np.uint64)
         assert np.array_equal(T.decode(*T.encode(values), len(values)), values)
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_punctuation_after_a_word_goes_to_the_library_once(file, monkeypatch):
+    plain, known, asked = Tokenizer.from_file(public_tokenizers.path(file)), UnitEncoder(public_tokenizers.path(file)), []
+    whole = known._whole
+    monkeypatch.setattr(known, "_whole", lambda unit: asked.append(unit) or whole(unit))
+    text = "the water### and Water$$$ over### Été$$$ over!' _a_ x;` o; é### 12###"
+    ids, _ = known.encode(pa.array([text]))
+    assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert asked.count("###") == asked.count("$$$") == 1 and not any("water" in u.lower() for u in asked)
+
+
+def test_kept_units_stay_within_their_bound(monkeypatch):
+    from stocktake.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_UNITS", 8)
+    known = UnitEncoder(public_tokenizers.path(FILES[0]))
+    known.encode(pa.array([" ".join(f"w{k}" for k in range(100))]))
+    assert len(known.kept) + len(known.older) <= 8
