@@ -29,6 +29,8 @@ from stocktake.llm.tokens import encoder
 
 END_ID = 0
 CAPACITY = 2048
+#: Bytes of text whose words and ids a task holds at a time.
+ENCODED_BYTES = 4 << 20
 #: Pieces of a shard, islands of a shard, epochs, and each island's packings and crossovers an epoch.
 SHARD, ISLANDS, EPOCHS, POPULATION, CROSSOVERS = 2048, 2, 2, 4, 6
 #: Bins with less than this share filled are packed again with those of other shards.
@@ -39,7 +41,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """``doc_id, piece, start, length, ids_crc32`` of every piece of every document."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=ENCODED_BYTES):
             ids, offsets = encoder(tokenizer).encode(batch.column(1))
             doc, piece, start, length, crc = [], [], [], [], []
             for r, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
