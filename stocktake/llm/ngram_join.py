@@ -77,8 +77,9 @@ def shingle_sets(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
                 g = np.uint64((int(g) * int(STEP) + int(x)) & 0xFFFFFFFFFFFFFFFF)
             whole_text.append(g)
         grams, owner = np.concatenate([grams, mixed(np.array(whole_text, np.uint64))]), np.concatenate([owner, short])
-    order = np.argsort(owner, kind="stable")
-    grams, counts = grams[order], np.bincount(owner, minlength=len(text))
+        order = np.argsort(owner, kind="stable")
+        grams, owner = grams[order], owner[order]
+    counts = np.bincount(owner, minlength=len(text))
     ends = np.cumsum(counts)
     parts = [distinct(grams[e - c : e]) for c, e in zip(counts, ends, strict=True)]
     return (np.concatenate(parts) if parts else grams), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
@@ -180,6 +181,7 @@ def tile_pairs(
     num, den = t.numerator, t.denominator
     two = band.min() != band.max()
     label, found, after = comp.copy(), [], n - place
+    width = 0
     for i in range(len(node) - 1):
         last = int(np.searchsorted(n, n[i] * den // num, side="right"))  # sizes that can reach the threshold
         at = np.arange(i + 1, last)
@@ -188,9 +190,13 @@ def tile_pairs(
         at = at[(label[at] != label[i]) & (most * (num + den) >= num * total) & ((band[at] != band[i]) if two else True)]
         if not len(at):
             continue
-        width = len(raw[i])
-        rest = np.stack([folded(raw[j], width * 64) for j in at])
-        differ = np.bitwise_count(rest ^ raw[i]).sum(axis=1, dtype=np.int64)
+        if len(raw[i]) != width:  # bitmaps cut to this width, each when it is first asked for
+            width = len(raw[i])
+            level, ready = np.empty((len(raw), width), np.uint64), np.zeros(len(raw), bool)
+        for j in at[~ready[at]]:
+            level[j] = folded(raw[j], width * 64)
+        ready[at] = True
+        differ = np.bitwise_count(level[at] ^ raw[i]).sum(axis=1, dtype=np.int64)
         total = n[at] + n[i]
         most = (total - differ) // 2
         for j in at[most * (num + den) >= num * total]:

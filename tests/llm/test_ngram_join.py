@@ -1,5 +1,6 @@
 import re
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 from stocktake.llm import ngram_join as J
@@ -79,3 +80,17 @@ def test_one_of_each_group_stays(spark):
     ids = sorted((r.doc_id for r in kept.collect()), key=repr)
     expected = {i for i, _, c in brute(texts()) if i == c or i is None} | {4, 5, 6}
     assert ids == sorted(expected, key=repr)
+
+
+def test_a_tile_folds_each_bitmap_once_a_width(monkeypatch):
+    rng, calls, plain = np.random.default_rng(3), [], J.folded
+    base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    sets = sorted((np.unique(np.concatenate([base, rng.integers(0, 1 << 62, 20 + k).astype(np.uint64)])) for k in range(30)), key=len)
+    n = np.array([len(s) for s in sets])
+    bits, ends = J.bitmaps(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]))
+    raw = [np.frombuffer(bits[a:b], np.uint64) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    monkeypatch.setattr(J, "folded", lambda words_, wide: calls.append(wide) or plain(words_, wide))
+    node, none = np.arange(30), np.zeros(30, np.int64)
+    pairs = J.tile_pairs(none, node, n, none, node, raw, Fraction("0.8"), False)
+    assert len(pairs) == 30 * 29 // 2  # the base is over 0.8 of every union
+    assert len(calls) <= 30 * len({len(x) for x in raw})
