@@ -12,8 +12,8 @@ intersected exactly, as sorted arrays.
 
 Large groups of near copies would make pairs by the square, so the join runs several times.
 The first run tiles the sets by a few minimum hashes, and links only along a
-spanning tree of every tile, which joins such groups cheaply; a candidate that fails the exact check may hide others
-there. The next one (``TREE_ROUNDS``) does the same over every prefix element, and only where ends aren't joined yet. The last run
+spanning tree of every tile, of the candidates whose bitmaps differ least; that joins such groups cheaply, and a candidate
+that fails the exact check hides few others there. The next one (``TREE_ROUNDS``) does the same over every prefix element, and only where ends aren't joined yet. The last run
 looks at all pairs whose ends are still apart: what it adds makes the groups exact.
 
 Defined cases: a text without words (null, empty, blanks) has an empty set, links with
@@ -48,8 +48,10 @@ COMMON_SHARE = 0.0002
 MOST_COMMON = 1 << 20
 #: Runs over the prefix elements along spanning trees, before the run over all pairs left.
 TREE_ROUNDS = 1
-#: Sets looked for in one pass over the texts (8 bytes each in every task); more take more passes.
-LOOKUP = 1 << 22
+#: Sets looked for in one pass over the texts (16 bytes each in every task); more take more passes.
+LOOKUP = 1 << 21
+#: Bits of the narrowest bitmap.
+LEAST_BITS = 512
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * STEP) | np.uint64(1)
 
@@ -91,13 +93,13 @@ def set_key(grams: np.ndarray) -> int:
 
 
 def bitmap_bits(n: int) -> int:
-    return 1 << max(6, (n // 2).bit_length())
+    return max(LEAST_BITS, 1 << (n // 2).bit_length())
 
 
 def bitmaps(grams: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Parity bitmaps of all sets, one after another, and their offsets in bytes.
 
-    An element falls on bit ``gram % bits`` (a power of two from 64) of its set's bitmap.
+    An element falls on bit ``gram % bits`` (a power of two from ``LEAST_BITS``) of its set's bitmap.
     """
     bits = np.array([bitmap_bits(int(n)) for n in np.diff(offsets)], np.int64)
     first = np.concatenate([[0], np.cumsum(bits)])
@@ -175,19 +177,19 @@ def tile_pairs(
 
     The members come in order of size. ``place`` is where the tile's element stands in a set's order: of
     the tiles that a linked pair shares, the first has no common element before it, so what
-    follows it bounds the overlap, and the pair is found there. With ``tree``, a pair is left out where
-    earlier pairs of the tile join its ends already. Pairs with the same component are left out always.
+    follows it bounds the overlap, and the pair is found there. With ``tree``, only the pairs of a spanning forest
+    are kept, of those that differ least. Pairs with the same component are left out always.
     """
     num, den = t.numerator, t.denominator
     two = band.min() != band.max()
-    label, found, after = comp.copy(), [], n - place
+    found, after = [], n - place
     width = 0
     for i in range(len(node) - 1):
         last = int(np.searchsorted(n, n[i] * den // num, side="right"))  # sizes that can reach the threshold
         at = np.arange(i + 1, last)
         total = n[at] + n[i]
         most = np.minimum(after[at], after[i])
-        at = at[(label[at] != label[i]) & (most * (num + den) >= num * total) & ((band[at] != band[i]) if two else True)]
+        at = at[(comp[at] != comp[i]) & (most * (num + den) >= num * total) & ((band[at] != band[i]) if two else True)]
         if not len(at):
             continue
         if len(raw[i]) != width:  # bitmaps cut to this width, each when it is first asked for
@@ -199,13 +201,37 @@ def tile_pairs(
         differ = np.bitwise_count(level[at] ^ raw[i]).sum(axis=1, dtype=np.int64)
         total = n[at] + n[i]
         most = (total - differ) // 2
-        for j in at[most * (num + den) >= num * total]:
-            if not tree:
-                found.append((node[i], node[j]))
-            elif label[j] != label[i]:
-                found.append((node[i], node[j]))
-                label[label == label[j]] = label[i]
-    return [(min(p), max(p)) for p in found]
+        may = most * (num + den) >= num * total
+        if may.any():
+            found.append((np.full(np.count_nonzero(may), i), at[may], (differ / total)[may]))
+    if not found:
+        return []
+    a, b, far = (np.concatenate(c) for c in zip(*found, strict=True))
+    if tree:
+        kept = spanning_forest(a, b, far, comp)
+        a, b = a[kept], b[kept]
+    return list(zip(np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), strict=True))
+
+
+def spanning_forest(a: np.ndarray, b: np.ndarray, far: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Places of the edges ``(a, b)`` of a minimum spanning forest by ``far``; members of one component are joined already.
+
+    In every round each tree takes its nearest edge to another one (Boruvka); the order of all edges is strict, so none closes a ring.
+    """
+    order = np.argsort(far, kind="stable")
+    a, b = a[order], b[order]
+    _, label = np.unique(comp, return_inverse=True)
+    kept, left = [], np.arange(len(order))
+    while True:
+        left = left[label[a[left]] != label[b[left]]]
+        if not len(left):
+            return order[np.array(kept, np.int64)]
+        nearest = np.full(len(comp), len(order))
+        np.minimum.at(nearest, label[a[left]], left)
+        np.minimum.at(nearest, label[b[left]], left)
+        for e in np.unique(nearest[nearest < len(order)]):
+            label[label == label[a[e]]] = label[b[e]]
+            kept.append(e)
 
 
 TILE_COLUMNS = ["key", "low", "high", "band", "node", "n", "place", "comp", "bits"]
@@ -282,19 +308,33 @@ def overlaps(sets_a: pa.Array, sets_b: pa.Array) -> np.ndarray:
     return out
 
 
+def wanted_rows(batch: pa.RecordBatch, ids: np.ndarray, nameless: bool) -> pa.RecordBatch:
+    """Rows whose ``doc_id`` is in a sorted array; with ``nameless`` also those without one."""
+    null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+    hit = is_in(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), ids)
+    return batch.filter(pa.array(np.where(null, nameless, hit)))
+
+
 def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, grams`` of the wanted nodes, by passes over the texts with at most ``LOOKUP`` of them each."""
+    """``node, grams`` of the wanted ``nodes (node, doc_id)``, by passes over the texts with at most ``LOOKUP`` of them each.
+
+    ``doc_id`` is that of one row of the node (null if that row has none); only rows with such ids are cut into n-grams.
+    """
     passes = max(1, -(-nodes.count() // LOOKUP))
     out = None
     for k in range(passes):
         part = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(passes)) == k) if passes > 1 else nodes
-        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(part.toPandas()["node"].to_numpy(np.int64)))
+        rows = part.select("node", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless")).toPandas()
+        nameless = rows["nameless"].to_numpy(bool)
+        ids = distinct(rows["doc_id"].to_numpy(np.int64)[~nameless])
+        wanted = docs.sparkSession.sparkContext.broadcast((np.sort(rows["node"].to_numpy(np.int64)), ids, bool(nameless.any())))
 
         def scan(batches: Iterable[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, limit=SHINGLE_BYTES):
+            known, ids, nameless = wanted.value
+            for batch in slices((wanted_rows(b, ids, nameless) for b in batches), limit=SHINGLE_BYTES):
                 grams, offsets = shingle_sets(batch.column(1), size)
                 names = set_keys(grams, offsets)
-                hit = np.flatnonzero(is_in(names, wanted.value))
+                hit = np.flatnonzero(is_in(names, known))
                 hit = hit[np.unique(names[hit], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays([pa.array(names[hit]), pa.array([grams[offsets[r] : offsets[r + 1]].tobytes() for r in hit], pa.binary())], ["node", "grams"])
 
@@ -303,11 +343,11 @@ def sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     return out
 
 
-def verified(docs: DataFrame, pairs: DataFrame, size: int, t: Fraction, root: str, name: str) -> DataFrame:
-    """The pairs that reach the threshold, by exact intersection."""
+def verified(docs: DataFrame, named: DataFrame, pairs: DataFrame, size: int, t: Fraction, root: str, name: str) -> DataFrame:
+    """The pairs that reach the threshold, by exact intersection; ``named (node, doc_id)`` tells a row of every node."""
     pairs = stored(pairs, root, f"{name}_pairs")
-    nodes = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), root, f"{name}_nodes")
-    sets = sets_of(docs, nodes, size)
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = sets_of(docs, stored(nodes.join(named, "node"), root, f"{name}_nodes"), size)
 
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,23 +366,27 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8"
     spark, t = docs.sparkSession, Fraction(threshold)
     root = scratch(spark)
     rows = stored(features(docs, size, t, common_ngrams(docs, size, root)), root, "features")
-    sets = rows.filter("n_shingles > 0").dropDuplicates(["node"]).select("node", F.col("n_shingles").cast("int").alias("n"), "prefix", "minima", "bits")
+    sets = rows.filter("n_shingles > 0").dropDuplicates(["node"]).select("node", "doc_id", F.col("n_shingles").cast("int").alias("n"), "prefix", "minima", "bits")
     sets = stored(sets, root, "sets")
 
-    shared = Window.partitionBy("key")
-    first = sets.select(F.explode(F.array_distinct("minima")).alias("key"), "node", "n", F.lit(0).alias("place"), F.col("node").alias("comp"), "bits")
-    first = first.withColumn("size", F.count("*").over(shared)).filter("size > 1")
-    links = verified(docs, tiled(first, t, True), size, t, root, "first")
+    shared, ids = Window.partitionBy("key"), sets.select("node", "doc_id")
+    first = sets.select(F.explode(F.array_distinct("minima")).alias("key"), "node").withColumn("size", F.count("*").over(shared)).filter("size > 1")
+    first = first.join(sets.select("node", "n", F.lit(0).alias("place"), F.col("node").alias("comp"), "bits"), "node")
+    links = verified(docs, ids, tiled(first, t, True), size, t, root, "first")
     # Over all prefix elements: first along spanning trees again, which joins what is left of large groups by few pairs,
-    # and then every pair of sets that aren't joined.
+    # and then every pair of sets that aren't joined. An element whose sets are all joined is done with in the runs that follow.
+    keyed = None
     for k, tree in enumerate([True] * TREE_ROUNDS + [False]):
-        joined = stored(components(links, f"{root}/round_{k}"), root, f"components_{k}")
-        named = sets.join(joined.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        keyed = named.select(F.posexplode("prefix").alias("place", "key"), "node", "comp")
-        keyed = keyed.withColumns({"size": F.count("*").over(shared), "many": F.min("comp").over(shared) < F.max("comp").over(shared)})
-        keyed = stored(keyed.filter("many").select("key", "place", "size", "node"), root, f"shared_prefixes_{k}")
+        joined = stored(components(links, f"{root}/round_{k}"), root, f"components_{k}").withColumnRenamed("component", "comp")
+        named = sets.join(joined, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if keyed is None:
+            shares = named.select(F.posexplode("prefix").alias("place", "key"), "node", "comp").withColumn("size", F.count("*").over(shared))
+        else:
+            shares = keyed.join(named.select("node", "comp"), "node")
+        shares = shares.withColumn("many", F.min("comp").over(shared) < F.max("comp").over(shared)).filter("many")
+        keyed = stored(shares.select("key", "place", "size", "node"), root, f"shared_prefixes_{k}")
         members = keyed.join(named.select("node", "n", "comp", "bits"), "node")
-        links = links.unionByName(verified(docs, tiled(members, t, tree), size, t, root, f"round_{k}"))
+        links = links.unionByName(verified(docs, ids, tiled(members, t, tree), size, t, root, f"round_{k}"))
     groups = components(links, f"{root}/last")
 
     named_rows = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

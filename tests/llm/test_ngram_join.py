@@ -3,6 +3,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 from stocktake.llm import ngram_join as J
 from stocktake.llm.components import components
 from stocktake.llm.text import scratch
@@ -94,3 +95,56 @@ def test_a_tile_folds_each_bitmap_once_a_width(monkeypatch):
     pairs = J.tile_pairs(none, node, n, none, node, raw, Fraction("0.8"), False)
     assert len(pairs) == 30 * 29 // 2  # the base is over 0.8 of every union
     assert len(calls) <= 30 * len({len(x) for x in raw})
+
+
+def near_copies(count, share, seed=5, n=150):
+    """Sets of ``n`` elements: chains in which each has ``share`` new elements in place of some of the last one's."""
+    rng = np.random.default_rng(seed)
+    sets, now = [], rng.integers(0, 1 << 62, n).astype(np.uint64)
+    for _ in range(count):
+        now = now.copy()
+        now[rng.choice(n, round(share * n), replace=False)] = rng.integers(0, 1 << 62, round(share * n)).astype(np.uint64)
+        sets.append(np.unique(now))
+    return sets
+
+
+def tile_of(sets, tree):
+    sets = sorted(sets, key=len)
+    n = np.array([len(s) for s in sets])
+    bits, ends = J.bitmaps(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]))
+    raw = [np.frombuffer(bits[a:b], np.uint64) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    node, none = np.arange(len(sets)), np.zeros(len(sets), np.int64)
+    pairs = J.tile_pairs(none, node, n, none, node, raw, Fraction("0.8"), tree)
+    index = [len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in pairs]
+    return pairs, np.array(index)
+
+
+def test_a_tree_takes_the_nearest_pairs():
+    """Each set is linked with its neighbours of the chain; those two steps away (index 0.75) look alike to narrow bitmaps."""
+    pairs, index = tile_of(near_copies(60, 0.075), True)
+    assert len(pairs) == 59 and (index >= 0.8).all()
+
+
+def test_bitmaps_of_short_sets_rule_out_most_pairs_below_the_threshold():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 150).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.permutation(150)[:139]], rng.integers(0, 1 << 62, 11).astype(np.uint64)])) for _ in range(40)]
+    pairs, index = tile_of(sets, False)
+    assert (index < 0.8).sum() < 0.1 * 40 * 39 // 2
+
+
+def test_only_rows_with_wanted_ids_are_cut_into_ngrams():
+    ids = [5, None, 7, 5, 0, None, 1 << 60]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(list("abcdefg"))], ["doc_id", "text"])
+    taken = lambda *a: "".join(J.wanted_rows(batch, *a).column(1).to_pylist())
+    assert taken(np.array([5, 1 << 60]), False) == "adg"
+    assert taken(np.array([7]), True) == "bcf"
+    assert taken(np.empty(0, np.int64), False) == ""
+
+
+def test_near_copies_whose_rows_share_or_lack_an_id(spark):
+    words = prose("w", 80).split(" ")
+    text = lambda k: " ".join([*words[:k], f"edit{k}", *words[k + 1 :]])
+    rows = [(3, text(0), "en"), (3, text(70), "en"), (None, text(75), "en"), (None, text(75), "en"), (8, text(75), "en"), (9, "other words", "en")]
+    found = sorted(((r.doc_id, r.component_id) for r in J.near_duplicate_groups(documents(spark, rows)).collect()), key=repr)
+    assert found == sorted([(3, 3), (3, 3), (None, 3), (None, 3), (8, 3), (9, 9)], key=repr)
