@@ -377,7 +377,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8"
     # and then every pair of sets that aren't joined. An element whose sets are all joined is done with in the runs that follow.
     keyed = None
     for k, tree in enumerate([True] * TREE_ROUNDS + [False]):
-        joined = stored(components(links, f"{root}/round_{k}"), root, f"components_{k}").withColumnRenamed("component", "comp")
+        groups = stored(components(links, f"{root}/round_{k}"), root, f"components_{k}")
+        joined = groups.withColumnRenamed("component", "comp")
         named = sets.join(joined, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         if keyed is None:
             shares = named.select(F.posexplode("prefix").alias("place", "key"), "node", "comp").withColumn("size", F.count("*").over(shared))
@@ -386,7 +387,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8"
         shares = shares.withColumn("many", F.min("comp").over(shared) < F.max("comp").over(shared)).filter("many")
         keyed = stored(shares.select("key", "place", "size", "node"), root, f"shared_prefixes_{k}")
         members = keyed.join(named.select("node", "n", "comp", "bits"), "node")
-        links = links.unionByName(verified(docs, ids, tiled(members, t, tree), size, t, root, f"round_{k}"))
+        # What is joined goes on as stars, so that only the new links take steps.
+        links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verified(docs, ids, tiled(members, t, tree), size, t, root, f"round_{k}"))
     groups = components(links, f"{root}/last")
 
     named_rows = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
