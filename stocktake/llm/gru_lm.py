@@ -147,7 +147,7 @@ class Lanes:
 def run_window(w: dict, x: np.ndarray, begins: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
     """States after every step of a window, and what its backward pass needs (the states before, gates, candidates, their recurrent parts)."""
     d, shape, kind = HIDDEN, x.shape, np.result_type(w["u"], w["x"], h)
-    given, fresh = w["x"][x], begins.any(axis=1)
+    given, fresh = np.take(w["x"], x, axis=0), begins.any(axis=1)
     before, n, gn, out = (np.empty((*shape, d), kind) for _ in range(4))
     gates = np.empty((*shape, 2 * d), kind)
     for t in range(len(x)):
@@ -172,35 +172,52 @@ def run_window(w: dict, x: np.ndarray, begins: np.ndarray, h: np.ndarray) -> tup
     return out, (before, gates, n, gn)
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    """Over the last axis, in place."""
-    x -= x.max(axis=-1, keepdims=True)
+#: Values that lie no further apart than this are all shifted by the largest one before exp (float32 goes down to exp(-87)).
+SAFE_RANGE = 60
+
+
+def shifted_exp(x: np.ndarray) -> np.ndarray:
+    """exp in place, less the largest value of all, or of each row where they lie far apart; the sums of the rows."""
+    most = x.max(initial=0)
+    x -= most if most - x.min(initial=0) < SAFE_RANGE else x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def softmax(x: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Over each row, times ``scale`` (a number, or one for each row), in place."""
+    x *= (scale / shifted_exp(x))[:, None]
     return x
 
 
 def log10_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log10 of the softmax of each row at one place."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    return np.log10(x[np.arange(len(at)), at] / x.sum(axis=1) + 1e-30)
+    total = shifted_exp(x)
+    return np.log10(x[np.arange(len(at)), at] / total + 1e-30)
 
 
-def by_class(y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(y // MEMBERS, kind="stable")
-    ends = np.cumsum(np.bincount(y // MEMBERS, minlength=CLASSES))
-    for c in range(CLASSES):
-        rows = order[(ends[c - 1] if c else 0) : ends[c]]
-        if len(rows):
-            yield c, rows
+def by_class(y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of the ids by class, and each class that occurs with its first and last place in that order."""
+    c = (y // MEMBERS).astype(np.int16)
+    ends = np.cumsum(np.bincount(c, minlength=CLASSES)).tolist()
+    return np.argsort(c, kind="stable"), [(k, a, b) for k, (a, b) in enumerate(zip([0, *ends], ends, strict=False)) if b > a]
+
+
+def member_logits(w: dict, h: np.ndarray, y: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits of all words of each id's class; the rows come by class."""
+    q = np.empty((len(y), MEMBERS), np.result_type(h, w["wo"]))
+    for c, a, b in classes:
+        np.matmul(h[a:b], w["wo"][c], out=q[a:b])
+    q += np.take(w["bo"], y // MEMBERS, axis=0)
+    return q
 
 
 def log10_of(w: dict, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     """log10 probability of the ids ``y`` after the states ``h``."""
     out = log10_share(h @ w["wc"] + w["bc"], y // MEMBERS)
-    for c, rows in by_class(y):
-        out[rows] += log10_share(h[rows] @ w["wo"][c] + w["bo"][c], y[rows] % MEMBERS)
+    order, classes = by_class(y)
+    y = y[order]
+    out[order] += log10_share(member_logits(w, h[order], y, classes), y % MEMBERS)
     return out
 
 
@@ -213,25 +230,34 @@ def member_gradients(w: dict, h: np.ndarray, y: np.ndarray, scale: np.ndarray) -
     wo, bo, dh = np.zeros_like(w["wo"]), np.zeros_like(w["bo"]), np.zeros_like(h)
     if not len(y):
         return wo, bo, dh
-    order, counts = np.argsort(c, kind="stable"), np.bincount(c, minlength=CLASSES)
+    order, counts = np.argsort(c.astype(np.int16), kind="stable"), np.bincount(c, minlength=CLASSES)
     chunks = -(-counts // CHUNK)
     first = np.cumsum(chunks) - chunks
     place = np.arange(len(y)) + np.repeat(first * CHUNK - (np.cumsum(counts) - counts), counts)
     of = np.repeat(np.arange(CLASSES), chunks)
-    states, there = np.zeros((len(of) * CHUNK, d), h.dtype), np.zeros((len(of) * CHUNK, 1), h.dtype)
+    states, there = np.zeros((len(of) * CHUNK, d), h.dtype), np.zeros(len(of) * CHUNK, h.dtype)
     states[place], there[place] = h[order], scale
     states, weights = states.reshape(-1, CHUNK, d), w["wo"][of]
-    q = softmax(states @ weights + w["bo"][of][:, None]).reshape(-1, MEMBERS)
-    q[place, y[order] % MEMBERS] -= 1
-    q *= there
+    q = states @ weights
+    q += w["bo"][of][:, None]
+    q = softmax(q.reshape(-1, MEMBERS), there)
+    q[place, y[order] % MEMBERS] -= scale
     q = q.reshape(-1, CHUNK, MEMBERS)
     present = np.flatnonzero(counts)
     wo[present] = np.add.reduceat(states.transpose(0, 2, 1) @ q, first[present], axis=0)
-    bo[present] = np.add.reduceat(q.sum(axis=1), first[present], axis=0)
-    dh[order] = (q @ weights.transpose(0, 2, 1)).reshape(-1, d)[place]
+    bo[present] = np.add.reduceat(np.ones(CHUNK, q.dtype) @ q, first[present], axis=0)
+    dh[order] = np.take((q @ weights.transpose(0, 2, 1)).reshape(-1, d), place, axis=0)
     return wo, bo, dh
 
 
+def sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows`` (below ``WORDS``) in ascending order, and the sums of their ``values``."""
+    order = np.argsort(rows.astype(np.int16), kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    return rows[starts], np.add.reduceat(np.take(values, order, axis=0), starts, axis=0)
+
+
 def window_gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: np.ndarray, h0: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
     """Mean gradients of -log P over a window (backpropagation is cut at its start), ``x`` only for the rows that come next, and the last state."""
     d, (steps, lanes) = HIDDEN, x.shape
@@ -239,15 +265,14 @@ def window_gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray,
     at = np.flatnonzero(live.ravel())
     h, target = states.reshape(-1, d)[at], y.ravel()[at]
     scale = h.dtype.type(1 / max(len(at), 1))
-    p = softmax(h @ w["wc"] + w["bc"])
-    p[np.arange(len(at)), target // MEMBERS] -= 1
-    p *= scale
-    g = {"wc": h.T @ p, "bc": p.sum(0)}
+    p = softmax(h @ w["wc"] + w["bc"], scale)
+    p[np.arange(len(at)), target // MEMBERS] -= scale
+    g = {"wc": h.T @ p, "bc": np.ones(len(p), p.dtype) @ p}
     g["wo"], g["bo"], dh = member_gradients(w, h, target, scale)
     out = np.zeros((steps * lanes, d), h.dtype)
     out[at] = dh + p @ w["wc"].T
     out = out.reshape(steps, lanes, d)
-    r, z = gates[:, :, :d], gates[:, :, d:]
+    r, z = gates[:, :, :d].copy(), gates[:, :, d:].copy()
     to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), gn * r * (1 - r)
     own, into = np.empty((steps, lanes, 3 * d), h.dtype), np.empty((steps, lanes, 3 * d), h.dtype)
     back, turned, fresh = np.zeros((lanes, d), h.dtype), w["u"].T.copy(), begins.any(axis=1)
@@ -265,11 +290,8 @@ def window_gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray,
         if fresh[t]:
             back[begins[t]] = 0
     g["u"] = before.reshape(-1, d).T @ into.reshape(-1, 3 * d)
-    order = np.argsort(x.ravel(), kind="stable")
-    sorted_ = x.ravel()[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    g["x"] = np.add.reduceat(own.reshape(-1, 3 * d)[order], starts, axis=0)
-    return g, sorted_[starts], states[-1]
+    rows, g["x"] = sums_by_row(own.reshape(-1, 3 * d), x.ravel())
+    return g, rows, states[-1]
 
 
 def gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: np.ndarray, h0: np.ndarray) -> tuple[dict, np.ndarray]:
@@ -292,9 +314,21 @@ def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES /
     for inputs, targets, begins, text in packed.windows(WINDOW):
         g, rows, h = window_gradients(w, inputs, targets, begins, text >= 0, h[: inputs.shape[1]])
         for k, v in g.items():
-            at = rows if k == "x" else slice(None)  # a row of no gradient stays as it is
-            seen[k][at] += v * v
-            w[k][at] -= RATE * v / (np.sqrt(seen[k][at]) + EPS)
+            step = v * v
+            if k == "x":  # a row of no gradient stays as it is
+                step += seen[k][rows]
+                seen[k][rows] = step
+            else:
+                seen[k] += step
+                step[:] = seen[k]
+            np.sqrt(step, out=step)
+            step += EPS
+            np.divide(v, step, out=step)
+            step *= RATE
+            if k == "x":
+                w[k][rows] -= step
+            else:
+                w[k] -= step
     return w
 
 

@@ -145,3 +145,18 @@ def test_gradients_of_all_classes_at_once_equal_those_class_by_class():
         q *= np.float32(0.5)
         assert np.allclose(wo[c], h[rows].T @ q, atol=1e-5) and np.allclose(bo[c], q.sum(0), atol=1e-5)
         assert np.allclose(dh[rows], q @ w["wo"][c].T, atol=1e-5)
+
+
+def test_sums_of_repeated_rows():
+    rng = np.random.default_rng(11)
+    rows = np.concatenate([rng.integers(0, G.WORDS, 300), np.full(50, 3)])
+    values = rng.normal(size=(len(rows), 5))
+    found, sums = G.sums_by_row(values, rows)
+    assert (found == np.unique(rows)).all() and np.allclose(sums, [values[rows == r].sum(0) for r in found])
+
+
+def test_softmax_of_rows_far_apart_and_close_by():
+    for far in (1, 200):
+        x = np.random.default_rng(12).normal(size=(50, 8)).astype(np.float32) + far * np.arange(50, dtype=np.float32)[:, None]
+        e = np.exp(x - x.max(axis=1, keepdims=True))
+        assert np.allclose(G.softmax(x, np.float32(0.5)), 0.5 * e / e.sum(axis=1, keepdims=True), rtol=1e-4, atol=1e-7)
