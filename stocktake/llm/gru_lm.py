@@ -184,9 +184,11 @@ def shifted_exp(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[1], x.dtype)
 
 
-def softmax(x: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Over each row, times ``scale`` (a number, or one for each row), in place."""
-    x *= (scale / shifted_exp(x))[:, None]
+def softmax(x: np.ndarray) -> np.ndarray:
+    """Over the last axis, in place."""
+    x -= x.max(axis=-1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=-1, keepdims=True)
     return x
 
 
@@ -235,17 +237,18 @@ def member_gradients(w: dict, h: np.ndarray, y: np.ndarray, scale: np.ndarray) -
     first = np.cumsum(chunks) - chunks
     place = np.arange(len(y)) + np.repeat(first * CHUNK - (np.cumsum(counts) - counts), counts)
     of = np.repeat(np.arange(CLASSES), chunks)
-    states, there = np.zeros((len(of) * CHUNK, d), h.dtype), np.zeros(len(of) * CHUNK, h.dtype)
+    states, there = np.zeros((len(of) * CHUNK, d), h.dtype), np.zeros((len(of) * CHUNK, 1), h.dtype)
     states[place], there[place] = h[order], scale
     states, weights = states.reshape(-1, CHUNK, d), w["wo"][of]
     q = states @ weights
     q += w["bo"][of][:, None]
-    q = softmax(q.reshape(-1, MEMBERS), there)
-    q[place, y[order] % MEMBERS] -= scale
+    q = softmax(q).reshape(-1, MEMBERS)
+    q[place, y[order] % MEMBERS] -= 1
+    q *= there
     q = q.reshape(-1, CHUNK, MEMBERS)
     present = np.flatnonzero(counts)
     wo[present] = np.add.reduceat(states.transpose(0, 2, 1) @ q, first[present], axis=0)
-    bo[present] = np.add.reduceat(np.ones(CHUNK, q.dtype) @ q, first[present], axis=0)
+    bo[present] = np.add.reduceat(q.sum(axis=1), first[present], axis=0)
     dh[order] = np.take((q @ weights.transpose(0, 2, 1)).reshape(-1, d), place, axis=0)
     return wo, bo, dh
 
@@ -265,9 +268,10 @@ def window_gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray,
     at = np.flatnonzero(live.ravel())
     h, target = states.reshape(-1, d)[at], y.ravel()[at]
     scale = h.dtype.type(1 / max(len(at), 1))
-    p = softmax(h @ w["wc"] + w["bc"], scale)
-    p[np.arange(len(at)), target // MEMBERS] -= scale
-    g = {"wc": h.T @ p, "bc": np.ones(len(p), p.dtype) @ p}
+    p = softmax(h @ w["wc"] + w["bc"])
+    p[np.arange(len(at)), target // MEMBERS] -= 1
+    p *= scale
+    g = {"wc": h.T @ p, "bc": p.sum(0)}
     g["wo"], g["bo"], dh = member_gradients(w, h, target, scale)
     out = np.zeros((steps * lanes, d), h.dtype)
     out[at] = dh + p @ w["wc"].T
@@ -323,8 +327,8 @@ def train_on(w: dict, ids: np.ndarray, offsets: np.ndarray, lanes: int = LANES /
                 step[:] = seen[k]
             np.sqrt(step, out=step)
             step += EPS
+            v *= RATE
             np.divide(v, step, out=step)
-            step *= RATE
             if k == "x":
                 w[k][rows] -= step
             else:

@@ -155,8 +155,17 @@ def test_sums_of_repeated_rows():
     assert (found == np.unique(rows)).all() and np.allclose(sums, [values[rows == r].sum(0) for r in found])
 
 
-def test_softmax_of_rows_far_apart_and_close_by():
+def test_shares_of_rows_far_apart_and_close_by():
+    at = np.arange(50) % 8
     for far in (1, 200):
-        x = np.random.default_rng(12).normal(size=(50, 8)).astype(np.float32) + far * np.arange(50, dtype=np.float32)[:, None]
+        x = np.random.default_rng(12).normal(size=(50, 8)) + far * np.arange(50)[:, None]
         e = np.exp(x - x.max(axis=1, keepdims=True))
-        assert np.allclose(G.softmax(x, np.float32(0.5)), 0.5 * e / e.sum(axis=1, keepdims=True), rtol=1e-4, atol=1e-7)
+        want = np.log10(e[np.arange(50), at] / e.sum(axis=1))
+        assert np.allclose(G.log10_share(x.astype(np.float32), at), want, atol=1e-3)
+
+
+def test_products_are_made_once_a_class_and_exponentials_once_for_all(monkeypatch):
+    w, rng, calls, plain = model(), np.random.default_rng(13), [], G.log10_share
+    monkeypatch.setattr(G, "log10_share", lambda x, at: calls.append(len(at)) or plain(x, at))
+    G.log10_of(w, rng.normal(size=(500, G.HIDDEN)).astype(np.float32), rng.integers(0, G.WORDS, 500))
+    assert calls == [500, 500]
