@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.llm.text import bytes_of, mixed, row_sums, rows_at, scratch, slices, stored, text_rows, words
+from stocktake.llm.tokens import drop_encoders
 
 # The character classes, as rows of (name, characters). Bytes of 128 and more
 # are `wide`; UTF-8 continuation bytes are not counted; the rest is `other`.
@@ -68,7 +69,7 @@ MAX_REACHED = 0.95
 #: Distances are counted in steps of 1 / STEPS, rounded up.
 STEPS = 1000
 #: Bytes of text whose words are held at a time, and rows of word counts that a task folds.
-QUALITY_BYTES, HELD_ROWS = 4 << 20, 1 << 18
+QUALITY_BYTES, HELD_ROWS = 1 << 20, 1 << 18
 #: Documents with more symbols than this share of their words make no reference.
 MAX_REFERENCE_SYMBOLS = 0.1
 
@@ -131,6 +132,12 @@ def base_of(text: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
+def judged_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The slices that a task of the rules holds one at a time, beside nothing that packing left in its worker."""
+    drop_encoders()
+    return slices(batches, limit=QUALITY_BYTES)
+
+
 def makes_reference(codes: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Per row (codes of its words without regard to case), whether it counts for the reference of its language."""
     n_words = np.diff(offsets)
@@ -148,7 +155,7 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, float]]
         return folded(count(batches))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=QUALITY_BYTES):
+        for batch in judged_slices(batches):
             text, lang = batch.column(1), batch.column(2)
             codes, offsets, known = words(text, lower=True)
             classes, _ = class_counts(text)
@@ -260,7 +267,7 @@ def limits(docs: DataFrame, refs: dict[str, tuple[np.ndarray, dict[str, float]]]
     far = Distances(refs)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=QUALITY_BYTES):
+        for batch in judged_slices(batches):
             text, out = batch.column(1), []
             codes, offsets, known = words(text, lower=True)
             classes, _ = class_counts(text)
@@ -331,7 +338,7 @@ def quality_rules(docs: DataFrame, judge: Judge | None = None) -> DataFrame:
     judge = judge_of(docs) if judge is None else judge
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=QUALITY_BYTES):
+        for batch in judged_slices(batches):
             columns = {"doc_id": batch.column(0)} | judge(batch.column(1))
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()], list(columns))
 
@@ -344,7 +351,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     judge = judge_of(docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=QUALITY_BYTES):
+        for batch in judged_slices(batches):
             text = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
             yield batch.filter(pa.array(judge(text)["kept"]))
 

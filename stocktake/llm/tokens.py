@@ -38,6 +38,11 @@ def encoder(path: str) -> UnitEncoder:
     return _encoders[path]
 
 
+def drop_encoders() -> None:
+    """Gives back what this worker's encoders keep; whoever encodes next reads the file again."""
+    _encoders.clear()
+
+
 def byte_characters() -> dict[int, str]:
     """The printable character that byte-level vocabularies write for each byte.
 

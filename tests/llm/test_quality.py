@@ -1,9 +1,11 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
 
 from stocktake.llm import quality as Q
+from stocktake.llm import tokens
 
 from .cases import documents, prose, texts
 
@@ -93,3 +95,24 @@ def test_a_language_of_unspaced_script_does_not_switch_the_word_rule_off(spark):
     found = {r.doc_id: r for r in Q.quality_rules(docs).collect()}
     assert not found[200].kept and not found[200].base_failed
     assert all(found[i].kept for i, _, _ in rows)  # the unspaced texts by their characters
+
+
+def test_a_task_holds_little_beside_its_batch(monkeypatch):
+    """Texts of 12 MB, judged in a worker in which packing kept its encoder."""
+    monkeypatch.setattr(Q, "judge_of", lambda docs: Q.Judge({}, {}))
+    monkeypatch.setitem(tokens._encoders, "some file", object())
+
+    class Docs:
+        schema = None
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    batch = pa.record_batch({"text": pa.array([prose(f"m{k}", 4000) for k in range(20)] * 35)})
+    assert batch.nbytes > 12 << 20
+    tracemalloc.start()
+    kept = sum(b.num_rows for b in Q.keep_good(Docs())(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kept == sum(~Q.base_of(batch.column(0))["base_failed"])
+    assert peak < 64 << 20 and not tokens._encoders
