@@ -145,31 +145,38 @@ class Lanes:
 
 
 def run_window(w: dict, x: np.ndarray, begins: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """States after every step of a window, and what its backward pass needs (the states before, gates, candidates, their recurrent parts)."""
-    d, shape, kind = HIDDEN, x.shape, np.result_type(w["u"], w["x"], h)
-    given, fresh = np.take(w["x"], x, axis=0), begins.any(axis=1)
-    before, n, gn, out = (np.empty((*shape, d), kind) for _ in range(4))
-    gates = np.empty((*shape, 2 * d), kind)
-    for t in range(len(x)):
+    """States after every step of a window, and what its backward pass needs (the states before, gates, candidates, their recurrent parts).
+
+    Inside, and in what the backward pass gets, units come before lanes: so a part of a step's gates is one piece of memory."""
+    d, (steps, lanes), kind = HIDDEN, x.shape, np.result_type(w["u"], w["x"], h)
+    given, fresh = across(np.take(w["x"], x, axis=0)), begins.any(axis=1)
+    before, n, gn, out = (np.empty((steps, d, lanes), kind) for _ in range(4))
+    gates, into, turned, h = np.empty((steps, 2 * d, lanes), kind), np.empty((3 * d, lanes), kind), w["u"].T, h.T
+    for t in range(steps):
         before[t] = h
         if fresh[t]:
-            before[t][begins[t]] = 0
+            before[t][:, begins[t]] = 0
         h, g, now = before[t], gates[t], out[t]
-        into = h @ w["u"]
-        np.add(given[t, :, : 2 * d], into[:, : 2 * d], out=g)
+        np.matmul(turned, h, out=into)
+        np.add(given[t, : 2 * d], into[: 2 * d], out=g)
         g *= 0.5  # the logistic function, by tanh
         np.tanh(g, out=g)
         g *= 0.5
         g += 0.5
-        gn[t] = into[:, 2 * d :]
-        np.multiply(g[:, :d], gn[t], out=n[t])
-        n[t] += given[t, :, 2 * d :]
+        gn[t] = into[2 * d :]
+        np.multiply(g[:d], gn[t], out=n[t])
+        n[t] += given[t, 2 * d :]
         np.tanh(n[t], out=n[t])
         np.subtract(h, n[t], out=now)
-        now *= g[:, d:]
+        now *= g[d:]
         now += n[t]
         h = now
-    return out, (before, gates, n, gn)
+    return across(out), (before, gates, n, gn)
+
+
+def across(x: np.ndarray) -> np.ndarray:
+    """The last two axes of every step change places."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1))
 
 
 #: Values that lie no further apart than this are all shifted by the largest one before exp (float32 goes down to exp(-87)).
@@ -185,8 +192,12 @@ def shifted_exp(x: np.ndarray) -> np.ndarray:
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    """Over the last axis, in place."""
-    x -= x.max(axis=-1, keepdims=True)
+    """Over the last axis (of a power of two), in place."""
+    most = x
+    while most.shape[-1] > 1:  # by halves: many times faster than along each short row
+        half = most.shape[-1] // 2
+        most = np.maximum(most[..., :half], most[..., half:])
+    x -= most
     np.exp(x, out=x)
     x /= x.sum(axis=-1, keepdims=True)
     return x
@@ -237,28 +248,44 @@ def member_gradients(w: dict, h: np.ndarray, y: np.ndarray, scale: np.ndarray) -
     first = np.cumsum(chunks) - chunks
     place = np.arange(len(y)) + np.repeat(first * CHUNK - (np.cumsum(counts) - counts), counts)
     of = np.repeat(np.arange(CLASSES), chunks)
-    states, there = np.zeros((len(of) * CHUNK, d), h.dtype), np.zeros((len(of) * CHUNK, 1), h.dtype)
-    states[place], there[place] = h[order], scale
+    states = np.zeros((len(of) * CHUNK, d), h.dtype)
+    states[place], y = h[order], y[order]
     states, weights = states.reshape(-1, CHUNK, d), w["wo"][of]
-    q = states @ weights
-    q += w["bo"][of][:, None]
-    q = softmax(q).reshape(-1, MEMBERS)
-    q[place, y[order] % MEMBERS] -= 1
-    q *= there
+    q = (states @ weights).reshape(-1, MEMBERS)
+    p = np.take(q, place, axis=0)
+    p += np.take(w["bo"], y // MEMBERS, axis=0)
+    p = softmax(p)
+    p[np.arange(len(y)), y % MEMBERS] -= 1
+    p *= scale
+    q[:] = 0  # in the rows that fill up a chunk
+    q[place] = p
     q = q.reshape(-1, CHUNK, MEMBERS)
     present = np.flatnonzero(counts)
-    wo[present] = np.add.reduceat(states.transpose(0, 2, 1) @ q, first[present], axis=0)
-    bo[present] = np.add.reduceat(q.sum(axis=1), first[present], axis=0)
+    wo[present] = sums_from(states.transpose(0, 2, 1) @ q, first[present])
+    bo[present] = sums_from(q.sum(axis=1), first[present])
     dh[order] = np.take((q @ weights.transpose(0, 2, 1)).reshape(-1, d), place, axis=0)
     return wo, bo, dh
 
 
+def sums_from(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the values from each start to the next, as ``np.add.reduceat`` makes them; most runs are short and need no call of it."""
+    size = np.diff(np.append(starts, len(values)))
+    out = np.take(values, starts, axis=0)
+    two, more = np.flatnonzero(size == 2), np.flatnonzero(size > 2)
+    out[two] += np.take(values, starts[two] + 1, axis=0)
+    if len(more):
+        ends = np.cumsum(size[more])
+        own = np.arange(ends[-1]) + np.repeat(starts[more] - (ends - size[more]), size[more])
+        out[more] = np.add.reduceat(np.take(values, own, axis=0), ends - size[more], axis=0)
+    return out
+
+
 def sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` (below ``WORDS``) in ascending order, and the sums of their ``values``."""
     order = np.argsort(rows.astype(np.int16), kind="stable")
     rows = rows[order]
     starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[starts], np.add.reduceat(np.take(values, order, axis=0), starts, axis=0)
+    return rows[starts], sums_from(np.take(values, order, axis=0), starts)
 
 
 def window_gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray, live: np.ndarray, h0: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
@@ -275,26 +302,26 @@ def window_gradients(w: dict, x: np.ndarray, y: np.ndarray, begins: np.ndarray,
     g["wo"], g["bo"], dh = member_gradients(w, h, target, scale)
     out = np.zeros((steps * lanes, d), h.dtype)
     out[at] = dh + p @ w["wc"].T
-    out = out.reshape(steps, lanes, d)
-    r, z = gates[:, :, :d].copy(), gates[:, :, d:].copy()
+    out = across(out.reshape(steps, lanes, d))
+    r, z = gates[:, :d], gates[:, d:]
     to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), gn * r * (1 - r)
-    own, into = np.empty((steps, lanes, 3 * d), h.dtype), np.empty((steps, lanes, 3 * d), h.dtype)
-    back, turned, fresh = np.zeros((lanes, d), h.dtype), w["u"].T.copy(), begins.any(axis=1)
+    own, into = np.empty((steps, 3 * d, lanes), h.dtype), np.empty((steps, 3 * d, lanes), h.dtype)
+    back, turned, fresh = np.zeros((d, lanes), h.dtype), w["u"].T.copy().T, begins.any(axis=1)  # by columns, as in a product from the right
     for t in range(steps - 1, -1, -1):
         now, gate, part = out[t], own[t], into[t]
         now += back
-        np.multiply(now, to_n[t], out=gate[:, 2 * d :])
-        np.multiply(gate[:, 2 * d :], to_r[t], out=gate[:, :d])
-        np.multiply(now, to_z[t], out=gate[:, d : 2 * d])
-        part[:, : 2 * d] = gate[:, : 2 * d]
-        np.multiply(gate[:, 2 * d :], r[t], out=part[:, 2 * d :])
-        back = part @ turned
+        np.multiply(now, to_n[t], out=gate[2 * d :])
+        np.multiply(gate[2 * d :], to_r[t], out=gate[:d])
+        np.multiply(now, to_z[t], out=gate[d : 2 * d])
+        part[: 2 * d] = gate[: 2 * d]
+        np.multiply(gate[2 * d :], r[t], out=part[2 * d :])
+        np.matmul(turned, part, out=back)
         now *= z[t]
         back += now
         if fresh[t]:
-            back[begins[t]] = 0
-    g["u"] = before.reshape(-1, d).T @ into.reshape(-1, 3 * d)
-    rows, g["x"] = sums_by_row(own.reshape(-1, 3 * d), x.ravel())
+            back[:, begins[t]] = 0
+    g["u"] = across(before).reshape(-1, d).T @ across(into).reshape(-1, 3 * d)
+    rows, g["x"] = sums_by_row(across(own).reshape(-1, 3 * d), x.ravel())
     return g, rows, states[-1]
 
 

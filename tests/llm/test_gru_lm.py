@@ -169,3 +169,29 @@ def test_products_are_made_once_a_class_and_exponentials_once_for_all(monkeypatc
     monkeypatch.setattr(G, "log10_share", lambda x, at: calls.append(len(at)) or plain(x, at))
     G.log10_of(w, rng.normal(size=(500, G.HIDDEN)).astype(np.float32), rng.integers(0, G.WORDS, 500))
     assert calls == [500, 500]
+
+
+def test_sums_of_short_and_long_runs_equal_reduceat_bit_for_bit():
+    rng = np.random.default_rng(14)
+    size = np.array([1, 2, 3, 1, 40, 2, 9, 300, 1, 2])
+    starts = np.cumsum(size) - size
+    for shape in ((), (5,), (4, 6)):
+        values = rng.normal(size=(size.sum(), *shape)).astype(np.float32)
+        assert (G.sums_from(values, starts) == np.add.reduceat(values, starts, axis=0)).all()
+
+
+def test_a_steps_parts_are_whole_pieces_of_memory():
+    """And the states are those of steps made lane by lane, for any number of lanes."""
+    w, rng = model(), np.random.default_rng(15)
+    for lanes in (1, 3, 20):
+        x, begins, h0 = rng.integers(0, G.WORDS, (6, lanes)), rng.random((6, lanes)) < 0.2, rng.normal(size=(lanes, G.HIDDEN)).astype(np.float32)
+        states, saved = G.run_window(w, x, begins, h0)
+        assert states.shape == (6, lanes, G.HIDDEN) and all(a.shape[2] == lanes and a[0, : G.HIDDEN].flags.c_contiguous for a in saved)
+        h, d, one = h0.astype(float), G.HIDDEN, lambda v: 1 / (1 + np.exp(-v))
+        for t in range(6):
+            h = np.where(begins[t][:, None], 0, h)
+            given, into = w["x"][x[t]].astype(float), h @ w["u"].astype(float)
+            r, z = one(given[:, :d] + into[:, :d]), one(given[:, d : 2 * d] + into[:, d : 2 * d])
+            n = np.tanh(given[:, 2 * d :] + r * into[:, 2 * d :])
+            h = (1 - z) * n + z * h
+            assert np.allclose(states[t], h, atol=1e-5)
